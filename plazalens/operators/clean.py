@@ -49,7 +49,7 @@ def epoch_ms_to_date(col: str | Column) -> Column:
 def text_to_date(col: str | Column, fmt: str = "yyyy-MM-dd", prefix: int = 10) -> Column:
     """Leading ``prefix`` characters parsed as a date; bad text -> null."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.try_to_date(F.substring(c, 1, prefix), F.lit(fmt))
+    return F.try_to_date(F.substring(c, 1, prefix), fmt)
 
 
 def to_int_rating(col: str | Column) -> Column:

@@ -11,10 +11,42 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from plazalens.functions.text import extract_state, filter_terms, map_state, truncate
+from plazalens.operators.clean import (
+    dedup_columns,
+    dedup_rows,
+    drop_null,
+    epoch_ms_to_date,
+    fill_number,
+    fill_text,
+    text_to_date,
+    to_int_rating,
+)
+from plazalens.operators.gold import review_key
+from plazalens.operators.nested import true_flag_names, true_flags
+from plazalens.operators.quality import (
+    contract_violations,
+    distinct_count,
+    null_counts,
+    pk_duplicates,
+    profile,
+    stage_counts,
+)
 from plazalens.plans import derived as dv
 from plazalens.plans import medallion as md
-from plazalens.plans.sql_text import DEMO_TERMS, silver_places_sql, silver_reviews_sql
+from plazalens.plans.derived import EV_SQL, PL_SQL, RV_SQL, TX_SQL
+from plazalens.plans.sql_text import (
+    DEMO_TERMS,
+    DEMO_TERMS_RE_SQL,
+    STATE_RE_SQL,
+    STATE_VALUES_SQL,
+    silver_places_sql,
+    silver_reviews_sql,
+)
+from plazalens.schemas import CONTRACTS, GOLD_TEXT_MAX
+from plazalens.sources.io import select_by_ordinal, state_dimension
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -54,3 +86,278 @@ FROM gsr WHERE gmap_id IN (SELECT gmap_id FROM gsp)""")
 def q_gold_reviews(spark, sf):
     """Flagship: raw reviews -> silver -> gold restricted to silver places."""
     return md.gold_google_reviews(silver_reviews(spark, sf), gold_places(spark, sf))
+
+
+@query("gold_reviews_inner", f"""WITH {silver_places_sql()},
+{silver_reviews_sql()}
+SELECT r.user_id, r.gmap_id, CAST(trunc(r.rating) AS INTEGER) AS rating,
+       substring(r.text, 1, 7000) AS text, r.date, r.user_id || r.gmap_id AS review_id
+FROM gsr r JOIN gsp p ON r.gmap_id = p.gmap_id""")
+def q_gold_reviews_inner(spark, sf):
+    """The reference's inner join (repeats a review per copy of its place key)."""
+    return md.gold_google_reviews(silver_reviews(spark, sf), gold_places(spark, sf), how="inner")
+
+
+@query("gold_places", f"""WITH {silver_places_sql()}
+SELECT address, avg_rating, gmap_id, latitude, longitude, name,
+       CAST(num_of_reviews AS INTEGER) AS num_of_reviews, url, category, state FROM gsp""")
+def q_gold_places(spark, sf):
+    return gold_places(spark, sf)
+
+
+@query("silver_google_places", f"""WITH {silver_places_sql()} SELECT * FROM gsp""")
+def q_silver_google_places(spark, sf):
+    """Places bronze -> silver as one plan: concat, dedup, fill, drop, filter, state."""
+    return silver_places(spark, sf)
+
+
+@query("silver_google_reviews", f"""WITH {silver_reviews_sql()} SELECT * FROM gsr""")
+def q_silver_google_reviews(spark, sf):
+    return silver_reviews(spark, sf)
+
+
+@query("review_key", f"""WITH {RV_SQL}
+SELECT user_id, gmap_id, user_id || gmap_id AS review_id FROM rv""")
+def q_review_key(spark, sf):
+    rv = dv.reviews_raw(spark, sf)
+    return rv.select("user_id", "gmap_id", review_key("user_id", "gmap_id").alias("review_id"))
+
+
+@query("category_filter", f"""WITH {PL_SQL}
+SELECT place_id, categories FROM pl WHERE regexp_matches(lower(categories), {DEMO_TERMS_RE_SQL})""")
+def q_category_filter(spark, sf):
+    pl = dv.places_raw(spark, sf)
+    return filter_terms(pl, "categories", DEMO_TERMS).select("place_id", "categories")
+
+
+@query("array_to_text", f"""WITH {PL_SQL}
+SELECT place_id, coalesce(array_to_string([name, category[2]], ', '), '') AS category_text
+FROM pl""")
+def q_array_to_text(spark, sf):
+    pl = dv.places_raw(spark, sf)
+    arr = F.array(F.col("name"), F.col("category")[1])
+    return pl.select("place_id", F.concat_ws(", ", arr).alias("category_text"))
+
+
+@query("extract_state", f"""WITH {PL_SQL}
+SELECT place_id, address,
+       CASE WHEN regexp_matches(address, {STATE_RE_SQL}) THEN regexp_extract(address, {STATE_RE_SQL}, 0)
+            ELSE 'Unknown' END AS state_first,
+       CASE WHEN regexp_matches(address, {STATE_RE_SQL}) THEN regexp_extract_all(address, {STATE_RE_SQL})[-1]
+            ELSE 'Unknown' END AS state_last
+FROM pl""")
+def q_extract_state(spark, sf):
+    pl = dv.places_raw(spark, sf)
+    return pl.select("place_id", "address",
+                     extract_state("address", anchor="first").alias("state_first"),
+                     extract_state("address", anchor="last").alias("state_last"))
+
+
+@query("map_state", f"""WITH {PL_SQL},
+s AS (SELECT place_id, CASE WHEN regexp_matches(address, {STATE_RE_SQL})
+                            THEN regexp_extract_all(address, {STATE_RE_SQL})[-1] ELSE 'Unknown' END AS raw FROM pl),
+m AS (SELECT s.place_id, s.raw, coalesce(d1.code, s.raw) AS state FROM s LEFT JOIN {STATE_VALUES_SQL.replace('dim_state', 'd1')} ON s.raw = d1.sname)
+SELECT m.place_id, m.raw AS state_raw, m.state, d2.state_id, d2.sname AS state_name
+FROM m LEFT JOIN {STATE_VALUES_SQL.replace('dim_state', 'd2')} ON m.state = d2.code""")
+def q_map_state(spark, sf):
+    """Name -> code as a literal map, then the 50-row state
+    dimension joined by code (broadcast: its size is fixed)."""
+    pl = dv.places_raw(spark, sf)
+    s = pl.select("place_id", extract_state("address", anchor="last").alias("state_raw"))
+    s = s.withColumn("state", map_state("state_raw"))
+    dim = state_dimension(spark).select("state_id", F.col("state").alias("_code"),
+                                        F.col("name").alias("state_name"))
+    out = s.join(F.broadcast(dim), s["state"] == dim["_code"], "left")
+    return out.select("place_id", "state_raw", "state", "state_id", "state_name")
+
+
+_FLAGS_SQL = """CASE WHEN wifi = 'True' THEN 'WiFi' END, CASE WHEN hastv = 'True' THEN 'HasTV' END,
+                CASE WHEN dogsallowed = 'True' THEN 'DogsAllowed' END"""
+
+
+@query("struct_expand", f"""WITH {PL_SQL}
+SELECT place_id, wifi AS "WiFi", hastv AS "HasTV", dogsallowed AS "DogsAllowed" FROM pl""")
+def q_struct_expand(spark, sf):
+    pl = dv.places_raw(spark, sf)
+    return pl.select("place_id", "attributes").select("place_id", "attributes.*")
+
+
+@query("struct_true_flags", f"""WITH {PL_SQL}
+SELECT place_id, wifi = 'True' AS "WiFi", hastv = 'True' AS "HasTV",
+       dogsallowed = 'True' AS "DogsAllowed" FROM pl""")
+def q_struct_true_flags(spark, sf):
+    pl = dv.places_raw(spark, sf)
+    return pl.select("place_id", *true_flags(pl, "attributes"))
+
+
+@query("attributes_list", f"""WITH {PL_SQL}
+SELECT place_id, coalesce(nullif(concat_ws(', ', {_FLAGS_SQL}), ''), 'Unknown') AS attributes,
+       concat_ws(', ', {_FLAGS_SQL}) AS attributes_strict FROM pl""")
+def q_attributes_list(spark, sf):
+    pl = dv.places_raw(spark, sf)
+    return pl.select(
+        "place_id",
+        F.coalesce(F.nullif(true_flag_names(pl, "attributes"), F.lit("")), F.lit("Unknown")).alias("attributes"),
+        true_flag_names(pl, "attributes").alias("attributes_strict"),
+    )
+
+
+@query("fill_defaults", f"""WITH {RV_SQL}
+SELECT user_id, gmap_id, coalesce(rating, 0) AS rating, coalesce(text, 'Unknown') AS text, time FROM rv""")
+def q_fill_defaults(spark, sf):
+    rv = dv.reviews_raw(spark, sf)
+    return fill_number(fill_text(rv, "Unknown", ["text", "rating"]), 0, ["rating", "text"])
+
+
+@query("drop_null_keys", f"""WITH {RV_SQL}
+SELECT * FROM rv WHERE user_id IS NOT NULL AND gmap_id IS NOT NULL AND time IS NOT NULL""")
+def q_drop_null_keys(spark, sf):
+    return drop_null(dv.reviews_raw(spark, sf), ["user_id", "gmap_id", "time"])
+
+
+@query("drop_any_null", f"""WITH {RV_SQL}
+SELECT * FROM rv WHERE user_id IS NOT NULL AND gmap_id IS NOT NULL AND rating IS NOT NULL
+  AND text IS NOT NULL AND time IS NOT NULL""")
+def q_drop_any_null(spark, sf):
+    return drop_null(dv.reviews_raw(spark, sf))
+
+
+@query("dedup_rows", """SELECT DISTINCT l_returnflag, l_linestatus, l_partkey FROM lineitem""")
+def q_dedup_rows(spark, sf):
+    li = dv.table(spark, sf, "lineitem").select("l_returnflag", "l_linestatus", "l_partkey")
+    return dedup_rows(li)
+
+
+@query("dedup_columns", """SELECT p_partkey, p_name FROM part""")
+def q_dedup_columns(spark, sf):
+    p = dv.table(spark, sf, "part")
+    repeated = p.select("p_partkey", "p_name", F.col("p_type").alias("p_name"))
+    return dedup_columns(repeated)
+
+
+@query("epoch_to_date", f"""WITH {EV_SQL}
+SELECT event_id, time, CAST(epoch_ms(time) AS DATE) AS date FROM ev""")
+def q_epoch_to_date(spark, sf):
+    ev = dv.events_raw(spark, sf)
+    return ev.select("event_id", "time", epoch_ms_to_date("time").alias("date"))
+
+
+@query("parse_date", """WITH o AS (
+  SELECT o_orderkey, CASE WHEN o_orderpriority LIKE '5%' THEN 'n/a ' || o_orderstatus
+                          ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS date_text FROM orders)
+SELECT o_orderkey, date_text, CAST(try_strptime(substring(date_text, 1, 10), '%Y-%m-%d') AS DATE) AS date FROM o""")
+def q_parse_date(spark, sf):
+    o = dv.table(spark, sf, "orders")
+    txt = F.when(F.col("o_orderpriority").startswith("5"), F.concat(F.lit("n/a "), F.col("o_orderstatus"))) \
+           .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
+    o = o.select("o_orderkey", txt.alias("date_text"))
+    return o.select("o_orderkey", "date_text", text_to_date("date_text").alias("date"))
+
+
+@query("truncate_text", """SELECT doc_id, substring(text, 1, 7000) AS text,
+       CAST(length(substring(text, 1, 7000)) AS INTEGER) AS n_kept FROM documents""")
+def q_truncate_text(spark, sf):
+    d = dv.table(spark, sf, "documents")
+    cut = truncate("text", GOLD_TEXT_MAX)
+    return d.select("doc_id", cut.alias("text"), F.char_length(cut).alias("n_kept"))
+
+
+@query("cast_rating", f"""WITH {RV_SQL}
+SELECT user_id, gmap_id, rating, CAST(trunc(rating) AS INTEGER) AS rating_int FROM rv""")
+def q_cast_rating(spark, sf):
+    rv = dv.reviews_raw(spark, sf)
+    return rv.select("user_id", "gmap_id", "rating", to_int_rating("rating").alias("rating_int"))
+
+
+@query("null_counts", f"""WITH {RV_SQL}
+SELECT CAST(count_if(user_id IS NULL) AS BIGINT) AS user_id, CAST(count_if(gmap_id IS NULL) AS BIGINT) AS gmap_id,
+       CAST(count_if(rating IS NULL) AS BIGINT) AS rating, CAST(count_if(text IS NULL) AS BIGINT) AS text,
+       CAST(count_if(time IS NULL) AS BIGINT) AS time FROM rv""")
+def q_null_counts(spark, sf):
+    return null_counts(dv.reviews_raw(spark, sf))
+
+
+@query("row_counts", f"""WITH {silver_places_sql()},
+{silver_reviews_sql()}
+SELECT 'raw' AS stage, count(*) AS rows FROM rv
+UNION ALL SELECT 'silver', count(*) FROM gsr
+UNION ALL SELECT 'gold', count(*) FROM gsr WHERE gmap_id IN (SELECT gmap_id FROM gsp)""")
+def q_row_counts(spark, sf):
+    raw = dv.reviews_raw(spark, sf)
+    silver = md.silver_google_reviews(raw)
+    gold = md.gold_google_reviews(silver, gold_places(spark, sf))
+    return stage_counts({"raw": raw, "silver": silver, "gold": gold})
+
+
+@query("distinct_key_count", f"""WITH {RV_SQL}
+SELECT count(DISTINCT user_id) AS distinct_keys FROM rv""")
+def q_distinct_key_count(spark, sf):
+    return distinct_count(dv.reviews_raw(spark, sf), "user_id")
+
+
+@query("profile_table", f"""WITH {RV_SQL}
+SELECT 0 AS ordinal, 'user_id' AS column_name, 'string' AS data_type, count(*) AS rows, count(user_id) AS non_null, count(*) - count(user_id) AS nulls FROM rv
+UNION ALL SELECT 1, 'gmap_id', 'string', count(*), count(gmap_id), count(*) - count(gmap_id) FROM rv
+UNION ALL SELECT 2, 'rating', 'double', count(*), count(rating), count(*) - count(rating) FROM rv
+UNION ALL SELECT 3, 'text', 'string', count(*), count(text), count(*) - count(text) FROM rv
+UNION ALL SELECT 4, 'time', 'bigint', count(*), count(time), count(*) - count(time) FROM rv""")
+def q_profile_table(spark, sf):
+    return profile(dv.reviews_raw(spark, sf))
+
+
+_CONTRACT_INPUT_SQL = f"""{RV_SQL},
+c AS (SELECT user_id, user_id || gmap_id AS review_id, CAST(trunc(rating) AS INTEGER) AS rating,
+             gmap_id, CAST(epoch_ms(time) AS DATE) AS date FROM rv)"""
+
+
+def _contract_input(spark, sf):
+    rv = dv.reviews_raw(spark, sf)
+    return rv.select("user_id", review_key("user_id", "gmap_id").alias("review_id"),
+                     to_int_rating("rating").alias("rating"), "gmap_id",
+                     epoch_ms_to_date("time").alias("date"))
+
+
+@query("contract_violations", f"""WITH {_CONTRACT_INPUT_SQL}
+SELECT 'user_id' AS column_name, 'not_null' AS "check", count_if(user_id IS NULL) AS violations FROM c
+UNION ALL SELECT 'user_id', 'max_length 1000', count_if(length(user_id) > 1000) FROM c
+UNION ALL SELECT 'review_id', 'not_null', count_if(review_id IS NULL) FROM c
+UNION ALL SELECT 'review_id', 'max_length 4000', count_if(length(review_id) > 4000) FROM c
+UNION ALL SELECT 'rating', 'not_null', count_if(rating IS NULL) FROM c
+UNION ALL SELECT 'gmap_id', 'not_null', count_if(gmap_id IS NULL) FROM c
+UNION ALL SELECT 'gmap_id', 'max_length 1000', count_if(length(gmap_id) > 1000) FROM c
+UNION ALL SELECT 'date', 'not_null', count_if(date IS NULL) FROM c""")
+def q_contract_violations(spark, sf):
+    """Reviews table contract checked on unfiltered reviews (nulls show up)."""
+    return contract_violations(_contract_input(spark, sf), CONTRACTS["reviews_google"])
+
+
+@query("pk_duplicates", f"""WITH {_CONTRACT_INPUT_SQL}
+SELECT review_id, count(*) AS occurrences FROM c GROUP BY review_id HAVING count(*) > 1""")
+def q_pk_duplicates(spark, sf):
+    """review_id = user_id || gmap_id repeats."""
+    return pk_duplicates(_contract_input(spark, sf), ["review_id"])
+
+
+@query("load_by_ordinal", f"""WITH {silver_places_sql()}
+SELECT gmap_id, address, name, latitude, longitude, category,
+       CAST(num_of_reviews AS INTEGER) AS review_count, avg_rating, url, state FROM gsp""")
+def q_load_by_ordinal(spark, sf):
+    """Warehouse load by column ordinal with contract types."""
+    return select_by_ordinal(gold_places(spark, sf), "business_google")
+
+
+@query("union_all", f"""WITH {PL_SQL}
+SELECT place_id, name, categories, NULL::VARCHAR AS url FROM pl WHERE avg_rating < 3
+UNION ALL SELECT place_id, name, categories, url FROM pl WHERE avg_rating >= 3""")
+def q_union_all(spark, sf):
+    """Two inputs with different columns stacked by name."""
+    pl = dv.places_raw(spark, sf)
+    a = pl.filter(F.col("avg_rating") < 3).select("categories", "name", "place_id")
+    b = pl.filter(F.col("avg_rating") >= 3).select("url", "place_id", "name", "categories")
+    return a.unionByName(b, allowMissingColumns=True).select("place_id", "name", "categories", "url")
+
+
+@query("sample_head", """SELECT * FROM part ORDER BY p_partkey LIMIT 10""")
+def q_sample_head(spark, sf):
+    """First n rows, with an order so the sample is reproducible."""
+    return dv.table(spark, sf, "part").orderBy("p_partkey").limit(10)

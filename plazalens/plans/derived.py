@@ -137,11 +137,11 @@ RV_SQL = """rv AS (
          CASE WHEN l_linenumber = 4 THEN NULL ELSE l_quantity / 10 END AS rating,
          CASE WHEN l_linenumber = 3 THEN NULL
               ELSE 'flag ' || l_returnflag || ' status ' || l_linestatus END AS text,
-         epoch_ms(l_shipdate) AS time
+         epoch_us(l_shipdate) // 1000 AS time
   FROM lineitem)"""
 
 TX_SQL = """tx AS (
   SELECT CAST(doc_id AS VARCHAR) AS review_id, text FROM documents WHERE lang = 'en')"""
 
 EV_SQL = """ev AS (
-  SELECT event_id, user_id, event_type, value, props, epoch_ms(ts) AS time FROM events)"""
+  SELECT event_id, user_id, event_type, value, props, epoch_us(ts) // 1000 AS time FROM events)"""
