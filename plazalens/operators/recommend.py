@@ -146,3 +146,31 @@ def recommend_nearby(places: DataFrame, requests: DataFrame, k: int = 5, min_rat
         dist = F.round(dist, round_to)
     scored = cand.filter(F.col(id_col) != F.col("_a._aid")).withColumn("distance", dist)
     return _top_k(scored, k, "distance", True, id_col, out_cols)
+
+
+def _array_sum(c: Column) -> Column:
+    return F.aggregate(c, F.lit(0.0).cast("double"), lambda acc, x: acc + x)
+
+
+def cosine_to_anchor(df: DataFrame, id_col: str, vec_col: str, group_col: str,
+                     round_to: int | None = 6) -> DataFrame:
+    """Cosine similarity of every vector to the first vector (smallest id) of
+    its group (R8 re-aimed).
+
+    The anchor per group is a ``min_by`` aggregate (partial before the
+    shuffle, so a hot group costs one row per partition); the anchors join
+    back on the group key - broadcast when their count is proven small,
+    otherwise a shuffle join that AQE splits if a group is skewed. Vector
+    arithmetic uses higher-order array functions, never Python.
+    """
+    v = df.select(id_col, group_col,
+                  F.transform(vec_col, lambda x: x.cast("double")).alias("_v"))
+    anchors = v.groupBy(group_col).agg(F.min_by("_v", F.col(id_col)).alias("_a"))
+    j = v.join(maybe_broadcast(anchors, REQUESTS_MAX_ROWS), group_col)
+    dot = _array_sum(F.zip_with("_v", "_a", lambda x, y: x * y))
+    na = F.sqrt(_array_sum(F.transform("_v", lambda x: x * x)))
+    nb = F.sqrt(_array_sum(F.transform("_a", lambda x: x * x)))
+    sim = F.when((na == 0) | (nb == 0), F.lit(0.0)).otherwise(dot / (na * nb))
+    if round_to is not None:
+        sim = F.round(sim, round_to)
+    return j.select(id_col, group_col, sim.alias("similarity"))

@@ -37,6 +37,21 @@ from plazalens.operators.quality import (
 from plazalens.plans import derived as dv
 from plazalens.plans import medallion as md
 from plazalens.plans.derived import EV_SQL, PL_SQL, RV_SQL, TX_SQL
+from plazalens.operators.recommend import (
+    candidates,
+    cosine_to_anchor,
+    recommend_nearby,
+    recommend_similar,
+    requests_frame,
+)
+from plazalens.operators.sentiment import (
+    extremes,
+    label,
+    lexicon_frame,
+    sentiment_scores,
+    sentiment_table,
+)
+from plazalens.functions.text import tokenize
 from plazalens.plans.sql_text import (
     DEMO_TERMS,
     DEMO_TERMS_RE_SQL,
@@ -44,6 +59,7 @@ from plazalens.plans.sql_text import (
     STATE_VALUES_SQL,
     silver_places_sql,
     silver_reviews_sql,
+    sql_str,
 )
 from plazalens.schemas import CONTRACTS, GOLD_TEXT_MAX
 from plazalens.sources.io import select_by_ordinal, state_dimension
@@ -361,3 +377,226 @@ def q_union_all(spark, sf):
 def q_sample_head(spark, sf):
     """First n rows, with an order so the sample is reproducible."""
     return dv.table(spark, sf, "part").orderBy("p_partkey").limit(10)
+
+
+# --- sentiment ------------------------------------------------------------------
+# FIXED VALUES for the sentiment queries: a small lexicon, negators and boosters
+# made of words that occur in the English documents (the test corpus is
+# invented prose, so a real lexicon would hardly hit).
+DEMO_LEXICON = [("the", 0.3), ("worthless", -2.0), ("that", -0.4), ("by", 0.7),
+                ("with", -0.9), ("for", 1.2), ("from", -1.1), ("was", 0.5)]
+DEMO_NEGATORS = ["not", "never", "it", "this"]
+DEMO_BOOSTERS = [("very", 0.293), ("a", 0.293), ("an", -0.293), ("is", 0.293)]
+
+
+def _values(rows, cols):
+    body = ", ".join("(" + ", ".join(sql_str(v) if isinstance(v, str) else repr(v) for v in r) + ")"
+                     for r in rows)
+    return f"(VALUES {body}) AS {cols}"
+
+
+_LEX_SQL = f"lex AS (SELECT * FROM {_values(DEMO_LEXICON, 'l(token, valence)')})"
+_NEG_SQL = f"neg AS (SELECT * FROM {_values([(w,) for w in DEMO_NEGATORS], 'n(token)')})"
+_BOOST_SQL = f"boost AS (SELECT * FROM {_values(DEMO_BOOSTERS, 'b(token, scalar)')})"
+
+_SCORE_SIMPLE_SQL = f"""{TX_SQL},
+{_LEX_SQL},
+toks AS (SELECT review_id, unnest(list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda x: x <> '')) AS token FROM tx),
+sums AS (SELECT t.review_id, sum(coalesce(l.valence, 0)) AS s FROM toks t LEFT JOIN lex l ON t.token = l.token GROUP BY t.review_id),
+score AS (SELECT tx.review_id, CASE WHEN tx.text IS NULL THEN NULL
+              ELSE round(coalesce(sums.s, 0) / sqrt(coalesce(sums.s, 0) * coalesce(sums.s, 0) + 15), 6) END AS sentiment_score
+          FROM tx LEFT JOIN sums ON tx.review_id = sums.review_id)"""
+
+_SCORE_RULES_SQL = f"""{TX_SQL},
+{_LEX_SQL}, {_NEG_SQL}, {_BOOST_SQL},
+arr AS (SELECT review_id, list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda x: x <> '') AS l FROM tx),
+toks AS (SELECT review_id, unnest(l) AS token, generate_subscripts(l, 1) AS pos FROM arr),
+w AS (SELECT review_id, pos, token,
+             lag(token, 1) OVER win AS p1, lag(token, 2) OVER win AS p2, lag(token, 3) OVER win AS p3
+      FROM toks WINDOW win AS (PARTITION BY review_id ORDER BY pos)),
+modb AS (SELECT * FROM boost WHERE token NOT IN (SELECT token FROM lex)),
+v0 AS (SELECT w.*, CASE WHEN w.token IN (SELECT token FROM boost) THEN NULL ELSE l.valence END AS v,
+              b1.scalar AS b1, b2.scalar * 0.95 AS b2, b3.scalar * 0.9 AS b3
+       FROM w LEFT JOIN lex l ON w.token = l.token
+              LEFT JOIN modb b1 ON w.p1 = b1.token LEFT JOIN modb b2 ON w.p2 = b2.token
+              LEFT JOIN modb b3 ON w.p3 = b3.token),
+v1 AS (SELECT review_id, p1, p2, p3, b2, b3,
+              v + coalesce(CASE WHEN v < 0 THEN -(b1 * 1.0) ELSE b1 * 1.0 END, 0) AS v FROM v0),
+v1n AS (SELECT review_id, p2, p3, b2, b3,
+               CASE WHEN p1 IN (SELECT token FROM neg) THEN v * -0.74 ELSE v END AS v FROM v1),
+v2 AS (SELECT review_id, p2, p3, b3, v + coalesce(CASE WHEN v < 0 THEN -b2 ELSE b2 END, 0) AS v FROM v1n),
+v2n AS (SELECT review_id, p3, b3, CASE WHEN p2 IN (SELECT token FROM neg) THEN v * -0.74 ELSE v END AS v FROM v2),
+v3 AS (SELECT review_id, p3, v + coalesce(CASE WHEN v < 0 THEN -b3 ELSE b3 END, 0) AS v FROM v2n),
+v3n AS (SELECT review_id, CASE WHEN p3 IN (SELECT token FROM neg) THEN v * -0.74 ELSE v END AS v FROM v3),
+sums AS (SELECT review_id, sum(coalesce(v, 0)) AS s FROM v3n GROUP BY review_id),
+score AS (SELECT tx.review_id, CASE WHEN tx.text IS NULL THEN NULL
+              ELSE round(coalesce(sums.s, 0) / sqrt(coalesce(sums.s, 0) * coalesce(sums.s, 0) + 15), 6) END AS sentiment_score
+          FROM tx LEFT JOIN sums ON tx.review_id = sums.review_id)"""
+
+_LABEL_SQL = """CASE WHEN sentiment_score >= 0.3 THEN 'positive'
+            WHEN sentiment_score > -0.3 AND sentiment_score < 0.3 THEN 'neutral'
+            WHEN sentiment_score IS NOT NULL THEN 'negative' END"""
+
+
+def _scores(spark, sf, rules: bool):
+    lex = lexicon_frame(spark, DEMO_LEXICON)
+    kw = dict(negators=DEMO_NEGATORS, boosters=DEMO_BOOSTERS) if rules else {}
+    return sentiment_scores(dv.texts(spark, sf), lex, round_to=6, **kw)
+
+
+def _sentiment_table(spark, sf):
+    lex = lexicon_frame(spark, DEMO_LEXICON)
+    return sentiment_table(dv.texts(spark, sf), lex, round_to=6,
+                           negators=DEMO_NEGATORS, boosters=DEMO_BOOSTERS)
+
+
+@query("tokenize", f"""WITH {TX_SQL},
+arr AS (SELECT review_id, list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda x: x <> '') AS l FROM tx)
+SELECT review_id, CAST(generate_subscripts(l, 1) - 1 AS INTEGER) AS pos, unnest(l) AS token FROM arr""")
+def q_tokenize(spark, sf):
+    return tokenize(dv.texts(spark, sf), "review_id", "text")
+
+
+@query("sentiment_score", f"WITH {_SCORE_SIMPLE_SQL} SELECT * FROM score")
+def q_sentiment_score(spark, sf):
+    """R2/L2/L3: lexicon sum per review -> compound score."""
+    return _scores(spark, sf, rules=False)
+
+
+@query("sentiment_score_rules", f"WITH {_SCORE_RULES_SQL} SELECT * FROM score")
+def q_sentiment_score_rules(spark, sf):
+    """L4: booster and negation rules over the three preceding tokens."""
+    return _scores(spark, sf, rules=True)
+
+
+@query("sentiment_label", f"WITH {_SCORE_SIMPLE_SQL} SELECT review_id, sentiment_score, {_LABEL_SQL} AS sentiment FROM score")
+def q_sentiment_label(spark, sf):
+    """three bands on the score."""
+    s = _scores(spark, sf, rules=False)
+    return s.select("review_id", "sentiment_score", label(F.col("sentiment_score")).alias("sentiment"))
+
+
+@query("sentiment_table", f"WITH {_SCORE_RULES_SQL} SELECT review_id, sentiment_score, {_LABEL_SQL} AS sentiment FROM score")
+def q_sentiment_table(spark, sf):
+    """(review_id, sentiment_score, sentiment)."""
+    return _sentiment_table(spark, sf)
+
+
+@query("sentiment_bottom_k", f"""WITH {_SCORE_RULES_SQL}
+SELECT review_id, sentiment_score, {_LABEL_SQL} AS sentiment FROM score
+ORDER BY sentiment_score ASC NULLS LAST, review_id LIMIT 100""")
+def q_sentiment_bottom_k(spark, sf):
+    """The 100 lowest scores."""
+    return extremes(_sentiment_table(spark, sf), 100, highest=False)
+
+
+@query("sentiment_top_k", f"""WITH {_SCORE_RULES_SQL}
+SELECT review_id, sentiment_score, {_LABEL_SQL} AS sentiment FROM score
+ORDER BY sentiment_score DESC NULLS LAST, review_id LIMIT 10""")
+def q_sentiment_top_k(spark, sf):
+    """The 10 highest scores."""
+    return extremes(_sentiment_table(spark, sf), 10, highest=True)
+
+
+# --- recommendation ------------------------------------------------------------------
+SINGLE_REQUEST = [(0, "TX", "ring")]
+BULK_REQUESTS = [(1, "TX", "ring"), (2, "fl", "bolt|gear"), (3, "o", "gizmo"),
+                 (4, "ZZ", "ring"), (5, "w", "plate")]
+
+
+def rec_places(spark, sf):
+    """Recommendation input: one place per part with the returned columns."""
+    pl = dv.places_raw(spark, sf)
+    return pl.select(
+        "place_id",
+        F.coalesce("name", F.lit("Unknown")).alias("name"),
+        F.coalesce("address", F.lit("Unknown")).alias("address"),
+        "categories",
+        F.coalesce(F.nullif(true_flag_names(pl, "attributes"), F.lit("")), F.lit("Unknown")).alias("attributes"),
+        "state", "latitude", "longitude", "avg_rating",
+        F.col("num_of_reviews").cast("double").alias("review_count"),
+    )
+
+
+_REC_PLACES_SQL = f"""{PL_SQL},
+rp AS (SELECT place_id, coalesce(name, 'Unknown') AS name, coalesce(address, 'Unknown') AS address, categories,
+              coalesce(nullif(concat_ws(', ', {_FLAGS_SQL}), ''), 'Unknown') AS attributes,
+              state, latitude, longitude, avg_rating, CAST(num_of_reviews AS DOUBLE) AS review_count FROM pl)"""
+
+
+def _cand_sql(requests):
+    return f"""{_REC_PLACES_SQL},
+req AS (SELECT * FROM {_values(requests, 'r(query_id, sp, cp)')}),
+cand AS (SELECT CAST(r.query_id AS BIGINT) AS query_id, p.* FROM rp p
+         JOIN req r ON regexp_matches(p.state, '(?i)' || r.sp) AND regexp_matches(p.categories, '(?i)' || r.cp)
+         WHERE p.avg_rating >= 4),
+anc AS (SELECT query_id, latitude AS a1, longitude AS a2, avg_rating AS a3, review_count AS a4, place_id AS aid
+        FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY place_id) AS rn FROM cand) WHERE rn = 1)"""
+
+
+def _similar_sql(requests):
+    return f"""WITH {_cand_sql(requests)},
+m AS (SELECT c.*, c.latitude * a.a1 + c.longitude * a.a2 + c.avg_rating * a.a3 + c.review_count * a.a4 AS dot,
+             sqrt(c.latitude * c.latitude + c.longitude * c.longitude + c.avg_rating * c.avg_rating + c.review_count * c.review_count) AS na,
+             sqrt(a.a1 * a.a1 + a.a2 * a.a2 + a.a3 * a.a3 + a.a4 * a.a4) AS nb
+      FROM cand c JOIN anc a ON c.query_id = a.query_id),
+sc AS (SELECT *, round(CASE WHEN na = 0 OR nb = 0 THEN 0 ELSE dot / (na * nb) END, 6) AS similarity FROM m),
+rk AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, place_id) AS rank FROM sc)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, place_id, name, address, avg_rating, categories, attributes, similarity
+FROM rk WHERE rank <= 5"""
+
+
+def _nearby_sql(requests):
+    return f"""WITH {_cand_sql(requests)},
+sc AS (SELECT c.*, round(sqrt((c.latitude - a.a1) * (c.latitude - a.a1) + (c.longitude - a.a2) * (c.longitude - a.a2)), 6) AS distance
+       FROM cand c JOIN anc a ON c.query_id = a.query_id WHERE c.place_id <> a.aid),
+rk AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, place_id) AS rank FROM sc)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, place_id, name, address, avg_rating, categories, attributes, distance
+FROM rk WHERE rank <= 5"""
+
+
+@query("place_search", f"""WITH {_cand_sql([(1, 'o', 'ring|gear')])}
+SELECT query_id, place_id, name, state, categories, avg_rating FROM cand""")
+def q_place_search(spark, sf):
+    """case-insensitive regex on state and category, rating >= 4."""
+    req = requests_frame(spark, [(1, "o", "ring|gear")])
+    return candidates(rec_places(spark, sf), req).select(
+        "query_id", "place_id", "name", "state", "categories", "avg_rating")
+
+
+@query("recommend_similar", _similar_sql(SINGLE_REQUEST))
+def q_recommend_similar(spark, sf):
+    """Five most similar places to the request's first place."""
+    return recommend_similar(rec_places(spark, sf), requests_frame(spark, SINGLE_REQUEST))
+
+
+@query("recommend_nearby", _nearby_sql(SINGLE_REQUEST))
+def q_recommend_nearby(spark, sf):
+    """Five nearest places to the request's first place, itself excluded."""
+    return recommend_nearby(rec_places(spark, sf), requests_frame(spark, SINGLE_REQUEST))
+
+
+@query("recommend_similar_bulk", _similar_sql(BULK_REQUESTS))
+def q_recommend_similar_bulk(spark, sf):
+    """All requests in one job."""
+    return recommend_similar(rec_places(spark, sf), requests_frame(spark, BULK_REQUESTS))
+
+
+@query("recommend_nearby_bulk", _nearby_sql(BULK_REQUESTS))
+def q_recommend_nearby_bulk(spark, sf):
+    """All requests in one job."""
+    return recommend_nearby(rec_places(spark, sf), requests_frame(spark, BULK_REQUESTS))
+
+
+@query("cosine_to_anchor", """WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+a AS (SELECT label, v AS av FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS rn FROM e) WHERE rn = 1),
+m AS (SELECT e.vec_id, e.label,
+             list_reduce(list_transform(range(1, len(e.v) + 1), lambda i: e.v[i] * a.av[i]), lambda x, y: x + y) AS dot,
+             sqrt(list_reduce(list_transform(e.v, lambda x: x * x), lambda x, y: x + y)) AS na,
+             sqrt(list_reduce(list_transform(a.av, lambda x: x * x), lambda x, y: x + y)) AS nb
+      FROM e JOIN a ON e.label = a.label)
+SELECT vec_id, label, round(CASE WHEN na = 0 OR nb = 0 THEN 0 ELSE dot / (na * nb) END, 6) AS similarity FROM m""")
+def q_cosine_to_anchor(spark, sf):
+    """R8 re-aimed: cosine of every vector to its group's first vector (the one
+    row of the n x n matrix the reference uses), O(n) instead of all pairs."""
+    return cosine_to_anchor(dv.table(spark, sf, "embeddings"), "vec_id", "embedding", "label")
