@@ -61,8 +61,27 @@ from plazalens.plans.sql_text import (
     silver_reviews_sql,
     sql_str,
 )
-from plazalens.schemas import CONTRACTS, GOLD_TEXT_MAX
-from plazalens.sources.io import select_by_ordinal, state_dimension
+from plazalens.plans.derived import YB_SQL, YR_SQL
+from plazalens.plans.incremental import run_incremental
+from plazalens.schemas import (
+    CONTRACTS,
+    GOLD_TEXT_MAX,
+    GOOGLE_PLACES_RAW,
+    GOOGLE_REVIEWS_GOLD,
+    GOOGLE_REVIEWS_RAW,
+)
+from plazalens.session import scratch_path
+from plazalens.sources.io import (
+    list_units,
+    read_json,
+    read_layer,
+    read_parquet,
+    select_by_ordinal,
+    state_dimension,
+    write_parquet,
+)
+from plazalens.sources.ledger import append_ledger, new_units, read_ledger
+from plazalens.streaming.ingest import ingest_available_now
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -600,3 +619,213 @@ def q_cosine_to_anchor(spark, sf):
     """R8 re-aimed: cosine of every vector to its group's first vector (the one
     row of the n x n matrix the reference uses), O(n) instead of all pairs."""
     return cosine_to_anchor(dv.table(spark, sf, "embeddings"), "vec_id", "embedding", "label")
+
+
+# --- Yelp ---------------------------------------------------------------------------
+
+_YB_SILVER_SQL = f"""{YB_SQL},
+ybd AS (SELECT DISTINCT business_id, name, address, state, latitude, longitude, stars, review_count,
+                        attr_null, wifi, hastv, dogsallowed, categories FROM yb),
+ybf AS (SELECT business_id, coalesce(name, 'Unknown') AS name, coalesce(address, 'Unknown') AS address, state,
+               coalesce(latitude, 0) AS latitude, coalesce(longitude, 0) AS longitude, coalesce(stars, 0) AS stars,
+               coalesce(review_count, 0) AS review_count, attr_null, wifi, hastv, dogsallowed, categories
+        FROM ybd
+        WHERE business_id IS NOT NULL AND categories IS NOT NULL AND state IS NOT NULL
+          AND regexp_matches(lower(categories), {DEMO_TERMS_RE_SQL})),
+ysb AS (SELECT business_id, name, address, state, latitude, longitude, stars AS avg_rating, review_count, categories,
+               CASE WHEN attr_null THEN 'Unknown' ELSE coalesce(nullif(concat_ws(', ', {_FLAGS_SQL}), ''), 'Unknown') END AS attributes
+        FROM ybf)"""
+
+_YR_SILVER_SQL = f"""{YR_SQL},
+yrd AS (SELECT DISTINCT * FROM yr),
+ysr AS (SELECT review_id, user_id, business_id, stars, text,
+               CAST(try_strptime(substring(date, 1, 10), '%Y-%m-%d') AS DATE) AS date
+        FROM yrd
+        WHERE review_id IS NOT NULL AND user_id IS NOT NULL AND business_id IS NOT NULL
+          AND stars IS NOT NULL AND text IS NOT NULL AND date IS NOT NULL)"""
+
+
+def yelp_business_silver(spark, sf):
+    return md.silver_yelp_business(dv.yelp_business_raw(spark, sf), terms=DEMO_TERMS)
+
+
+@query("silver_yelp_business", f"WITH {_YB_SILVER_SQL} SELECT * FROM ysb")
+def q_silver_yelp_business(spark, sf):
+    """Yelp business bronze -> silver, attributes struct -> list of true names."""
+    return yelp_business_silver(spark, sf)
+
+
+@query("silver_yelp_reviews", f"WITH {_YR_SILVER_SQL} SELECT * FROM ysr")
+def q_silver_yelp_reviews(spark, sf):
+    return md.silver_yelp_reviews(dv.yelp_reviews_raw(spark, sf))
+
+
+@query("gold_yelp_reviews", f"""WITH {_YB_SILVER_SQL}, {_YR_SILVER_SQL}
+SELECT review_id, user_id, business_id, CAST(trunc(stars) AS INTEGER) AS rating,
+       substring(text, 1, 7000) AS text, date
+FROM ysr WHERE business_id IN (SELECT business_id FROM ysb)""")
+def q_gold_yelp_reviews(spark, sf):
+    return md.gold_yelp_reviews(md.silver_yelp_reviews(dv.yelp_reviews_raw(spark, sf)),
+                                md.gold_yelp_business(yelp_business_silver(spark, sf)))
+
+
+@query("load_by_ordinal_yelp", f"""WITH {_YB_SILVER_SQL}
+SELECT business_id, name, address, latitude, longitude, state, categories AS category, avg_rating,
+       CAST(review_count AS INTEGER) AS review_count, attributes FROM ysb""")
+def q_load_by_ordinal_yelp(spark, sf):
+    return select_by_ordinal(md.gold_yelp_business(yelp_business_silver(spark, sf)), "business_yelp")
+
+
+# --- sources, sinks, layers, ledger, streaming ------------------------------------
+# These write the derived inputs to a fresh folder below the shared scratch
+# root (spark.checkpoint.dir), then read them back through the library.
+
+def _reviews_with_unit(spark, sf):
+    li = dv.table(spark, sf, "lineitem")
+    ln = F.col("l_linenumber")
+    return li.select(
+        F.when(ln == 7, F.lit(None).cast("string"))
+         .otherwise(F.concat(F.lit("u"), F.col("l_orderkey").cast("string"))).alias("user_id"),
+        F.concat(F.lit("g"), F.col("l_partkey").cast("string")).alias("gmap_id"),
+        F.when(ln == 4, F.lit(None).cast("double")).otherwise(F.col("l_quantity") / 10).alias("rating"),
+        F.when(ln == 3, F.lit(None).cast("string"))
+         .otherwise(F.concat(F.lit("flag "), F.col("l_returnflag"), F.lit(" status "),
+                             F.col("l_linestatus"))).alias("text"),
+        F.unix_millis(F.col("l_shipdate").cast("timestamp")).alias("time"),
+        F.concat(F.lit("state_"), F.col("l_returnflag")).alias("unit"),
+    )
+
+
+def _places_with_unit(spark, sf):
+    pl = dv.places_raw(spark, sf)
+    return pl.select(*GOOGLE_PLACES_RAW.fieldNames(),
+                     F.concat(F.lit("type_"), F.col("category")[1]).alias("unit"))
+
+
+def _write_units(df, path):
+    df.write.partitionBy("unit").json(path)
+
+
+def _google_lake(spark, sf):
+    """Raw JSON units for places and reviews, then two incremental runs."""
+    base = scratch_path(spark, "lake")
+    raw_places, raw_reviews, lake = f"{base}/raw/places", f"{base}/raw/reviews", f"{base}/lake"
+    _write_units(_places_with_unit(spark, sf), raw_places)
+    _write_units(_reviews_with_unit(spark, sf), raw_reviews)
+
+    def places_reader(s, paths, root):
+        return read_json(s, paths, GOOGLE_PLACES_RAW, with_source=True, unit_root=root)
+
+    def reviews_reader(s, paths, root):
+        return read_json(s, paths, GOOGLE_REVIEWS_RAW, with_source=True, unit_root=root)
+
+    for _ in range(2):  # the second run finds nothing new
+        run_incremental(spark, "google_places", raw_places, lake, "google", "places",
+                        places_reader, lambda b: md.silver_google_places(b, terms=DEMO_TERMS))
+        run_incremental(spark, "google_reviews", raw_reviews, lake, "google", "reviews",
+                        reviews_reader, md.silver_google_reviews)
+    return base, lake
+
+
+@query("scan_json_roundtrip", f"WITH {RV_SQL} SELECT * FROM rv")
+def q_scan_json_roundtrip(spark, sf):
+    """JSON lines written, read back with the declared schema."""
+    path = scratch_path(spark, "json")
+    dv.reviews_raw(spark, sf).write.json(path)
+    return read_json(spark, path, GOOGLE_REVIEWS_RAW, columns=GOOGLE_REVIEWS_RAW.fieldNames())
+
+
+@query("scan_glob_schema", ORACLE["gold_reviews"])
+def q_scan_glob_schema(spark, sf):
+    """Gold reviews in several folders read through a glob with a schema."""
+    path = scratch_path(spark, "glob")
+    gold = md.gold_google_reviews(silver_reviews(spark, sf), gold_places(spark, sf))
+    gold.withColumn("unit", F.year("date")).write.partitionBy("unit").parquet(path)
+    return read_parquet(spark, f"{path}/*", schema=GOOGLE_REVIEWS_GOLD)
+
+
+@query("scan_source_file", """SELECT 'unit=state_' || l_returnflag AS source_file, count(*) AS rows
+FROM lineitem GROUP BY 1""")
+def q_scan_source_file(spark, sf):
+    """Folder-of-files units; the unit of each row from the file metadata."""
+    path = scratch_path(spark, "units")
+    _write_units(_reviews_with_unit(spark, sf), path)
+    df = read_json(spark, path, GOOGLE_REVIEWS_RAW, with_source=True, unit_root=path)
+    return df.groupBy("source_file").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("sink_parquet_roundtrip", ORACLE["gold_places"])
+def q_sink_parquet_roundtrip(spark, sf):
+    """Parquet sink (fails if the target exists), read back."""
+    path = scratch_path(spark, "sink")
+    write_parquet(gold_places(spark, sf), path)
+    return spark.read.parquet(path)
+
+
+@query("medallion_google_places", ORACLE["silver_google_places"])
+def q_medallion_google_places(spark, sf):
+    """Raw JSON units -> bronze -> silver through the ledger, read back."""
+    _, lake = _google_lake(spark, sf)
+    return read_layer(spark, lake, "silver", "google", "places").drop("source_file")
+
+
+@query("layer_readback", f"""WITH {RV_SQL.replace('FROM lineitem)', ', ' + sql_str('unit=state_') + ' || l_returnflag AS source_file FROM lineitem)')},
+d AS (SELECT DISTINCT user_id, gmap_id, rating, text, time, source_file FROM rv)
+SELECT user_id, gmap_id, coalesce(rating, 0) AS rating, coalesce(text, 'Unknown') AS text,
+       CAST(epoch_ms(time) AS DATE) AS date, source_file
+FROM d WHERE user_id IS NOT NULL AND gmap_id IS NOT NULL AND time IS NOT NULL""")
+def q_layer_readback(spark, sf):
+    """A layer read back with its input unit column."""
+    _, lake = _google_lake(spark, sf)
+    return read_layer(spark, lake, "silver", "google", "reviews")
+
+
+@query("pipeline_gold_reviews", ORACLE["gold_reviews"])
+def q_pipeline_gold_reviews(spark, sf):
+    """End to end: incremental silver layers of places and reviews -> gold."""
+    _, lake = _google_lake(spark, sf)
+    places = read_layer(spark, lake, "silver", "google", "places")
+    reviews = read_layer(spark, lake, "silver", "google", "reviews")
+    return md.gold_google_reviews(reviews, md.gold_google_places(places))
+
+
+@query("ledger_append", f"""SELECT DISTINCT 'google_places' AS dataset, 'unit=type_' || lower(p_type) AS file_name FROM part
+UNION ALL SELECT DISTINCT 'google_reviews', 'unit=state_' || l_returnflag FROM lineitem""")
+def q_ledger_append(spark, sf):
+    """Ledger after two runs - every unit exactly once."""
+    _, lake = _google_lake(spark, sf)
+    return read_ledger(spark, f"{lake}/_ledger")
+
+
+@query("ledger_new_files", """SELECT DISTINCT 'unit=state_' || l_returnflag AS file_name FROM lineitem
+WHERE l_returnflag <> 'A'""")
+def q_ledger_new_files(spark, sf):
+    """Listed units minus the ledger (one unit recorded)."""
+    base = scratch_path(spark, "ledger")
+    raw = f"{base}/raw"
+    _write_units(_reviews_with_unit(spark, sf), raw)
+    append_ledger(spark, f"{base}/_ledger", "google_reviews", ["unit=state_A"])
+    return new_units(list_units(spark, raw), read_ledger(spark, f"{base}/_ledger", "google_reviews"))
+
+
+_EV_SCHEMA = "event_id long, user_id long, event_type string, value double, props string, time long"
+
+
+@query("ingest_available_now", f"""WITH {EV_SQL}
+SELECT event_id, user_id, event_type, value, time, CAST(epoch_ms(time) AS DATE) AS date FROM ev""")
+def q_ingest_available_now(spark, sf):
+    """Structured Streaming availableNow ingest; a rerun adds nothing."""
+    from pyspark.sql.types import StructType
+
+    base = scratch_path(spark, "stream")
+    src, out, ckpt = f"{base}/in", f"{base}/out", f"{base}/_checkpoint"
+    dv.events_raw(spark, sf).write.json(src)
+    schema = StructType.fromDDL(_EV_SCHEMA)
+
+    def transform(s):
+        return s.select("event_id", "user_id", "event_type", "value", "time",
+                        epoch_ms_to_date("time").alias("date"))
+
+    for _ in range(2):
+        ingest_available_now(spark, src, schema, out, ckpt, transform)
+    return spark.read.parquet(out)

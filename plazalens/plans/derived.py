@@ -145,3 +145,57 @@ TX_SQL = """tx AS (
 
 EV_SQL = """ev AS (
   SELECT event_id, user_id, event_type, value, props, epoch_us(ts) // 1000 AS time FROM events)"""
+
+
+def yelp_business_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Yelp-business-shaped rows from ``part`` (one per part)."""
+    pl = places_raw(spark, sf_dir)
+    k = F.col("place_id")
+    size_null = F.lit(None).cast("double")
+    return pl.select(
+        F.col("gmap_id").alias("business_id"),
+        "name", "address",
+        F.when(k % 17 == 0, F.lit(None).cast("string")).otherwise(F.col("state")).alias("state"),
+        "latitude", "longitude",
+        F.when(k % 19 == 0, size_null).otherwise(F.col("avg_rating")).alias("stars"),
+        F.col("num_of_reviews").alias("review_count"),
+        F.when(k % 7 == 0, F.lit(None)).otherwise(F.col("attributes")).alias("attributes"),
+        "categories",
+    )
+
+
+def yelp_reviews_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Yelp-reviews-shaped rows from ``lineitem``; line 6 carries a bad date."""
+    li = table(spark, sf_dir, "lineitem")
+    ln = F.col("l_linenumber")
+    return li.select(
+        F.concat(F.lit("r"), F.col("l_orderkey").cast("string"), F.lit("-"), ln.cast("string")).alias("review_id"),
+        F.when(ln == 7, F.lit(None).cast("string"))
+         .otherwise(F.concat(F.lit("u"), F.col("l_orderkey").cast("string"))).alias("user_id"),
+        F.concat(F.lit("g"), F.col("l_partkey").cast("string")).alias("business_id"),
+        F.when(ln == 4, F.lit(None).cast("double")).otherwise(F.col("l_quantity") / 10).alias("stars"),
+        F.when(ln == 3, F.lit(None).cast("string"))
+         .otherwise(F.concat(F.lit("flag "), F.col("l_returnflag"))).alias("text"),
+        F.when(ln == 6, F.lit("not a date"))
+         .otherwise(F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss")).alias("date"),
+    )
+
+
+YB_SQL = f"""{PL_SQL},
+yb AS (
+  SELECT gmap_id AS business_id, name, address,
+         CASE WHEN place_id % 17 = 0 THEN NULL ELSE state END AS state,
+         latitude, longitude,
+         CASE WHEN place_id % 19 = 0 THEN NULL ELSE avg_rating END AS stars,
+         num_of_reviews AS review_count,
+         place_id % 7 = 0 AS attr_null, wifi, hastv, dogsallowed, categories
+  FROM pl)"""
+
+YR_SQL = """yr AS (
+  SELECT 'r' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS review_id,
+         CASE WHEN l_linenumber = 7 THEN NULL ELSE 'u' || CAST(l_orderkey AS VARCHAR) END AS user_id,
+         'g' || CAST(l_partkey AS VARCHAR) AS business_id,
+         CASE WHEN l_linenumber = 4 THEN NULL ELSE l_quantity / 10 END AS stars,
+         CASE WHEN l_linenumber = 3 THEN NULL ELSE 'flag ' || l_returnflag END AS text,
+         CASE WHEN l_linenumber = 6 THEN 'not a date' ELSE strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') END AS date
+  FROM lineitem)"""

@@ -38,7 +38,7 @@ GOOGLE_PLACES_SILVER_COLUMNS = [
 
 # --- Google reviews ----------------------------------------------------------
 GOOGLE_REVIEWS_RAW = _s(
-    ("user_id", S, True), ("gmap_id", S, True), ("rating", L, True),
+    ("user_id", S, True), ("gmap_id", S, True), ("rating", D, True),
     ("text", S, True), ("time", L, True),
 )
 GOOGLE_REVIEWS_GOLD = _s(
