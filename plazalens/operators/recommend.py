@@ -89,8 +89,12 @@ def euclidean(a: Sequence[Column], b: Sequence[Column]) -> Column:
 
 
 def _with_anchor(cand: DataFrame, features: Sequence[str], id_col: str) -> DataFrame:
-    feats = F.struct(*[F.col(f).cast("double").alias(f) for f in features], F.col(id_col).alias("_aid"))
-    anchors = cand.groupBy("query_id").agg(F.min_by(feats, F.col(id_col)).alias("_a"))
+    # One min_by per scalar feature keeps the aggregate hash-based (a struct
+    # buffer would force a sort-based aggregate over all candidates).
+    anchors = cand.groupBy("query_id").agg(
+        *[F.min_by(F.col(f).cast("double"), F.col(id_col)).alias(f) for f in features],
+        F.min(F.col(id_col)).alias("_aid"))
+    anchors = anchors.select("query_id", F.struct(*features, "_aid").alias("_a"))
     return cand.join(maybe_broadcast(anchors, REQUESTS_MAX_ROWS), "query_id")
 
 
@@ -165,7 +169,11 @@ def cosine_to_anchor(df: DataFrame, id_col: str, vec_col: str, group_col: str,
     """
     v = df.select(id_col, group_col,
                   F.transform(vec_col, lambda x: x.cast("double")).alias("_v"))
-    anchors = v.groupBy(group_col).agg(F.min_by("_v", F.col(id_col)).alias("_a"))
+    # anchor ids by a hash aggregate, then the anchor vectors by a join on
+    # (group, id): no sort of the vectors, one small row per group
+    first = v.groupBy(group_col).agg(F.min(id_col).alias(id_col))
+    anchors = v.join(maybe_broadcast(first, REQUESTS_MAX_ROWS), [group_col, id_col], "left_semi") \
+               .select(group_col, F.col("_v").alias("_a"))
     j = v.join(maybe_broadcast(anchors, REQUESTS_MAX_ROWS), group_col)
     dot = _array_sum(F.zip_with("_v", "_a", lambda x, y: x * y))
     na = F.sqrt(_array_sum(F.transform("_v", lambda x: x * x)))
