@@ -25,7 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from plazalens.operators.join import maybe_broadcast
+from plazalens.operators.join import is_small
 
 REQUESTS_MAX_ROWS = 100_000
 FEATURES_SIMILAR = ("latitude", "longitude", "avg_rating", "review_count")
@@ -41,17 +41,21 @@ def requests_frame(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:
 
 def candidates(places: DataFrame, requests: DataFrame, min_rating: float = 4.0,
                state_col: str = "state", category_col: str = "categories",
-               rating_col: str = "avg_rating") -> DataFrame:
+               rating_col: str = "avg_rating", bounded: bool | None = None) -> DataFrame:
     """(query_id, place columns) for every place a request selects.
 
     Both patterns are case-insensitive regex searches, as in the reference;
     a null state or category never matches.
     """
-    req = maybe_broadcast(requests.select(
+    req = requests.select(
         "query_id",
         F.concat(F.lit("(?i)"), F.col("state")).alias("_sp"),
         F.concat(F.lit("(?i)"), F.col("category")).alias("_cp"),
-    ), REQUESTS_MAX_ROWS)
+    )
+    if bounded is None:
+        bounded = requests_bounded(requests)
+    if bounded:
+        req = F.broadcast(req)
     kept = places.filter(F.col(rating_col) >= F.lit(min_rating))
     states = kept.select(F.col(state_col).alias("_state")).distinct()
     pairs = states.join(req, F.expr("_state RLIKE _sp"))
@@ -60,6 +64,12 @@ def candidates(places: DataFrame, requests: DataFrame, min_rating: float = 4.0,
                   .drop("_state", "_sp", "_cp"))
 
 
+def requests_bounded(requests: DataFrame) -> bool:
+    """True when the request table passes the broadcast size check; then
+    every per-request table (anchors, statistics) is bounded by it too."""
+    return is_small(requests, REQUESTS_MAX_ROWS)
+
+
 def _norm(cols: Sequence[Column]) -> Column:
     acc = None
     for c in cols:
@@ -88,14 +98,18 @@ def euclidean(a: Sequence[Column], b: Sequence[Column]) -> Column:
     return F.sqrt(acc)
 
 
-def _with_anchor(cand: DataFrame, features: Sequence[str], id_col: str) -> DataFrame:
+def _with_anchor(cand: DataFrame, features: Sequence[str], id_col: str, bounded: bool) -> DataFrame:
     # One min_by per scalar feature keeps the aggregate hash-based (a struct
     # buffer would force a sort-based aggregate over all candidates).
     anchors = cand.groupBy("query_id").agg(
         *[F.min_by(F.col(f).cast("double"), F.col(id_col)).alias(f) for f in features],
         F.min(F.col(id_col)).alias("_aid"))
     anchors = anchors.select("query_id", F.struct(*features, "_aid").alias("_a"))
-    return cand.join(maybe_broadcast(anchors, REQUESTS_MAX_ROWS), "query_id")
+    # one row per request: bounded by the request table, whose size was
+    # checked by the caller; a larger request table is left to AQE
+    if bounded:
+        anchors = F.broadcast(anchors)
+    return cand.join(anchors, "query_id")
 
 
 def _top_k(scored: DataFrame, k: int, score: str, ascending: bool, id_col: str,
@@ -116,18 +130,19 @@ def recommend_similar(places: DataFrame, requests: DataFrame, k: int = 5, min_ra
     used unscaled by default (D17); ``scale="standard"`` standardises each
     feature over the request's candidates first.
     """
-    cand = candidates(places, requests, min_rating)
+    bounded = requests_bounded(requests)
+    cand = candidates(places, requests, min_rating, bounded=bounded)
     if scale == "standard":
         stats = cand.groupBy("query_id").agg(
             *[F.avg(f).alias(f"_m_{f}") for f in features],
             *[F.stddev_pop(f).alias(f"_s_{f}") for f in features])
-        cand = cand.join(maybe_broadcast(stats, REQUESTS_MAX_ROWS), "query_id")
+        cand = cand.join(F.broadcast(stats) if bounded else stats, "query_id")
         for f in features:
             s = F.col(f"_s_{f}")
             cand = cand.withColumn(f"_z_{f}", F.when(s > 0, (F.col(f) - F.col(f"_m_{f}")) / s)
                                    .otherwise(F.lit(0.0)))
         features = [f"_z_{f}" for f in features]
-    cand = _with_anchor(cand, features, id_col)
+    cand = _with_anchor(cand, features, id_col, bounded)
     sim = cosine([F.col(f).cast("double") for f in features], [F.col(f"_a.{f}") for f in features])
     if round_to is not None:
         sim = F.round(sim, round_to)
@@ -144,7 +159,8 @@ def recommend_nearby(places: DataFrame, requests: DataFrame, k: int = 5, min_rat
     The anchor is excluded by id, so a place at the same coordinates is kept
     (D19); fewer than ``k`` candidates return what exists (D18).
     """
-    cand = _with_anchor(candidates(places, requests, min_rating), features, id_col)
+    bounded = requests_bounded(requests)
+    cand = _with_anchor(candidates(places, requests, min_rating, bounded=bounded), features, id_col, bounded)
     dist = euclidean([F.col(f).cast("double") for f in features], [F.col(f"_a.{f}") for f in features])
     if round_to is not None:
         dist = F.round(dist, round_to)
@@ -171,10 +187,13 @@ def cosine_to_anchor(df: DataFrame, id_col: str, vec_col: str, group_col: str,
                   F.transform(vec_col, lambda x: x.cast("double")).alias("_v"))
     # anchor ids by a hash aggregate, then the anchor vectors by a join on
     # (group, id): no sort of the vectors, one small row per group
+    # The number of groups is not bounded in advance, so no hint: AQE
+    # broadcasts the anchors by their runtime size, or keeps a shuffle join
+    # and splits a skewed group.
     first = v.groupBy(group_col).agg(F.min(id_col).alias(id_col))
-    anchors = v.join(maybe_broadcast(first, REQUESTS_MAX_ROWS), [group_col, id_col], "left_semi") \
+    anchors = v.join(first, [group_col, id_col], "left_semi") \
                .select(group_col, F.col("_v").alias("_a"))
-    j = v.join(maybe_broadcast(anchors, REQUESTS_MAX_ROWS), group_col)
+    j = v.join(anchors, group_col)
     dot = _array_sum(F.zip_with("_v", "_a", lambda x, y: x * y))
     na = F.sqrt(_array_sum(F.transform("_v", lambda x: x * x)))
     nb = F.sqrt(_array_sum(F.transform("_a", lambda x: x * x)))

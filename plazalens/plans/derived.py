@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plazalens.operators.join import ensure_parallelism
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -92,8 +94,10 @@ def reviews_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """TX: English documents as review texts (review_id, text)."""
     d = table(spark, sf_dir, "documents")
-    return d.filter(F.col("lang") == "en").select(
+    tx = d.filter(F.col("lang") == "en").select(
         F.col("doc_id").cast("string").alias("review_id"), "text")
+    # tokenising is CPU heavy: never leave it to one or two scan tasks
+    return ensure_parallelism(tx)
 
 
 def events_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
