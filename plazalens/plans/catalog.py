@@ -47,6 +47,7 @@ from plazalens.operators.recommend import (
 from plazalens.operators.sentiment import (
     extremes,
     label,
+    read_lexicon,
     lexicon_frame,
     sentiment_scores,
     sentiment_table,
@@ -829,3 +830,12 @@ def q_ingest_available_now(spark, sf):
     for _ in range(2):
         ingest_available_now(spark, src, schema, out, ckpt, transform)
     return spark.read.parquet(out)
+
+
+@query("sentiment_lexicon_file", f"WITH {_SCORE_SIMPLE_SQL} SELECT * FROM score")
+def q_sentiment_lexicon_file(spark, sf):
+    """L2: the lexicon read from a tab-separated file, then R2/L3."""
+    path = scratch_path(spark, "lexicon")
+    lexicon_frame(spark, DEMO_LEXICON).coalesce(1).write.option("sep", "\t").csv(path)
+    lex = read_lexicon(spark, path)
+    return sentiment_scores(dv.texts(spark, sf), lex, round_to=6)

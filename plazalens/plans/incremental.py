@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plazalens.sources.io import layer_path, list_units, write_parquet
+from plazalens.sources.io import layer_path, list_units, write_parquet_counted
 from plazalens.sources.ledger import append_ledger, new_units, read_ledger
 
 Reader = Callable[[SparkSession, list, str], DataFrame]
@@ -42,9 +42,16 @@ def run_incremental(spark: SparkSession, dataset: str, raw_root: str, lake_root:
         return []
     raw = reader(spark, [f"{raw_root.rstrip('/')}/{n}" for n in names], raw_root)
     bronze_path = layer_path(lake_root, "bronze", platform, entity)
-    write_parquet(raw, bronze_path, mode="overwrite", partition_by=["source_file"])
+    n_bronze = write_parquet_counted(raw, bronze_path, mode="overwrite", partition_by=["source_file"],
+                                     name=f"{dataset}-bronze")
     bronze = spark.read.parquet(bronze_path).filter(F.col("source_file").isin(names))
     silver_path = layer_path(lake_root, "silver", platform, entity)
-    write_parquet(transform(bronze), silver_path, mode="overwrite", partition_by=["source_file"])
+    n_silver = write_parquet_counted(transform(bronze), silver_path, mode="overwrite",
+                                     partition_by=["source_file"], name=f"{dataset}-silver")
     append_ledger(spark, ledger_path, dataset, names)
+    LAST_RUN_COUNTS[dataset] = {"units": len(names), "bronze_rows": n_bronze, "silver_rows": n_silver}
     return names
+
+
+# Row counts of the latest run per dataset, gathered while writing (A2).
+LAST_RUN_COUNTS: dict[str, dict] = {}

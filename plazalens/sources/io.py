@@ -84,6 +84,21 @@ def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists",
     w.parquet(path)
 
 
+def write_parquet_counted(df: DataFrame, path: str, mode: str = "errorifexists",
+                          partition_by: Sequence[str] | None = None, name: str = "written") -> int:
+    """Write like :func:`write_parquet` and return the number of rows written.
+
+    The count is an ``observe()`` metric collected while the write runs, so
+    the output is not read a second time just to count it (A2).
+    """
+    from pyspark.sql import Observation
+
+    obs = Observation(name)
+    write_parquet(df.observe(obs, F.count(F.lit(1)).alias("rows")), path, mode=mode,
+                  partition_by=partition_by)
+    return int(obs.get["rows"])
+
+
 def materialize(df: DataFrame, path: str, partition_by: Sequence[str] | None = None) -> DataFrame:
     """Write ``df`` once and continue from the written table.
 
