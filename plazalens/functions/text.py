@@ -21,6 +21,35 @@ def escape_regex(term: str) -> str:
     return "".join("\\" + ch if ch in _REGEX_META else ch for ch in term)
 
 
+def grouped_alternation(alternatives: Iterable[str]) -> str:
+    """``(?:a1|a2|...)`` with alternatives sharing a first letter grouped.
+
+    ``(?:Alabama|AL|Alaska|...)`` becomes ``(?:A(?:labama|L|laska|...)|...)``.
+    Alternatives that start with different letters can never match at the
+    same position, and inside a group the original order is kept, so the
+    leftmost-first result is the same as the flat alternation; the regex
+    engine just stops trying 100 alternatives at every character.
+    Alternatives must be escaped already; one that starts with a non-letter
+    stays a group of its own.
+    """
+    groups: dict[str, list[str]] = {}
+    order: list[str] = []
+    for a in alternatives:
+        key = a[0] if a and a[0].isalnum() else "\0" + a
+        if key not in groups:
+            groups[key] = []
+            order.append(key)
+        groups[key].append(a)
+    parts = []
+    for key in order:
+        alts = groups[key]
+        if len(alts) == 1 or key.startswith("\0"):
+            parts.extend(alts)
+        else:
+            parts.append(key + "(?:" + "|".join(a[1:] for a in alts) + ")")
+    return "(?:" + "|".join(parts) + ")"
+
+
 def term_pattern(terms: Iterable[str], lower: bool = True) -> str:
     """Whole-word alternation ``\\b(t1|t2|...)\\b`` over the given terms.
 
@@ -35,10 +64,20 @@ def term_pattern(terms: Iterable[str], lower: bool = True) -> str:
     return r"\b(" + "|".join(escape_regex(t) for t in seen) + r")\b"
 
 
+def fast_term_pattern(terms: Iterable[str], lower: bool = True) -> str:
+    """Same matches as :func:`term_pattern`, alternatives grouped by letter."""
+    seen: list[str] = []
+    for t in terms:
+        t = t.lower() if lower else t
+        if t not in seen:
+            seen.append(t)
+    return r"\b" + grouped_alternation(escape_regex(t) for t in seen) + r"\b"
+
+
 def matches_terms(col: str | Column, terms: Iterable[str]) -> Column:
     """True when the lower-cased text contains one of the terms as a word."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.lower(c).rlike(term_pattern(terms))
+    return F.lower(c).rlike(fast_term_pattern(terms))
 
 
 def filter_terms(df: DataFrame, col: str, terms: Iterable[str]) -> DataFrame:
@@ -55,6 +94,19 @@ def state_pattern(states: Iterable[tuple[str, str]] = US_STATES) -> str:
     return "|".join(parts)
 
 
+def fast_state_pattern(states: Iterable[tuple[str, str]] = US_STATES) -> str:
+    """Same matches as :func:`state_pattern`: ``\\b(?:grouped names and codes)\\b``.
+
+    Every alternative of the flat pattern is ``\\bX\\b``; factoring the word
+    boundaries out of an ordered alternation keeps the leftmost-first choice
+    (a failed trailing boundary backtracks into the next alternative).
+    """
+    alts = []
+    for name, code in states:
+        alts += [escape_regex(name), escape_regex(code)]
+    return r"\b" + grouped_alternation(alts) + r"\b"
+
+
 def extract_state(col: str | Column, anchor: str = "first", default: str = "Unknown",
                   states: Iterable[tuple[str, str]] = US_STATES) -> Column:
     """State name or code found in an address.
@@ -65,7 +117,7 @@ def extract_state(col: str | Column, anchor: str = "first", default: str = "Unkn
     No hit gives ``default``.
     """
     c = F.col(col) if isinstance(col, str) else col
-    pat = state_pattern(states)
+    pat = fast_state_pattern(states)
     # The regex runs once per row: no alternative can match the empty string,
     # so an empty extraction means "no hit" (the reference tests with rlike
     # first and then extracts, two passes of a 100-way alternation).
@@ -95,10 +147,18 @@ def map_state(col: str | Column, states: Iterable[tuple[str, str]] = US_STATES)
     return F.coalesce(F.element_at(state_code_map(states), c), c)
 
 
-def tokens(col: str | Column, pattern: str = "[^a-z]+") -> Column:
-    """Lower-cased word tokens of a text, empty pieces removed (L1)."""
+def tokens(col: str | Column, letters: str = "a-z") -> Column:
+    """Lower-cased word tokens of a text (L1): runs of ``[letters]``.
+
+    Splitting on runs of non-letters can leave an empty piece only at the
+    two ends, so the ends are trimmed first instead of filtering the array
+    with a lambda (higher-order functions are not code-generated); a text
+    without letters gives an empty array, a null text a null array.
+    """
     c = F.col(col) if isinstance(col, str) else col
-    return F.filter(F.split(F.lower(c), pattern), lambda t: t != "")
+    sep = f"[^{letters}]+"
+    core = F.regexp_replace(F.lower(c), f"^{sep}|{sep}$", "")
+    return F.when(core == "", F.array().cast("array<string>")).otherwise(F.split(core, sep))
 
 
 def tokenize(df: DataFrame, id_col: str, text_col: str = "text") -> DataFrame:

@@ -61,6 +61,11 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     for its partitions would run the shuffle stages under AQE.
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    # Hash of a per-row id: spreads evenly whatever the keys (a hot key or a
+    # heap of identical rows is split too), and unlike a round-robin
+    # repartition it needs no local sort to stay deterministic when a task is
+    # retried (the id depends only on the input split and the row position).
+    rid = "__plazalens_row"
+    return df.withColumn(rid, F.monotonically_increasing_id()).repartition(target, rid).drop(rid)

@@ -1,8 +1,8 @@
 """Lexicon sentiment as a Spark job.
 
 Plan: tokens of each text are built as an array inside its row; with rules
-on, every token carries its three preceding tokens, taken by index from the
-same array (no window, no shuffle of tokens). The tokens are exploded in
+on, every token takes its three preceding tokens by index from the same
+array (no window, no shuffle of tokens, no lambda). The tokens are exploded in
 place, joined with the lexicon (broadcast behind a size check), adjusted by
 booster and negation rules as column arithmetic, and summed per review. The
 sum runs as a partial aggregate before the only shuffle, so each partition
@@ -109,17 +109,12 @@ def sentiment_scores(
     base = reviews.select(F.col(id_col).alias("_id"), F.col(text_col).isNull().alias("_null"),
                           toks.alias("_t"))
     if rules:
-        entry = F.transform(
-            F.col("_t"),
-            lambda t, i: F.struct(
-                t.alias("token"),
-                F.get(F.col("_t"), i - 1).alias("p1"),
-                F.get(F.col("_t"), i - 2).alias("p2"),
-                F.get(F.col("_t"), i - 3).alias("p3"),
-            ),
-        )
-        exploded = base.select("_id", "_null", F.explode_outer(entry).alias("e")).select(
-            "_id", "_null", "e.token", "e.p1", "e.p2", "e.p3")
+        # preceding tokens by index into the same array; inside the fused
+        # stage the array is referenced, not copied per token
+        exploded = base.select("_id", "_null", "_t", F.posexplode_outer("_t").alias("_pos", "token"))
+        exploded = exploded.select(
+            "_id", "_null", "token",
+            *[F.get(F.col("_t"), F.col("_pos") - k).alias(f"p{k}") for k in (1, 2, 3)])
     else:
         exploded = base.select("_id", "_null", F.explode_outer("_t").alias("token"))
 

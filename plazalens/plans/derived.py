@@ -96,7 +96,7 @@ def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents")
     tx = d.filter(F.col("lang") == "en").select(
         F.col("doc_id").cast("string").alias("review_id"), "text")
-    # tokenising is CPU heavy: never leave it to one or two scan tasks
+    # tokenising is CPU heavy: do not leave it to one or two scan tasks
     return ensure_parallelism(tx)
 
 

@@ -197,3 +197,20 @@ def test_recommend_single_candidate(spark, rec_places):
     req = requests_frame(spark, [(1, "fl", "pizza")])
     assert [r.place_id for r in recommend_similar(one, req).collect()] == ["p2"]
     assert recommend_nearby(one, req).count() == 0  # D18: no error
+
+
+def test_grouped_patterns_match_flat(spark):
+    from plazalens.functions.text import fast_state_pattern, fast_term_pattern, state_pattern
+    addrs = ["3 Oak, Kansas City, MO", "West Virginia", "New York, NY", "Virginia Beach, VA", "Indiana IN",
+             "ORegon OR", "AL", "ALabama Alabama", "Missouri MO Mississippi", "nothing", None]
+    df = spark.createDataFrame([(a,) for a in addrs], "a string")
+    flat, fast = state_pattern(), fast_state_pattern()
+    rows = df.select(F.regexp_extract("a", flat, 0).alias("x"), F.regexp_extract("a", fast, 0).alias("y"),
+                     F.regexp_extract_all("a", F.lit(flat), F.lit(0)).alias("xs"),
+                     F.regexp_extract_all("a", F.lit(fast), F.lit(0)).alias("ys")).collect()
+    assert all(r.x == r.y and r.xs == r.ys for r in rows)
+    cats = ["bar & grill", "barn", "sports bar", "hot dog stand", "tea room", "icecream", "bbq", "wine bar"]
+    df = spark.createDataFrame([(c,) for c in cats], "c string")
+    rows = df.select(F.col("c").rlike(term_pattern(GOOGLE_CATEGORY_TERMS)).alias("x"),
+                     F.col("c").rlike(fast_term_pattern(GOOGLE_CATEGORY_TERMS)).alias("y")).collect()
+    assert all(r.x == r.y for r in rows)
