@@ -19,8 +19,15 @@ from pyspark.sql import functions as F
 from plazalens.operators.join import ensure_parallelism
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+    """A driver table, spread over the cores when it is read as fewer splits.
+
+    The test tables are single Parquet row groups, so without this every
+    narrow step before the first shuffle runs in one task. At scale the scan
+    has many more splits than cores and nothing is added.
+    """
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return ensure_parallelism(df) if spread else df
 
 
 # Address endings by p_partkey % 5 and the state code each one denotes.
@@ -93,7 +100,7 @@ def reviews_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """TX: English documents as review texts (review_id, text)."""
-    d = table(spark, sf_dir, "documents")
+    d = table(spark, sf_dir, "documents", spread=False)
     tx = d.filter(F.col("lang") == "en").select(
         F.col("doc_id").cast("string").alias("review_id"), "text")
     # tokenising is CPU heavy: do not leave it to one or two scan tasks
