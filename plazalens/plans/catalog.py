@@ -839,3 +839,18 @@ def q_sentiment_lexicon_file(spark, sf):
     lexicon_frame(spark, DEMO_LEXICON).coalesce(1).write.option("sep", "\t").csv(path)
     lex = read_lexicon(spark, path)
     return sentiment_scores(dv.texts(spark, sf), lex, round_to=6)
+
+
+@query("dim_state", f"""WITH {silver_places_sql()},
+c AS (SELECT state, count(*) AS places FROM gsp GROUP BY state)
+SELECT dim_state.state_id, dim_state.code AS state, dim_state.sname AS name, coalesce(c.places, 0) AS places
+FROM {STATE_VALUES_SQL} LEFT JOIN c ON dim_state.code = c.state""")
+def q_dim_state(spark, sf):
+    """The 50-row state dimension (identity key 1..50) with the
+    number of silver places per state; the dimension is the preserved side
+    and is small by construction, the place counts come from a partial
+    aggregate."""
+    counts = silver_places(spark, sf).groupBy("state").agg(F.count(F.lit(1)).alias("places"))
+    dim = state_dimension(spark)
+    return (dim.join(counts, "state", "left")
+               .select("state_id", "state", "name", F.coalesce("places", F.lit(0)).alias("places")))
