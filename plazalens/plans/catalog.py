@@ -682,19 +682,7 @@ def q_load_by_ordinal_yelp(spark, sf):
 # root (spark.checkpoint.dir), then read them back through the library.
 
 def _reviews_with_unit(spark, sf):
-    li = dv.table(spark, sf, "lineitem")
-    ln = F.col("l_linenumber")
-    return li.select(
-        F.when(ln == 7, F.lit(None).cast("string"))
-         .otherwise(F.concat(F.lit("u"), F.col("l_orderkey").cast("string"))).alias("user_id"),
-        F.concat(F.lit("g"), F.col("l_partkey").cast("string")).alias("gmap_id"),
-        F.when(ln == 4, F.lit(None).cast("double")).otherwise(F.col("l_quantity") / 10).alias("rating"),
-        F.when(ln == 3, F.lit(None).cast("string"))
-         .otherwise(F.concat(F.lit("flag "), F.col("l_returnflag"), F.lit(" status "),
-                             F.col("l_linestatus"))).alias("text"),
-        F.unix_millis(F.col("l_shipdate").cast("timestamp")).alias("time"),
-        F.concat(F.lit("state_"), F.col("l_returnflag")).alias("unit"),
-    )
+    return dv.reviews_raw(spark, sf, with_unit=True)
 
 
 def _places_with_unit(spark, sf):

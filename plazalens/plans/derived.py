@@ -78,14 +78,16 @@ def places_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def reviews_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def reviews_raw(spark: SparkSession, sf_dir: str, with_unit: bool = False) -> DataFrame:
     """RV: Google-reviews-shaped rows from ``lineitem`` (one per line item).
 
     Nulls are derived from the line number: 3 -> text, 4 -> rating,
-    7 -> user_id.
+    7 -> user_id. ``with_unit`` adds the input unit a raw file layout would
+    put the row in (``state_`` + return flag).
     """
     li = table(spark, sf_dir, "lineitem")
     ln = F.col("l_linenumber")
+    unit = [F.concat(F.lit("state_"), F.col("l_returnflag")).alias("unit")] if with_unit else []
     return li.select(
         F.when(ln == 7, F.lit(None).cast("string"))
          .otherwise(F.concat(F.lit("u"), F.col("l_orderkey").cast("string"))).alias("user_id"),
@@ -95,6 +97,7 @@ def reviews_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(F.concat(F.lit("flag "), F.col("l_returnflag"), F.lit(" status "),
                              F.col("l_linestatus"))).alias("text"),
         F.unix_millis(F.col("l_shipdate").cast("timestamp")).alias("time"),
+        *unit,
     )
 
 

@@ -72,3 +72,22 @@ def test_select_by_ordinal(spark):
     assert out.columns == ["review_id", "sentiment_score", "sentiment"]
     with pytest.raises(ValueError):
         select_by_ordinal(df, "sentiment", [("review_id", 9)])
+
+
+def test_dedup_is_per_unit(spark):
+    """An exact copy in another input unit is kept; global dedup by unit_col=None."""
+    t = 1609909927056
+    rows = [("u1", "g1", 5.0, "a", t, "TX"), ("u1", "g1", 5.0, "a", t, "TX"), ("u1", "g1", 5.0, "a", t, "FL")]
+    df = spark.createDataFrame(rows, "user_id string, gmap_id string, rating double, text string, time long, source_file string")
+    assert md.silver_google_reviews(df).count() == 2
+    assert md.silver_google_reviews(df.drop("source_file"), unit_col=None).count() == 1
+
+
+def test_ordinal_load_drops_text(spark):
+    """The reviews load maps five ordinals; text is not loaded."""
+    import datetime as dt
+    gold = spark.createDataFrame([("u1", "g1", 5, "great", dt.date(2021, 1, 6), "u1g1")],
+                                 "user_id string, gmap_id string, rating int, text string, date date, review_id string")
+    out = select_by_ordinal(gold, "reviews_google")
+    assert out.columns == ["user_id", "review_id", "rating", "gmap_id", "date"]
+    assert out.first().review_id == "u1g1"
