@@ -63,29 +63,22 @@ def label(score: Column, parity: bool = False) -> Column:
     return lab.when(score.isNotNull(), F.lit("negative"))
 
 
-def _booster_maps(lexicon: DataFrame, boosters: Sequence[tuple[str, float]]):
-    """Booster map (all boosters) and the map of boosters usable as modifiers.
+def _literal_map(pairs: Sequence[tuple[str, float]]) -> Column | None:
+    kv = []
+    for w, v in pairs:
+        kv += [F.lit(w), F.lit(v)]
+    return F.create_map(*kv) if kv else None
 
-    A booster modifies the next words only when it is not itself a lexicon
-    word. The intersection is computed by Spark and is bounded by the length
-    of the booster list, so collecting it is bounded.
-    """
-    if not boosters:
-        return None, None
-    spark = lexicon.sparkSession
-    bdf = spark.createDataFrame([(w.lower(), float(v)) for w, v in boosters], "token string, scalar double")
-    in_lex = {r.token for r in bdf.join(lexicon.select("token"), "token", "left_semi")
-              .limit(len(boosters)).collect()}
 
-    def as_map(pairs):
-        kv = []
-        for w, v in pairs:
-            kv += [F.lit(w), F.lit(v)]
-        return F.create_map(*kv) if kv else None
+def _modifiers(lex: DataFrame, boosters: Sequence[tuple[str, float]]) -> DataFrame:
+    """Boosters that act on the next words: those that are not lexicon words.
 
-    all_map = as_map([(w.lower(), float(v)) for w, v in boosters])
-    mod_map = as_map([(w.lower(), float(v)) for w, v in boosters if w.lower() not in in_lex])
-    return all_map, mod_map
+    ``lex`` is the (size-checked, broadcast) lexicon, so the anti join is
+    map-side; the result has at most ``len(boosters)`` rows and is broadcast.
+    """
+    spark = lex.sparkSession
+    bdf = spark.createDataFrame([(w.lower(), float(v)) for w, v in boosters], "token string, scalar double")
+    return F.broadcast(bdf.join(lex.select("token"), "token", "left_anti"))
 
 
 def sentiment_scores(
@@ -122,16 +115,20 @@ def sentiment_scores(
     scored = exploded.join(lex, "token", "left")
     v = F.col("valence")
     if rules:
-        all_map, mod_map = _booster_maps(lexicon, boosters or [])
+        boosters = [(w.lower(), float(x)) for w, x in (boosters or [])]
         neg = [w.lower() for w in (negators or [])]
-        if all_map is not None:
+        if boosters:
             # a booster word carries no valence of its own
-            v = F.when(F.element_at(all_map, F.coalesce(F.col("token"), F.lit(""))).isNotNull(),
+            v = F.when(F.element_at(_literal_map(boosters), F.coalesce(F.col("token"), F.lit(""))).isNotNull(),
                        F.lit(None).cast("double")).otherwise(v)
-        for k, p in ((1, "p1"), (2, "p2"), (3, "p3")):
-            prev = F.coalesce(F.col(p), F.lit(""))
-            if mod_map is not None:
-                b = F.element_at(mod_map, prev) * F.lit(BOOSTER_DAMPING[k])
+            mods = _modifiers(lex, boosters)
+            for k in (1, 2, 3):
+                m = mods.select(F.col("token").alias(f"_m{k}"), F.col("scalar").alias(f"_s{k}"))
+                scored = scored.join(m, F.col(f"p{k}") == F.col(f"_m{k}"), "left")
+        for k in (1, 2, 3):
+            prev = F.coalesce(F.col(f"p{k}"), F.lit(""))
+            if boosters:
+                b = F.col(f"_s{k}") * F.lit(BOOSTER_DAMPING[k])
                 v = v + F.coalesce(F.when(v < 0, -b).otherwise(b), F.lit(0.0))
             if neg:
                 v = F.when(prev.isin(neg), v * F.lit(NEGATION_SCALAR)).otherwise(v)
