@@ -12,6 +12,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def _lit(s: str) -> str:
+    """A SQL string literal for a column or type name."""
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """One row, one bigint column per input column: its number of nulls (A1)."""
     cols = list(cols or df.columns)
@@ -49,7 +54,7 @@ def profile(df: DataFrame) -> DataFrame:
     aggs += [F.count(F.col(f"`{c}`")).alias(f"__nn{i}") for i, c in enumerate(cols)]
     wide = df.agg(*aggs)
     args = ", ".join(
-        f"{i}, '{c}', '{types[c]}', __nn{i}" for i, c in enumerate(cols)
+        f"{i}, {_lit(c)}, {_lit(types[c])}, __nn{i}" for i, c in enumerate(cols)
     )
     long = wide.selectExpr(
         "__rows", f"stack({len(cols)}, {args}) AS (ordinal, column_name, data_type, non_null)"
@@ -79,10 +84,10 @@ def contract_violations(df: DataFrame, contract: Sequence[tuple]) -> DataFrame:
         if present[col] != typ:
             schema_rows.append((col, f"type {present[col]} <> {typ}", -1))
         if not_null:
-            aggs.append(F.count_if(F.col(col).isNull()).alias(f"__n{i}"))
+            aggs.append(F.count_if(F.col(f"`{col}`").isNull()).alias(f"__n{i}"))
             checks.append((col, "not_null", f"__n{i}"))
         if max_len is not None and present[col] == "string":
-            aggs.append(F.count_if(F.char_length(col) > max_len).alias(f"__l{i}"))
+            aggs.append(F.count_if(F.char_length(F.col(f"`{col}`")) > max_len).alias(f"__l{i}"))
             checks.append((col, f"max_length {max_len}", f"__l{i}"))
     if not aggs:
         aggs = [F.count(F.lit(1)).alias("__rows")]
@@ -91,8 +96,8 @@ def contract_violations(df: DataFrame, contract: Sequence[tuple]) -> DataFrame:
     if n == 0:
         return wide.selectExpr("CAST(NULL AS STRING) AS column_name", "CAST(NULL AS STRING) AS check",
                                "CAST(0 AS BIGINT) AS violations").limit(0)
-    stack_args = [f"'{c}', '{k}', {ref}" for c, k, ref in checks]
-    stack_args += [f"'{c}', '{k}', CAST({v} AS BIGINT)" for c, k, v in schema_rows]
+    stack_args = [f"{_lit(c)}, {_lit(k)}, {ref}" for c, k, ref in checks]
+    stack_args += [f"{_lit(c)}, {_lit(k)}, CAST({v} AS BIGINT)" for c, k, v in schema_rows]
     return wide.selectExpr(f"stack({n}, {', '.join(stack_args)}) AS (column_name, check, violations)")
 
 

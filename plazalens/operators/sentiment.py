@@ -37,8 +37,9 @@ LEXICON_MAX_ROWS = 2_000_000
 def read_lexicon(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
     """Lexicon file: one ``token<sep>valence`` per line, extra fields ignored (L2)."""
     raw = spark.read.option("sep", sep).option("mode", "DROPMALFORMED").csv(path)
+    # try_cast: a malformed valence drops the line instead of failing (ANSI)
     return raw.select(F.lower(F.col("_c0")).alias("token"),
-                      F.col("_c1").cast("double").alias("valence")).na.drop()
+                      F.col("_c1").try_cast("double").alias("valence")).na.drop()
 
 
 def lexicon_frame(spark: SparkSession, entries: Iterable[tuple[str, float]]) -> DataFrame:

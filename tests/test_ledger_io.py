@@ -91,3 +91,23 @@ def test_ordinal_load_drops_text(spark):
     out = select_by_ordinal(gold, "reviews_google")
     assert out.columns == ["user_id", "review_id", "rating", "gmap_id", "date"]
     assert out.first().review_id == "u1g1"
+
+
+def test_quality_odd_column_names(spark):
+    from plazalens.operators.quality import contract_violations, profile
+    df = spark.createDataFrame([("a", None), (None, 1)], "`it's` string, `x y` int")
+    rows = {r.column_name: (r.data_type, r.non_null, r.nulls) for r in profile(df).collect()}
+    assert rows == {"it's": ("string", 1, 1), "x y": ("int", 1, 1)}
+    v = {(r.column_name, r.check): r.violations for r in
+         contract_violations(df, [("it's", "string", True, 0), ("x y", "bigint", True, None)]).collect()}
+    assert v[("it's", "not_null")] == 1 and v[("it's", "max_length 0")] == 1
+    assert v[("x y", "type int <> bigint")] == -1
+
+
+def test_read_lexicon_file(spark):
+    from plazalens.operators.sentiment import read_lexicon
+    path = scratch_path(spark, "t-lex")
+    spark.createDataFrame([("Good\t1.9\t0.5\t[1,2]",), ("bad\t-2.5\t0.1\t[]",), ("broken line",), ("nan\tx",)],
+                          "v string").coalesce(1).write.text(path)
+    got = {r.token: r.valence for r in read_lexicon(spark, path).collect()}
+    assert got == {"good": 1.9, "bad": -2.5}
