@@ -6,8 +6,11 @@ from conftest import SF0001
 
 import __spark_entry__ as E
 
+import tools.oracle_check as oc  # noqa: E402
 from tools.oracle_check import TABLES, rows_of  # noqa: E402
 
+oc.STRICT = True  # floats must be bit-identical to the oracle's
+
 QUERIES = E.queries()
 ORACLE = E.oracle_sql()
 
