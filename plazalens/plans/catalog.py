@@ -842,3 +842,22 @@ def q_dim_state(spark, sf):
     dim = state_dimension(spark)
     return (dim.join(counts, "state", "left")
                .select("state_id", "state", "name", F.coalesce("places", F.lit(0)).alias("places")))
+
+
+@query("medallion_yelp_business", f"WITH {_YB_SILVER_SQL} SELECT * FROM ysb")
+def q_medallion_yelp_business(spark, sf):
+    """S2/S8/I2 with a Parquet raw source: Yelp business units -> bronze ->
+    silver through the ledger (two runs), read back."""
+    base = scratch_path(spark, "yelp")
+    raw, lake = f"{base}/raw/business", f"{base}/lake"
+    yb = dv.yelp_business_raw(spark, sf)
+    yb.withColumn("unit", F.concat(F.lit("part_"), F.col("categories").substr(1, 1))) \
+      .write.partitionBy("unit").parquet(raw)
+
+    def reader(s, paths, root):
+        return read_parquet(s, paths, columns=yb.columns, with_source=True, unit_root=root)
+
+    for _ in range(2):
+        run_incremental(spark, "yelp_business", raw, lake, "yelp", "business", reader,
+                        lambda b: md.silver_yelp_business(b, terms=DEMO_TERMS))
+    return read_layer(spark, lake, "silver", "yelp", "business").drop("source_file")
