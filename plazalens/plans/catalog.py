@@ -861,3 +861,23 @@ def q_medallion_yelp_business(spark, sf):
         run_incremental(spark, "yelp_business", raw, lake, "yelp", "business", reader,
                         lambda b: md.silver_yelp_business(b, terms=DEMO_TERMS))
     return read_layer(spark, lake, "silver", "yelp", "business").drop("source_file")
+
+
+@query("load_totals_sql", f"""WITH {silver_places_sql()},
+{silver_reviews_sql()}
+SELECT 'business_google' AS table_name, count(*) AS total FROM gsp
+UNION ALL SELECT 'reviews_google', count(*) FROM gsr WHERE gmap_id IN (SELECT gmap_id FROM gsp)""")
+def q_load_totals_sql(spark, sf):
+    """A3/S15 through the SQL API: the loaded tables as temporary views and
+    ``SELECT COUNT(*) AS total`` on each (loaded count = source count)."""
+    import uuid
+
+    tag = uuid.uuid4().hex[:8]
+    places = gold_places(spark, sf)
+    reviews = md.gold_google_reviews(silver_reviews(spark, sf), places)
+    select_by_ordinal(places, "business_google").createOrReplaceTempView(f"business_google_{tag}")
+    select_by_ordinal(reviews, "reviews_google").createOrReplaceTempView(f"reviews_google_{tag}")
+    return spark.sql(f"""
+        SELECT 'business_google' AS table_name, COUNT(*) AS total FROM business_google_{tag}
+        UNION ALL
+        SELECT 'reviews_google' AS table_name, COUNT(*) AS total FROM reviews_google_{tag}""")
