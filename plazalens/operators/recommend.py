@@ -25,9 +25,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from plazalens.operators.join import is_small
+from plazalens.operators.join import is_small, maybe_broadcast
 
 REQUESTS_MAX_ROWS = 100_000
+STATES_MAX_ROWS = 100_000
 FEATURES_SIMILAR = ("latitude", "longitude", "avg_rating", "review_count")
 FEATURES_NEARBY = ("latitude", "longitude")
 RETURN_COLUMNS = ("place_id", "name", "address", "avg_rating", "categories", "attributes")
@@ -58,6 +59,11 @@ def candidates(places: DataFrame, requests: DataFrame, min_rating: float = 4.0,
         req = F.broadcast(req)
     kept = places.filter(F.col(rating_col) >= F.lit(min_rating))
     states = kept.select(F.col(state_col).alias("_state")).distinct()
+    if not bounded:
+        # Too many requests to broadcast: broadcast the distinct states instead
+        # (checked; a state column has few values) so the regex join stays a
+        # map-side nested loop over the requests, never a cartesian product.
+        states = maybe_broadcast(states, STATES_MAX_ROWS)
     pairs = states.join(req, F.expr("_state RLIKE _sp"))
     joined = kept.join(pairs, kept[state_col] == pairs["_state"])
     return (joined.filter(F.expr(f"`{category_col}` RLIKE _cp"))

@@ -214,3 +214,15 @@ def test_grouped_patterns_match_flat(spark):
     rows = df.select(F.col("c").rlike(term_pattern(GOOGLE_CATEGORY_TERMS)).alias("x"),
                      F.col("c").rlike(fast_term_pattern(GOOGLE_CATEGORY_TERMS)).alias("y")).collect()
     assert all(r.x == r.y for r in rows)
+
+
+def test_unbounded_requests_path(spark, rec_places, monkeypatch):
+    """Requests over the broadcast bound take the other plan, same answer."""
+    import plazalens.operators.recommend as R
+    req = requests_frame(spark, [(1, "fl", "pizza"), (2, "TX", "pizza")])
+    small = recommend_similar(rec_places, req).orderBy("query_id", "rank").collect()
+    monkeypatch.setattr(R, "REQUESTS_MAX_ROWS", 1)
+    big = recommend_similar(rec_places, req).orderBy("query_id", "rank").collect()
+    assert small == big
+    near_small = recommend_nearby(rec_places, req).collect()
+    assert len(near_small) == 3
