@@ -57,3 +57,36 @@ def test_attributes_list_matches_loop(spark, rows):
     got = {r.id: r.attributes for r in attributes_list(df, strict_parity=True).collect()}
     for i, r in enumerate(rows):
         assert got[i] == ", ".join(n for n, v in zip(names, r) if v == "True")
+
+
+alphabet = st.sampled_from(list("abcXYZ é,.'- \n0"))
+
+
+@SET
+@given(st.lists(st.one_of(st.none(), st.text(alphabet, max_size=30)), min_size=1, max_size=12))
+def test_tokens_match_python_split(spark, texts):
+    import re
+
+    from plazalens.functions.text import tokens
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r.i: r.tok for r in df.select("i", tokens("t").alias("tok")).collect()}
+    for i, t in enumerate(texts):
+        want = None if t is None else [w for w in re.split("[^a-z]+", t.lower()) if w]
+        assert got[i] == want, (t, got[i], want)
+
+
+state_words = st.sampled_from(["Kansas", "City", "MO", "West", "Virginia", "New", "York", "NY", "IN", "in",
+                               "Indiana", "ORegon", "OR", "Main", "St", "AL", "Alabama", "KS", ","])
+
+
+@SET
+@given(st.lists(st.lists(state_words, max_size=8).map(" ".join), min_size=1, max_size=10))
+def test_grouped_state_pattern_equals_flat(spark, addrs):
+    from plazalens.functions.text import fast_state_pattern, state_pattern
+    df = spark.createDataFrame([(a,) for a in addrs], "a string")
+    rows = df.select(F.regexp_extract("a", state_pattern(), 0).alias("x"),
+                     F.regexp_extract("a", fast_state_pattern(), 0).alias("y"),
+                     F.regexp_extract_all("a", F.lit(state_pattern()), F.lit(0)).alias("xs"),
+                     F.regexp_extract_all("a", F.lit(fast_state_pattern()), F.lit(0)).alias("ys")).collect()
+    for r in rows:
+        assert r.x == r.y and r.xs == r.ys
