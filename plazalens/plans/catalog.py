@@ -881,3 +881,10 @@ def q_load_totals_sql(spark, sf):
         SELECT 'business_google' AS table_name, COUNT(*) AS total FROM business_google_{tag}
         UNION ALL
         SELECT 'reviews_google' AS table_name, COUNT(*) AS total FROM reviews_google_{tag}""")
+
+
+@query("silver_reviews_hash_dedup", f"""WITH {silver_reviews_sql()} SELECT * FROM gsr""")
+def q_silver_reviews_hash_dedup(spark, sf):
+    """F8 at scale: the review dedup with the row-hash prefilter - only rows
+    whose hash repeats are shuffled; same rows as the plain dedup."""
+    return md.silver_google_reviews(dv.reviews_raw(spark, sf), hash_prefilter=True)

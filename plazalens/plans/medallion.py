@@ -66,10 +66,16 @@ def gold_google_places(silver: DataFrame) -> DataFrame:
     return gold_places(silver, "num_of_reviews")
 
 
-def silver_google_reviews(raw: DataFrame, unit_col: str | None = "source_file") -> DataFrame:
-    """Google reviews raw/bronze -> silver: dedup, fills, key drops, epoch -> date."""
+def silver_google_reviews(raw: DataFrame, unit_col: str | None = "source_file",
+                          hash_prefilter: bool = False) -> DataFrame:
+    """Google reviews raw/bronze -> silver: dedup, fills, key drops, epoch -> date.
+
+    ``hash_prefilter`` routes only rows with a repeated row hash through the
+    dedup shuffle (see :func:`dedup_rows`): worth it for long texts at scale.
+    """
     extra = _unit(raw, unit_col)
-    df = dedup_rows(raw.select("user_id", "gmap_id", "rating", "text", "time", *extra))
+    df = dedup_rows(raw.select("user_id", "gmap_id", "rating", "text", "time", *extra),
+                    hash_prefilter=hash_prefilter)
     df = fill_text(df, "Unknown", ["text"])
     df = fill_number(df, 0, ["rating"])
     df = drop_null(df, ["user_id", "gmap_id", "time"])
@@ -103,7 +109,8 @@ def gold_yelp_business(silver: DataFrame) -> DataFrame:
     return gold_places(silver, "review_count")
 
 
-def silver_yelp_reviews(raw: DataFrame, unit_col: str | None = "source_file") -> DataFrame:
+def silver_yelp_reviews(raw: DataFrame, unit_col: str | None = "source_file",
+                        hash_prefilter: bool = False) -> DataFrame:
     """Yelp reviews raw/bronze -> silver: dedup, drop any null, text -> date.
 
     The date is parsed with ``try_to_date``: text that is not a date becomes
@@ -111,7 +118,8 @@ def silver_yelp_reviews(raw: DataFrame, unit_col: str | None = "source_file") ->
     reports it.
     """
     extra = _unit(raw, unit_col)
-    df = dedup_rows(raw.select("review_id", "user_id", "business_id", "stars", "text", "date", *extra))
+    df = dedup_rows(raw.select("review_id", "user_id", "business_id", "stars", "text", "date", *extra),
+                    hash_prefilter=hash_prefilter)
     df = drop_null(df, ["review_id", "user_id", "business_id", "stars", "text", "date"])
     return df.withColumn("date", text_to_date("date"))
 

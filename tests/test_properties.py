@@ -90,3 +90,20 @@ def test_grouped_state_pattern_equals_flat(spark, addrs):
                      F.regexp_extract_all("a", F.lit(fast_state_pattern()), F.lit(0)).alias("ys")).collect()
     for r in rows:
         assert r.x == r.y and r.xs == r.ys
+
+
+row = st.tuples(st.sampled_from([None, "a", "b"]), st.sampled_from([None, 0.0, -0.0, 1.5]),
+                st.sampled_from([None, 1, 2]))
+
+
+@SET
+@given(st.lists(row, max_size=25))
+def test_hash_prefilter_dedup_equals_plain(spark, rows):
+    df = spark.createDataFrame(rows, "s string, d double, i int")
+    plain = sorted(map(repr, dedup_rows(df).collect()))
+    fast = sorted(map(repr, dedup_rows(df, hash_prefilter=True).collect()))
+    assert len(plain) == len(fast)
+    norm = lambda xs: sorted(x.replace("-0.0", "0.0") for x in xs)
+    assert norm(plain) == norm(fast)
+    sub = dedup_rows(df, subset=["s", "i"], hash_prefilter=True)
+    assert sub.count() == dedup_rows(df, subset=["s", "i"]).count()
