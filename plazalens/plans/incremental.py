@@ -13,6 +13,7 @@ boundary: a lost executor recomputes silver from bronze, not from raw.
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,10 +25,18 @@ Reader = Callable[[SparkSession, list, str], DataFrame]
 Transform = Callable[[DataFrame], DataFrame]
 
 
+class IncrementalRun(NamedTuple):
+    """Units processed by one run and the rows written, counted while writing."""
+
+    units: list[str]
+    bronze_rows: int = 0
+    silver_rows: int = 0
+
+
 def run_incremental(spark: SparkSession, dataset: str, raw_root: str, lake_root: str,
                     platform: str, entity: str, reader: Reader, transform: Transform,
-                    ledger_path: str | None = None) -> list[str]:
-    """Process the new units of one dataset; return their names.
+                    ledger_path: str | None = None) -> IncrementalRun:
+    """Process the new units of one dataset; return what was processed.
 
     ``reader(spark, paths, unit_root)`` must return the raw rows with a
     ``source_file`` column; ``transform`` maps bronze to silver.
@@ -39,7 +48,7 @@ def run_incremental(spark: SparkSession, dataset: str, raw_root: str, lake_root:
     # reader needs, bounded by the number of inputs, never by their rows.
     names = sorted(r.file_name for r in fresh.collect())
     if not names:
-        return []
+        return IncrementalRun([])
     raw = reader(spark, [f"{raw_root.rstrip('/')}/{n}" for n in names], raw_root)
     bronze_path = layer_path(lake_root, "bronze", platform, entity)
     n_bronze = write_parquet_counted(raw, bronze_path, mode="overwrite", partition_by=["source_file"],
@@ -49,9 +58,4 @@ def run_incremental(spark: SparkSession, dataset: str, raw_root: str, lake_root:
     n_silver = write_parquet_counted(transform(bronze), silver_path, mode="overwrite",
                                      partition_by=["source_file"], name=f"{dataset}-silver")
     append_ledger(spark, ledger_path, dataset, names)
-    LAST_RUN_COUNTS[dataset] = {"units": len(names), "bronze_rows": n_bronze, "silver_rows": n_silver}
-    return names
-
-
-# Row counts of the latest run per dataset, gathered while writing (A2).
-LAST_RUN_COUNTS: dict[str, dict] = {}
+    return IncrementalRun(names, n_bronze, n_silver)

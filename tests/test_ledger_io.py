@@ -44,14 +44,15 @@ def test_incremental_run_twice(spark):
         return read_json(s, paths, GOOGLE_REVIEWS_RAW, with_source=True, unit_root=root)
 
     first = run_incremental(spark, "reviews", raw, lake, "google", "reviews", reader, md.silver_google_reviews)
-    assert first == ["FL", "TX"]
-    assert run_incremental(spark, "reviews", raw, lake, "google", "reviews", reader, md.silver_google_reviews) == []
+    assert first.units == ["FL", "TX"]
+    assert (first.bronze_rows, first.silver_rows) == (3, 2)  # counted while writing (observe)
+    assert run_incremental(spark, "reviews", raw, lake, "google", "reviews", reader, md.silver_google_reviews).units == []
     silver = read_layer(spark, lake, "silver", "google", "reviews")
     assert silver.count() == 2
     assert {r.source_file for r in silver.collect()} == {"TX", "FL"}
     # a new unit arrives: only it is processed, earlier units are untouched
     _write_units(spark, raw, {"NY": [("u3", "g3", 3.0, "b", t)]})
-    assert run_incremental(spark, "reviews", raw, lake, "google", "reviews", reader, md.silver_google_reviews) == ["NY"]
+    assert run_incremental(spark, "reviews", raw, lake, "google", "reviews", reader, md.silver_google_reviews).units == ["NY"]
     assert read_layer(spark, lake, "silver", "google", "reviews").count() == 3
     assert read_layer(spark, lake, "silver", "google", "reviews", unit="NY").count() == 1
     assert _names(list_units(spark, raw)) == ["FL", "NY", "TX"]
@@ -111,3 +112,13 @@ def test_read_lexicon_file(spark):
                           "v string").coalesce(1).write.text(path)
     got = {r.token: r.valence for r in read_lexicon(spark, path).collect()}
     assert got == {"good": 1.9, "bad": -2.5}
+
+
+def test_ensure_parallelism(spark):
+    from plazalens.operators.join import ensure_parallelism
+    one = spark.range(100).coalesce(1)
+    spread = ensure_parallelism(one, 4)
+    assert spread.rdd.getNumPartitions() == 4
+    assert sorted(r.id for r in spread.collect()) == list(range(100))
+    many = spark.range(0, 100, 1, 8)
+    assert ensure_parallelism(many, 4) is many  # enough splits: unchanged, no shuffle
