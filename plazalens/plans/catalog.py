@@ -70,6 +70,7 @@ from plazalens.schemas import (
     GOOGLE_PLACES_RAW,
     GOOGLE_REVIEWS_GOLD,
     GOOGLE_REVIEWS_RAW,
+    YELP_REVIEWS_RAW,
 )
 from plazalens.session import scratch_path
 from plazalens.sources.io import (
@@ -844,25 +845,52 @@ def q_dim_state(spark, sf):
                .select("state_id", "state", "name", F.coalesce("places", F.lit(0)).alias("places")))
 
 
-@query("medallion_yelp_business", f"WITH {_YB_SILVER_SQL} SELECT * FROM ysb")
-def q_medallion_yelp_business(spark, sf):
-    """S2/S8/I2 with a Parquet raw source: Yelp business units -> bronze ->
-    silver through the ledger (two runs), read back."""
+def _yelp_lake(spark, sf, with_reviews: bool):
+    """Yelp business units as Parquet (and reviews units as JSON), then two
+    incremental runs of each through the ledger."""
     base = scratch_path(spark, "yelp")
-    raw, lake = f"{base}/raw/business", f"{base}/lake"
+    raw_b, raw_r, lake = f"{base}/raw/business", f"{base}/raw/reviews", f"{base}/lake"
     yb = dv.yelp_business_raw(spark, sf)
     yb.withColumn("unit", F.concat(F.lit("part_"), F.col("categories").substr(1, 1))) \
-      .write.partitionBy("unit").parquet(raw)
+      .write.partitionBy("unit").parquet(raw_b)
 
-    def reader(s, paths, root):
+    def business_reader(s, paths, root):
         return read_parquet(s, paths, columns=yb.columns, with_source=True, unit_root=root)
 
+    def reviews_reader(s, paths, root):
+        return read_json(s, paths, YELP_REVIEWS_RAW, with_source=True, unit_root=root)
+
+    if with_reviews:
+        yr = dv.yelp_reviews_raw(spark, sf)
+        yr.withColumn("unit", F.concat(F.lit("year_"), F.col("date").substr(1, 4))) \
+          .write.partitionBy("unit").json(raw_r)
     for _ in range(2):
-        run_incremental(spark, "yelp_business", raw, lake, "yelp", "business", reader,
+        run_incremental(spark, "yelp_business", raw_b, lake, "yelp", "business", business_reader,
                         lambda b: md.silver_yelp_business(b, terms=DEMO_TERMS))
+        if with_reviews:
+            run_incremental(spark, "yelp_reviews", raw_r, lake, "yelp", "reviews", reviews_reader,
+                            md.silver_yelp_reviews)
+    return lake
+
+
+@query("medallion_yelp_business", f"WITH {_YB_SILVER_SQL} SELECT * FROM ysb")
+def q_medallion_yelp_business(spark, sf):
+    """S2/S8/I2 with a Parquet raw source: Yelp business units -> bronze ->
+    silver through the ledger (two runs), read back."""
+    lake = _yelp_lake(spark, sf, with_reviews=False)
     return read_layer(spark, lake, "silver", "yelp", "business").drop("source_file")
 
 
+@query("pipeline_gold_yelp_reviews", ORACLE["gold_yelp_reviews"])
+def q_pipeline_gold_yelp_reviews(spark, sf):
+    """End to end for Yelp: incremental silver business (Parquet units) and
+    reviews (JSON units, unit = year of the date text) -> gold reviews."""
+    lake = _yelp_lake(spark, sf, with_reviews=True)
+    business = read_layer(spark, lake, "silver", "yelp", "business")
+    reviews = read_layer(spark, lake, "silver", "yelp", "reviews").drop("source_file")
+    return md.gold_yelp_reviews(reviews, md.gold_yelp_business(business))
+
+
 @query("load_totals_sql", f"""WITH {silver_places_sql()},
 {silver_reviews_sql()}
 SELECT 'business_google' AS table_name, count(*) AS total FROM gsp

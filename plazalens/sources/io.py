@@ -50,14 +50,20 @@ def read_parquet(spark: SparkSession, paths: str | Sequence[str], schema: Struct
 
 
 def unit_of(path_col, unit_root: str | None):
-    """First path segment below ``unit_root`` of a file path column."""
+    """First path segment below ``unit_root`` of a file path column.
+
+    File paths come back as URIs (``file:/...``, ``s3a://bucket/...``) with
+    special characters percent-encoded; they are decoded first (a literal
+    ``+`` is kept), so the unit name is the real folder or file name and
+    ``root/unit`` is a readable path.
+    """
+    decoded = F.url_decode(F.replace(path_col, F.lit("+"), F.lit("%2B")))
     if unit_root is None:
-        return F.regexp_extract(path_col, r"([^/]+)$", 1)
+        return F.regexp_extract(decoded, r"([^/]+)$", 1)
     root = unit_root.rstrip("/")
     root = root[len("file:"):] if root.startswith("file:") else root
-    # file paths come back as URIs (file:/..., s3a://bucket/...); match the
-    # root's tail wherever the scheme puts it
-    return F.regexp_extract(path_col, _re_escape(root) + r"/([^/]+)", 1)
+    # match the root's tail wherever the scheme puts it
+    return F.regexp_extract(decoded, _re_escape(root) + r"/([^/]+)", 1)
 
 
 def _re_escape(s: str) -> str:

@@ -122,3 +122,23 @@ def test_ensure_parallelism(spark):
     assert sorted(r.id for r in spread.collect()) == list(range(100))
     many = spark.range(0, 100, 1, 8)
     assert ensure_parallelism(many, 4) is many  # enough splits: unchanged, no shuffle
+
+
+def test_units_with_special_names(spark):
+    """Unit names are decoded from file URIs: spaces, '+' and accents survive."""
+    base = scratch_path(spark, "t-names")
+    raw, lake = f"{base}/raw", f"{base}/lake"
+    t = 1609909927056
+    units = {"New York": [("u1", "g1", 5.0, "a", t)], "a+b": [("u2", "g2", 4.0, "b", t)],
+             "Bogotá": [("u3", "g3", 3.0, "c", t)]}
+    _write_units(spark, raw, units)
+    assert _names(list_units(spark, raw)) == sorted(units)
+
+    def reader(s, paths, root):
+        return read_json(s, paths, GOOGLE_REVIEWS_RAW, with_source=True, unit_root=root)
+
+    run = run_incremental(spark, "r", raw, lake, "google", "reviews", reader, md.silver_google_reviews)
+    assert sorted(run.units) == sorted(units) and run.silver_rows == 3
+    got = {r.source_file: r.user_id for r in read_layer(spark, lake, "silver", "google", "reviews").collect()}
+    assert got == {"New York": "u1", "a+b": "u2", "Bogotá": "u3"}
+    assert run_incremental(spark, "r", raw, lake, "google", "reviews", reader, md.silver_google_reviews).units == []
