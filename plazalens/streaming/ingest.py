@@ -17,9 +17,16 @@ from pyspark.sql.types import StructType
 
 def ingest_available_now(spark: SparkSession, source_dir: str, schema: StructType, out_path: str,
                          checkpoint: str, transform: Callable[[DataFrame], DataFrame] | None = None,
-                         fmt: str = "json", max_files_per_trigger: int | None = None) -> None:
-    """Read every not-yet-seen file of ``source_dir`` into Parquet at ``out_path``."""
+                         fmt: str = "json", max_files_per_trigger: int | None = None,
+                         recursive: bool = True) -> None:
+    """Read every not-yet-seen file below ``source_dir`` into Parquet at ``out_path``.
+
+    ``recursive`` also picks up files in sub-folders (input units that are
+    folders of files).
+    """
     reader = spark.readStream.schema(schema).format(fmt)
+    if recursive:
+        reader = reader.option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     stream = reader.load(source_dir)
