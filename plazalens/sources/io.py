@@ -57,13 +57,23 @@ def unit_of(path_col, unit_root: str | None):
     ``+`` is kept), so the unit name is the real folder or file name and
     ``root/unit`` is a readable path.
     """
-    decoded = F.url_decode(F.replace(path_col, F.lit("+"), F.lit("%2B")))
+    def decode(c):
+        return F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
+
     if unit_root is None:
-        return F.regexp_extract(decoded, r"([^/]+)$", 1)
+        return decode(F.substring_index(path_col, "/", -1))
     root = unit_root.rstrip("/")
     root = root[len("file:"):] if root.startswith("file:") else root
-    # match the root's tail wherever the scheme puts it
-    return F.regexp_extract(decoded, _re_escape(root) + r"/([^/]+)", 1)
+    # Fast path, plain string operations on every row: find "root/" in the
+    # URI (wherever the scheme puts it) and take the next path segment;
+    # only that short segment is decoded. A root that the URI spells
+    # differently (it has characters the URI encodes) takes the regex path.
+    needle = root + "/"
+    pos = F.locate(needle, path_col)
+    rest = path_col.substr(pos + F.lit(len(needle)), F.lit(1 << 20))
+    fast = decode(F.substring_index(rest, "/", 1))
+    slow = F.regexp_extract(decode(path_col), _re_escape(root) + r"/([^/]+)", 1)
+    return F.when(pos > 0, fast).otherwise(slow)
 
 
 def _re_escape(s: str) -> str:

@@ -142,3 +142,14 @@ def test_units_with_special_names(spark):
     got = {r.source_file: r.user_id for r in read_layer(spark, lake, "silver", "google", "reviews").collect()}
     assert got == {"New York": "u1", "a+b": "u2", "Bogotá": "u3"}
     assert run_incremental(spark, "r", raw, lake, "google", "reviews", reader, md.silver_google_reviews).units == []
+
+
+def test_unit_root_with_space(spark):
+    """A root the URI spells differently (encoded space) takes the fallback path."""
+    base = scratch_path(spark, "t root with space")
+    raw = f"{base}/raw"
+    t = 1609909927056
+    _write_units(spark, raw, {"TX": [("u1", "g1", 5.0, "a", t)], "New York": [("u2", "g2", 4.0, "b", t)]})
+    assert _names(list_units(spark, raw)) == ["New York", "TX"]
+    df = read_json(spark, raw, GOOGLE_REVIEWS_RAW, with_source=True, unit_root=raw)
+    assert {r.source_file: r.user_id for r in df.collect()} == {"TX": "u1", "New York": "u2"}
