@@ -24,7 +24,14 @@ from plazalens.functions.text import tokens
 from plazalens.operators.join import maybe_broadcast
 from plazalens.schemas import (
     BOOSTER_DAMPING,
+    CONTRAST_AFTER,
+    CONTRAST_BEFORE,
+    EXCLAMATION_MAX,
+    EXCLAMATION_STEP,
     LEXICON,
+    QUESTION_CAP,
+    QUESTION_MAX_COUNT,
+    QUESTION_STEP,
     NEGATION_SCALAR,
     NEGATIVE_TO,
     POSITIVE_FROM,
@@ -46,6 +53,20 @@ def lexicon_frame(spark: SparkSession, entries: Iterable[tuple[str, float]]) ->
     return spark.createDataFrame([(t, float(v)) for t, v in entries], LEXICON)
 
 
+def _count_char(text: Column, ch: str) -> Column:
+    return F.char_length(text) - F.char_length(F.replace(text, F.lit(ch), F.lit("")))
+
+
+def punctuation_emphasis(text: Column) -> Column:
+    """Emphasis from '!' and '?' in a text (published rule, see schemas)."""
+    ep = F.least(_count_char(text, "!"), F.lit(EXCLAMATION_MAX)) * F.lit(EXCLAMATION_STEP)
+    qm = _count_char(text, "?")
+    qa = (F.when(qm <= 1, F.lit(0.0))
+           .when(qm <= QUESTION_MAX_COUNT, qm * F.lit(QUESTION_STEP))
+           .otherwise(F.lit(QUESTION_CAP)))
+    return F.coalesce(ep + qa, F.lit(0.0))
+
+
 def compound(s: Column, alpha: float = VADER_ALPHA) -> Column:
     """Published normalisation of a valence sum into [-1, 1]."""
     return s / F.sqrt(s * s + F.lit(alpha))
@@ -91,26 +112,38 @@ def sentiment_scores(
     boosters: Sequence[tuple[str, float]] | None = None,
     alpha: float = VADER_ALPHA,
     round_to: int | None = None,
+    contrast: str | None = None,
+    punctuation: bool = False,
 ) -> DataFrame:
     """(id, sentiment_score) for every review; null text -> null score.
 
     ``negators`` / ``boosters`` switch on the rules of the three preceding
     tokens (L4): a booster adds +-scalar (sign follows the valence), damped
     0.95 / 0.9 at distance 2 / 3; a negator multiplies by -0.74.
+    ``contrast`` (e.g. ``"but"``) halves the valences before the first
+    occurrence of that word and multiplies those after it by 1.5;
+    ``punctuation`` adds the '!'/'?' emphasis to a non-zero sum.
     """
     rules = bool(negators) or bool(boosters)
     toks = tokens(text_col)
+    extra = []
+    if contrast:
+        extra.append(F.array_position(toks, contrast.lower()).alias("_cpos"))
+    if punctuation:
+        extra.append(punctuation_emphasis(F.col(text_col)).alias("_amp"))
     base = reviews.select(F.col(id_col).alias("_id"), F.col(text_col).isNull().alias("_null"),
-                          toks.alias("_t"))
-    if rules:
+                          toks.alias("_t"), *extra)
+    keep = ["_amp"] if punctuation else []
+    if rules or contrast:
         # preceding tokens by index into the same array; inside the fused
         # stage the array is referenced, not copied per token
-        exploded = base.select("_id", "_null", "_t", F.posexplode_outer("_t").alias("_pos", "token"))
+        exploded = base.select("_id", "_null", "_t", *[c for c in ("_cpos", "_amp") if c in base.columns],
+                               F.posexplode_outer("_t").alias("_pos", "token"))
         exploded = exploded.select(
-            "_id", "_null", "token",
+            "_id", "_null", "token", "_pos", *[c for c in ("_cpos", "_amp") if c in base.columns],
             *[F.get(F.col("_t"), F.col("_pos") - k).alias(f"p{k}") for k in (1, 2, 3)])
     else:
-        exploded = base.select("_id", "_null", F.explode_outer("_t").alias("token"))
+        exploded = base.select("_id", "_null", *keep, F.explode_outer("_t").alias("token"))
 
     lex = maybe_broadcast(lexicon.select("token", "valence"), LEXICON_MAX_ROWS)
     scored = exploded.join(lex, "token", "left")
@@ -133,11 +166,22 @@ def sentiment_scores(
                 v = v + F.coalesce(F.when(v < 0, -b).otherwise(b), F.lit(0.0))
             if neg:
                 v = F.when(prev.isin(neg), v * F.lit(NEGATION_SCALAR)).otherwise(v)
-    agg = scored.groupBy("_id").agg(
-        F.sum(F.coalesce(v, F.lit(0.0))).alias("_s"),
-        F.bool_or("_null").alias("_isnull"),
-    )
-    score = F.when(F.col("_isnull"), F.lit(None).cast("double")).otherwise(compound(F.col("_s"), alpha))
+    if contrast:
+        # token index vs the (1-based) index of the first contrast word
+        c0 = F.col("_cpos") - 1
+        factor = (F.when((F.col("_cpos") > 0) & (F.col("_pos") < c0), F.lit(CONTRAST_BEFORE))
+                   .when((F.col("_cpos") > 0) & (F.col("_pos") > c0), F.lit(CONTRAST_AFTER))
+                   .otherwise(F.lit(1.0)))
+        v = v * factor
+    aggs = [F.sum(F.coalesce(v, F.lit(0.0))).alias("_s"), F.bool_or("_null").alias("_isnull")]
+    if punctuation:
+        aggs.append(F.max("_amp").alias("_amp"))
+    agg = scored.groupBy("_id").agg(*aggs)
+    s_col = F.col("_s")
+    if punctuation:
+        s_col = (F.when(s_col > 0, s_col + F.col("_amp"))
+                  .when(s_col < 0, s_col - F.col("_amp")).otherwise(s_col))
+    score = F.when(F.col("_isnull"), F.lit(None).cast("double")).otherwise(compound(s_col, alpha))
     if round_to is not None:
         score = F.round(score, round_to)
     return agg.select(F.col("_id").alias(id_col), score.alias("sentiment_score"))

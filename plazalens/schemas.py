@@ -167,6 +167,17 @@ VADER_ALPHA = 15.0
 NEGATION_SCALAR = -0.74
 BOOSTER_INCREMENT = 0.293
 BOOSTER_DAMPING = {1: 1.0, 2: 0.95, 3: 0.9}
+# Contrast rule: valences before the first contrast word are halved, those
+# after it are multiplied by 1.5.
+CONTRAST_BEFORE = 0.5
+CONTRAST_AFTER = 1.5
+# Punctuation emphasis added to a non-zero sum (away from zero): 0.292 per
+# '!' up to 4 of them; for 2 or 3 '?' 0.18 each, for more than 3 '?' 0.96.
+EXCLAMATION_STEP = 0.292
+EXCLAMATION_MAX = 4
+QUESTION_STEP = 0.18
+QUESTION_MAX_COUNT = 3
+QUESTION_CAP = 0.96
 
 # Maximum review text length kept in gold.
 GOLD_TEXT_MAX = 7000

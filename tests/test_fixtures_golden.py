@@ -226,3 +226,13 @@ def test_unbounded_requests_path(spark, rec_places, monkeypatch):
     assert small == big
     near_small = recommend_nearby(rec_places, req).collect()
     assert len(near_small) == 3
+
+
+@pytest.mark.parametrize("text,score", [
+    ("good but bad", -2.8), ("good!!!", 1.9 + 3 * 0.292), ("good!!!!!!", 1.9 + 4 * 0.292),
+    ("bad??", -2.5 - 2 * 0.18), ("bad????", -2.5 - 0.96), ("table!!!", 0.0), ("but good", 1.9 * 1.5),
+])
+def test_contrast_and_punctuation(spark, text, score):
+    df = spark.createDataFrame([("1", text)], "review_id string, text string")
+    got = sentiment_scores(df, lexicon_frame(spark, LEX), contrast="but", punctuation=True).first()
+    assert got.sentiment_score == pytest.approx(score / (score * score + 15) ** 0.5, abs=1e-12)
