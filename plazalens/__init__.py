@@ -1,9 +1,77 @@
 """plazalens: place-and-review analytics as Spark DataFrame functions.
 
 Every public function takes DataFrames (plus plain arguments) and returns a
-DataFrame; none of them runs an action unless its name says it writes.
+DataFrame; none of them runs an action unless its name says it writes or
+reads, or its docstring says it runs a job (size checks, the opt-in dedup
+prefilter).
 """
 
-from plazalens.session import get_session, scratch_path
+from plazalens.functions.text import (
+    extract_state,
+    map_state,
+    matches_terms,
+    tokenize,
+    tokens,
+    truncate,
+)
+from plazalens.operators.clean import (
+    dedup_columns,
+    dedup_rows,
+    drop_blank,
+    drop_null,
+    epoch_ms_to_date,
+    fill_number,
+    fill_text,
+    text_to_date,
+    to_int_rating,
+)
+from plazalens.operators.gold import gold_google_reviews, gold_places, gold_yelp_reviews, review_key
+from plazalens.operators.nested import attributes_list, expand_struct, true_flag_names, true_flags
+from plazalens.operators.quality import (
+    contract_violations,
+    distinct_count,
+    null_counts,
+    pk_duplicates,
+    profile,
+    stage_counts,
+)
+from plazalens.operators.recommend import (
+    candidates,
+    cosine_to_anchor,
+    recommend_nearby,
+    recommend_similar,
+    requests_frame,
+)
+from plazalens.operators.sentiment import (
+    extremes,
+    label,
+    lexicon_frame,
+    read_lexicon,
+    sentiment_scores,
+    sentiment_table,
+)
+from plazalens.plans.incremental import IncrementalRun, run_incremental
+from plazalens.plans.medallion import (
+    gold_google_places,
+    gold_yelp_business,
+    silver_google_places,
+    silver_google_reviews,
+    silver_yelp_business,
+    silver_yelp_reviews,
+)
+from plazalens.session import get_session, scratch_path, scratch_root
+from plazalens.sources.io import (
+    layer_path,
+    list_units,
+    read_json,
+    read_layer,
+    read_parquet,
+    select_by_ordinal,
+    state_dimension,
+    write_parquet,
+    write_parquet_counted,
+)
+from plazalens.sources.ledger import append_ledger, new_units, read_ledger
+from plazalens.streaming.ingest import ingest_available_now
 
-__all__ = ["get_session", "scratch_path"]
+__all__ = [name for name in dir() if not name.startswith("_")]
