@@ -95,8 +95,9 @@ def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists",
     w = df.write.mode(mode).option("compression", compression)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    if mode == "overwrite" and partition_by:
-        df.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        if mode == "overwrite":
+            # per-write option: only the partitions present in df are replaced
+            w = w.option("partitionOverwriteMode", "dynamic")
     w.parquet(path)
 
 
