@@ -39,3 +39,20 @@ def test_sentiment_single_exchange_of_texts(spark):
     p = plan(catalog.QUERIES["sentiment_score_rules"](spark, SF001))
     assert "BroadcastHashJoin" in p
     assert "Window" not in p  # preceding tokens come from the array, not a window
+
+
+def test_hash_prefilter_plan(spark):
+    p = plan(catalog.QUERIES["silver_reviews_hash_dedup"](spark, SF001))
+    assert "LeftAnti" in p and "LeftSemi" in p and "BroadcastHashJoin" in p
+
+
+def test_compound_sentiment_plan(spark):
+    p = plan(catalog.QUERIES["sentiment_score_compound"](spark, SF001))
+    assert "Window" not in p and "SortMergeJoin" not in p
+    assert p.count("Exchange hashpartitioning(_id") == 1  # one exchange: partial sums per review
+
+
+def test_recommend_plan_has_no_cartesian(spark):
+    for name in ("recommend_similar_bulk", "recommend_nearby_bulk", "place_search"):
+        p = plan(catalog.QUERIES[name](spark, SF001))
+        assert "CartesianProduct" not in p, name
