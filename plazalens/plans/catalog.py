@@ -428,11 +428,22 @@ score AS (SELECT tx.review_id, CASE WHEN tx.text IS NULL THEN NULL
               ELSE round(coalesce(sums.s, 0) / sqrt(coalesce(sums.s, 0) * coalesce(sums.s, 0) + 15), 6) END AS sentiment_score
           FROM tx LEFT JOIN sums ON tx.review_id = sums.review_id)"""
 
-_SCORE_RULES_SQL = f"""{TX_SQL},
+def _score_rules_sql(contrast: str | None = None, punctuation: bool = False) -> str:
+    """Oracle CTEs ending in ``score``: tokens with positions, ``lag`` for the
+    three preceding tokens, booster/negation steps, optional contrast-word
+    factor and '!'/'?' emphasis."""
+    cpos = (f"coalesce(list_position(l, {sql_str(contrast)}), 0)" if contrast else "0")
+    factor = ("CASE WHEN cpos > 0 AND pos < cpos THEN 0.5 WHEN cpos > 0 AND pos > cpos THEN 1.5 ELSE 1.0 END"
+              if contrast else "1.0")
+    amp = ("""least(length(text) - length(replace(text, '!', '')), 4) * 0.292::DOUBLE
+               + CASE WHEN qm <= 1 THEN 0.0::DOUBLE WHEN qm <= 3 THEN qm * 0.18::DOUBLE ELSE 0.96::DOUBLE END"""
+           if punctuation else "0.0::DOUBLE")
+    return f"""{TX_SQL},
 {_LEX_SQL}, {_NEG_SQL}, {_BOOST_SQL},
-arr AS (SELECT review_id, list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda x: x <> '') AS l FROM tx),
-toks AS (SELECT review_id, unnest(l) AS token, generate_subscripts(l, 1) AS pos FROM arr),
-w AS (SELECT review_id, pos, token,
+arr AS (SELECT review_id, l, {cpos} AS cpos
+        FROM (SELECT review_id, list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda x: x <> '') AS l FROM tx)),
+toks AS (SELECT review_id, cpos, unnest(l) AS token, generate_subscripts(l, 1) AS pos FROM arr),
+w AS (SELECT review_id, pos, cpos, token,
              lag(token, 1) OVER win AS p1, lag(token, 2) OVER win AS p2, lag(token, 3) OVER win AS p3
       FROM toks WINDOW win AS (PARTITION BY review_id ORDER BY pos)),
 modb AS (SELECT * FROM boost WHERE token NOT IN (SELECT token FROM lex)),
@@ -441,18 +452,26 @@ v0 AS (SELECT w.*, CASE WHEN w.token IN (SELECT token FROM boost) THEN NULL ELSE
        FROM w LEFT JOIN lex l ON w.token = l.token
               LEFT JOIN modb b1 ON w.p1 = b1.token LEFT JOIN modb b2 ON w.p2 = b2.token
               LEFT JOIN modb b3 ON w.p3 = b3.token),
-v1 AS (SELECT review_id, p1, p2, p3, b2, b3,
+v1 AS (SELECT review_id, pos, cpos, p1, p2, p3, b2, b3,
               v + coalesce(CASE WHEN v < 0 THEN -(b1 * 1.0) ELSE b1 * 1.0 END, 0) AS v FROM v0),
-v1n AS (SELECT review_id, p2, p3, b2, b3,
+v1n AS (SELECT review_id, pos, cpos, p2, p3, b2, b3,
                CASE WHEN p1 IN (SELECT token FROM neg) THEN v * -0.74 ELSE v END AS v FROM v1),
-v2 AS (SELECT review_id, p2, p3, b3, v + coalesce(CASE WHEN v < 0 THEN -b2 ELSE b2 END, 0) AS v FROM v1n),
-v2n AS (SELECT review_id, p3, b3, CASE WHEN p2 IN (SELECT token FROM neg) THEN v * -0.74 ELSE v END AS v FROM v2),
-v3 AS (SELECT review_id, p3, v + coalesce(CASE WHEN v < 0 THEN -b3 ELSE b3 END, 0) AS v FROM v2n),
-v3n AS (SELECT review_id, CASE WHEN p3 IN (SELECT token FROM neg) THEN v * -0.74 ELSE v END AS v FROM v3),
-sums AS (SELECT review_id, sum(coalesce(v, 0)) AS s FROM v3n GROUP BY review_id),
-score AS (SELECT tx.review_id, CASE WHEN tx.text IS NULL THEN NULL
-              ELSE round(coalesce(sums.s, 0) / sqrt(coalesce(sums.s, 0) * coalesce(sums.s, 0) + 15), 6) END AS sentiment_score
-          FROM tx LEFT JOIN sums ON tx.review_id = sums.review_id)"""
+v2 AS (SELECT review_id, pos, cpos, p2, p3, b3, v + coalesce(CASE WHEN v < 0 THEN -b2 ELSE b2 END, 0) AS v FROM v1n),
+v2n AS (SELECT review_id, pos, cpos, p3, b3, CASE WHEN p2 IN (SELECT token FROM neg) THEN v * -0.74 ELSE v END AS v FROM v2),
+v3 AS (SELECT review_id, pos, cpos, p3, v + coalesce(CASE WHEN v < 0 THEN -b3 ELSE b3 END, 0) AS v FROM v2n),
+v3n AS (SELECT review_id, pos, cpos, CASE WHEN p3 IN (SELECT token FROM neg) THEN v * -0.74 ELSE v END AS v FROM v3),
+vc AS (SELECT review_id, v * {factor} AS v FROM v3n),
+sums AS (SELECT review_id, sum(coalesce(v, 0)) AS s FROM vc GROUP BY review_id),
+amp AS (SELECT review_id, {amp} AS amp
+        FROM (SELECT review_id, text, length(text) - length(replace(text, '?', '')) AS qm FROM tx)),
+s2 AS (SELECT tx.review_id, tx.text, coalesce(sums.s, 0) AS s0, coalesce(amp.amp, 0) AS a
+       FROM tx LEFT JOIN sums ON tx.review_id = sums.review_id LEFT JOIN amp ON tx.review_id = amp.review_id),
+s3 AS (SELECT review_id, text, CASE WHEN s0 > 0 THEN s0 + a WHEN s0 < 0 THEN s0 - a ELSE s0 END AS s FROM s2),
+score AS (SELECT review_id, CASE WHEN text IS NULL THEN NULL ELSE round(s / sqrt(s * s + 15), 6) END AS sentiment_score
+          FROM s3)"""
+
+
+_SCORE_RULES_SQL = _score_rules_sql()
 
 _LABEL_SQL = """CASE WHEN sentiment_score >= 0.3 THEN 'positive'
             WHEN sentiment_score > -0.3 AND sentiment_score < 0.3 THEN 'neutral'
@@ -922,40 +941,7 @@ def q_silver_reviews_hash_dedup(spark, sf):
 # invented English prose has no "but"); "and" stands in for it here.
 DEMO_CONTRAST = "and"
 
-_SCORE_FULL_SQL = f"""{TX_SQL},
-{_LEX_SQL}, {_NEG_SQL}, {_BOOST_SQL},
-arr0 AS (SELECT review_id, list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda x: x <> '') AS l FROM tx),
-arr AS (SELECT review_id, l, coalesce(list_position(l, '{DEMO_CONTRAST}'), 0) AS cpos FROM arr0),
-toks AS (SELECT review_id, cpos, unnest(l) AS token, generate_subscripts(l, 1) AS pos FROM arr),
-w AS (SELECT review_id, pos, cpos, token,
-             lag(token, 1) OVER win AS p1, lag(token, 2) OVER win AS p2, lag(token, 3) OVER win AS p3
-      FROM toks WINDOW win AS (PARTITION BY review_id ORDER BY pos)),
-modb AS (SELECT * FROM boost WHERE token NOT IN (SELECT token FROM lex)),
-v0 AS (SELECT w.*, CASE WHEN w.token IN (SELECT token FROM boost) THEN NULL ELSE l.valence END AS v,
-              b1.scalar AS b1, b2.scalar * 0.95 AS b2, b3.scalar * 0.9 AS b3
-       FROM w LEFT JOIN lex l ON w.token = l.token
-              LEFT JOIN modb b1 ON w.p1 = b1.token LEFT JOIN modb b2 ON w.p2 = b2.token
-              LEFT JOIN modb b3 ON w.p3 = b3.token),
-v1 AS (SELECT review_id, pos, cpos, p1, p2, p3, b2, b3,
-              v + coalesce(CASE WHEN v < 0 THEN -(b1 * 1.0) ELSE b1 * 1.0 END, 0) AS v FROM v0),
-v1n AS (SELECT review_id, pos, cpos, p2, p3, b2, b3,
-               CASE WHEN p1 IN (SELECT token FROM neg) THEN v * -0.74 ELSE v END AS v FROM v1),
-v2 AS (SELECT review_id, pos, cpos, p2, p3, b3, v + coalesce(CASE WHEN v < 0 THEN -b2 ELSE b2 END, 0) AS v FROM v1n),
-v2n AS (SELECT review_id, pos, cpos, p3, b3, CASE WHEN p2 IN (SELECT token FROM neg) THEN v * -0.74 ELSE v END AS v FROM v2),
-v3 AS (SELECT review_id, pos, cpos, p3, v + coalesce(CASE WHEN v < 0 THEN -b3 ELSE b3 END, 0) AS v FROM v2n),
-v3n AS (SELECT review_id, pos, cpos, CASE WHEN p3 IN (SELECT token FROM neg) THEN v * -0.74 ELSE v END AS v FROM v3),
-vc AS (SELECT review_id, v * CASE WHEN cpos > 0 AND pos < cpos THEN 0.5 WHEN cpos > 0 AND pos > cpos THEN 1.5
-                                  ELSE 1.0 END AS v FROM v3n),
-sums AS (SELECT review_id, sum(coalesce(v, 0)) AS s FROM vc GROUP BY review_id),
-amp AS (SELECT review_id,
-               least(length(text) - length(replace(text, '!', '')), 4) * 0.292::DOUBLE
-               + CASE WHEN qm <= 1 THEN 0.0::DOUBLE WHEN qm <= 3 THEN qm * 0.18::DOUBLE ELSE 0.96::DOUBLE END AS amp
-        FROM (SELECT review_id, text, length(text) - length(replace(text, '?', '')) AS qm FROM tx)),
-s2 AS (SELECT tx.review_id, tx.text, coalesce(sums.s, 0) AS s0, coalesce(amp.amp, 0) AS a
-       FROM tx LEFT JOIN sums ON tx.review_id = sums.review_id LEFT JOIN amp ON tx.review_id = amp.review_id),
-s3 AS (SELECT review_id, text, CASE WHEN s0 > 0 THEN s0 + a WHEN s0 < 0 THEN s0 - a ELSE s0 END AS s FROM s2),
-score AS (SELECT review_id, CASE WHEN text IS NULL THEN NULL ELSE round(s / sqrt(s * s + 15), 6) END AS sentiment_score
-          FROM s3)"""
+_SCORE_FULL_SQL = _score_rules_sql(contrast=DEMO_CONTRAST, punctuation=True)
 
 
 @query("sentiment_score_compound", f"WITH {_SCORE_FULL_SQL} SELECT * FROM score")
