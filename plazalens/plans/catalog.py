@@ -789,8 +789,8 @@ def q_layer_readback(spark, sf):
     return read_layer(spark, lake, "silver", "google", "reviews")
 
 
-@query("pipeline_gold_reviews", ORACLE["gold_reviews"])
-def q_pipeline_gold_reviews(spark, sf):
+@query("medallion_gold_reviews", ORACLE["gold_reviews"])
+def q_medallion_gold_reviews(spark, sf):
     """End to end: incremental silver layers of places and reviews -> gold."""
     _, lake = _google_lake(spark, sf)
     places = read_layer(spark, lake, "silver", "google", "places")
@@ -900,8 +900,8 @@ def q_medallion_yelp_business(spark, sf):
     return read_layer(spark, lake, "silver", "yelp", "business").drop("source_file")
 
 
-@query("pipeline_gold_yelp_reviews", ORACLE["gold_yelp_reviews"])
-def q_pipeline_gold_yelp_reviews(spark, sf):
+@query("medallion_gold_yelp_reviews", ORACLE["gold_yelp_reviews"])
+def q_medallion_gold_yelp_reviews(spark, sf):
     """End to end for Yelp: incremental silver business (Parquet units) and
     reviews (JSON units, unit = year of the date text) -> gold reviews."""
     lake = _yelp_lake(spark, sf, with_reviews=True)
