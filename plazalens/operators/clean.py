@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-DUP_HASHES_MAX_ROWS = 5_000_000
+DUP_HASHES_MAX_ROWS = 2_000_000  # 8-byte hashes: a broadcast of a few tens of MB
 
 
 def dedup_rows(df: DataFrame, subset: Sequence[str] | None = None,

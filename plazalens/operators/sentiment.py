@@ -38,7 +38,7 @@ from plazalens.schemas import (
     VADER_ALPHA,
 )
 
-LEXICON_MAX_ROWS = 2_000_000
+LEXICON_MAX_ROWS = 1_000_000  # a (token, valence) hash table of tens of MB per executor
 
 
 def read_lexicon(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
