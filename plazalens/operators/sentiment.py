@@ -123,6 +123,12 @@ def sentiment_scores(
     ``contrast`` (e.g. ``"but"``) halves the valences before the first
     occurrence of that word and multiplies those after it by 1.5;
     ``punctuation`` adds the '!'/'?' emphasis to a non-zero sum.
+
+    ``id_col`` must identify rows: token sums are grouped by it, so two rows
+    sharing an id are scored as one text. The reference's gold review key
+    ``user_id || gmap_id`` repeats for repeat reviews (D11); score such a
+    table by a unique key (``review_key(..., sep=...)`` with the date, or a
+    key assigned when the table is written).
     """
     rules = bool(negators) or bool(boosters)
     toks = tokens(text_col)
