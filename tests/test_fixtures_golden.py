@@ -236,3 +236,29 @@ def test_contrast_and_punctuation(spark, text, score):
     df = spark.createDataFrame([("1", text)], "review_id string, text string")
     got = sentiment_scores(df, lexicon_frame(spark, LEX), contrast="but", punctuation=True).first()
     assert got.sentiment_score == pytest.approx(score / (score * score + 15) ** 0.5, abs=1e-12)
+
+
+def test_silver_yelp_business_fixture(spark):
+    """FIXTURES A3: attributes list, category filter, null state, zero fills."""
+    schema = ("business_id string, name string, address string, state string, latitude double, "
+              "longitude double, stars double, review_count bigint, "
+              "attributes struct<WiFi:string,HasTV:string,DogsAllowed:string>, categories string")
+    rows = [
+        ("b1", "A", "1 St", "TX", 30.0, -90.0, 4.5, 10, ("True", "False", None), "Bars, Food"),
+        ("b2", None, None, "FL", None, None, None, None, ("True", "True", "True"), "Hotels"),
+        ("b3", "C", "3 St", "NV", 1.0, 1.0, 3.0, 1, ("u'free'", "False", None), "Pizza"),
+        ("b4", "D", "4 St", "NV", 1.0, 1.0, 3.0, 1, None, "Coffee & Tea"),
+        ("b5", "E", "5 St", "NV", 1.0, 1.0, 3.0, 1, ("True", None, None), "Plumbing"),
+        ("b6", "F", "6 St", None, 1.0, 1.0, 3.0, 1, ("True", None, None), "Food"),
+        ("b1", "A", "1 St", "TX", 30.0, -90.0, 4.5, 10, ("True", "False", None), "Bars, Food"),
+    ]
+    out = {r.business_id: r for r in md.silver_yelp_business(spark.createDataFrame(rows, schema),
+                                                               unit_col=None).collect()}
+    assert set(out) == {"b1", "b2", "b3", "b4"}
+    assert out["b1"].attributes == "WiFi" and out["b2"].attributes == "WiFi, HasTV, DogsAllowed"
+    assert out["b3"].attributes == "Unknown" and out["b4"].attributes == "Unknown"
+    assert (out["b2"].name, out["b2"].address, out["b2"].avg_rating, out["b2"].review_count,
+            out["b2"].latitude) == ("Unknown", "Unknown", 0.0, 0, 0.0)
+    strict = {r.business_id: r.attributes for r in md.silver_yelp_business(
+        spark.createDataFrame(rows, schema), unit_col=None, strict_parity=True).collect()}
+    assert strict["b3"] == "" and strict["b4"] == ""
