@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -160,9 +161,18 @@ def state_dimension(spark: SparkSession) -> DataFrame:
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """Every non-empty file below ``root`` (path, size), content not read."""
-    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-            .load(root).select("path", "length"))
+    """Every non-empty file below ``root`` (path, size), content not read.
+
+    A root that does not exist yet lists as empty (a first run before any
+    input arrived).
+    """
+    try:
+        return (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+                .load(root).select("path", "length"))
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], "path string, length long")
 
 
 def list_units(spark: SparkSession, root: str) -> DataFrame:

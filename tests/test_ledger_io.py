@@ -153,3 +153,17 @@ def test_unit_root_with_space(spark):
     assert _names(list_units(spark, raw)) == ["New York", "TX"]
     df = read_json(spark, raw, GOOGLE_REVIEWS_RAW, with_source=True, unit_root=raw)
     assert {r.source_file: r.user_id for r in df.collect()} == {"TX": "u1", "New York": "u2"}
+
+
+def test_missing_or_empty_raw_root(spark):
+    import os
+    base = scratch_path(spark, "t-none")
+    os.makedirs(f"{base}/empty", exist_ok=True)
+
+    def reader(s, paths, root):
+        return read_json(s, paths, GOOGLE_REVIEWS_RAW, with_source=True, unit_root=root)
+
+    for raw in (f"{base}/missing", f"{base}/empty"):
+        assert list_units(spark, raw).count() == 0
+        run = run_incremental(spark, "r", raw, f"{base}/lake", "google", "reviews", reader, md.silver_google_reviews)
+        assert run.units == []
