@@ -139,17 +139,17 @@ def sentiment_scores(
         extra.append(punctuation_emphasis(F.col(text_col)).alias("_amp"))
     base = reviews.select(F.col(id_col).alias("_id"), F.col(text_col).isNull().alias("_null"),
                           toks.alias("_t"), *extra)
-    keep = ["_amp"] if punctuation else []
+    carry = [c for c in ("_cpos", "_amp") if c in base.columns]  # per-text values
     if rules or contrast:
         # preceding tokens by index into the same array; inside the fused
         # stage the array is referenced, not copied per token
-        exploded = base.select("_id", "_null", "_t", *[c for c in ("_cpos", "_amp") if c in base.columns],
+        exploded = base.select("_id", "_null", "_t", *carry,
                                F.posexplode_outer("_t").alias("_pos", "token"))
         exploded = exploded.select(
-            "_id", "_null", "token", "_pos", *[c for c in ("_cpos", "_amp") if c in base.columns],
+            "_id", "_null", "token", "_pos", *carry,
             *[F.get(F.col("_t"), F.col("_pos") - k).alias(f"p{k}") for k in (1, 2, 3)])
     else:
-        exploded = base.select("_id", "_null", *keep, F.explode_outer("_t").alias("token"))
+        exploded = base.select("_id", "_null", *carry, F.explode_outer("_t").alias("token"))
 
     lex = maybe_broadcast(lexicon.select("token", "valence"), LEXICON_MAX_ROWS)
     scored = exploded.join(lex, "token", "left")
