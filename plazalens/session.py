@@ -52,6 +52,24 @@ def get_session(
     return spark
 
 
+def scale_conf(shuffle_bytes: int, target_partition_bytes: int = 256 << 20,
+               cores: int | None = None) -> dict:
+    """Shuffle settings for an expected largest shuffle of ``shuffle_bytes``.
+
+    Partitions of about ``target_partition_bytes`` (a few hundred MB fit in
+    an executor's memory without much spill), never fewer than the cores;
+    AQE coalesces small ones and splits skewed ones toward the same size.
+    For example 5 TB of shuffled review rows gives 20,480 partitions.
+    """
+    n = max(cores or 1, -(-shuffle_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(128 << 20),
+    }
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and layer tables.
 
@@ -78,4 +96,4 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-__all__ = ["get_session", "scratch_root", "scratch_path", "DEFAULT_CONF"]
+__all__ = ["get_session", "scratch_root", "scratch_path", "scale_conf", "DEFAULT_CONF"]
