@@ -167,3 +167,10 @@ def test_missing_or_empty_raw_root(spark):
         assert list_units(spark, raw).count() == 0
         run = run_incremental(spark, "r", raw, f"{base}/lake", "google", "reviews", reader, md.silver_google_reviews)
         assert run.units == []
+
+
+def test_scale_conf():
+    from plazalens.session import scale_conf
+    conf = scale_conf(5 * 2**40)
+    assert conf["spark.sql.shuffle.partitions"] == "20480"
+    assert scale_conf(10, cores=8)["spark.sql.shuffle.partitions"] == "8"
