@@ -35,11 +35,18 @@ class IncrementalRun(NamedTuple):
 
 def run_incremental(spark: SparkSession, dataset: str, raw_root: str, lake_root: str,
                     platform: str, entity: str, reader: Reader, transform: Transform,
-                    ledger_path: str | None = None) -> IncrementalRun:
+                    ledger_path: str | None = None, rebalance: bool = True) -> IncrementalRun:
     """Process the new units of one dataset; return what was processed.
 
     ``reader(spark, paths, unit_root)`` must return the raw rows with a
     ``source_file`` column; ``transform`` maps bronze to silver.
+
+    ``rebalance`` (default) redistributes silver by unit before its write:
+    after the dedup shuffle every shuffle partition holds rows of every unit
+    and would write a small file into each unit's folder; the rebalance
+    lets AQE write files of the advisory size and split a hot unit over
+    several tasks. Bronze is written straight from the scan (one file per
+    split) and needs none.
     """
     ledger_path = ledger_path or f"{lake_root.rstrip('/')}/_ledger"
     listed = list_units(spark, raw_root)
@@ -55,7 +62,10 @@ def run_incremental(spark: SparkSession, dataset: str, raw_root: str, lake_root:
                                      name=f"{dataset}-bronze")
     bronze = spark.read.parquet(bronze_path).filter(F.col("source_file").isin(names))
     silver_path = layer_path(lake_root, "silver", platform, entity)
-    n_silver = write_parquet_counted(transform(bronze), silver_path, mode="overwrite",
+    silver = transform(bronze)
+    if rebalance:
+        silver = silver.hint("rebalance", "source_file")
+    n_silver = write_parquet_counted(silver, silver_path, mode="overwrite",
                                      partition_by=["source_file"], name=f"{dataset}-silver")
     append_ledger(spark, ledger_path, dataset, names)
     return IncrementalRun(names, n_bronze, n_silver)
