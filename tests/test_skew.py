@@ -63,3 +63,41 @@ def test_heap_of_identical_rows(spark):
     assert dedup_rows(rows).count() == 2001
     dup = pk_duplicates(rows, ["k"]).collect()
     assert [(r.k, r.occurrences) for r in dup] == [(0, 1000)]
+
+
+def test_hot_request_matches_brute_force(spark):
+    """One request selects a third of all places; top 5 equals a Python loop."""
+    import math
+
+    from plazalens.operators.recommend import recommend_nearby, recommend_similar, requests_frame
+
+    rows = []
+    for i in range(3000):
+        hot = i % 3 == 0
+        rows.append((i, f"n{i}", "a", "Pizza, Bar" if hot else "Garage", "TX" if hot else "FL",
+                     25.0 + (i * 37 % 2400) / 100.0, -120.0 + (i * 91 % 5000) / 100.0,
+                     4.0 + (i % 3) / 2.0, float(i * 13 % 500), "WiFi"))
+    places = spark.createDataFrame(rows, "place_id long, name string, address string, categories string, "
+                                         "state string, latitude double, longitude double, avg_rating double, "
+                                         "review_count double, attributes string")
+    req = requests_frame(spark, [(1, "tx", "pizza")])
+
+    def run(conf):
+        return _with_conf(spark, conf, lambda: (
+            [(r.place_id, r.similarity) for r in recommend_similar(places, req).orderBy("rank").collect()],
+            [(r.place_id, r.distance) for r in recommend_nearby(places, req).orderBy("rank").collect()]))
+
+    cand = [r for r in rows if r[4] == "TX" and "pizza" in r[3].lower() and r[7] >= 4]
+    anchor = min(cand, key=lambda r: r[0])
+    a = (anchor[5], anchor[6], anchor[7], anchor[8])
+
+    def cos(r):
+        b = (r[5], r[6], r[7], r[8])
+        dot = b[0] * a[0] + b[1] * a[1] + b[2] * a[2] + b[3] * a[3]
+        return round(dot / (math.sqrt(sum(x * x for x in b)) * math.sqrt(sum(x * x for x in a))), 6)
+
+    want_sim = sorted(((r[0], cos(r)) for r in cand), key=lambda t: (-t[1], t[0]))[:5]
+    want_near = sorted(((r[0], round(math.sqrt((r[5] - a[0]) ** 2 + (r[6] - a[1]) ** 2), 6))
+                        for r in cand if r[0] != anchor[0]), key=lambda t: (t[1], t[0]))[:5]
+    assert run({}) == (want_sim, want_near)
+    assert run(SKEW_CONF) == (want_sim, want_near)
