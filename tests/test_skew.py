@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from plazalens.operators.clean import dedup_rows
@@ -101,3 +103,24 @@ def test_hot_request_matches_brute_force(spark):
                         for r in cand if r[0] != anchor[0]), key=lambda t: (t[1], t[0]))[:5]
     assert run({}) == (want_sim, want_near)
     assert run(SKEW_CONF) == (want_sim, want_near)
+
+
+def test_hot_label_cosine_to_anchor(spark):
+    import math
+
+    from plazalens.operators.recommend import cosine_to_anchor
+
+    rows = [(i, [float((i * 7 + j) % 11) - 3.0 for j in range(8)], 0 if i % 3 == 0 else i % 17)
+            for i in range(1500)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = {r.vec_id: r.similarity for r in _with_conf(
+        spark, SKEW_CONF, lambda: cosine_to_anchor(df, "vec_id", "embedding", "label").collect())}
+    anchors = {}
+    for i, v, lab in rows:
+        if lab not in anchors or i < anchors[lab][0]:
+            anchors[lab] = (i, v)
+    for i, v, lab in rows:
+        a = anchors[lab][1]
+        na, nb = math.sqrt(sum(x * x for x in v)), math.sqrt(sum(x * x for x in a))
+        want = 0.0 if na == 0 or nb == 0 else sum(x * y for x, y in zip(v, a)) / (na * nb)
+        assert got[i] == pytest.approx(round(want, 6), abs=1e-6)
