@@ -1,9 +1,9 @@
 """Query catalogue: every operator as a query on the driver's tables.
 
 ``QUERIES[name](spark, sf_dir) -> DataFrame`` and ``ORACLE[name]`` (DuckDB
-SQL over the same tables) are the two halves of the correctness check.
-Queries without an oracle entry are checked against a brute-force fixture
-in the tests instead.
+SQL over the same tables) are the two halves of the correctness check;
+every query has an oracle. Review-shaped inputs are derived from the
+driver's tables in ``plans.derived`` (Spark) and as SQL CTEs.
 """
 
 from __future__ import annotations
