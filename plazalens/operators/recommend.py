@@ -151,7 +151,7 @@ def recommend_similar(places: DataFrame, requests: DataFrame, k: int = 5, min_ra
     cand = _with_anchor(cand, features, id_col, bounded)
     sim = cosine([F.col(f).cast("double") for f in features], [F.col(f"_a.{f}") for f in features])
     if round_to is not None:
-        sim = F.round(sim, round_to)
+        sim = F.round(sim, round_to) + F.lit(0.0)  # + 0.0: no -0.0 after rounding
     scored = cand.withColumn("similarity", sim)
     return _top_k(scored, k, "similarity", False, id_col, out_cols)
 
@@ -205,5 +205,5 @@ def cosine_to_anchor(df: DataFrame, id_col: str, vec_col: str, group_col: str,
     nb = F.sqrt(_array_sum(F.transform("_a", lambda x: x * x)))
     sim = F.when((na == 0) | (nb == 0), F.lit(0.0)).otherwise(dot / (na * nb))
     if round_to is not None:
-        sim = F.round(sim, round_to)
+        sim = F.round(sim, round_to) + F.lit(0.0)  # + 0.0: no -0.0 after rounding
     return j.select(id_col, group_col, sim.alias("similarity"))

@@ -38,6 +38,7 @@ from plazalens.schemas import (
     VADER_ALPHA,
 )
 
+SUM_EPSILON = 1e-9  # far below any real valence sum, far above summation noise (~1e-15)
 LEXICON_MAX_ROWS = 1_000_000  # a (token, valence) hash table of tens of MB per executor
 
 
@@ -185,11 +186,15 @@ def sentiment_scores(
     agg = scored.groupBy("_id").agg(*aggs)
     s_col = F.col("_s")
     if punctuation:
-        s_col = (F.when(s_col > 0, s_col + F.col("_amp"))
-                  .when(s_col < 0, s_col - F.col("_amp")).otherwise(s_col))
+        # The sign test ignores summation noise: a sum that is zero in exact
+        # arithmetic can come out as +-1e-16 depending on the order of the
+        # additions, and must not be amplified to +-1.168.
+        s_col = (F.when(s_col > SUM_EPSILON, s_col + F.col("_amp"))
+                  .when(s_col < -SUM_EPSILON, s_col - F.col("_amp")).otherwise(s_col))
     score = F.when(F.col("_isnull"), F.lit(None).cast("double")).otherwise(compound(s_col, alpha))
     if round_to is not None:
-        score = F.round(score, round_to)
+        # + 0.0 turns a rounded -0.0 into 0.0
+        score = F.round(score, round_to) + F.lit(0.0)
     return agg.select(F.col("_id").alias(id_col), score.alias("sentiment_score"))
 
 

@@ -425,7 +425,7 @@ _SCORE_SIMPLE_SQL = f"""{TX_SQL},
 toks AS (SELECT review_id, unnest(list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda x: x <> '')) AS token FROM tx),
 sums AS (SELECT t.review_id, sum(coalesce(l.valence, 0)) AS s FROM toks t LEFT JOIN lex l ON t.token = l.token GROUP BY t.review_id),
 score AS (SELECT tx.review_id, CASE WHEN tx.text IS NULL THEN NULL
-              ELSE round(coalesce(sums.s, 0) / sqrt(coalesce(sums.s, 0) * coalesce(sums.s, 0) + 15), 6) END AS sentiment_score
+              ELSE round(coalesce(sums.s, 0) / sqrt(coalesce(sums.s, 0) * coalesce(sums.s, 0) + 15), 6) + 0.0 END AS sentiment_score
           FROM tx LEFT JOIN sums ON tx.review_id = sums.review_id)"""
 
 def _score_rules_sql(contrast: str | None = None, punctuation: bool = False) -> str:
@@ -466,8 +466,8 @@ amp AS (SELECT review_id, {amp} AS amp
         FROM (SELECT review_id, text, length(text) - length(replace(text, '?', '')) AS qm FROM tx)),
 s2 AS (SELECT tx.review_id, tx.text, coalesce(sums.s, 0) AS s0, coalesce(amp.amp, 0) AS a
        FROM tx LEFT JOIN sums ON tx.review_id = sums.review_id LEFT JOIN amp ON tx.review_id = amp.review_id),
-s3 AS (SELECT review_id, text, CASE WHEN s0 > 0 THEN s0 + a WHEN s0 < 0 THEN s0 - a ELSE s0 END AS s FROM s2),
-score AS (SELECT review_id, CASE WHEN text IS NULL THEN NULL ELSE round(s / sqrt(s * s + 15), 6) END AS sentiment_score
+s3 AS (SELECT review_id, text, CASE WHEN s0 > 1e-9 THEN s0 + a WHEN s0 < -1e-9 THEN s0 - a ELSE s0 END AS s FROM s2),
+score AS (SELECT review_id, CASE WHEN text IS NULL THEN NULL ELSE round(s / sqrt(s * s + 15), 6) + 0.0 END AS sentiment_score
           FROM s3)"""
 
 
@@ -580,7 +580,7 @@ m AS (SELECT c.*, c.latitude * a.a1 + c.longitude * a.a2 + c.avg_rating * a.a3 +
              sqrt(c.latitude * c.latitude + c.longitude * c.longitude + c.avg_rating * c.avg_rating + c.review_count * c.review_count) AS na,
              sqrt(a.a1 * a.a1 + a.a2 * a.a2 + a.a3 * a.a3 + a.a4 * a.a4) AS nb
       FROM cand c JOIN anc a ON c.query_id = a.query_id),
-sc AS (SELECT *, round(CASE WHEN na = 0 OR nb = 0 THEN 0 ELSE dot / (na * nb) END, 6) AS similarity FROM m),
+sc AS (SELECT *, round(CASE WHEN na = 0 OR nb = 0 THEN 0 ELSE dot / (na * nb) END, 6) + 0.0 AS similarity FROM m),
 rk AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, place_id) AS rank FROM sc)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, place_id, name, address, avg_rating, categories, attributes, similarity
 FROM rk WHERE rank <= 5"""
@@ -635,7 +635,7 @@ m AS (SELECT e.vec_id, e.label,
              sqrt(list_reduce(list_transform(e.v, lambda x: x * x), lambda x, y: x + y)) AS na,
              sqrt(list_reduce(list_transform(a.av, lambda x: x * x), lambda x, y: x + y)) AS nb
       FROM e JOIN a ON e.label = a.label)
-SELECT vec_id, label, round(CASE WHEN na = 0 OR nb = 0 THEN 0 ELSE dot / (na * nb) END, 6) AS similarity FROM m""")
+SELECT vec_id, label, round(CASE WHEN na = 0 OR nb = 0 THEN 0 ELSE dot / (na * nb) END, 6) + 0.0 AS similarity FROM m""")
 def q_cosine_to_anchor(spark, sf):
     """R8 re-aimed: cosine of every vector to its group's first vector (the one
     row of the n x n matrix the reference uses), O(n) instead of all pairs."""
