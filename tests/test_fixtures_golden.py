@@ -262,3 +262,11 @@ def test_silver_yelp_business_fixture(spark):
     strict = {r.business_id: r.attributes for r in md.silver_yelp_business(
         spark.createDataFrame(rows, schema), unit_col=None, strict_parity=True).collect()}
     assert strict["b3"] == "" and strict["b4"] == ""
+
+
+def test_punctuation_ignores_summation_noise(spark):
+    """0.1 + 0.2 - 0.3 is 5.55e-17 in floating point: no '!' emphasis, score 0."""
+    lex = lexicon_frame(spark, [("x", 0.1), ("y", 0.2), ("z", -0.3)])
+    df = spark.createDataFrame([("1", "x y z!!!!"), ("2", "z y x!!!!")], "review_id string, text string")
+    got = [r.sentiment_score for r in sentiment_scores(df, lex, punctuation=True, round_to=6).collect()]
+    assert got == [0.0, 0.0] and all(str(g) == "0.0" for g in got)
