@@ -270,3 +270,14 @@ def test_punctuation_ignores_summation_noise(spark):
     df = spark.createDataFrame([("1", "x y z!!!!"), ("2", "z y x!!!!")], "review_id string, text string")
     got = [r.sentiment_score for r in sentiment_scores(df, lex, punctuation=True, round_to=6).collect()]
     assert got == [0.0, 0.0] and all(str(g) == "0.0" for g in got)
+
+
+def test_sentiment_table_parity_flag(spark):
+    """A null text gives a null score; its label is null, or 'negative' with parity."""
+    from plazalens.operators.sentiment import sentiment_table
+    df = spark.createDataFrame([("1", None), ("2", "good")], "review_id string, text string")
+    lex = lexicon_frame(spark, LEX)
+    plain = {r.review_id: (r.sentiment_score, r.sentiment) for r in sentiment_table(df, lex).collect()}
+    parity = {r.review_id: r.sentiment for r in sentiment_table(df, lex, parity=True).collect()}
+    assert plain["1"] == (None, None) and plain["2"][1] == "positive"
+    assert parity == {"1": "negative", "2": "positive"}
