@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from plazalens.llm.common import read_table
 from plazalens.llm.line_dedup import line_dedup
+from plazalens.llm.simhash import near_dedup
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,5 +34,12 @@ SELECT doc_id, count(*) AS n_lines, CAST(sum(CASE WHEN dropped THEN 1 ELSE 0 END
 FROM m GROUP BY doc_id
 """
 
-QUERIES = {"op1_line_dedup": op1_line_dedup}
+
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = near_dedup(read_table(spark, sf_dir, "documents"), shingle=3, radius=2)
+    return out.select(F.col("id").alias("doc_id"),
+                      F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+QUERIES = {"op1_line_dedup": op1_line_dedup, "op6_simhash": op6_simhash}
 ORACLE = {"op1_line_dedup": OP1_SQL}
