@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,3 +41,23 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder (cleaned with the frame)."""
     scratch_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def text_slices(column: pa.Array, limit: int = 8 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first, last, bytes, offsets) of runs of texts of about ``limit`` bytes.
+
+    ``offsets`` has one entry more than texts and starts at 0; a null text is
+    empty. A longer text makes a run of its own.
+    """
+    column = column.cast(pa.large_binary()).fill_null(b"")
+    n = len(column)
+    if not n:
+        return
+    _, where, data = column.buffers()
+    offsets = np.frombuffer(where, np.int64)[column.offset:column.offset + n + 1]
+    data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    lo = 0
+    while lo < n:
+        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + limit, side="right")) - 1)
+        yield lo, min(hi, n), data[offsets[lo]:offsets[min(hi, n)]], offsets[lo:min(hi, n) + 1] - offsets[lo]
+        lo = hi

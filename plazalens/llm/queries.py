@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from plazalens.llm.common import read_table
 from plazalens.llm.line_dedup import line_dedup
+from plazalens.llm.secrets import find_secrets, learn, span_text
 from plazalens.llm.simhash import near_dedup
 
 
@@ -41,5 +42,17 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {"op1_line_dedup": op1_line_dedup, "op6_simhash": op6_simhash}
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    out = find_secrets(docs, learn(docs))
+
+    def of(kind: int):
+        return F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long")
+
+    return out.select(F.col("id").alias("doc_id"), of(0).alias("n_assign"), of(1).alias("n_access"),
+                      of(2).alias("n_hex"), F.sha2(span_text(F.col("base")), 256).alias("base_sha256"),
+                      span_text(F.col("spans")).alias("spans"))
+
+
+QUERIES = {"op1_line_dedup": op1_line_dedup, "op6_simhash": op6_simhash, "op10_secrets": op10_secrets}
 ORACLE = {"op1_line_dedup": OP1_SQL}
