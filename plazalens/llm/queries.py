@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plazalens.llm.common import read_table
+from plazalens.llm.huffman import encode_to_files, read_files, with_crc32
 from plazalens.llm.line_dedup import line_dedup
+from plazalens.llm.packing import pack
 from plazalens.llm.secrets import find_secrets, learn, span_text
 from plazalens.llm.simhash import near_dedup
+from plazalens.session import scratch_path
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,12 +40,24 @@ FROM m GROUP BY doc_id
 """
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                mode="spaces", end_id=0, window=1024)
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = near_dedup(read_table(spark, sf_dir, "documents"), shingle=3, radius=2)
     return out.select(F.col("id").alias("doc_id"),
                       F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token_files")
+    encode_to_files(read_table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"),
+                    mode="words", end_id=1)
+    return with_crc32(read_files(spark, path)).withColumnRenamed("id", "doc_id")
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     out = find_secrets(docs, learn(docs))
@@ -54,5 +70,6 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                       span_text(F.col("spans")).alias("spans"))
 
 
-QUERIES = {"op1_line_dedup": op1_line_dedup, "op6_simhash": op6_simhash, "op10_secrets": op10_secrets}
+QUERIES = {"op1_line_dedup": op1_line_dedup, "op4_packing": op4_packing, "op6_simhash": op6_simhash,
+           "op8_token_files": op8_token_files, "op10_secrets": op10_secrets}
 ORACLE = {"op1_line_dedup": OP1_SQL}

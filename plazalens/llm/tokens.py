@@ -11,46 +11,60 @@ through the library whole.
 
 from __future__ import annotations
 
+import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plazalens.llm.common import text_slices
 
 _WHITE = np.zeros(256, bool)
 _WHITE[[9, 10, 11, 12, 13, 32]] = True
-_CONTROL = np.zeros(256, bool)
-_CONTROL[[0, 28, 29, 30, 31]] = True
-_RARE = np.zeros(256, bool)
-_RARE[[9, 11, 12, 13]] = True
+#: byte strings of special-token brackets, control characters and white space that the modes do not cut at
+_ODD = [b"<|", *(bytes([c]) for c in (0, 28, 29, 30, 31)), b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe1\xa0\x8e",
+        *(bytes([0xE2, 0x80, c]) for c in (*range(0x80, 0x90), 0xA8, 0xA9, 0xAF)), b"\xe2\x81\x9f", b"\xe2\x81\xa0",
+        b"\xe3\x80\x80", b"\xef\xbb\xbf"]
+#: in mode "spaces" also all white space but single spaces and line breaks
+_ODD_SPACES = [b"\t", b"\x0b", b"\x0c", b"\r", b"  ", b" \n", b"\n ", b"\n\n"]
 
 
 def _odd_texts(data: np.ndarray, offsets: np.ndarray, mode: str) -> np.ndarray:
     """Texts that must not be cut at white space (a superset), from their bytes."""
-    bad = _CONTROL[data]
-    after = np.append(data[1:], 0)
-    third = np.append(data[2:], [0, 0])[:len(data)]
-    bad |= (data == 0x3C) & (after == 0x7C)  # <|
-    bad |= (data == 0xC2) & ((after == 0x85) | (after == 0xA0))
-    bad |= (data == 0xE1) & ((after == 0x9A) | (after == 0xA0))
-    bad |= (data == 0xE2) & (((after == 0x80) & ((third <= 0x8F) | ((third >= 0xA8) & (third <= 0xAF))))
-                             | ((after == 0x81) & (third >= 0x9F) & (third <= 0xAF)))
-    bad |= (data == 0xE3) & (after == 0x80) & (third == 0x80)
-    bad |= (data == 0xEF) & (after == 0xBB)
+    raw = data.tobytes()
+    odd = np.zeros(len(offsets), bool)
+    for sign in _ODD + (_ODD_SPACES if mode == "spaces" else []):
+        if len(sign) == 3 and sign[:2] not in raw:
+            continue
+        k = raw.find(sign)
+        while k >= 0:
+            i = int(np.searchsorted(offsets, k, side="right")) - 1
+            odd[i] = True
+            k = raw.find(sign, int(offsets[i + 1]))
     if mode == "spaces":
-        white = _WHITE[data]
-        bad |= _RARE[data] | (white & np.append(white[1:], False))
-        first, last = offsets[:-1], offsets[1:] - 1
-        some = last >= first
-        bad[first[some]] |= white[first[some]]
-        bad[last[some]] |= white[last[some]]
-    total = np.concatenate(([0], np.cumsum(bad)))
-    return total[offsets[1:]] > total[offsets[:-1]]
+        some = np.flatnonzero(offsets[1:] > offsets[:-1])
+        odd[some] |= _WHITE[data[offsets[some]]] | _WHITE[data[offsets[some + 1] - 1]]
+    return odd[:-1]
+
+
+#: head, Latin-1 letters, ASCII punctuation but the apostrophe; the core is empty for any other piece
+_SHAPE = re.compile("([\0\n]?)(?:([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\\[-`{-~]*)$)?")
+
+
+def _byte_level() -> dict[int, str]:
+    """The printable stand-ins that byte-level vocabularies use for the bytes of Latin-1 letters."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in plain]
+    stand_in = {b: chr(b) if b in plain else chr(256 + others.index(b)) for b in range(256)}
+    return {c: "".join(stand_in[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
+
+
+_BYTE_LEVEL = _byte_level()
 
 
 class Encoder:
@@ -61,30 +75,49 @@ class Encoder:
     ``"words"`` drops it, ``"whole"`` makes no assumption.
     """
 
-    def __init__(self, tokenizer_json: str, mode: str, end_id: int, max_pieces: int = 400_000):
+    def __init__(self, tokenizer_json: str, mode: str, end_id: int, max_pieces: int = 300_000,
+                 max_tokens: int = 500_000):
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task a core
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_str(tokenizer_json)
-        self.mode, self.max_pieces = mode, max_pieces
+        self.mode, self.max_pieces, self.max_tokens = mode, max_pieces, max_tokens
         self.end = np.array([end_id], np.uint32).tobytes()
         self.pieces: dict[str, bytes] = {}
-        self.tokens: dict[str, list[int]] = {}
+        self.tokens: dict[str, bytes] = {}
+        self.line_break = self._library("\n") if mode == "spaces" else b""
+
+    def _library(self, piece: str) -> bytes:
+        return array("I", self.tok.encode(piece, add_special_tokens=False).ids).tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        if self.mode == "spaces":  # NUL marks the start of a text
-            piece = piece[1:] if piece[:1] == "\0" else piece if piece[:1] == "\n" else " " + piece
-        if self.tok.normalizer is not None:
-            piece = self.tok.normalizer.normalize_str(piece)
-        ids: list[int] = []
-        for token, _ in self.tok.pre_tokenizer.pre_tokenize_str(piece) if piece else ():
-            got = self.tokens.get(token)
-            if got is None:
-                got = [t.id for t in self.tok.model.tokenize(token)]
-                if len(self.tokens) < self.max_pieces:
-                    self.tokens[token] = got
-            ids += got
-        return np.array(ids, np.uint32).tobytes()
+        """Ids of a piece; NUL or a line break at its head means that no space stands before it.
+
+        A piece of Latin letters and closing punctuation is two pre-tokens in
+        either mode, and the model alone gives their ids.
+        """
+        head, core, tail = _SHAPE.match(piece).groups()
+        if not core or self.mode == "whole":
+            if self.mode == "spaces":
+                piece = piece[1:] if head == "\0" else piece if head else " " + piece
+            return self._library(piece)
+        if self.mode == "spaces":
+            word = core.translate(_BYTE_LEVEL) if head else "\u0120" + core.translate(_BYTE_LEVEL)
+        else:
+            word = core.lower().translate(_BYTE_LEVEL)
+        ids = self.tokens.get(word)
+        if ids is None:
+            ids = array("I", [t.id for t in self.tok.model.tokenize(word)]).tobytes()
+            if len(self.tokens) < self.max_tokens:
+                self.tokens[word] = ids
+        if tail:
+            end = self.tokens.get(tail)
+            if end is None:
+                end = self._library(tail)
+                if len(self.tokens) < self.max_tokens:
+                    self.tokens[tail] = end
+            ids += end
+        return self.line_break + ids if head == "\n" else ids
 
     def _ids_of(self, distinct: list[str]) -> list[bytes]:
         out = []
@@ -185,7 +218,6 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, mode: str, end_id: in
 
 def part_bases(tokens: DataFrame) -> DataFrame:
     """(part, base): the ids in all earlier parts, one row per part."""
-    from pyspark.sql import Window
     totals = tokens.groupBy("part").agg(F.sum("n").alias("total"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     return totals.select("part", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
