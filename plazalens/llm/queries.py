@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from plazalens.llm.common import read_table
 from plazalens.llm.huffman import encode_to_files, read_files, with_crc32
+from plazalens.llm.licenses import scan_licenses
 from plazalens.llm.line_dedup import line_dedup
 from plazalens.llm.packing import pack
 from plazalens.llm.secrets import find_secrets, learn, span_text
@@ -40,6 +41,10 @@ FROM m GROUP BY doc_id
 """
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(read_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
                 mode="spaces", end_id=0, window=1024)
@@ -70,6 +75,6 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                       span_text(F.col("spans")).alias("spans"))
 
 
-QUERIES = {"op1_line_dedup": op1_line_dedup, "op4_packing": op4_packing, "op6_simhash": op6_simhash,
-           "op8_token_files": op8_token_files, "op10_secrets": op10_secrets}
+QUERIES = {"op1_line_dedup": op1_line_dedup, "op3_licenses": op3_licenses, "op4_packing": op4_packing,
+           "op6_simhash": op6_simhash, "op8_token_files": op8_token_files, "op10_secrets": op10_secrets}
 ORACLE = {"op1_line_dedup": OP1_SQL}
