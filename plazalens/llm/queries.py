@@ -11,6 +11,7 @@ from plazalens.llm.huffman import encode_to_files, read_files, with_crc32
 from plazalens.llm.licenses import scan_licenses
 from plazalens.llm.line_dedup import line_dedup
 from plazalens.llm.packing import pack
+from plazalens.llm.quality import in_fold, learn as learn_quality, score_documents
 from plazalens.llm.secrets import find_secrets, learn, span_text
 from plazalens.llm.simhash import near_dedup
 from plazalens.session import scratch_path
@@ -41,6 +42,16 @@ FROM m GROUP BY doc_id
 """
 
 
+KEEP_SCORE = 0.3
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = score_documents(docs, learn_quality(docs, read_table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", in_fold("doc_id").alias("held_out"), "score",
+                         (F.col("score") >= KEEP_SCORE).cast("int").alias("predicted"))
+
+
 def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(read_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
@@ -75,6 +86,6 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                       span_text(F.col("spans")).alias("spans"))
 
 
-QUERIES = {"op1_line_dedup": op1_line_dedup, "op3_licenses": op3_licenses, "op4_packing": op4_packing,
-           "op6_simhash": op6_simhash, "op8_token_files": op8_token_files, "op10_secrets": op10_secrets}
+QUERIES = {"op1_line_dedup": op1_line_dedup, "op2_quality": op2_quality, "op3_licenses": op3_licenses,
+           "op4_packing": op4_packing, "op6_simhash": op6_simhash, "op8_token_files": op8_token_files, "op10_secrets": op10_secrets}
 ORACLE = {"op1_line_dedup": OP1_SQL}
