@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plazalens.llm.ann import nearest
 from plazalens.llm.common import read_table
 from plazalens.llm.huffman import encode_to_files, read_files, with_crc32
 from plazalens.llm.licenses import scan_licenses
@@ -14,6 +15,7 @@ from plazalens.llm.packing import pack
 from plazalens.llm.quality import in_fold, learn as learn_quality, score_documents
 from plazalens.llm.secrets import find_secrets, learn, span_text
 from plazalens.llm.simhash import near_dedup
+from plazalens.llm.topk import top_products
 from plazalens.session import scratch_path
 
 
@@ -61,6 +63,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                 mode="spaces", end_id=0, window=1024)
 
 
+def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(read_table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, k=10)
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = near_dedup(read_table(spark, sf_dir, "documents"), shingle=3, radius=2)
     return out.select(F.col("id").alias("doc_id"),
@@ -74,6 +80,24 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_crc32(read_files(spark, path)).withColumnRenamed("id", "doc_id")
 
 
+def op9_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_products(read_table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, k=10, scale=1024)
+
+
+OP9_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+q AS (SELECT * FROM v WHERE vec_id % 100 = 0),
+s AS (
+  SELECT q.vec_id AS query_id, v.vec_id,
+         CAST(list_sum(list_transform(range(1, len(q.e) + 1), i -> q.e[i] * v.e[i])) AS BIGINT) AS score
+  FROM q, v WHERE q.vec_id <> v.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     out = find_secrets(docs, learn(docs))
@@ -86,6 +110,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                       span_text(F.col("spans")).alias("spans"))
 
 
-QUERIES = {"op1_line_dedup": op1_line_dedup, "op2_quality": op2_quality, "op3_licenses": op3_licenses,
-           "op4_packing": op4_packing, "op6_simhash": op6_simhash, "op8_token_files": op8_token_files, "op10_secrets": op10_secrets}
-ORACLE = {"op1_line_dedup": OP1_SQL}
+QUERIES = {f.__name__: f for f in (
+    op1_line_dedup, op2_quality, op3_licenses, op4_packing, op5_nearest, op6_simhash, op8_token_files,
+    op9_top_products, op10_secrets)}
+ORACLE = {"op1_line_dedup": OP1_SQL, "op9_top_products": OP9_SQL}
