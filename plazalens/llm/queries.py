@@ -86,12 +86,12 @@ def op9_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP9_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
-  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+  SELECT vec_id, [floor(1024 * CAST(x AS DOUBLE)) for x in embedding] AS e
+  FROM embeddings WHERE embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
 q AS (SELECT * FROM v WHERE vec_id % 100 = 0),
 s AS (
   SELECT q.vec_id AS query_id, v.vec_id,
-         CAST(list_sum(list_transform(range(1, len(q.e) + 1), i -> q.e[i] * v.e[i])) AS BIGINT) AS score
+         CAST(list_dot_product(q.e, v.e) AS BIGINT) AS score
   FROM q, v WHERE q.vec_id <> v.vec_id),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10
