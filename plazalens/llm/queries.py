@@ -15,6 +15,7 @@ from plazalens.llm.packing import pack
 from plazalens.llm.quality import in_fold, learn as learn_quality, score_documents
 from plazalens.llm.secrets import find_secrets, learn, span_text
 from plazalens.llm.simhash import near_dedup
+from plazalens.llm.spm import decode_documents, encode_documents
 from plazalens.llm.topk import top_products
 from plazalens.session import scratch_path
 
@@ -73,6 +74,15 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every whole text and the text that they decode to, as digests."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    tokens = encode_documents(read_table(spark, sf_dir, "documents"), model)
+    return decode_documents(tokens, model).select(
+        F.col("id").alias("doc_id"), "n_tokens", F.crc32("ids").alias("ids_crc32"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token_files")
     encode_to_files(read_table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"),
@@ -111,6 +121,6 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_line_dedup, op2_quality, op3_licenses, op4_packing, op5_nearest, op6_simhash, op8_token_files,
-    op9_top_products, op10_secrets)}
+    op1_line_dedup, op2_quality, op3_licenses, op4_packing, op5_nearest, op6_simhash,
+    op7_sentencepiece, op8_token_files, op9_top_products, op10_secrets)}
 ORACLE = {"op1_line_dedup": OP1_SQL, "op9_top_products": OP9_SQL}
