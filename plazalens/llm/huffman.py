@@ -7,9 +7,10 @@ independent blocks of whole documents with the bit offset of every 256th id.
 A reader decodes a block by table look-up, all of its checkpoints side by side.
 
 File format: a folder with three Parquet tables. ``lengths`` (token, length);
-``blocks`` (part, block, doc_ids, sizes, n_ids, checkpoints, bits): ``bits``
-holds the codes from the highest bit on, ``checkpoints`` 64-bit little-endian
-bit offsets; ``parts`` (part, base): the ids in all earlier parts.
+``blocks`` (part, local, doc_ids, sizes, n_ids, checkpoints, bits): ``local``
+counts the ids before the block in its part, ``bits`` holds the codes from the
+highest bit on, ``checkpoints`` 64-bit little-endian bit offsets; ``parts``
+(part, base): the ids in all earlier parts.
 
 Defined results: a null text is empty and holds the end id alone; null ids
 come first; repeated ids follow each other in the order of their ids' bytes;
@@ -23,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plazalens.llm.common import written
@@ -157,7 +158,7 @@ def write_files(tokens: DataFrame, path: str, block_ids: int = BLOCK_IDS, limit:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, lengths = table.value
-        part, block = TaskContext.get().partitionId(), 0
+        part, local = TaskContext.get().partitionId(), 0
         held: list[tuple] = []
         size = 0
 
@@ -165,10 +166,10 @@ def write_files(tokens: DataFrame, path: str, block_ids: int = BLOCK_IDS, limit:
             ids = np.concatenate([x for _, x in held])
             bits, at = pack_bits(ids, codes, lengths)
             return pa.RecordBatch.from_arrays([
-                pa.array([part], pa.int32()), pa.array([block], pa.int32()),
+                pa.array([part], pa.int32()), pa.array([local], pa.int64()),
                 pa.array([[i for i, _ in held]], pa.list_(id_type)), pa.array([[len(x) for _, x in held]], pa.list_(pa.int64())),
                 pa.array([len(ids)], pa.int64()), pa.array([at[::STEP].astype("<i8").tobytes()], pa.binary()),
-                pa.array([bits], pa.binary())], ["part", "block", "doc_ids", "sizes", "n_ids", "checkpoints", "bits"])
+                pa.array([bits], pa.binary())], ["part", "local", "doc_ids", "sizes", "n_ids", "checkpoints", "bits"])
 
         for b in batches:
             id_type = b.column(0).type
@@ -177,12 +178,12 @@ def write_files(tokens: DataFrame, path: str, block_ids: int = BLOCK_IDS, limit:
                 size += len(held[-1][1])
                 if size >= block_ids:
                     yield flush()
-                    held, size, block = [], 0, block + 1
+                    held, size, local = [], 0, local + size
         if held:
             yield flush()
 
     blocks = (tokens.select("id", "ids").repartitionByRange("id").sortWithinPartitions("id", "ids")
-              .mapInArrow(run, f"part int, block int, doc_ids array<{id_field}>, sizes array<long>, n_ids long,"
+              .mapInArrow(run, f"part int, local long, doc_ids array<{id_field}>, sizes array<long>, n_ids long,"
                                " checkpoints binary, bits binary"))
     blocks.write.option("compression", "uncompressed").parquet(f"{path}/blocks")
     done = spark.read.schema(blocks.schema).parquet(f"{path}/blocks")
@@ -202,11 +203,8 @@ def read_files(spark: SparkSession, path: str) -> DataFrame:
     blocks = spark.read.parquet(f"{path}/blocks")
     id_type = blocks.schema["doc_ids"].dataType.elementType.simpleString()
     parts = spark.read.parquet(f"{path}/parts")
-    # where a block starts: its part's base and the blocks before it, one small row each
-    before = Window.partitionBy("part").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (blocks.select("part", "block", "n_ids").join(F.broadcast(parts), "part")
-              .select("part", "block", (F.col("base") + F.coalesce(F.sum("n_ids").over(before), F.lit(0))).alias("start")))
-    placed = blocks.join(starts, ["part", "block"]).select("doc_ids", "sizes", "n_ids", "checkpoints", "bits", "start")
+    placed = blocks.join(F.broadcast(parts), "part").select(  # one row per writing task
+        "doc_ids", "sizes", "n_ids", "checkpoints", "bits", (F.col("base") + F.col("local")).alias("start"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = Decoder(table.value)
