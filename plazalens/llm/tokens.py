@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from plazalens.llm.common import text_slices
 
+SLICE = 4 << 20  # bytes of text that are encoded at a time
 _WHITE = np.zeros(256, bool)
 _WHITE[[9, 10, 11, 12, 13, 32]] = True
 #: byte strings of special-token brackets, control characters and white space that the modes do not cut at
@@ -75,8 +76,8 @@ class Encoder:
     ``"words"`` drops it, ``"whole"`` makes no assumption.
     """
 
-    def __init__(self, tokenizer_json: str, mode: str, end_id: int, max_pieces: int = 300_000,
-                 max_tokens: int = 500_000):
+    def __init__(self, tokenizer_json: str, mode: str, end_id: int, max_pieces: int = 200_000,
+                 max_tokens: int = 400_000):
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task a core
         from tokenizers import Tokenizer
@@ -101,10 +102,11 @@ class Encoder:
             if self.mode == "spaces":
                 piece = piece[1:] if head == "\0" else piece if head else " " + piece
             return self._library(piece)
-        if self.mode == "spaces":
-            word = core.translate(_BYTE_LEVEL) if head else "\u0120" + core.translate(_BYTE_LEVEL)
-        else:
-            word = core.lower().translate(_BYTE_LEVEL)
+        word = core if self.mode == "spaces" else core.lower()
+        if not word.isascii():
+            word = word.translate(_BYTE_LEVEL)
+        if self.mode == "spaces" and not head:
+            word = "\u0120" + word
         ids = self.tokens.get(word)
         if ids is None:
             ids = array("I", [t.id for t in self.tok.model.tokenize(word)]).tobytes()
@@ -132,7 +134,7 @@ class Encoder:
 
     def encode(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(first, ids, offsets) for runs of texts; each text's ids end with the end id."""
-        for lo, hi, data, offsets in text_slices(column):
+        for lo, hi, data, offsets in text_slices(column, SLICE):
             n = hi - lo
             odd = np.ones(n, bool) if self.mode == "whole" else _odd_texts(data, offsets, self.mode)
             texts = pa.Array.from_buffers(
@@ -156,13 +158,13 @@ class Encoder:
         """The ids of all texts in order, from pieces by number: distinct ones, whole texts, the end id."""
         n_distinct, n = len(distinct), len(odd)
         parts = [*distinct, *wholes, self.end]
-        sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+        sizes = np.fromiter(map(len, parts), np.int32, len(parts)) // 4
         flat = np.frombuffer(b"".join(parts), np.uint32)
-        begins = np.cumsum(sizes) - sizes
+        begins = (np.cumsum(sizes) - sizes).astype(np.int32)
         per_text = np.ones(n, np.int64)
         per_text[~odd] = np.diff(cuts)
         ends = np.cumsum(per_text + 1)  # pieces and the end id
-        order = np.empty(int(ends[-1]), np.int64)
+        order = np.empty(int(ends[-1]), np.int32)
         order[ends - 1] = len(parts) - 1
         slot = np.ones(len(order), bool)
         slot[ends - 1] = False
@@ -171,8 +173,10 @@ class Encoder:
         if coded is not None:
             order[slot] = np.asarray(coded.indices)[cuts[0]:cuts[-1]]
         size = sizes[order]
-        done = np.cumsum(size)
-        ids = flat[np.repeat(begins[order] - (done - size), size) + np.arange(int(done[-1]))]
+        done = np.cumsum(size, dtype=np.int64)
+        at = np.repeat(begins[order] - (done - size).astype(np.int32), size)
+        at += np.arange(len(at), dtype=np.int32)
+        ids = flat[at]
         return ids, np.concatenate(([0], done[ends - 1]))
 
 
