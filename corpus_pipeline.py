@@ -1,12 +1,78 @@
-"""The corpus pipeline: each stage calls one operator of ``plazalens.llm``."""
+"""The corpus pipeline: each stage calls one operator of ``plazalens.llm``.
+
+Documents that the quality classifier rejects go; repeated lines go; of each
+group of near-duplicates the document with the smallest id stays; secrets are
+masked; what is left is packed. Every stage but the last returns the columns
+of ``documents``; ``n_chars`` follows the text where a stage changes it.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from plazalens.llm import quality, secrets
+from plazalens.llm.common import read_table, written
+from plazalens.llm.line_dedup import line_dedup
+from plazalens.llm.packing import pack
+from plazalens.llm.queries import KEEP_SCORE
+from plazalens.llm.simhash import near_dedup
+
+
+def _recounted(docs: DataFrame, like: DataFrame) -> DataFrame:
+    """``docs`` in the columns of ``like``, its n_chars counted again."""
+    if "n_chars" in like.columns:
+        kind = like.schema["n_chars"].dataType
+        docs = docs.withColumn("n_chars", F.char_length("text").cast(kind))
+    return docs.select(like.columns)
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of score ``KEEP_SCORE`` or more under the quality classifier."""
+    model = quality.learn(docs, read_table(spark, sf_dir, "labels"))
+    scored = quality.score_documents(docs, model, score_col="__quality")
+    return scored.filter(F.col("__quality") >= KEEP_SCORE).drop("__quality")
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines found in three documents or more stay in the one of largest id."""
+    return _recounted(line_dedup(docs), docs)
+
+
+def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The row of smallest id of each near-duplicate group; rows without an id cannot be named and stay."""
+    groups = near_dedup(docs, shingle=3, radius=2)
+    first = groups.filter(F.col("id") == F.col("component_id")).select(F.col("id").alias("doc_id"))
+    named = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])  # on the join's partitioning
+    return named.select(docs.columns).unionByName(docs.filter(F.col("doc_id").isNull()))
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every secret replaced by a mask."""
+    return _recounted(secrets.mask_secrets(docs, secrets.learn(docs)), docs)
+
+
+def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Boundary records of the documents in sequences of 1024 tokens."""
+    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"), mode="spaces", end_id=0, window=1024)
+
 
-STAGES = []
-ORACLE_SQL = None
+STAGES = [
+    ("quality classifier", keep_good),
+    ("line dedup", drop_repeated_lines),
+    ("SimHash near-dedup", keep_one_of_each_group),
+    ("secret scans", mask_secrets),
+    ("packing", pack_documents),
+]
+ORACLE_SQL = None  # no stage after the trained classifier can be said in SQL
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """All stages over ``documents``, each written to the shared folder and read again for the next."""
+    docs = read_table(spark, sf_dir, "documents")
+    for k, (name, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if k + 1 < len(STAGES):
+            docs = written(docs, f"stage_{k}")
+    return docs

@@ -31,6 +31,7 @@ BITS = 16
 GRAMS = (3, 4)
 MAX_ROWS = 1000  # training rows per label
 FOLDS = 5
+SLICE = 1 << 20  # bytes of text whose features are made at a time: about 100 bytes of arrays for each
 
 _P = np.uint64(0x9E3779B97F4A7C15)
 _P_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -135,7 +136,7 @@ def learn(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             got = []
-            for _, _, data, offsets in text_slices(b.column(2)):
+            for _, _, data, offsets in text_slices(b.column(2), SLICE):
                 buckets, text = features(data, offsets)
                 buckets = buckets[np.argsort(text, kind="stable")]
                 cuts = np.concatenate(([0], np.cumsum(np.bincount(text, minlength=len(offsets) - 1))))
@@ -157,7 +158,7 @@ def score_documents(docs: DataFrame, model: Model, text_col: str = "text", score
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            scores = [model.scores(data, offsets) for _, _, data, offsets in text_slices(b.column(at))]
+            scores = [model.scores(data, offsets) for _, _, data, offsets in text_slices(b.column(at), SLICE)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.concatenate(scores) if scores else [], pa.float64())],
                                              [*b.schema.names, score_col])
 
