@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from plazalens.llm.common import written
 from plazalens.llm.tokens import encode_documents, part_bases
 
-BLOCK_IDS = 1 << 18
+BLOCK_IDS = 1 << 19
 STEP = 256
 
 
@@ -125,19 +125,19 @@ class Decoder:
 
 
 def id_counts(tokens: DataFrame) -> np.ndarray:
-    """Global counts by id. One partial row per id and task; the driver gets one row per id of the vocabulary."""
+    """Global counts by id, from the runs' tallies. One partial row per id and task; the driver gets one row per id of the vocabulary."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for b in batches:
-            for ids in b.column(0):
-                c = np.bincount(np.frombuffer(ids.as_buffer(), np.uint32))
-                if len(c) > len(total):
-                    total, c = c.astype(np.int64), total
-                total[:len(c)] += c
+            for tally in b.column(0):
+                ids, counts = np.frombuffer(tally.as_buffer(), "<u4").reshape(2, -1).astype(np.int64)
+                if int(ids[-1]) >= len(total):
+                    total = np.append(total, np.zeros(int(ids[-1]) + 1 - len(total), np.int64))
+                total[ids] += counts
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int64)), pa.array(total[used])], ["token", "n"])
 
-    rows = tokens.select("ids").mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    rows = tokens.select("tally").filter("tally is not null").mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     counts = np.zeros(1, np.int64)
     for r in rows.collect():
         if r.token >= len(counts):
@@ -147,7 +147,7 @@ def id_counts(tokens: DataFrame) -> np.ndarray:
 
 
 def write_files(tokens: DataFrame, path: str, block_ids: int = BLOCK_IDS, limit: int = 16) -> None:
-    """Writes ``tokens`` (id, n, ids) in the format above, in ascending id order."""
+    """Writes ``tokens`` (of ``encode_documents``) in the format above, in ascending id order."""
     spark = tokens.sparkSession
     lengths = code_lengths(id_counts(tokens), limit)
     if lengths.max(initial=0) > 25:

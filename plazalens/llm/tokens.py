@@ -193,10 +193,12 @@ def encoder(tokenizer_json: str, mode: str, end_id: int) -> Encoder:
 
 def encode_documents(docs: DataFrame, tokenizer_path: str, mode: str, end_id: int,
                      id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, part, local, n, ids) of every row.
+    """(id, part, local, n, ids, tally) of every row.
 
     ``ids`` are little-endian 32-bit ids ending with ``end_id``, ``part`` the
     task that made the row and ``local`` the ids before it in that task.
+    ``tally`` holds, on the first row of each run of rows, the run's distinct
+    ids and then their counts (32-bit), so counting need not read the ids.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
     with open(tokenizer_path, encoding="utf-8") as f:  # read once on the driver: its size is the vocabulary's
@@ -208,16 +210,19 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, mode: str, end_id: in
         for b in batches:
             for lo, ids, offsets in enc.encode(b.column(1)):
                 n = len(offsets) - 1
+                count = np.bincount(ids)
+                used = np.flatnonzero(count)
+                tally = np.concatenate((used, count[used])).astype("<u4").tobytes()
                 yield pa.RecordBatch.from_arrays([
                     b.column(0).slice(lo, n), pa.array(np.full(n, part, np.int32)),
                     pa.array(offsets[:-1] + local), pa.array(np.diff(offsets)),
                     pa.Array.from_buffers(pa.binary(), n, [
-                        None, pa.py_buffer((offsets * 4).astype(np.int32).tobytes()), pa.py_buffer(ids.tobytes())])],
-                    ["id", "part", "local", "n", "ids"])
+                        None, pa.py_buffer((offsets * 4).astype(np.int32).tobytes()), pa.py_buffer(ids.tobytes())]),
+                    pa.array([tally] + [None] * (n - 1), pa.binary())], ["id", "part", "local", "n", "ids", "tally"])
                 local += int(offsets[-1])
 
     d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
-    return d.mapInArrow(run, f"id {id_type}, part int, local long, n long, ids binary")
+    return d.mapInArrow(run, f"id {id_type}, part int, local long, n long, ids binary, tally binary")
 
 
 def part_bases(tokens: DataFrame) -> DataFrame:
