@@ -147,18 +147,17 @@ def map_state(col: str | Column, states: Iterable[tuple[str, str]] = US_STATES)
     return F.coalesce(F.element_at(state_code_map(states), c), c)
 
 
-def tokens(col: str | Column, letters: str = "a-z") -> Column:
-    """Lower-cased word tokens of a text (L1): runs of ``[letters]``.
+#: a word: letters of any script, with apostrophes inside it ("isn't")
+WORD = r"\p{L}+(?:'\p{L}+)*"
 
-    Splitting on runs of non-letters can leave an empty piece only at the
-    two ends, so the ends are trimmed first instead of filtering the array
-    with a lambda (higher-order functions are not code-generated); a text
-    without letters gives an empty array, a null text a null array.
+
+def tokens(col: str | Column) -> Column:
+    """Lower-cased words of a text (L1), the curly apostrophe read as the straight one.
+
+    A text without letters gives an empty array, a null text a null array.
     """
     c = F.col(col) if isinstance(col, str) else col
-    sep = f"[^{letters}]+"
-    core = F.regexp_replace(F.lower(c), f"^{sep}|{sep}$", "")
-    return F.when(core == "", F.array().cast("array<string>")).otherwise(F.split(core, sep))
+    return F.regexp_extract_all(F.lower(F.replace(c, F.lit("\u2019"), F.lit("'"))), F.lit(WORD), F.lit(0))
 
 
 def tokenize(df: DataFrame, id_col: str, text_col: str = "text") -> DataFrame:

@@ -47,25 +47,3 @@ def anti_keys(df: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> DataFr
     cols = [on] if isinstance(on, str) else list(on)
     return df.join(keys.select(*cols), cols, "left_anti")
 
-
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread CPU-heavy row work when the input has too few splits.
-
-    A large input already has many more splits than cores and is returned
-    unchanged (no shuffle). A small input read as one or two splits (one
-    Parquet row group, one JSON file) would run every narrow step in one or
-    two tasks; it is round-robin repartitioned to the number of cores.
-
-    Call it on a scanned input (scan, filter, project): there the split count
-    is file metadata. On a DataFrame that already contains a shuffle, asking
-    for its partitions would run the shuffle stages under AQE.
-    """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    # Hash of a per-row id: spreads evenly whatever the keys (a hot key or a
-    # heap of identical rows is split too), and unlike a round-robin
-    # repartition it needs no local sort to stay deterministic when a task is
-    # retried (the id depends only on the input split and the row position).
-    rid = "__plazalens_row"
-    return df.withColumn(rid, F.monotonically_increasing_id()).repartition(target, rid).drop(rid)

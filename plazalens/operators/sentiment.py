@@ -20,7 +20,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plazalens.functions.text import tokens
+from plazalens.functions.text import escape_regex, tokens
 from plazalens.operators.join import maybe_broadcast
 from plazalens.schemas import (
     BOOSTER_DAMPING,
@@ -42,12 +42,32 @@ SUM_EPSILON = 1e-9  # far below any real valence sum, far above summation noise
 LEXICON_MAX_ROWS = 1_000_000  # a (token, valence) hash table of tens of MB per executor
 
 
+def _lexicon_lines(spark: SparkSession, path: str, sep: str) -> DataFrame:
+    """(line, token, valence) of every non-blank line; a valence that is no number is null."""
+    lines = spark.read.text(path).withColumnRenamed("value", "line").filter(F.trim("line") != "")
+    fields = F.split("line", escape_regex(sep), -1)
+    return lines.select("line", F.nullif(F.lower(F.trim(F.get(fields, F.lit(0)))), F.lit("")).alias("token"),
+                        F.trim(F.get(fields, F.lit(1))).try_cast("double").alias("valence"))
+
+
 def read_lexicon(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
-    """Lexicon file: one ``token<sep>valence`` per line, extra fields ignored (L2)."""
-    raw = spark.read.option("sep", sep).option("mode", "DROPMALFORMED").csv(path)
-    # try_cast: a malformed valence drops the line instead of failing (ANSI)
-    return raw.select(F.lower(F.col("_c0")).alias("token"),
-                      F.col("_c1").try_cast("double").alias("valence")).na.drop()
+    """Lexicon file: one ``token<sep>valence`` per line, extra fields ignored (L2).
+
+    Lines that are not of this form are left out here and reported by
+    :func:`lexicon_rejects`; a repeated token is resolved by :func:`unique_lexicon`.
+    """
+    return unique_lexicon(_lexicon_lines(spark, path, sep).select("token", "valence").na.drop())
+
+
+def lexicon_rejects(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
+    """The non-blank lines that :func:`read_lexicon` leaves out."""
+    return _lexicon_lines(spark, path, sep).filter("token IS NULL OR valence IS NULL").select("line")
+
+
+def unique_lexicon(lexicon: DataFrame) -> DataFrame:
+    """One row per lower-cased token: of several, the valence of largest size (then the larger)."""
+    return (lexicon.select(F.lower("token").alias("token"), F.struct(F.abs("valence"), "valence").alias("v"))
+            .groupBy("token").agg(F.max("v").alias("v")).select("token", "v.valence"))
 
 
 def lexicon_frame(spark: SparkSession, entries: Iterable[tuple[str, float]]) -> DataFrame:
@@ -115,8 +135,9 @@ def sentiment_scores(
     round_to: int | None = None,
     contrast: str | None = None,
     punctuation: bool = False,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """(id, sentiment_score) for every review; null text -> null score.
+    """(id, ``keep`` columns, sentiment_score), one row for every review; null text -> null score.
 
     ``negators`` / ``boosters`` switch on the rules of the three preceding
     tokens (L4): a booster adds +-scalar (sign follows the valence), damped
@@ -125,11 +146,10 @@ def sentiment_scores(
     occurrence of that word and multiplies those after it by 1.5;
     ``punctuation`` adds the '!'/'?' emphasis to a non-zero sum.
 
-    ``id_col`` must identify rows: token sums are grouped by it, so two rows
-    sharing an id are scored as one text. The reference's gold review key
-    ``user_id || gmap_id`` repeats for repeat reviews (D11); score such a
-    table by a unique key (``review_key(..., sep=...)`` with the date, or a
-    key assigned when the table is written).
+    Ids may repeat, as the gold review key does (D11): token sums are grouped
+    by id and a 128-bit hash of the text; rows that share both have one score,
+    which is given once for each of them. Of a token that the lexicon lists
+    twice the valence of largest size counts.
     """
     rules = bool(negators) or bool(boosters)
     toks = tokens(text_col)
@@ -138,25 +158,28 @@ def sentiment_scores(
         extra.append(F.array_position(toks, contrast.lower()).alias("_cpos"))
     if punctuation:
         extra.append(punctuation_emphasis(F.col(text_col)).alias("_amp"))
-    base = reviews.select(F.col(id_col).alias("_id"), F.col(text_col).isNull().alias("_null"),
-                          toks.alias("_t"), *extra)
+    kept = [f"_k{i}" for i in range(len(keep))]
+    text = F.col(text_col)
+    base = reviews.select(F.col(id_col).alias("_id"), *[F.col(c).alias(k) for c, k in zip(keep, kept)],
+                          text.isNull().alias("_null"), F.xxhash64(text).alias("_h1"),
+                          F.xxhash64(F.lit(1), text).alias("_h2"), toks.alias("_t"), *extra)
+    key = ["_id", *kept, "_null", "_h1", "_h2"]
     carry = [c for c in ("_cpos", "_amp") if c in base.columns]  # per-text values
+    exploded = base.select(*key, "_t", *carry, F.posexplode_outer("_t").alias("_pos", "token"))
     if rules or contrast:
         # preceding tokens by index into the same array; inside the fused
         # stage the array is referenced, not copied per token
-        exploded = base.select("_id", "_null", "_t", *carry,
-                               F.posexplode_outer("_t").alias("_pos", "token"))
         exploded = exploded.select(
-            "_id", "_null", "token", "_pos", *carry,
+            *key, "token", "_pos", *carry,
             *[F.get(F.col("_t"), F.col("_pos") - k).alias(f"p{k}") for k in (1, 2, 3)])
     else:
-        exploded = base.select("_id", "_null", *carry, F.explode_outer("_t").alias("token"))
+        exploded = exploded.drop("_t")
 
-    lex = maybe_broadcast(lexicon.select("token", "valence"), LEXICON_MAX_ROWS)
+    lex = maybe_broadcast(unique_lexicon(lexicon.select("token", "valence")), LEXICON_MAX_ROWS)
     scored = exploded.join(lex, "token", "left")
     v = F.col("valence")
     if rules:
-        boosters = [(w.lower(), float(x)) for w, x in (boosters or [])]
+        boosters = list({w.lower(): float(x) for w, x in (boosters or [])}.items())  # the last of a repeated word
         neg = [w.lower() for w in (negators or [])]
         if boosters:
             # a booster word carries no valence of its own
@@ -180,31 +203,35 @@ def sentiment_scores(
                    .when((F.col("_cpos") > 0) & (F.col("_pos") > c0), F.lit(CONTRAST_AFTER))
                    .otherwise(F.lit(1.0)))
         v = v * factor
-    aggs = [F.sum(F.coalesce(v, F.lit(0.0))).alias("_s"), F.bool_or("_null").alias("_isnull")]
+    # a row starts at its first token (or its only, empty one)
+    aggs = [F.sum(F.coalesce(v, F.lit(0.0))).alias("_s"),
+            F.count_if(F.coalesce(F.col("_pos"), F.lit(0)) == 0).alias("_rows")]
     if punctuation:
         aggs.append(F.max("_amp").alias("_amp"))
-    agg = scored.groupBy("_id").agg(*aggs)
-    s_col = F.col("_s")
+    agg = scored.groupBy(*key).agg(*aggs)
+    s_col = F.col("_s") / F.col("_rows")
     if punctuation:
         # The sign test ignores summation noise: a sum that is zero in exact
         # arithmetic can come out as +-1e-16 depending on the order of the
         # additions, and must not be amplified to +-1.168.
         s_col = (F.when(s_col > SUM_EPSILON, s_col + F.col("_amp"))
                   .when(s_col < -SUM_EPSILON, s_col - F.col("_amp")).otherwise(s_col))
-    score = F.when(F.col("_isnull"), F.lit(None).cast("double")).otherwise(compound(s_col, alpha))
+    score = F.when(F.col("_null"), F.lit(None).cast("double")).otherwise(compound(s_col, alpha))
     if round_to is not None:
         # + 0.0 turns a rounded -0.0 into 0.0
         score = F.round(score, round_to) + F.lit(0.0)
-    return agg.select(F.col("_id").alias(id_col), score.alias("sentiment_score"))
+    one = agg.select(*key, "_rows", score.alias("sentiment_score"))
+    return one.select(F.col("_id").alias(id_col), *[F.col(k).alias(c) for c, k in zip(keep, kept)], "sentiment_score",
+                      F.explode(F.sequence(F.lit(1), F.col("_rows"))).alias("_row")).drop("_row")
 
 
 def sentiment_table(reviews: DataFrame, lexicon: DataFrame, id_col: str = "review_id",
-                    text_col: str = "text", parity: bool = False, **kw) -> DataFrame:
-    """(review_id, sentiment_score double, sentiment)."""
-    s = sentiment_scores(reviews, lexicon, id_col, text_col, **kw)
+                    text_col: str = "text", parity: bool = False, keep: Sequence[str] = (), **kw) -> DataFrame:
+    """(review_id, sentiment_score double, sentiment, ``keep`` columns), a row for each review."""
+    s = sentiment_scores(reviews, lexicon, id_col, text_col, keep=keep, **kw)
     return s.select(F.col(id_col).alias("review_id"),
                     F.col("sentiment_score").cast("double").alias("sentiment_score"),
-                    label(F.col("sentiment_score"), parity).alias("sentiment"))
+                    label(F.col("sentiment_score"), parity).alias("sentiment"), *keep)
 
 
 def extremes(table: DataFrame, n: int, highest: bool, score_col: str = "sentiment_score",

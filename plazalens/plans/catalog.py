@@ -62,7 +62,7 @@ from plazalens.plans.sql_text import (
     silver_reviews_sql,
     sql_str,
 )
-from plazalens.plans.derived import YB_SQL, YR_SQL
+from plazalens.plans.derived import TOKENS_SQL, YB_SQL, YR_SQL
 from plazalens.plans.incremental import run_incremental
 from plazalens.schemas import (
     CONTRACTS,
@@ -422,7 +422,7 @@ _BOOST_SQL = f"boost AS (SELECT * FROM {_values(DEMO_BOOSTERS, 'b(token, scalar)
 
 _SCORE_SIMPLE_SQL = f"""{TX_SQL},
 {_LEX_SQL},
-toks AS (SELECT review_id, unnest(list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda x: x <> '')) AS token FROM tx),
+toks AS (SELECT review_id, unnest({TOKENS_SQL}) AS token FROM tx),
 sums AS (SELECT t.review_id, sum(coalesce(l.valence, 0)) AS s FROM toks t LEFT JOIN lex l ON t.token = l.token GROUP BY t.review_id),
 score AS (SELECT tx.review_id, CASE WHEN tx.text IS NULL THEN NULL
               ELSE round(coalesce(sums.s, 0) / sqrt(coalesce(sums.s, 0) * coalesce(sums.s, 0) + 15), 6) + 0.0 END AS sentiment_score
@@ -441,7 +441,7 @@ def _score_rules_sql(contrast: str | None = None, punctuation: bool = False) ->
     return f"""{TX_SQL},
 {_LEX_SQL}, {_NEG_SQL}, {_BOOST_SQL},
 arr AS (SELECT review_id, l, {cpos} AS cpos
-        FROM (SELECT review_id, list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda x: x <> '') AS l FROM tx)),
+        FROM (SELECT review_id, {TOKENS_SQL} AS l FROM tx)),
 toks AS (SELECT review_id, cpos, unnest(l) AS token, generate_subscripts(l, 1) AS pos FROM arr),
 w AS (SELECT review_id, pos, cpos, token,
              lag(token, 1) OVER win AS p1, lag(token, 2) OVER win AS p2, lag(token, 3) OVER win AS p3
@@ -491,7 +491,7 @@ def _sentiment_table(spark, sf):
 
 
 @query("tokenize", f"""WITH {TX_SQL},
-arr AS (SELECT review_id, list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda x: x <> '') AS l FROM tx)
+arr AS (SELECT review_id, {TOKENS_SQL} AS l FROM tx)
 SELECT review_id, CAST(generate_subscripts(l, 1) - 1 AS INTEGER) AS pos, unnest(l) AS token FROM arr""")
 def q_tokenize(spark, sf):
     return tokenize(dv.texts(spark, sf), "review_id", "text")
@@ -849,6 +849,30 @@ def q_sentiment_lexicon_file(spark, sf):
     return sentiment_scores(dv.texts(spark, sf), lex, round_to=6)
 
 
+# Words of the derived review texts ("flag X status Y"), so that scores differ.
+REVIEW_LEXICON = [("flag", 0.4), ("status", -0.2), ("r", 1.6), ("a", -1.9), ("n", 0.8), ("o", 2.1), ("f", -1.3),
+                  ("unknown", -0.1)]
+
+# the gold rows are numbered before they are scored: their key repeats
+_SENTIMENT_GOLD_SQL = f"""WITH {silver_places_sql()},
+{silver_reviews_sql()},
+lex AS (SELECT * FROM {_values(REVIEW_LEXICON, 'l(token, valence)')}),
+tx AS (SELECT row_number() OVER () AS rid, user_id || gmap_id AS review_id, substring(text, 1, 7000) AS text
+       FROM gsr WHERE gmap_id IN (SELECT gmap_id FROM gsp)),
+toks AS (SELECT rid, unnest({TOKENS_SQL}) AS token FROM tx),
+sums AS (SELECT rid, sum(coalesce(valence, 0)) AS s FROM toks LEFT JOIN lex ON toks.token = lex.token GROUP BY rid),
+score AS (SELECT review_id, round(coalesce(s, 0) / sqrt(coalesce(s, 0) * coalesce(s, 0) + 15), 6) + 0.0 AS sentiment_score
+          FROM tx LEFT JOIN sums ON tx.rid = sums.rid)
+SELECT review_id, sentiment_score, {_LABEL_SQL} AS sentiment FROM score"""
+
+
+@query("sentiment_gold_reviews", _SENTIMENT_GOLD_SQL)
+def q_sentiment_gold_reviews(spark, sf):
+    """R3 on the gold reviews: one sentiment row per review, though keys repeat."""
+    gold = md.gold_google_reviews(silver_reviews(spark, sf), gold_places(spark, sf))
+    return sentiment_table(gold, lexicon_frame(spark, REVIEW_LEXICON), round_to=6)
+
+
 @query("dim_state", f"""WITH {silver_places_sql()},
 c AS (SELECT state, count(*) AS places FROM gsp GROUP BY state)
 SELECT dim_state.state_id, dim_state.code AS state, dim_state.sname AS name, coalesce(c.places, 0) AS places

@@ -7,7 +7,7 @@ exactly and the work grows with the tables:
 
 * ``places_raw``   (PL) - one place per part;
 * ``reviews_raw``  (RV) - one review per line item, with derived nulls;
-* ``texts``        (TX) - English documents as review texts;
+* ``texts``        (TX) - documents as review texts;
 * ``events_raw``   (EV) - events as epoch-millisecond records.
 """
 
@@ -16,18 +16,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plazalens.operators.join import ensure_parallelism
 
-
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
-    """A driver table, spread over the cores when it is read as fewer splits.
-
-    The test tables are single Parquet row groups, so without this every
-    narrow step before the first shuffle runs in one task. At scale the scan
-    has many more splits than cores and nothing is added.
-    """
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return ensure_parallelism(df) if spread else df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 # Address endings by p_partkey % 5 and the state code each one denotes.
@@ -102,12 +94,8 @@ def reviews_raw(spark: SparkSession, sf_dir: str, with_unit: bool = False) -> Da
 
 
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """TX: English documents as review texts (review_id, text)."""
-    d = table(spark, sf_dir, "documents", spread=False)
-    tx = d.filter(F.col("lang") == "en").select(
-        F.col("doc_id").cast("string").alias("review_id"), "text")
-    # tokenising is CPU heavy: do not leave it to one or two scan tasks
-    return ensure_parallelism(tx)
+    """TX: documents as review texts (review_id, text)."""
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("review_id"), "text")
 
 
 def events_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,7 +143,10 @@ RV_SQL = """rv AS (
   FROM lineitem)"""
 
 TX_SQL = """tx AS (
-  SELECT CAST(doc_id AS VARCHAR) AS review_id, text FROM documents WHERE lang = 'en')"""
+  SELECT CAST(doc_id AS VARCHAR) AS review_id, text FROM documents)"""
+
+# the words of a text column ``text``
+TOKENS_SQL = r"regexp_extract_all(lower(replace(text, chr(8217), '''')), '\p{L}+(?:''\p{L}+)*')"
 
 EV_SQL = """ev AS (
   SELECT event_id, user_id, event_type, value, props, epoch_us(ts) // 1000 AS time FROM events)"""

@@ -2,7 +2,8 @@
 
 On a cluster the session is created by the platform and already names a
 shared ``spark.checkpoint.dir``; we only read it. Tests and local runs have
-no such setting, so :func:`scratch_root` creates one under ``/tmp`` there.
+no such setting, so :func:`scratch_root` creates one under ``/tmp`` there; off
+a local master a missing setting is an error, as executors would not share it.
 """
 
 from __future__ import annotations
@@ -76,8 +77,8 @@ def scale_conf(shuffle_bytes: int, target_partition_bytes: int = 256 << 20,
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and layer tables.
 
-    Read from ``spark.checkpoint.dir``; only when it is unset (tests, local
-    runs) a fresh local folder is created and registered.
+    Read from ``spark.checkpoint.dir``; only when it is unset on a local master
+    (tests) a fresh local folder is created and registered.
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None)
@@ -87,6 +88,8 @@ def scratch_root(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - unset key
             root = None
     if not root:
+        if not sc.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="plazalens-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", root)
     if sc.getCheckpointDir() is None:

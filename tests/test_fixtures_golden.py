@@ -150,6 +150,22 @@ def test_sentiment_fixture(spark, text, score, lab):
         assert round(r.sentiment_score, 4) == score and r.l == lab
 
 
+def test_contracted_negation_and_accents(spark):
+    df = spark.createDataFrame([("1", "This isn't good"), ("2", "This isn\u2019t good"), ("3", "not good"), ("4", "caf\u00e9good")],
+                               "review_id string, text string")
+    got = {r.review_id: round(r.sentiment_score, 4) for r in sentiment_scores(
+        df, lexicon_frame(spark, LEX), negators=["not", "isn't"]).collect()}
+    assert got == {"1": -0.3412, "2": -0.3412, "3": -0.3412, "4": 0.0}
+
+
+def test_repeated_ids_keep_their_own_rows(spark):
+    df = spark.createDataFrame([("k", "good"), ("k", "bad bad"), ("k", "good"), ("k", None), ("k", None), ("k", "")],
+                               "review_id string, text string")
+    got = sentiment_scores(df, lexicon_frame(spark, LEX)).collect()
+    assert sorted(str(r.sentiment_score and round(r.sentiment_score, 4)) for r in got) == sorted(
+        ["0.4404", "0.4404", "-0.7906", "None", "None", "0.0"])
+
+
 def test_label_boundaries(spark):
     df = spark.createDataFrame([(0.3,), (0.2999,), (-0.3,), (-0.2999,), (None,)], "s double")
     assert [r[0] for r in df.select(label(F.col("s"))).collect()] == \

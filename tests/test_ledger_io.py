@@ -114,14 +114,16 @@ def test_read_lexicon_file(spark):
     assert got == {"good": 1.9, "bad": -2.5}
 
 
-def test_ensure_parallelism(spark):
-    from plazalens.operators.join import ensure_parallelism
-    one = spark.range(100).coalesce(1)
-    spread = ensure_parallelism(one, 4)
-    assert spread.rdd.getNumPartitions() == 4
-    assert sorted(r.id for r in spread.collect()) == list(range(100))
-    many = spark.range(0, 100, 1, 8)
-    assert ensure_parallelism(many, 4) is many  # enough splits: unchanged, no shuffle
+def test_lexicon_rejects_and_repeats(spark):
+    from plazalens.operators.sentiment import lexicon_frame, lexicon_rejects, read_lexicon, sentiment_scores
+    path = scratch_path(spark, "t-lex2")
+    spark.createDataFrame([("Good\t1.9",), ("good\t-0.5",), ("broken line",), ("nan\tx",), ("",), ("\t2.0",)],
+                          "v string").coalesce(1).write.text(path)
+    assert {r.token: r.valence for r in read_lexicon(spark, path).collect()} == {"good": 1.9}
+    assert sorted(r.line for r in lexicon_rejects(spark, path).collect()) == ["\t2.0", "broken line", "nan\tx"]
+    one = spark.createDataFrame([("1", "good")], "review_id string, text string")
+    twice = lexicon_frame(spark, [("Good", 1.9), ("good", 1.9)])
+    assert round(sentiment_scores(one, twice).first().sentiment_score, 4) == 0.4404
 
 
 def test_units_with_special_names(spark):
