@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plazalens.llm.common import written
-from plazalens.llm.tokens import encode_documents, part_bases
+from plazalens.llm.tokens import encode_documents, id_dtype_of, part_bases
 
 BLOCK_IDS = 1 << 19
 STEP = 256
@@ -146,8 +146,8 @@ def id_counts(tokens: DataFrame) -> np.ndarray:
     return counts
 
 
-def write_files(tokens: DataFrame, path: str, block_ids: int = BLOCK_IDS, limit: int = 16) -> None:
-    """Writes ``tokens`` (of ``encode_documents``) in the format above, in ascending id order."""
+def write_files(tokens: DataFrame, path: str, dtype: np.dtype, block_ids: int = BLOCK_IDS, limit: int = 16) -> None:
+    """Writes ``tokens`` (of ``encode_documents``) in the format above, in ascending id order; ``dtype`` is that of the ids."""
     spark = tokens.sparkSession
     lengths = code_lengths(id_counts(tokens), limit)
     if lengths.max(initial=0) > 25:
@@ -174,7 +174,7 @@ def write_files(tokens: DataFrame, path: str, block_ids: int = BLOCK_IDS, limit:
         for b in batches:
             id_type = b.column(0).type
             for i, ids in zip(b.column(0).to_pylist(), b.column(1)):
-                held.append((i, np.frombuffer(ids.as_buffer(), np.uint32)))
+                held.append((i, np.frombuffer(ids.as_buffer(), dtype)))
                 size += len(held[-1][1])
                 if size >= block_ids:
                     yield flush()
@@ -232,7 +232,8 @@ def with_crc32(documents: DataFrame) -> DataFrame:
 def encode_to_files(docs: DataFrame, path: str, tokenizer_path: str, mode: str = "words", end_id: int = 1,
                     id_col: str = "doc_id", text_col: str = "text") -> None:
     """Tokenizes every whole text and writes the ids in ascending id order."""
-    write_files(written(encode_documents(docs, tokenizer_path, mode, end_id, id_col, text_col), "token_ids"), path)
+    write_files(written(encode_documents(docs, tokenizer_path, mode, end_id, id_col, text_col), "token_ids"), path,
+                id_dtype_of(tokenizer_path))
 
 
 __all__ = ["code_lengths", "canonical_codes", "pack_bits", "Decoder", "write_files", "read_files", "with_crc32",

@@ -16,16 +16,17 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plazalens.llm.common import written
-from plazalens.llm.tokens import encode_documents, part_bases
+from plazalens.llm.tokens import encode_documents, id_dtype_of, part_bases
 
 
-def cut_windows(tokens: DataFrame, window: int = 1024) -> DataFrame:
-    """One row per piece of ``tokens`` (id, part, local, n, ids) in fixed windows."""
+def cut_windows(tokens: DataFrame, dtype: np.dtype, window: int = 1024) -> DataFrame:
+    """One row per piece of ``tokens`` (of ``encode_documents``) in fixed windows; ``dtype`` is that of the ids."""
     id_type = tokens.schema["id"].dataType.simpleString()
     # one row per task of the first pass, so the broadcast is as small as the task list
     placed = tokens.join(F.broadcast(part_bases(tokens)), "part").select(
@@ -35,7 +36,7 @@ def cut_windows(tokens: DataFrame, window: int = 1024) -> DataFrame:
         for b in batches:
             rows, cols = [], [[] for _ in range(6)]
             for k, (at, ids) in enumerate(zip(b.column(1).to_pylist(), b.column(2))):
-                ids = memoryview(ids.as_buffer())
+                ids = memoryview(np.frombuffer(ids.as_buffer(), dtype).astype("<u4").tobytes())
                 n, start = len(ids) // 4, 0
                 while start < n:
                     offset = (at + start) % window
@@ -57,4 +58,4 @@ def pack(docs: DataFrame, tokenizer_path: str, mode: str = "spaces", end_id: int
          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Boundary records (doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset) of all documents."""
     return cut_windows(written(encode_documents(docs, tokenizer_path, mode, end_id, id_col, text_col), "packing"),
-                       window)
+                       id_dtype_of(tokenizer_path), window)

@@ -12,7 +12,6 @@ through the library whole.
 from __future__ import annotations
 
 import re
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,8 +38,9 @@ def _odd_texts(data: np.ndarray, offsets: np.ndarray, mode: str) -> np.ndarray:
     """Texts that must not be cut at white space (a superset), from their bytes."""
     raw = data.tobytes()
     odd = np.zeros(len(offsets), bool)
+    general = b"\xe2\x80" in raw  # where most of the signs start
     for sign in _ODD + (_ODD_SPACES if mode == "spaces" else []):
-        if len(sign) == 3 and sign[:2] not in raw:
+        if sign[:2] == b"\xe2\x80" and not general:
             continue
         k = raw.find(sign)
         while k >= 0:
@@ -68,6 +68,16 @@ def _byte_level() -> dict[int, str]:
 _BYTE_LEVEL = _byte_level()
 
 
+def id_dtype(vocabulary_size: int) -> np.dtype:
+    """Little-endian type of the stored ids: 16 bits where the vocabulary fits."""
+    return np.dtype("<u2" if vocabulary_size <= 1 << 16 else "<u4")
+
+
+def id_dtype_of(tokenizer_path: str) -> np.dtype:
+    from tokenizers import Tokenizer
+    return id_dtype(Tokenizer.from_file(tokenizer_path).get_vocab_size())
+
+
 class Encoder:
     """Whole-text encoder over one tokenizer.
 
@@ -77,19 +87,20 @@ class Encoder:
     """
 
     def __init__(self, tokenizer_json: str, mode: str, end_id: int, max_pieces: int = 200_000,
-                 max_tokens: int = 400_000):
+                 max_tokens: int = 700_000):
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task a core
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_str(tokenizer_json)
         self.mode, self.max_pieces, self.max_tokens = mode, max_pieces, max_tokens
-        self.end = np.array([end_id], np.uint32).tobytes()
+        self.dtype = id_dtype(self.tok.get_vocab_size())
+        self.end = np.array([end_id], self.dtype).tobytes()
         self.pieces: dict[str, bytes] = {}
         self.tokens: dict[str, bytes] = {}
         self.line_break = self._library("\n") if mode == "spaces" else b""
 
     def _library(self, piece: str) -> bytes:
-        return array("I", self.tok.encode(piece, add_special_tokens=False).ids).tobytes()
+        return np.array(self.tok.encode(piece, add_special_tokens=False).ids, self.dtype).tobytes()
 
     def _piece(self, piece: str) -> bytes:
         """Ids of a piece; NUL or a line break at its head means that no space stands before it.
@@ -109,7 +120,7 @@ class Encoder:
             word = "\u0120" + word
         ids = self.tokens.get(word)
         if ids is None:
-            ids = array("I", [t.id for t in self.tok.model.tokenize(word)]).tobytes()
+            ids = np.array([t.id for t in self.tok.model.tokenize(word)], self.dtype).tobytes()
             if len(self.tokens) < self.max_tokens:
                 self.tokens[word] = ids
         if tail:
@@ -150,7 +161,7 @@ class Encoder:
             coded = split.values.dictionary_encode() if len(plain) else None
             cuts = np.asarray(split.offsets) if len(plain) else np.zeros(1, np.int64)
             distinct = self._ids_of(coded.dictionary.to_pylist()) if len(plain) else []
-            wholes = [np.array(e.ids, np.uint32).tobytes() for e in self.tok.encode_batch(
+            wholes = [np.array(e.ids, self.dtype).tobytes() for e in self.tok.encode_batch(
                 texts.filter(pa.array(odd)).to_pylist(), add_special_tokens=False)] if odd.any() else []
             yield lo, *self._join(odd, coded, cuts, distinct, wholes)
 
@@ -158,8 +169,8 @@ class Encoder:
         """The ids of all texts in order, from pieces by number: distinct ones, whole texts, the end id."""
         n_distinct, n = len(distinct), len(odd)
         parts = [*distinct, *wholes, self.end]
-        sizes = np.fromiter(map(len, parts), np.int32, len(parts)) // 4
-        flat = np.frombuffer(b"".join(parts), np.uint32)
+        sizes = np.fromiter(map(len, parts), np.int32, len(parts)) // self.dtype.itemsize
+        flat = np.frombuffer(b"".join(parts), self.dtype)
         begins = (np.cumsum(sizes) - sizes).astype(np.int32)
         per_text = np.ones(n, np.int64)
         per_text[~odd] = np.diff(cuts)
@@ -195,7 +206,7 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, mode: str, end_id: in
                      id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, part, local, n, ids, tally) of every row.
 
-    ``ids`` are little-endian 32-bit ids ending with ``end_id``, ``part`` the
+    ``ids`` are ids of type ``id_dtype_of(tokenizer_path)`` ending with ``end_id``, ``part`` the
     task that made the row and ``local`` the ids before it in that task.
     ``tally`` holds, on the first row of each run of rows, the run's distinct
     ids and then their counts (32-bit), so counting need not read the ids.
@@ -217,7 +228,7 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, mode: str, end_id: in
                     b.column(0).slice(lo, n), pa.array(np.full(n, part, np.int32)),
                     pa.array(offsets[:-1] + local), pa.array(np.diff(offsets)),
                     pa.Array.from_buffers(pa.binary(), n, [
-                        None, pa.py_buffer((offsets * 4).astype(np.int32).tobytes()), pa.py_buffer(ids.tobytes())]),
+                        None, pa.py_buffer((offsets * ids.itemsize).astype(np.int32).tobytes()), pa.py_buffer(ids.tobytes())]),
                     pa.array([tally] + [None] * (n - 1), pa.binary())], ["id", "part", "local", "n", "ids", "tally"])
                 local += int(offsets[-1])
 
