@@ -22,7 +22,6 @@ from __future__ import annotations
 
 import heapq
 import re
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +33,9 @@ from plazalens.llm.common import text_slices
 
 MARK = "▁"  # stands for a space
 ROUNDS = 48
+SORTED = 2  # the suffix array is sorted by so many times 8 bytes
+GROUP = 1 << 18  # bytes of chunks that are indexed at a time: about 400 bytes of arrays for each
+SLICE = 1 << 20  # bytes of text whose chunks are looked up at a time
 _CHUNK = re.compile(f"{MARK}+[^{MARK}]*")
 _SEPARATOR = 0xFF
 
@@ -77,7 +79,7 @@ def _keys(data: np.ndarray, reach: int) -> np.ndarray:
 def suffix_array(data: np.ndarray, keys: np.ndarray, depth: int) -> np.ndarray:
     """Positions sorted by the ``depth`` bytes that follow (prefix doubling from 8 bytes on)."""
     n = len(data)
-    order = np.argsort(keys[:n], kind="stable")
+    order = np.argsort(keys[:n])
     covered = 8
     rank = np.zeros(n, np.int64)
     rank[order] = np.concatenate(([0], np.cumsum(keys[order[1:]] != keys[order[:-1]])))
@@ -85,7 +87,7 @@ def suffix_array(data: np.ndarray, keys: np.ndarray, depth: int) -> np.ndarray:
         after = np.zeros(n, np.int64)
         after[:max(0, n - covered)] = rank[covered:] + 1
         both = (rank << 32) | after
-        order = np.argsort(both, kind="stable")
+        order = np.argsort(both)
         new = np.zeros(n, np.int64)
         new[order] = np.concatenate(([0], np.cumsum(both[order[1:]] != both[order[:-1]])))
         rank, covered = new, covered * 2
@@ -96,11 +98,12 @@ class Matcher:
     """Finds all occurrences of all pieces in a text by binary search over its suffix array."""
 
     def __init__(self, vocabulary: Vocabulary):
-        self.byte_ids = vocabulary.byte_ids
+        self.byte_ids = np.array(vocabulary.byte_ids)
         pieces = [p for p, _, _ in vocabulary.pieces]
         self.size = np.array([len(p) for p in pieces])
         self.ids = np.array([i for _, i, _ in vocabulary.pieces])
         self.score = np.array([s for _, _, s in vocabulary.pieces])
+        self.rank = np.unique(-self.score, return_inverse=True)[1]  # 0 for the highest score
         self.single = np.array([len(p.decode()) == 1 for p in pieces])
         self.levels = -(-int(self.size.max()) // 8)
         width = self.levels * 8
@@ -123,11 +126,11 @@ class Matcher:
     def edges(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(start, piece number) of every occurrence, by position."""
         keys = _keys(data, self.levels * 8)
-        order = suffix_array(data, keys, int(self.size.max()))
+        order = suffix_array(data, keys, 8 * SORTED)
         first = keys[order]
         lo = np.searchsorted(first, self.low[:, 0], side="left")
         hi = np.searchsorted(first, self.high[:, 0], side="right")
-        for level in range(1, self.levels):
+        for level in range(1, min(SORTED, self.levels)):
             deep = np.flatnonzero((self.size > 8 * level) & (lo < hi))
             if not len(deep):
                 break
@@ -137,7 +140,13 @@ class Matcher:
         n = np.maximum(0, hi - lo)
         piece = np.repeat(np.arange(len(n)), n)
         start = order[np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
-        by_place = np.argsort(start, kind="stable")
+        for level in range(SORTED, self.levels):  # what the sorting left open of the few longer pieces
+            deep = np.flatnonzero(self.size[piece] > 8 * level)
+            at, which = keys[start[deep] + 8 * level], piece[deep]
+            keep = np.ones(len(start), bool)
+            keep[deep] = (at >= self.low[which, level]) & (at <= self.high[which, level])
+            start, piece = start[keep], piece[keep]
+        by_place = np.argsort(start)
         return start[by_place], piece[by_place]
 
     def encode(self, chunks: list[str]) -> list[bytes]:
@@ -159,15 +168,16 @@ class Matcher:
         one = self.single[piece]
         token[start[one]] = self.ids[piece[one]]
         start, piece = start[~one], piece[~one]
-        stop, score = start + self.size[piece], self.score[piece]
+        stop = start + self.size[piece]
         chunk = np.searchsorted(ends, start)
         chars = np.diff(np.concatenate(([0], np.cumsum(is_head)[ends])))
         long = chars[chunk] > ROUNDS
         for c in np.unique(chunk[long]).tolist():
             own = slice(*np.searchsorted(chunk, [c, c + 1]))
             self._relax_long(start[own], stop[own], piece[own], after, token, is_head, int(begins[c]), int(ends[c]))
-        start, stop, piece, score, chunk = (x[~long] for x in (start, stop, piece, score, chunk))
-        order = np.lexsort((start, -score, chunk))
+        start, stop, piece, chunk = (x[~long] for x in (start, stop, piece, chunk))
+        # by chunk, score and place, in one number: a short chunk's places fit in 8 bits
+        order = np.argsort(((chunk * len(self.score) + self.rank[piece]) << 8) | (start - begins[chunk]))
         start, stop, piece, chunk = start[order], stop[order], piece[order], chunk[order]
         while len(start):
             middle = after[start]
@@ -182,20 +192,16 @@ class Matcher:
             merged[chunk[best]] = True
             keep = merged[chunk] & is_head[start] & is_head[stop] & (after[start] < stop)
             start, stop, piece, chunk = start[keep], stop[keep], piece[keep], chunk[keep]
-        out = []
+        is_head[ends] = False
         heads = np.flatnonzero(is_head)
-        cuts = np.searchsorted(heads, np.append(begins, n))
-        found = token[heads].tolist()
-        where = heads.tolist()
-        for c in range(len(raw)):
-            ids = array("I")
-            for k in range(int(cuts[c]), int(cuts[c + 1]) - 1):  # the last head is the separator
-                if found[k] >= 0:
-                    ids.append(found[k])
-                else:
-                    ids.extend(self.byte_ids[x] for x in data[where[k]:where[k + 1]].tolist())
-            out.append(ids.tobytes())
-        return out
+        found, long = token[heads], after[heads] - heads
+        times = np.where(found >= 0, 1, long)  # a character without a piece yields its bytes
+        done = np.cumsum(times)
+        ids = np.repeat(found, times)
+        place = np.repeat(heads - (done - times), times) + np.arange(len(ids))
+        ids = np.where(ids >= 0, ids, self.byte_ids[data[np.minimum(place, n - 1)]]).astype(np.uint32).tobytes()
+        cuts = np.concatenate(([0], done))[np.searchsorted(heads, np.append(begins, n))].tolist()
+        return [ids[4 * a:4 * b] for a, b in zip(cuts[:-1], cuts[1:])]
 
     def _relax_long(self, start, stop, piece, after, token, is_head, begin, end) -> None:
         """Applies the edges of one long chunk in merge order from a heap."""
@@ -232,13 +238,19 @@ class Matcher:
 class Encoder:
     """Whole-text encoder with a bounded cache of chunks."""
 
-    def __init__(self, vocabulary: Vocabulary, max_chunks: int = 400_000):
+    def __init__(self, vocabulary: Vocabulary, max_chunks: int = 500_000):
         self.matcher, self.cache, self.max_chunks = Matcher(vocabulary), {}, max_chunks
 
     def encode(self, texts: list[str]) -> list[bytes]:
         chunks = [_CHUNK.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
         new = list(dict.fromkeys(c for cs in chunks for c in cs if c not in self.cache))
-        known = dict(zip(new, self.matcher.encode(new)))
+        known, group, size = {}, [], 0
+        for k, c in enumerate(new):
+            group.append(c)
+            size += len(c)
+            if size >= GROUP // 2 or k + 1 == len(new):
+                known.update(zip(group, self.matcher.encode(group)))
+                group, size = [], 0
         for c in new:
             if len(self.cache) >= self.max_chunks:
                 break
@@ -266,7 +278,7 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
         if enc is None:
             enc = _ENCODERS[model_path] = Encoder(vocabulary.value)
         for b in batches:
-            for lo, hi, data, offsets in text_slices(b.column(1)):
+            for lo, hi, data, offsets in text_slices(b.column(1), SLICE):
                 raw = data.tobytes()
                 ids = enc.encode([raw[s:e].decode("utf-8", "replace") for s, e in zip(offsets[:-1], offsets[1:])])
                 yield pa.RecordBatch.from_arrays([
