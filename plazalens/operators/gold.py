@@ -22,6 +22,10 @@ def review_key(*cols: str, sep: str | None = None) -> Column:
     return F.concat(*parts)
 
 
+def _with_unit(df: DataFrame) -> list[str]:
+    return ["source_file"] if "source_file" in df.columns else []
+
+
 def gold_google_reviews(reviews: DataFrame, places: DataFrame, how: str = "left_semi",
                         max_text: int = GOLD_TEXT_MAX) -> DataFrame:
     """Google reviews gold table.
@@ -43,6 +47,7 @@ def gold_google_reviews(reviews: DataFrame, places: DataFrame, how: str = "left_
         F.substring("text", 1, max_text).alias("text"),
         "date",
         review_key("user_id", "gmap_id").alias("review_id"),
+        *_with_unit(kept),
     )
 
 
@@ -62,6 +67,7 @@ def gold_yelp_reviews(reviews: DataFrame, business: DataFrame, how: str = "left_
         to_int_rating("stars").alias("rating"),
         F.substring("text", 1, max_text).alias("text"),
         "date",
+        *_with_unit(kept),
     )
 
 

@@ -63,7 +63,7 @@ from plazalens.plans.sql_text import (
     sql_str,
 )
 from plazalens.plans.derived import TOKENS_SQL, YB_SQL, YR_SQL
-from plazalens.plans.incremental import run_incremental
+from plazalens.plans.incremental import run_incremental, run_stage
 from plazalens.schemas import (
     CONTRACTS,
     GOLD_TEXT_MAX,
@@ -723,10 +723,10 @@ def _google_lake(spark, sf):
     _write_units(_reviews_with_unit(spark, sf), raw_reviews)
 
     def places_reader(s, paths, root):
-        return read_json(s, paths, GOOGLE_PLACES_RAW, with_source=True, unit_root=root)
+        return read_json(s, paths, GOOGLE_PLACES_RAW, with_source=True, unit_root=root, with_rejects=True)
 
     def reviews_reader(s, paths, root):
-        return read_json(s, paths, GOOGLE_REVIEWS_RAW, with_source=True, unit_root=root)
+        return read_json(s, paths, GOOGLE_REVIEWS_RAW, with_source=True, unit_root=root, with_rejects=True)
 
     for _ in range(2):  # the second run finds nothing new
         run_incremental(spark, "google_places", raw_places, lake, "google", "places",
@@ -791,11 +791,30 @@ def q_layer_readback(spark, sf):
 
 @query("medallion_gold_reviews", ORACLE["gold_reviews"])
 def q_medallion_gold_reviews(spark, sf):
-    """End to end: incremental silver layers of places and reviews -> gold."""
+    """End to end: incremental silver layers -> incremental gold, written by unit and read back."""
+    lake = _google_gold(spark, sf)
+    return read_layer(spark, lake, "gold", "google", "reviews").drop("source_file")
+
+
+def _google_gold(spark, sf):
+    """The lake with gold reviews: two runs of the gold stage over the units that silver recorded."""
     _, lake = _google_lake(spark, sf)
-    places = read_layer(spark, lake, "silver", "google", "places")
-    reviews = read_layer(spark, lake, "silver", "google", "reviews")
-    return md.gold_google_reviews(reviews, md.gold_google_places(places))
+    places = md.gold_google_places(read_layer(spark, lake, "silver", "google", "places"))
+    for _ in range(2):
+        run_stage(spark, "google_reviews", "google_reviews:gold", lake, "google", ("silver", "reviews"),
+                  ("gold", "reviews"), lambda r: md.gold_google_reviews(r, places))
+    return lake
+
+
+@query("medallion_sentiment_reviews", None)
+def q_medallion_sentiment_reviews(spark, sf):
+    """End to end: gold reviews -> sentiment stage by unit, written and read back."""
+    lake = _google_gold(spark, sf)
+    lex = lexicon_frame(spark, REVIEW_LEXICON)
+    for _ in range(2):
+        run_stage(spark, "google_reviews:gold", "google_reviews:sentiment", lake, "google", ("gold", "reviews"),
+                  ("gold", "sentiment"), lambda r: sentiment_table(r, lex, round_to=6, keep=["source_file"]))
+    return read_layer(spark, lake, "gold", "google", "sentiment").drop("source_file")
 
 
 @query("ledger_append", f"""SELECT DISTINCT 'google_places' AS dataset, 'unit=type_' || lower(p_type) AS file_name FROM part
@@ -866,6 +885,9 @@ score AS (SELECT review_id, round(coalesce(s, 0) / sqrt(coalesce(s, 0) * coalesc
 SELECT review_id, sentiment_score, {_LABEL_SQL} AS sentiment FROM score"""
 
 
+ORACLE["medallion_sentiment_reviews"] = _SENTIMENT_GOLD_SQL
+
+
 @query("sentiment_gold_reviews", _SENTIMENT_GOLD_SQL)
 def q_sentiment_gold_reviews(spark, sf):
     """R3 on the gold reviews: one sentiment row per review, though keys repeat."""
@@ -901,7 +923,7 @@ def _yelp_lake(spark, sf, with_reviews: bool):
         return read_parquet(s, paths, columns=yb.columns, with_source=True, unit_root=root)
 
     def reviews_reader(s, paths, root):
-        return read_json(s, paths, YELP_REVIEWS_RAW, with_source=True, unit_root=root)
+        return read_json(s, paths, YELP_REVIEWS_RAW, with_source=True, unit_root=root, with_rejects=True)
 
     if with_reviews:
         yr = dv.yelp_reviews_raw(spark, sf)
@@ -929,9 +951,11 @@ def q_medallion_gold_yelp_reviews(spark, sf):
     """End to end for Yelp: incremental silver business (Parquet units) and
     reviews (JSON units, unit = year of the date text) -> gold reviews."""
     lake = _yelp_lake(spark, sf, with_reviews=True)
-    business = read_layer(spark, lake, "silver", "yelp", "business")
-    reviews = read_layer(spark, lake, "silver", "yelp", "reviews").drop("source_file")
-    return md.gold_yelp_reviews(reviews, md.gold_yelp_business(business))
+    business = md.gold_yelp_business(read_layer(spark, lake, "silver", "yelp", "business"))
+    for _ in range(2):
+        run_stage(spark, "yelp_reviews", "yelp_reviews:gold", lake, "yelp", ("silver", "reviews"),
+                  ("gold", "reviews"), lambda r: md.gold_yelp_reviews(r, business))
+    return read_layer(spark, lake, "gold", "yelp", "reviews").drop("source_file")
 
 
 @query("load_totals_sql", f"""WITH {silver_places_sql()},

@@ -3,11 +3,16 @@
 A run lists the units below the raw root, removes those in the ledger, reads
 all new units in one multi-path scan (the unit of each row comes from the
 file metadata), writes bronze and silver partitioned by unit and only then
-records the units in the ledger. Writes overwrite the unit partitions they
-contain (dynamic overwrite), so a run that died after a write is simply
-repeated: nothing is duplicated and nothing fails on existing output (D14).
-Bronze is written and read back, which also cuts the lineage at the layer
-boundary: a lost executor recomputes silver from bronze, not from raw.
+records the units in the ledger. Later stages (gold, sentiment) take the
+units that an earlier one recorded and they did not. Writes overwrite the unit
+partitions they contain (dynamic overwrite), so a run that died after a write
+is simply repeated: nothing is duplicated and nothing fails on existing output
+(D14). Every layer is written with its declared schema and read back under
+it, which also cuts the lineage at the layer boundary.
+
+Records that do not fit the raw schema stay in bronze with their text in
+``_corrupt_record``; the run counts them and writes them to the layer
+``rejects``.
 """
 
 from __future__ import annotations
@@ -18,7 +23,15 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plazalens.sources.io import layer_path, list_units, write_parquet_counted
+from plazalens.sources.io import (
+    CORRUPT,
+    declare_layer,
+    layer_path,
+    list_units,
+    read_declared,
+    split_rejects,
+    write_parquet_counted,
+)
 from plazalens.sources.ledger import append_ledger, new_units, read_ledger
 
 Reader = Callable[[SparkSession, list, str], DataFrame]
@@ -31,6 +44,27 @@ class IncrementalRun(NamedTuple):
     units: list[str]
     bronze_rows: int = 0
     silver_rows: int = 0
+    rejected_rows: int = 0
+
+
+def _of_units(df: DataFrame, units: DataFrame) -> DataFrame:
+    """Rows of the given units: a semi join on the partition column, so other units are not read."""
+    return df.join(units.select(F.col("file_name").alias("source_file")), "source_file", "left_semi").select(df.columns)
+
+
+def _write_layer(df: DataFrame, lake_root: str, layer: str, platform: str, entity: str, rebalance: bool) -> int:
+    """Writes the units in ``df``; returns the rows written.
+
+    ``rebalance`` redistributes by unit before the write: after a dedup
+    shuffle every partition holds rows of every unit and would write a small
+    file into each unit's folder; AQE then writes files of the advisory size
+    and splits a hot unit over several tasks.
+    """
+    path = layer_path(lake_root, layer, platform, entity)
+    declare_layer(df.sparkSession, path, df.schema)
+    out = df.hint("rebalance", "source_file") if rebalance else df
+    return write_parquet_counted(out, path, mode="overwrite", partition_by=["source_file"],
+                                 name=f"{platform}-{entity}-{layer}")
 
 
 def run_incremental(spark: SparkSession, dataset: str, raw_root: str, lake_root: str,
@@ -40,13 +74,6 @@ def run_incremental(spark: SparkSession, dataset: str, raw_root: str, lake_root:
 
     ``reader(spark, paths, unit_root)`` must return the raw rows with a
     ``source_file`` column; ``transform`` maps bronze to silver.
-
-    ``rebalance`` (default) redistributes silver by unit before its write:
-    after the dedup shuffle every shuffle partition holds rows of every unit
-    and would write a small file into each unit's folder; the rebalance
-    lets AQE write files of the advisory size and split a hot unit over
-    several tasks. Bronze is written straight from the scan (one file per
-    split) and needs none.
     """
     ledger_path = ledger_path or f"{lake_root.rstrip('/')}/_ledger"
     listed = list_units(spark, raw_root)
@@ -57,15 +84,32 @@ def run_incremental(spark: SparkSession, dataset: str, raw_root: str, lake_root:
     if not names:
         return IncrementalRun([])
     raw = reader(spark, [f"{raw_root.rstrip('/')}/{n}" for n in names], raw_root)
-    bronze_path = layer_path(lake_root, "bronze", platform, entity)
-    n_bronze = write_parquet_counted(raw, bronze_path, mode="overwrite", partition_by=["source_file"],
-                                     name=f"{dataset}-bronze")
-    bronze = spark.read.parquet(bronze_path).filter(F.col("source_file").isin(names))
-    silver_path = layer_path(lake_root, "silver", platform, entity)
-    silver = transform(bronze)
-    if rebalance:
-        silver = silver.hint("rebalance", "source_file")
-    n_silver = write_parquet_counted(silver, silver_path, mode="overwrite",
-                                     partition_by=["source_file"], name=f"{dataset}-silver")
-    append_ledger(spark, ledger_path, dataset, names)
-    return IncrementalRun(names, n_bronze, n_silver)
+    n_bronze = _write_layer(raw, lake_root, "bronze", platform, entity, rebalance=False)
+    units = spark.createDataFrame([(n,) for n in names], "file_name string")
+    bronze = _of_units(read_declared(spark, layer_path(lake_root, "bronze", platform, entity)), units)
+    good, bad = split_rejects(bronze)
+    n_bad = _write_layer(bad, lake_root, "rejects", platform, entity, rebalance) if CORRUPT in bronze.columns else 0
+    n_silver = _write_layer(transform(good), lake_root, "silver", platform, entity, rebalance)
+    append_ledger(spark, ledger_path, dataset, units)
+    return IncrementalRun(names, n_bronze, n_silver, n_bad)
+
+
+def run_stage(spark: SparkSession, source_dataset: str, dataset: str, lake_root: str, platform: str,
+              source: tuple[str, str], target: tuple[str, str], transform: Transform,
+              ledger_path: str | None = None, rebalance: bool = True) -> IncrementalRun:
+    """Process the units that ``source_dataset`` recorded and ``dataset`` did not yet.
+
+    ``source`` and ``target`` are (layer, entity); ``transform`` keeps the
+    ``source_file`` column. The rows written are reported as ``silver_rows``
+    whatever the target layer.
+    """
+    ledger_path = ledger_path or f"{lake_root.rstrip('/')}/_ledger"
+    fresh = new_units(read_ledger(spark, ledger_path, source_dataset), read_ledger(spark, ledger_path, dataset))
+    names = sorted(r.file_name for r in fresh.collect())  # unit names only
+    if not names:
+        return IncrementalRun([])
+    units = spark.createDataFrame([(n,) for n in names], "file_name string")
+    rows = _of_units(read_declared(spark, layer_path(lake_root, source[0], platform, source[1])), units)
+    n = _write_layer(transform(rows), lake_root, target[0], platform, target[1], rebalance)
+    append_ledger(spark, ledger_path, dataset, units)
+    return IncrementalRun(names, silver_rows=n)

@@ -8,16 +8,17 @@ dataset per entity and layer, partitioned by the input unit
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from plazalens.schemas import CONTRACTS, LOAD_ORDINALS, STATE_DIM, US_STATES
 
-LAYERS = ("bronze", "silver", "gold")
+LAYERS = ("bronze", "silver", "gold", "rejects")
 
 
 def layer_path(root: str, layer: str, platform: str, entity: str) -> str:
@@ -26,18 +27,39 @@ def layer_path(root: str, layer: str, platform: str, entity: str) -> str:
     return f"{root.rstrip('/')}/{layer}/{platform}/{entity}"
 
 
+#: column of the raw text of a record that does not fit the schema
+CORRUPT = "_corrupt_record"
+
+
 def read_json(spark: SparkSession, paths: str | Sequence[str], schema: StructType,
               columns: Sequence[str] | None = None, with_source: bool = False,
-              unit_root: str | None = None) -> DataFrame:
+              unit_root: str | None = None, with_rejects: bool = False) -> DataFrame:
     """JSON lines with a declared schema, pruned to ``columns``.
 
+    A broken line or a value of the wrong type fails the read, or, with
+    ``with_rejects``, keeps its text in the column ``_corrupt_record`` (null
+    for good records): see :func:`split_rejects` and ``run_incremental``.
+
     ``with_source`` adds ``source_file``: the input unit, i.e. the first path
     segment below ``unit_root`` (a file, or a folder of files), taken from
     the file metadata column.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    df = spark.read.schema(schema).option("recursiveFileLookup", "true").json(paths)
-    return _finish(df, columns, with_source, unit_root)
+    reader = spark.read.option("recursiveFileLookup", "true")
+    if not with_rejects:
+        return _finish(reader.schema(schema).option("mode", "FAILFAST").json(paths), columns, with_source, unit_root)
+    df = reader.schema(StructType([*schema.fields, StructField(CORRUPT, StringType())])).option(
+        "columnNameOfCorruptRecord", CORRUPT).json(paths)
+    return _finish(df, [*(columns or schema.fieldNames()), CORRUPT], with_source, unit_root)
+
+
+def split_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(good rows without the corrupt column, rejected rows as unit and text) of a written frame."""
+    if CORRUPT not in df.columns:
+        return df, df.limit(0).select(*[c for c in ("source_file",) if c in df.columns],
+                                      F.lit(None).cast("string").alias(CORRUPT))
+    unit = [c for c in ("source_file",) if c in df.columns]
+    return df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT), df.filter(F.col(CORRUPT).isNotNull()).select(*unit, CORRUPT)
 
 
 def read_parquet(spark: SparkSession, paths: str | Sequence[str], schema: StructType | None = None,
@@ -129,10 +151,21 @@ def materialize(df: DataFrame, path: str, partition_by: Sequence[str] | None = N
     return df.sparkSession.read.parquet(path)
 
 
+def declare_layer(spark: SparkSession, path: str, schema: StructType) -> None:
+    """Stores a layer table's schema beside its data (in a folder that Parquet readers skip)."""
+    spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/_schema")
+
+
+def read_declared(spark: SparkSession, path: str) -> DataFrame:
+    """A layer table under its declared schema: unit names stay text, and a table without rows is empty."""
+    schema = StructType.fromJson(json.loads(spark.read.text(f"{path}/_schema").first()[0]))
+    return spark.read.schema(schema).parquet(path)
+
+
 def read_layer(spark: SparkSession, root: str, layer: str, platform: str, entity: str,
                unit: str | None = None) -> DataFrame:
     """Read a layer back, whole or one input unit."""
-    df = spark.read.parquet(layer_path(root, layer, platform, entity))
+    df = read_declared(spark, layer_path(root, layer, platform, entity))
     if unit is not None and "source_file" in df.columns:
         df = df.filter(F.col("source_file") == unit)
     return df

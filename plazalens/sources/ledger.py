@@ -21,7 +21,9 @@ def read_ledger(spark: SparkSession, path: str, dataset: str | None = None) -> D
     """The ledger, or an empty typed table when it does not exist yet."""
     try:
         df = spark.read.schema(LEDGER).parquet(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):  # only a ledger that does not exist yet is empty
+            raise
         df = spark.createDataFrame([], LEDGER)
     if dataset is not None:
         df = df.filter(F.col("dataset") == dataset)
