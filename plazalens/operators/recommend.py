@@ -5,39 +5,88 @@ category (case-insensitive regex) and a rating floor, builds the full n x n
 cosine matrix (or a k-NN index) and uses only row 0. Here the work is O(n)
 per request and all requests run as one job:
 
-1. requests x distinct states (both small) -> matching (request, state)
-   pairs; places join them on state equality (AQE broadcasts the pairs when
-   small by runtime size);
-2. category regex and rating floor as row filters;
-3. anchor = first candidate by id per request: a ``min_by`` aggregate with a
-   partial step before the shuffle (a request matching a third of all
-   places still sends one row per partition);
+1. equal requests are one pattern pair (state, category); distinct states are
+   matched with the distinct state patterns, and places join the matches on
+   state equality; category regex and rating floor are row filters;
+2. one candidate per place id and pattern, with its features only (a partial
+   aggregate): every later step is narrow, and a place without a feature is
+   no candidate;
+3. anchor = first candidate by id, with the features of that very row;
 4. score against the anchor by column arithmetic, anchors broadcast (one
-   row per request, the request table being size-checked);
-5. top k per request with ``row_number() <= k``, which Spark plans with a
-   per-partition group limit before the shuffle.
+   row per pattern, the request table being size-checked);
+5. top k on the full score with ``row_number() <= k``, which Spark plans with
+   a per-partition group limit before the shuffle; then the returned columns
+   are joined to those rows, and the answers to the requests' ids.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import IllegalArgumentException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from plazalens.operators.join import is_small, maybe_broadcast
+from plazalens.operators.join import is_small
 
 REQUESTS_MAX_ROWS = 100_000
 STATES_MAX_ROWS = 100_000
+GROUPS_MAX_ROWS = 10_000  # anchors are broadcast with their vectors
 FEATURES_SIMILAR = ("latitude", "longitude", "avg_rating", "review_count")
 FEATURES_NEARBY = ("latitude", "longitude")
 RETURN_COLUMNS = ("place_id", "name", "address", "avg_rating", "categories", "attributes")
 
 
 def requests_frame(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:
-    """(query_id, state, category) request table from literal rows."""
-    return spark.createDataFrame([(int(q), s, c) for q, s, c in rows],
-                                 "query_id long, state string, category string")
+    """(query_id, state, category, error) request table from literal rows.
+
+    ``error`` says why a pattern is no regular expression (null for a good
+    request); such a request selects nothing and the others are answered.
+    """
+    pattern = spark._jvm.java.util.regex.Pattern
+
+    def error(*texts: str | None) -> str | None:
+        for t in texts:
+            try:
+                pattern.compile(t or "")
+            except IllegalArgumentException as e:
+                return str(e).splitlines()[0]
+        return None
+
+    return spark.createDataFrame([(int(q), s, c, error(s, c)) for q, s, c in rows],
+                                 "query_id long, state string, category string, error string")
+
+
+def _patterns(requests: DataFrame) -> DataFrame:
+    """Distinct (state, category) patterns of the valid requests."""
+    if "error" in requests.columns:
+        requests = requests.filter("error IS NULL")
+    return requests.select(F.col("state").alias("_rs"), F.col("category").alias("_rc")).na.drop().distinct()
+
+
+def _select(places: DataFrame, requests: DataFrame, min_rating: float, state_col: str, category_col: str,
+            rating_col: str, bounded: bool) -> DataFrame:
+    """(_rs, _rc, place columns) for every place that a pattern pair selects.
+
+    The regular expressions of states meet the distinct state names only; the
+    matches are then an equality join. One side of that small nested loop is
+    always broadcast: the patterns when the request table passed its size
+    check, otherwise the distinct states.
+    """
+    kept = places.filter(F.col(rating_col) >= F.lit(min_rating))
+    patterns = _patterns(requests)
+    names = kept.select(F.col(state_col).alias("_state")).na.drop().distinct()
+    wanted = patterns.select("_rs").distinct()
+    if bounded:
+        wanted = F.broadcast(wanted)
+    elif is_small(names, STATES_MAX_ROWS):
+        names = F.broadcast(names)
+    else:
+        raise ValueError(f"more than {REQUESTS_MAX_ROWS} requests over more than {STATES_MAX_ROWS} states: "
+                         "answer the requests in parts")
+    pairs = names.join(wanted, F.expr("_state RLIKE ('(?i)' || _rs)")).join(patterns, "_rs")
+    joined = kept.join(pairs, kept[state_col] == pairs["_state"])
+    return joined.filter(F.expr(f"`{category_col}` RLIKE ('(?i)' || _rc)")).drop("_state")
 
 
 def candidates(places: DataFrame, requests: DataFrame, min_rating: float = 4.0,
@@ -48,26 +97,18 @@ def candidates(places: DataFrame, requests: DataFrame, min_rating: float = 4.0,
     Both patterns are case-insensitive regex searches, as in the reference;
     a null state or category never matches.
     """
-    req = requests.select(
-        "query_id",
-        F.concat(F.lit("(?i)"), F.col("state")).alias("_sp"),
-        F.concat(F.lit("(?i)"), F.col("category")).alias("_cp"),
-    )
     if bounded is None:
         bounded = requests_bounded(requests)
+    found = _select(places, requests, min_rating, state_col, category_col, rating_col, bounded)
+    return _to_requests(found, requests, bounded, places.columns)
+
+
+def _to_requests(found: DataFrame, requests: DataFrame, bounded: bool, columns: Sequence[str]) -> DataFrame:
+    """The rows of a pattern pair for each request that asks it."""
+    asked = requests.select("query_id", F.col("state").alias("_rs"), F.col("category").alias("_rc"))
     if bounded:
-        req = F.broadcast(req)
-    kept = places.filter(F.col(rating_col) >= F.lit(min_rating))
-    states = kept.select(F.col(state_col).alias("_state")).distinct()
-    if not bounded:
-        # Too many requests to broadcast: broadcast the distinct states instead
-        # (checked; a state column has few values) so the regex join stays a
-        # map-side nested loop over the requests, never a cartesian product.
-        states = maybe_broadcast(states, STATES_MAX_ROWS)
-    pairs = states.join(req, F.expr("_state RLIKE _sp"))
-    joined = kept.join(pairs, kept[state_col] == pairs["_state"])
-    return (joined.filter(F.expr(f"`{category_col}` RLIKE _cp"))
-                  .drop("_state", "_sp", "_cp"))
+        asked = F.broadcast(asked)
+    return found.join(asked, ["_rs", "_rc"]).select("query_id", *columns)
 
 
 def requests_bounded(requests: DataFrame) -> bool:
@@ -104,26 +145,43 @@ def euclidean(a: Sequence[Column], b: Sequence[Column]) -> Column:
     return F.sqrt(acc)
 
 
+PATTERN = ["_rs", "_rc"]
+
+
+def _narrow(found: DataFrame, features: Sequence[str], id_col: str) -> DataFrame:
+    """One row (pattern, id, features as doubles) per place id: of repeated ids the smallest features."""
+    values = F.struct(*[F.col(f).cast("double").alias(f) for f in features])
+    one = (found.select(*PATTERN, id_col, values.alias("_f")).filter(
+        " AND ".join(f"_f.`{f}` IS NOT NULL" for f in features)).groupBy(*PATTERN, id_col).agg(F.min("_f").alias("_f")))
+    return one.select(*PATTERN, id_col, *[F.col(f"_f.{f}").alias(f) for f in features])
+
+
 def _with_anchor(cand: DataFrame, features: Sequence[str], id_col: str, bounded: bool) -> DataFrame:
-    # One min_by per scalar feature keeps the aggregate hash-based (a struct
-    # buffer would force a sort-based aggregate over all candidates).
-    anchors = cand.groupBy("query_id").agg(
-        *[F.min_by(F.col(f).cast("double"), F.col(id_col)).alias(f) for f in features],
-        F.min(F.col(id_col)).alias("_aid"))
-    anchors = anchors.select("query_id", F.struct(*features, "_aid").alias("_a"))
-    # one row per request: bounded by the request table, whose size was
+    # ids are unique per pattern here, so every min_by takes the same row; one
+    # per scalar feature keeps the aggregate hash-based
+    anchors = cand.groupBy(*PATTERN).agg(
+        *[F.min_by(F.col(f), F.col(id_col)).alias(f) for f in features], F.min(F.col(id_col)).alias("_aid"))
+    anchors = anchors.select(*PATTERN, F.struct(*features, "_aid").alias("_a"))
+    # one row per pattern: bounded by the request table, whose size was
     # checked by the caller; a larger request table is left to AQE
-    if bounded:
-        anchors = F.broadcast(anchors)
-    return cand.join(anchors, "query_id")
+    return cand.join(F.broadcast(anchors) if bounded else anchors, PATTERN)
 
 
-def _top_k(scored: DataFrame, k: int, score: str, ascending: bool, id_col: str,
-           out_cols: Sequence[str]) -> DataFrame:
+def _answers(scored: DataFrame, places: DataFrame, requests: DataFrame, k: int, score: str, ascending: bool,
+             id_col: str, out_cols: Sequence[str], round_to: int | None, bounded: bool,
+             min_rating: float, rating_col: str = "avg_rating") -> DataFrame:
+    """Top k of each pattern by the full score, its returned columns, and a copy for each request."""
     order = F.col(score).asc() if ascending else F.col(score).desc()
-    w = Window.partitionBy("query_id").orderBy(order, F.col(id_col).asc())
-    ranked = scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", *out_cols, score)
+    w = Window.partitionBy(*PATTERN).orderBy(order, F.col(id_col).asc())
+    top = scored.select(*PATTERN, id_col, score).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    if bounded:
+        top = F.broadcast(top)  # k rows per pattern
+    rest = [c for c in out_cols if c != id_col]
+    rows = places.filter(F.col(rating_col) >= F.lit(min_rating)).select(id_col, *rest).join(top, id_col)
+    rows = rows.groupBy(*PATTERN, "rank", id_col, score).agg(F.min(F.struct(*rest)).alias("_r"))
+    value = F.col(score) if round_to is None else F.round(score, round_to) + F.lit(0.0)  # + 0.0: no -0.0
+    rows = rows.select(*PATTERN, "rank", id_col, *[F.col(f"_r.{c}").alias(c) for c in rest], value.alias(score))
+    return _to_requests(rows, requests, bounded, ["rank", *out_cols, score])
 
 
 def recommend_similar(places: DataFrame, requests: DataFrame, k: int = 5, min_rating: float = 4.0,
@@ -134,26 +192,24 @@ def recommend_similar(places: DataFrame, requests: DataFrame, k: int = 5, min_ra
 
     The anchor (smallest id) is included, as in the reference. Features are
     used unscaled by default (D17); ``scale="standard"`` standardises each
-    feature over the request's candidates first.
+    feature over the request's candidates first. Ranks follow the full
+    similarity; ``round_to`` rounds the reported one.
     """
     bounded = requests_bounded(requests)
-    cand = candidates(places, requests, min_rating, bounded=bounded)
+    found = _select(places, requests, min_rating, "state", "categories", "avg_rating", bounded)
+    cand = _narrow(found, features, id_col)
     if scale == "standard":
-        stats = cand.groupBy("query_id").agg(
+        stats = cand.groupBy(*PATTERN).agg(
             *[F.avg(f).alias(f"_m_{f}") for f in features],
             *[F.stddev_pop(f).alias(f"_s_{f}") for f in features])
-        cand = cand.join(F.broadcast(stats) if bounded else stats, "query_id")
-        for f in features:
-            s = F.col(f"_s_{f}")
-            cand = cand.withColumn(f"_z_{f}", F.when(s > 0, (F.col(f) - F.col(f"_m_{f}")) / s)
-                                   .otherwise(F.lit(0.0)))
-        features = [f"_z_{f}" for f in features]
+        cand = cand.join(F.broadcast(stats) if bounded else stats, PATTERN)
+        cand = cand.select(*PATTERN, id_col, *[
+            F.when(F.col(f"_s_{f}") > 0, (F.col(f) - F.col(f"_m_{f}")) / F.col(f"_s_{f}")).otherwise(F.lit(0.0)).alias(f)
+            for f in features])
     cand = _with_anchor(cand, features, id_col, bounded)
-    sim = cosine([F.col(f).cast("double") for f in features], [F.col(f"_a.{f}") for f in features])
-    if round_to is not None:
-        sim = F.round(sim, round_to) + F.lit(0.0)  # + 0.0: no -0.0 after rounding
-    scored = cand.withColumn("similarity", sim)
-    return _top_k(scored, k, "similarity", False, id_col, out_cols)
+    sim = cosine([F.col(f) for f in features], [F.col(f"_a.{f}") for f in features])
+    return _answers(cand.withColumn("similarity", sim), places, requests, k, "similarity", False, id_col, out_cols,
+                    round_to, bounded, min_rating)
 
 
 def recommend_nearby(places: DataFrame, requests: DataFrame, k: int = 5, min_rating: float = 4.0,
@@ -163,15 +219,15 @@ def recommend_nearby(places: DataFrame, requests: DataFrame, k: int = 5, min_rat
     """The ``k`` places nearest to each request's anchor, anchor excluded.
 
     The anchor is excluded by id, so a place at the same coordinates is kept
-    (D19); fewer than ``k`` candidates return what exists (D18).
+    (D19); fewer than ``k`` candidates return what exists (D18); a place
+    without coordinates is no candidate.
     """
     bounded = requests_bounded(requests)
-    cand = _with_anchor(candidates(places, requests, min_rating, bounded=bounded), features, id_col, bounded)
-    dist = euclidean([F.col(f).cast("double") for f in features], [F.col(f"_a.{f}") for f in features])
-    if round_to is not None:
-        dist = F.round(dist, round_to)
+    found = _select(places, requests, min_rating, "state", "categories", "avg_rating", bounded)
+    cand = _with_anchor(_narrow(found, features, id_col), features, id_col, bounded)
+    dist = euclidean([F.col(f) for f in features], [F.col(f"_a.{f}") for f in features])
     scored = cand.filter(F.col(id_col) != F.col("_a._aid")).withColumn("distance", dist)
-    return _top_k(scored, k, "distance", True, id_col, out_cols)
+    return _answers(scored, places, requests, k, "distance", True, id_col, out_cols, round_to, bounded, min_rating)
 
 
 def _array_sum(c: Column) -> Column:
@@ -183,23 +239,21 @@ def cosine_to_anchor(df: DataFrame, id_col: str, vec_col: str, group_col: str,
     """Cosine similarity of every vector to the first vector (smallest id) of
     its group (R8 re-aimed).
 
-    The anchor per group is a ``min_by`` aggregate (partial before the
-    shuffle, so a hot group costs one row per partition); the anchors join
-    back on the group key - broadcast when their count is proven small,
-    otherwise a shuffle join that AQE splits if a group is skewed. Vector
-    arithmetic uses higher-order array functions, never Python.
+    The anchor ids are a partial aggregate (a hot group costs one row per
+    partition); the anchors join back on the group key - broadcast when the
+    groups are proven few, otherwise a shuffle join that AQE splits if a group
+    is skewed. Of rows that share the smallest id the smallest vector is the
+    anchor. Vector arithmetic uses higher-order array functions, never Python.
     """
     v = df.select(id_col, group_col,
                   F.transform(vec_col, lambda x: x.cast("double")).alias("_v"))
     # anchor ids by a hash aggregate, then the anchor vectors by a join on
     # (group, id): no sort of the vectors, one small row per group
-    # The number of groups is not bounded in advance, so no hint: AQE
-    # broadcasts the anchors by their runtime size, or keeps a shuffle join
-    # and splits a skewed group.
     first = v.groupBy(group_col).agg(F.min(id_col).alias(id_col))
-    anchors = v.join(first, [group_col, id_col], "left_semi") \
-               .select(group_col, F.col("_v").alias("_a"))
-    j = v.join(anchors, group_col)
+    few = is_small(first, GROUPS_MAX_ROWS)  # then neither join shuffles the vectors
+    first = F.broadcast(first) if few else first
+    anchors = v.join(first, [group_col, id_col], "left_semi").groupBy(group_col).agg(F.min("_v").alias("_a"))
+    j = v.join(F.broadcast(anchors) if few else anchors, group_col)
     dot = _array_sum(F.zip_with("_v", "_a", lambda x, y: x * y))
     na = F.sqrt(_array_sum(F.transform("_v", lambda x: x * x)))
     nb = F.sqrt(_array_sum(F.transform("_a", lambda x: x * x)))

@@ -541,7 +541,7 @@ def q_sentiment_top_k(spark, sf):
 # --- recommendation ------------------------------------------------------------------
 SINGLE_REQUEST = [(0, "TX", "ring")]
 BULK_REQUESTS = [(1, "TX", "ring"), (2, "fl", "bolt|gear"), (3, "o", "gizmo"),
-                 (4, "ZZ", "ring"), (5, "w", "plate")]
+                 (4, "ZZ", "ring"), (5, "w", "plate"), (6, "TX", "ring"), (7, "o", "gizmo")]
 
 
 def rec_places(spark, sf):
@@ -580,18 +580,20 @@ m AS (SELECT c.*, c.latitude * a.a1 + c.longitude * a.a2 + c.avg_rating * a.a3 +
              sqrt(c.latitude * c.latitude + c.longitude * c.longitude + c.avg_rating * c.avg_rating + c.review_count * c.review_count) AS na,
              sqrt(a.a1 * a.a1 + a.a2 * a.a2 + a.a3 * a.a3 + a.a4 * a.a4) AS nb
       FROM cand c JOIN anc a ON c.query_id = a.query_id),
-sc AS (SELECT *, round(CASE WHEN na = 0 OR nb = 0 THEN 0 ELSE dot / (na * nb) END, 6) + 0.0 AS similarity FROM m),
-rk AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, place_id) AS rank FROM sc)
-SELECT query_id, CAST(rank AS INTEGER) AS rank, place_id, name, address, avg_rating, categories, attributes, similarity
+sc AS (SELECT *, CASE WHEN na = 0 OR nb = 0 THEN 0 ELSE dot / (na * nb) END AS sim FROM m),
+rk AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY sim DESC, place_id) AS rank FROM sc)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, place_id, name, address, avg_rating, categories, attributes,
+       round(sim, 6) + 0.0 AS similarity
 FROM rk WHERE rank <= 5"""
 
 
 def _nearby_sql(requests):
     return f"""WITH {_cand_sql(requests)},
-sc AS (SELECT c.*, round(sqrt((c.latitude - a.a1) * (c.latitude - a.a1) + (c.longitude - a.a2) * (c.longitude - a.a2)), 6) AS distance
+sc AS (SELECT c.*, sqrt((c.latitude - a.a1) * (c.latitude - a.a1) + (c.longitude - a.a2) * (c.longitude - a.a2)) AS dist
        FROM cand c JOIN anc a ON c.query_id = a.query_id WHERE c.place_id <> a.aid),
-rk AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, place_id) AS rank FROM sc)
-SELECT query_id, CAST(rank AS INTEGER) AS rank, place_id, name, address, avg_rating, categories, attributes, distance
+rk AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY dist, place_id) AS rank FROM sc)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, place_id, name, address, avg_rating, categories, attributes,
+       round(dist, 6) + 0.0 AS distance
 FROM rk WHERE rank <= 5"""
 
 
