@@ -238,7 +238,7 @@ class Matcher:
 class Encoder:
     """Whole-text encoder with a bounded cache of chunks."""
 
-    def __init__(self, vocabulary: Vocabulary, max_chunks: int = 500_000):
+    def __init__(self, vocabulary: Vocabulary, max_chunks: int = 350_000):
         self.matcher, self.cache, self.max_chunks = Matcher(vocabulary), {}, max_chunks
 
     def encode(self, texts: list[str]) -> list[bytes]:
