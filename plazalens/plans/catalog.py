@@ -64,6 +64,7 @@ from plazalens.plans.sql_text import (
 )
 from plazalens.plans.derived import TOKENS_SQL, YB_SQL, YR_SQL
 from plazalens.plans.incremental import run_incremental, run_stage
+from plazalens.sources.load import load_table
 from plazalens.schemas import (
     CONTRACTS,
     GOLD_TEXT_MAX,
@@ -78,7 +79,6 @@ from plazalens.sources.io import (
     read_json,
     read_layer,
     read_parquet,
-    select_by_ordinal,
     state_dimension,
     write_parquet,
 )
@@ -380,7 +380,7 @@ SELECT gmap_id, address, name, latitude, longitude, category,
        CAST(num_of_reviews AS INTEGER) AS review_count, avg_rating, url, state FROM gsp""")
 def q_load_by_ordinal(spark, sf):
     """Warehouse load by column ordinal with contract types."""
-    return select_by_ordinal(gold_places(spark, sf), "business_google")
+    return load_table(gold_places(spark, sf), "business_google", scratch_path(spark, "business_google"))
 
 
 @query("union_all", f"""WITH {PL_SQL}
@@ -696,7 +696,8 @@ def q_gold_yelp_reviews(spark, sf):
 SELECT business_id, name, address, latitude, longitude, state, categories AS category, avg_rating,
        CAST(review_count AS INTEGER) AS review_count, attributes FROM ysb""")
 def q_load_by_ordinal_yelp(spark, sf):
-    return select_by_ordinal(md.gold_yelp_business(yelp_business_silver(spark, sf)), "business_yelp")
+    gold = md.gold_yelp_business(yelp_business_silver(spark, sf))
+    return load_table(gold, "business_yelp", scratch_path(spark, "business_yelp"))
 
 
 # --- sources, sinks, layers, ledger, streaming ------------------------------------
@@ -972,8 +973,9 @@ def q_load_totals_sql(spark, sf):
     tag = uuid.uuid4().hex[:8]
     places = gold_places(spark, sf)
     reviews = md.gold_google_reviews(silver_reviews(spark, sf), places)
-    select_by_ordinal(places, "business_google").createOrReplaceTempView(f"business_google_{tag}")
-    select_by_ordinal(reviews, "reviews_google").createOrReplaceTempView(f"reviews_google_{tag}")
+    base = scratch_path(spark, "warehouse")
+    load_table(places, "business_google", f"{base}/business").createOrReplaceTempView(f"business_google_{tag}")
+    load_table(reviews, "reviews_google", f"{base}/reviews").createOrReplaceTempView(f"reviews_google_{tag}")
     return spark.sql(f"""
         SELECT 'business_google' AS table_name, COUNT(*) AS total FROM business_google_{tag}
         UNION ALL

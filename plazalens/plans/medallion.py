@@ -114,8 +114,8 @@ def silver_yelp_reviews(raw: DataFrame, unit_col: str | None = "source_file",
     """Yelp reviews raw/bronze -> silver: dedup, drop any null, text -> date.
 
     The date is parsed with ``try_to_date``: text that is not a date becomes
-    null instead of failing the job (ANSI mode), and the contract check
-    reports it.
+    null instead of failing the job (ANSI mode); the strict load
+    (``sources.load.load_table``) refuses such a row.
     """
     extra = _unit(raw, unit_col)
     df = dedup_rows(raw.select("review_id", "user_id", "business_id", "stars", "text", "date", *extra),

@@ -171,11 +171,12 @@ def read_layer(spark: SparkSession, root: str, layer: str, platform: str, entity
     return df
 
 
-def select_by_ordinal(df: DataFrame, table: str,
-                      ordinals: Sequence[tuple[str, int]] | None = None) -> DataFrame:
+def select_by_ordinal(df: DataFrame, table: str, ordinals: Sequence[tuple[str, int]] | None = None,
+                      cast: bool = True) -> DataFrame:
     """Warehouse bulk load mapping (S15, P10): target column <- source column
     at a 1-based ordinal, cast to the contract type; columns not listed are
-    not loaded (as ``text`` is not, D22)."""
+    not loaded (as ``text`` is not, D22). ``sources.load.load_table`` checks
+    and writes it."""
     ordinals = ordinals or LOAD_ORDINALS[table]
     types = {c: t for c, t, _, _ in CONTRACTS[table]}
     src = df.columns
@@ -183,7 +184,8 @@ def select_by_ordinal(df: DataFrame, table: str,
     for target, pos in ordinals:
         if not 1 <= pos <= len(src):
             raise ValueError(f"ordinal {pos} out of range for {len(src)} columns")
-        out.append(F.col(f"`{src[pos - 1]}`").cast(types[target]).alias(target))
+        source = F.col(f"`{src[pos - 1]}`")
+        out.append((source.cast(types[target]) if cast else source).alias(target))
     return df.select(*out)
 
 
