@@ -151,13 +151,14 @@ def map_state(col: str | Column, states: Iterable[tuple[str, str]] = US_STATES)
 WORD = r"\p{L}+(?:'\p{L}+)*"
 
 
-def tokens(col: str | Column) -> Column:
-    """Lower-cased words of a text (L1), the curly apostrophe read as the straight one.
+def tokens(col: str | Column, lower: bool = True) -> Column:
+    """Words of a text (L1), lower-cased by default, the curly apostrophe read as the straight one.
 
     A text without letters gives an empty array, a null text a null array.
     """
     c = F.col(col) if isinstance(col, str) else col
-    return F.regexp_extract_all(F.lower(F.replace(c, F.lit("\u2019"), F.lit("'"))), F.lit(WORD), F.lit(0))
+    c = F.replace(c, F.lit("\u2019"), F.lit("'"))
+    return F.regexp_extract_all(F.lower(c) if lower else c, F.lit(WORD), F.lit(0))
 
 
 def tokenize(df: DataFrame, id_col: str, text_col: str = "text") -> DataFrame:

@@ -9,8 +9,8 @@ sum runs as a partial aggregate before the only shuffle, so each partition
 sends one row per review. Texts never leave their partition.
 
 The score is the published compound normalisation ``s / sqrt(s*s + 15)``.
-Full parity with the external per-row analyzer (capitals, punctuation,
-"but", idioms, emoji) is not in scope.
+Negators, boosters, capitals, the contrast word and '!'/'?' follow the published
+rules; idioms, emoticons and the "never so" and "least" cases are not built.
 """
 
 from __future__ import annotations
@@ -24,6 +24,10 @@ from plazalens.functions.text import escape_regex, tokens
 from plazalens.operators.join import maybe_broadcast
 from plazalens.schemas import (
     BOOSTER_DAMPING,
+    BOOSTER_INCREMENT,
+    BOOSTERS_DOWN,
+    BOOSTERS_UP,
+    CAPITALS_INCREMENT,
     CONTRAST_AFTER,
     CONTRAST_BEFORE,
     EXCLAMATION_MAX,
@@ -34,10 +38,16 @@ from plazalens.schemas import (
     QUESTION_STEP,
     NEGATION_SCALAR,
     NEGATIVE_TO,
+    NEGATORS,
     POSITIVE_FROM,
     VADER_ALPHA,
 )
 
+#: the published rules, for ``sentiment_scores(..., **PUBLISHED_RULES)``
+PUBLISHED_RULES = dict(
+    negators=NEGATORS,
+    boosters=[(w, BOOSTER_INCREMENT) for w in BOOSTERS_UP] + [(w, -BOOSTER_INCREMENT) for w in BOOSTERS_DOWN],
+    contrast="but", punctuation=True, capitals=True)
 SUM_EPSILON = 1e-9  # far below any real valence sum, far above summation noise (~1e-15)
 LEXICON_MAX_ROWS = 1_000_000  # a (token, valence) hash table of tens of MB per executor
 
@@ -106,6 +116,10 @@ def label(score: Column, parity: bool = False) -> Column:
     return lab.when(score.isNotNull(), F.lit("negative"))
 
 
+def _in_capitals(word: Column) -> Column:
+    return (word == F.upper(word)) & (word != F.lower(word))
+
+
 def _literal_map(pairs: Sequence[tuple[str, float]]) -> Column | None:
     kv = []
     for w, v in pairs:
@@ -135,6 +149,7 @@ def sentiment_scores(
     round_to: int | None = None,
     contrast: str | None = None,
     punctuation: bool = False,
+    capitals: bool = False,
     keep: Sequence[str] = (),
 ) -> DataFrame:
     """(id, ``keep`` columns, sentiment_score), one row for every review; null text -> null score.
@@ -144,7 +159,8 @@ def sentiment_scores(
     0.95 / 0.9 at distance 2 / 3; a negator multiplies by -0.74.
     ``contrast`` (e.g. ``"but"``) halves the valences before the first
     occurrence of that word and multiplies those after it by 1.5;
-    ``punctuation`` adds the '!'/'?' emphasis to a non-zero sum.
+    ``punctuation`` adds the '!'/'?' emphasis to a non-zero sum; ``capitals``
+    moves a word in capitals away from zero when the text is of mixed case.
 
     Ids may repeat, as the gold review key does (D11): token sums are grouped
     by id and a 128-bit hash of the text; rows that share both have one score,
@@ -152,10 +168,13 @@ def sentiment_scores(
     twice the valence of largest size counts.
     """
     rules = bool(negators) or bool(boosters)
-    toks = tokens(text_col)
+    toks = tokens(text_col, lower=not capitals)
     extra = []
     if contrast:
-        extra.append(F.array_position(toks, contrast.lower()).alias("_cpos"))
+        extra.append(F.array_position(tokens(text_col), contrast.lower()).alias("_cpos"))
+    if capitals:
+        loud = F.size(F.filter(toks, _in_capitals))
+        extra.append(((loud > 0) & (loud < F.size(toks))).alias("_mixed"))
     if punctuation:
         extra.append(punctuation_emphasis(F.col(text_col)).alias("_amp"))
     kept = [f"_k{i}" for i in range(len(keep))]
@@ -164,20 +183,25 @@ def sentiment_scores(
                           text.isNull().alias("_null"), F.xxhash64(text).alias("_h1"),
                           F.xxhash64(F.lit(1), text).alias("_h2"), toks.alias("_t"), *extra)
     key = ["_id", *kept, "_null", "_h1", "_h2"]
-    carry = [c for c in ("_cpos", "_amp") if c in base.columns]  # per-text values
+    carry = [c for c in ("_cpos", "_amp", "_mixed") if c in base.columns]  # per-text values
     exploded = base.select(*key, "_t", *carry, F.posexplode_outer("_t").alias("_pos", "token"))
     if rules or contrast:
         # preceding tokens by index into the same array; inside the fused
         # stage the array is referenced, not copied per token
         exploded = exploded.select(
             *key, "token", "_pos", *carry,
-            *[F.get(F.col("_t"), F.col("_pos") - k).alias(f"p{k}") for k in (1, 2, 3)])
+            *[F.lower(F.get(F.col("_t"), F.col("_pos") - k)).alias(f"p{k}") for k in (1, 2, 3)])
     else:
         exploded = exploded.drop("_t")
 
+    if capitals:
+        exploded = exploded.withColumn("_loud", F.col("_mixed") & _in_capitals(F.col("token"))).withColumn(
+            "token", F.lower("token"))
     lex = maybe_broadcast(unique_lexicon(lexicon.select("token", "valence")), LEXICON_MAX_ROWS)
     scored = exploded.join(lex, "token", "left")
     v = F.col("valence")
+    if capitals:
+        v = F.when(F.col("_loud"), v + F.signum(v) * CAPITALS_INCREMENT).otherwise(v)
     if rules:
         boosters = list({w.lower(): float(x) for w, x in (boosters or [])}.items())  # the last of a repeated word
         neg = [w.lower() for w in (negators or [])]
@@ -227,8 +251,13 @@ def sentiment_scores(
 
 def sentiment_table(reviews: DataFrame, lexicon: DataFrame, id_col: str = "review_id",
                     text_col: str = "text", parity: bool = False, keep: Sequence[str] = (), **kw) -> DataFrame:
-    """(review_id, sentiment_score double, sentiment, ``keep`` columns), a row for each review."""
-    s = sentiment_scores(reviews, lexicon, id_col, text_col, keep=keep, **kw)
+    """(review_id, sentiment_score double, sentiment, ``keep`` columns), a row for each review.
+
+    Without further arguments the published rules apply (``PUBLISHED_RULES``);
+    arguments for :func:`sentiment_scores` replace them altogether, except ``round_to``.
+    """
+    rules = {k: v for k, v in kw.items() if k != "round_to"} or PUBLISHED_RULES
+    s = sentiment_scores(reviews, lexicon, id_col, text_col, keep=keep, round_to=kw.get("round_to"), **rules)
     return s.select(F.col(id_col).alias("review_id"),
                     F.col("sentiment_score").cast("double").alias("sentiment_score"),
                     label(F.col("sentiment_score"), parity).alias("sentiment"), *keep)

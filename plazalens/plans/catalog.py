@@ -121,8 +121,9 @@ SELECT user_id, gmap_id, CAST(trunc(rating) AS INTEGER) AS rating,
        substring(text, 1, 7000) AS text, date, user_id || gmap_id AS review_id
 FROM gsr WHERE gmap_id IN (SELECT gmap_id FROM gsp)""")
 def q_gold_reviews(spark, sf):
-    """Flagship: raw reviews -> silver -> gold restricted to silver places."""
-    return md.gold_google_reviews(silver_reviews(spark, sf), gold_places(spark, sf))
+    """Flagship: raw reviews -> silver -> gold restricted to silver places (by their keys only)."""
+    keys = md.silver_google_place_keys(dv.places_raw(spark, sf), terms=DEMO_TERMS)
+    return md.gold_google_reviews(silver_reviews(spark, sf), keys)
 
 
 @query("gold_reviews_inner", f"""WITH {silver_places_sql()},
@@ -688,8 +689,8 @@ SELECT review_id, user_id, business_id, CAST(trunc(stars) AS INTEGER) AS rating,
        substring(text, 1, 7000) AS text, date
 FROM ysr WHERE business_id IN (SELECT business_id FROM ysb)""")
 def q_gold_yelp_reviews(spark, sf):
-    return md.gold_yelp_reviews(md.silver_yelp_reviews(dv.yelp_reviews_raw(spark, sf)),
-                                md.gold_yelp_business(yelp_business_silver(spark, sf)))
+    keys = md.silver_yelp_business_keys(dv.yelp_business_raw(spark, sf), terms=DEMO_TERMS)
+    return md.gold_yelp_reviews(md.silver_yelp_reviews(dv.yelp_reviews_raw(spark, sf)), keys)
 
 
 @query("load_by_ordinal_yelp", f"""WITH {_YB_SILVER_SQL}
@@ -816,7 +817,7 @@ def q_medallion_sentiment_reviews(spark, sf):
     lex = lexicon_frame(spark, REVIEW_LEXICON)
     for _ in range(2):
         run_stage(spark, "google_reviews:gold", "google_reviews:sentiment", lake, "google", ("gold", "reviews"),
-                  ("gold", "sentiment"), lambda r: sentiment_table(r, lex, round_to=6, keep=["source_file"]))
+                  ("gold", "sentiment"), lambda r: sentiment_table(r, lex, round_to=6, negators=None, keep=["source_file"]))
     return read_layer(spark, lake, "gold", "google", "sentiment").drop("source_file")
 
 
@@ -894,8 +895,9 @@ ORACLE["medallion_sentiment_reviews"] = _SENTIMENT_GOLD_SQL
 @query("sentiment_gold_reviews", _SENTIMENT_GOLD_SQL)
 def q_sentiment_gold_reviews(spark, sf):
     """R3 on the gold reviews: one sentiment row per review, though keys repeat."""
-    gold = md.gold_google_reviews(silver_reviews(spark, sf), gold_places(spark, sf))
-    return sentiment_table(gold, lexicon_frame(spark, REVIEW_LEXICON), round_to=6)
+    keys = md.silver_google_place_keys(dv.places_raw(spark, sf), terms=DEMO_TERMS)
+    gold = md.gold_google_reviews(silver_reviews(spark, sf), keys)
+    return sentiment_table(gold, lexicon_frame(spark, REVIEW_LEXICON), round_to=6, negators=None)
 
 
 @query("dim_state", f"""WITH {silver_places_sql()},

@@ -62,6 +62,20 @@ def silver_google_places(raw: DataFrame, terms: Sequence[str] = GOOGLE_CATEGORY_
     return df.select(*GOOGLE_PLACES_SILVER_COLUMNS, *extra)
 
 
+def silver_google_place_keys(raw: DataFrame, terms: Sequence[str] = GOOGLE_CATEGORY_TERMS) -> DataFrame:
+    """(gmap_id) of the rows that :func:`silver_google_places` keeps, for semi joins: repeats stay, so no shuffle."""
+    df = raw.select("avg_rating", "gmap_id", "latitude", "longitude", "num_of_reviews",
+                    F.concat_ws(", ", F.col("category")).alias("category"))
+    df = drop_null(df, ["avg_rating", "gmap_id", "latitude", "longitude", "num_of_reviews", "category"])
+    return drop_blank(df, "category").filter(matches_terms("category", terms)).select("gmap_id")
+
+
+def silver_yelp_business_keys(raw: DataFrame, terms: Sequence[str] = YELP_CATEGORY_TERMS) -> DataFrame:
+    """(business_id) of the rows that :func:`silver_yelp_business` keeps, for semi joins."""
+    df = drop_null(raw.select("business_id", "categories", "state"), ["business_id", "categories", "state"])
+    return df.filter(matches_terms("categories", terms)).select("business_id")
+
+
 def gold_google_places(silver: DataFrame) -> DataFrame:
     return gold_places(silver, "num_of_reviews")
 

@@ -167,6 +167,28 @@ VADER_ALPHA = 15.0
 NEGATION_SCALAR = -0.74
 BOOSTER_INCREMENT = 0.293
 BOOSTER_DAMPING = {1: 1.0, 2: 0.95, 3: 0.9}
+# Emphasis of a word in capitals within a text of mixed case.
+CAPITALS_INCREMENT = 0.733
+# Single-word negators and boosters of the published scorer.
+NEGATORS = [
+    "aint", "arent", "cannot", "cant", "couldnt", "darent", "didnt", "doesnt", "ain't", "aren't", "can't",
+    "couldn't", "daren't", "didn't", "doesn't", "dont", "hadnt", "hasnt", "havent", "isnt", "mightnt", "mustnt",
+    "neither", "don't", "hadn't", "hasn't", "haven't", "isn't", "mightn't", "mustn't", "neednt", "needn't", "never",
+    "none", "nope", "nor", "not", "nothing", "nowhere", "oughtnt", "shant", "shouldnt", "uhuh", "wasnt", "werent",
+    "oughtn't", "shan't", "shouldn't", "wasn't", "weren't", "without", "wont", "wouldnt", "won't", "wouldn't",
+    "rarely", "seldom", "despite",
+]
+BOOSTERS_UP = [
+    "absolutely", "amazingly", "awfully", "completely", "considerable", "considerably", "decidedly", "deeply",
+    "enormous", "enormously", "entirely", "especially", "exceptional", "exceptionally", "extreme", "extremely",
+    "fabulously", "fully", "greatly", "highly", "hugely", "incredible", "incredibly", "intensely", "major", "majorly",
+    "more", "most", "particularly", "purely", "quite", "really", "remarkably", "so", "substantially", "thoroughly",
+    "total", "totally", "tremendous", "tremendously", "uber", "unbelievably", "unusually", "utter", "utterly", "very",
+]
+BOOSTERS_DOWN = [
+    "almost", "barely", "hardly", "kinda", "kindof", "less", "little", "marginal", "marginally", "occasional",
+    "occasionally", "partly", "scarce", "scarcely", "slight", "slightly", "somewhat", "sorta", "sortof",
+]
 # Contrast rule: valences before the first contrast word are halved, those
 # after it are multiplied by 1.5.
 CONTRAST_BEFORE = 0.5

@@ -158,6 +158,27 @@ def test_contracted_negation_and_accents(spark):
     assert got == {"1": -0.3412, "2": -0.3412, "3": -0.3412, "4": 0.0}
 
 
+def test_published_rules_by_default(spark):
+    from plazalens.operators.sentiment import sentiment_table
+    df = spark.createDataFrame([("1", "This isn't good"), ("2", "GOOD day"), ("3", "good day"), ("4", "GOOD DAY"),
+                                ("5", "very good"), ("6", "bad but good"), ("7", "good!")], "review_id string, text string")
+    got = {r.review_id: r.sentiment_score for r in sentiment_table(df, lexicon_frame(spark, LEX), round_to=6).collect()}
+    sums = {"1": 1.9 * -0.74, "2": 1.9 + 0.733, "3": 1.9, "4": 1.9, "5": 1.9 + 0.293, "6": -2.5 * 0.5 + 1.9 * 1.5,
+            "7": 1.9 + 0.292}
+    assert got == {k: round(s / (s * s + 15) ** 0.5, 6) for k, s in sums.items()}
+
+
+def test_place_keys_equal_silver_keys(spark):
+    from plazalens.plans import catalog, medallion
+    sf = "/root/testdata/sf0.001"
+    for raw, silver, keys, key in (
+            (catalog.dv.places_raw, medallion.silver_google_places, medallion.silver_google_place_keys, "gmap_id"),
+            (catalog.dv.yelp_business_raw, medallion.silver_yelp_business, medallion.silver_yelp_business_keys, "business_id")):
+        places = raw(spark, sf)
+        want = {r[0] for r in silver(places, terms=catalog.DEMO_TERMS).select(key).collect()}
+        assert {r[0] for r in keys(places, terms=catalog.DEMO_TERMS).collect()} == want and want
+
+
 def test_repeated_ids_keep_their_own_rows(spark):
     df = spark.createDataFrame([("k", "good"), ("k", "bad bad"), ("k", "good"), ("k", None), ("k", None), ("k", "")],
                                "review_id string, text string")
