@@ -43,20 +43,24 @@ from plazalens.operators.recommend import (
     requests_frame,
 )
 from plazalens.operators.sentiment import (
+    PUBLISHED_RULES,
     extremes,
     label,
     lexicon_frame,
+    lexicon_rejects,
     read_lexicon,
     sentiment_scores,
     sentiment_table,
 )
-from plazalens.plans.incremental import IncrementalRun, run_incremental
+from plazalens.plans.incremental import IncrementalRun, run_incremental, run_stage
 from plazalens.plans.medallion import (
     gold_google_places,
     gold_yelp_business,
+    silver_google_place_keys,
     silver_google_places,
     silver_google_reviews,
     silver_yelp_business,
+    silver_yelp_business_keys,
     silver_yelp_reviews,
 )
 from plazalens.session import get_session, scratch_path, scratch_root
@@ -67,11 +71,13 @@ from plazalens.sources.io import (
     read_layer,
     read_parquet,
     select_by_ordinal,
+    split_rejects,
     state_dimension,
     write_parquet,
     write_parquet_counted,
 )
 from plazalens.sources.ledger import append_ledger, new_units, read_ledger
+from plazalens.sources.load import LoadError, load_table
 from plazalens.streaming.ingest import ingest_available_now
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -139,7 +139,7 @@ def silver_yelp_reviews(raw: DataFrame, unit_col: str | None = "source_file",
 
 
 __all__ = [
-    "silver_google_places", "gold_google_places", "silver_google_reviews",
+    "silver_google_place_keys", "silver_yelp_business_keys", "silver_google_places", "gold_google_places", "silver_google_reviews",
     "silver_yelp_business", "gold_yelp_business", "silver_yelp_reviews",
     "gold_google_reviews", "gold_yelp_reviews",
 ]
