@@ -198,7 +198,9 @@ def sentiment_scores(
         exploded = exploded.withColumn("_loud", F.col("_mixed") & _in_capitals(F.col("token"))).withColumn(
             "token", F.lower("token"))
     lex = maybe_broadcast(unique_lexicon(lexicon.select("token", "valence")), LEXICON_MAX_ROWS)
-    scored = exploded.join(lex, "token", "left")
+    # words without a valence add nothing; a text's first row stays to stand for the text
+    scored = exploded.join(lex, "token", "left").filter(
+        F.col("valence").isNotNull() | (F.coalesce(F.col("_pos"), F.lit(0)) == 0))
     v = F.col("valence")
     if capitals:
         v = F.when(F.col("_loud"), v + F.signum(v) * CAPITALS_INCREMENT).otherwise(v)
