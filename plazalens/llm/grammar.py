@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections import deque
+from collections import Counter, deque
 
 #: Fixed classes of the characters of a credential; any other character stands for itself.
 CLASSES = {**dict.fromkeys("0123456789", "0"), **dict.fromkeys("abcdef", "h"),
@@ -17,9 +17,15 @@ def shape(value: str) -> str:
 
 
 class Automaton:
-    """A deterministic automaton whose states carry pass and end counts."""
+    """A deterministic automaton whose states carry pass and end counts.
 
-    def __init__(self, words: list[str], alpha: float = 0.05):
+    States of equal depth are merged first, so that all examples count at each
+    position; states of different depths only where the test has enough counts
+    to tell any frequencies apart. Few examples thus give a narrow format
+    (the lengths seen, and at each position the classes seen), not a wide one.
+    """
+
+    def __init__(self, words: list[str], alpha: float = 0.05, smooth: float = 0.1):
         self.next: list[dict[str, int]] = [{}]
         self.count: list[dict[str, int]] = [{}]
         self.end, self.seen = [0], [0]
@@ -38,17 +44,32 @@ class Automaton:
             self.seen[q] += 1
             self.end[q] += 1
         self._bound = math.sqrt(0.5 * math.log(2 / alpha))
+        self._into = list(range(len(self.next)))  # the state that a merged state went into
+        self._merge_layers()
         self._merge_states()
-        self.symbols = len({c for t in self.next for c in t}) + 1
+        self._renumber()
+        self._alphabet = {c for t in self.next for c in t}
+        self._smooth = smooth
+        self._smoothed()
 
     def _differ(self, f1: int, n1: int, f2: int, n2: int) -> bool:
         if not n1 or not n2:
             return False
         return abs(f1 / n1 - f2 / n2) > self._bound * (1 / math.sqrt(n1) + 1 / math.sqrt(n2))
 
+    def _state(self, q: int) -> int:
+        while self._into[q] != q:
+            self._into[q] = self._into[self._into[q]]
+            q = self._into[q]
+        return q
+
+    def _tells(self, a: int, b: int) -> bool:
+        """Whether the test could tell any frequencies of the two states apart."""
+        return self._bound * (self.seen[a] ** -0.5 + self.seen[b] ** -0.5) < 1
+
     def _compatible(self, a: int, b: int) -> bool:
         """Hoeffding test of the end and symbol frequencies of two states and all states below both."""
-        todo = [(a, b)]
+        todo, met = [(a, b)], {(a, b)}
         while todo:
             a, b = todo.pop()
             n1, n2 = self.seen[a], self.seen[b]
@@ -58,58 +79,120 @@ class Automaton:
                 if self._differ(self.count[a].get(c, 0), n1, self.count[b].get(c, 0), n2):
                     return False
                 if c in self.next[a] and c in self.next[b]:
-                    todo.append((self.next[a][c], self.next[b][c]))
+                    pair = self._state(self.next[a][c]), self._state(self.next[b][c])
+                    if pair[0] != pair[1] and pair not in met:
+                        met.add(pair)
+                        todo.append(pair)
         return True
 
-    def _fold(self, a: int, b: int) -> None:
-        """Adds the tree at ``b`` to the automaton at ``a``."""
+    def _merge(self, a: int, b: int) -> None:
+        """``b`` goes into ``a``, and what they reach by equal symbols into each other."""
         todo = [(a, b)]
         while todo:
-            a, b = todo.pop()
+            a, b = map(self._state, todo.pop())
+            if a == b:
+                continue
+            self._into[b] = a
             self.seen[a] += self.seen[b]
             self.end[a] += self.end[b]
             for c, n in self.count[b].items():
                 self.count[a][c] = self.count[a].get(c, 0) + n
+            for c, t in self.next[b].items():
                 if c in self.next[a]:
-                    todo.append((self.next[a][c], self.next[b][c]))
+                    todo.append((self.next[a][c], t))
+                else:
+                    self.next[a][c] = t
+
+    def _merge_layers(self) -> None:
+        """Merges the compatible states of each depth, from the root on."""
+        layer = [0]
+        while layer:
+            below = dict.fromkeys(self._state(self.next[q][c]) for q in layer for c in sorted(self.next[q]))
+            layer = []
+            for b in below:
+                for r in layer:
+                    if self._compatible(r, b):
+                        self._merge(r, b)
+                        break
                 else:
-                    self.next[a][c] = self.next[b][c]
+                    layer.append(b)
 
     def _merge_states(self) -> None:
         """Red states are settled; each blue child of one is merged into a red state or becomes red."""
-        red, is_red = [0], {0}
+        red = [0]
         blue = deque((0, c) for c in sorted(self.next[0]))
         while blue:
             parent, c = blue.popleft()
-            b = self.next[parent][c]
-            if b in is_red:
+            b = self._state(self.next[self._state(parent)][c])
+            if b in red:
                 continue
             for r in red:
-                if self._compatible(r, b):
-                    self.next[parent][c] = r
-                    before = set(self.next[r])
-                    self._fold(r, b)
-                    # folding may have grown new children on any red state
+                if self._tells(r, b) and self._compatible(r, b):
+                    self._merge(r, b)
+                    # merging may have joined red states and grown new children on any
+                    red = list(dict.fromkeys(map(self._state, red)))
                     blue.extend((s, x) for s in red for x in sorted(self.next[s])
-                                if self.next[s][x] not in is_red and (s != r or x not in before))
+                                if self._state(self.next[s][x]) not in red)
                     break
             else:
                 red.append(b)
-                is_red.add(b)
                 blue.extend((b, x) for x in sorted(self.next[b]))
-        keep = {q: k for k, q in enumerate(red)}
-        self.next = [{c: keep[t] for c, t in self.next[q].items()} for q in red]
-        self.count = [self.count[q] for q in red]
-        self.end = [self.end[q] for q in red]
-        self.seen = [self.seen[q] for q in red]
-
-    def score(self, word: str, smooth: float = 0.1) -> float:
-        """Mean log2 probability of a symbol of ``word`` and of its end."""
-        q, total = 0, 0.0
+
+    def _renumber(self) -> None:
+        """Keeps the states that the root reaches."""
+        order = {self._state(0): 0}
+        for q in (todo := list(order)):
+            for c in sorted(self.next[q]):
+                t = self._state(self.next[q][c])
+                if t not in order:
+                    order[t] = len(order)
+                    todo.append(t)
+        self.next = [{c: order[self._state(t)] for c, t in self.next[q].items()} for q in order]
+        self.count = [self.count[q] for q in order]
+        self.end = [self.end[q] for q in order]
+        self.seen = [self.seen[q] for q in order]
+
+    def _smoothed(self) -> None:
+        """Log2 probabilities of each state: of its symbols, of any other (``None``) and of the end."""
+        smooth, self._steps, self._ends = self._smooth, [], []
+        for counts, nexts, end, seen in zip(self.count, self.next, self.end, self.seen):
+            whole = seen + smooth * (len(self._alphabet) + 1)
+            logs = {c: math.log2((n + smooth) / whole) for c, n in counts.items()}
+            most = min(counts, key=lambda c: (-counts[c], c), default=None)
+            self._steps.append((logs | {None: math.log2(smooth / whole)}, nexts.get(most)))
+            self._ends.append(math.log2((end + smooth) / whole))
+
+    def score(self, word: str, least: float = -math.inf) -> float:
+        """Mean log2 probability of a symbol of ``word`` and of its end; given up below ``least``.
+
+        A symbol not yet seen at a state has the smoothed probability and goes where most examples went.
+        """
+        q, total, floor = 0, 0.0, least * (len(word) + 1)
         for c in word:
-            total += math.log2((self.count[q].get(c, 0) + smooth) / (self.seen[q] + smooth * self.symbols))
-            if c not in self.next[q]:
+            logs, after = self._steps[q]
+            if c in logs:
+                total += logs[c]
+                q = self.next[q][c]
+            elif c in self._alphabet and after is not None:
+                total += logs[None]
+                q = after
+            else:
+                return -math.inf
+            if total < floor:
                 return -math.inf
+        return (total + self._ends[q]) / (len(word) + 1)
+
+    def held_out(self, word: str) -> float:
+        """Score of an example as if its own counts were not in the automaton."""
+        path, q = [], 0
+        for c in word:
+            path.append((q, c))
             q = self.next[q][c]
-        total += math.log2((self.end[q] + smooth) / (self.seen[q] + smooth * self.symbols))
+        path.append((q, None))
+        own, passed = Counter(path), Counter(q for q, _ in path)
+        total = 0.0
+        for q, c in path:
+            n = (self.end[q] if c is None else self.count[q][c]) - own[q, c]
+            total += math.log2((n + self._smooth) / (
+                self.seen[q] - passed[q] + self._smooth * (len(self._alphabet) + 1)))
         return total / (len(word) + 1)

@@ -35,7 +35,6 @@ HEX = re.compile(r"[0-9a-f]{16,}")  # a match is a maximal run
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{12,}")
 KEYWORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 MAX_EXAMPLES = 1500
-MIN_EXAMPLES = 50  # a kind with fewer distinct examples names no format
 MAX_EXAMPLE_CHARS = 256
 SPAN = "array<struct<start:long,kind:int,end:long>>"
 
@@ -110,7 +109,7 @@ def learned_spans(text: str, base: list[tuple[int, int, int]], model: dict) -> l
         if any(s < m.end() and e > m.start() for s, e in by_start[k:k + 8]):
             continue
         kind = shape(value)
-        if any(len(value) >= least and a.score(kind) >= bar for a, bar, least in model.values()):
+        if any(len(value) >= least and a.score(kind, least_score) >= least_score for a, least_score, least in model.values()):
             out.append((m.start(), 3, m.end()))
     return out
 
@@ -149,10 +148,9 @@ def learn(docs: DataFrame, text_col: str = "text", max_examples: int = MAX_EXAMP
             own = own.filter(F.pmod("h", F.lit(1 << 30)) < int((1 << 30) * 2 * max_examples / n))
         sample = [r["value"] for r in own.orderBy(F.pmod("h", F.lit(1 << 30)), "value").limit(max_examples).collect()]
         words = [shape(v) for v in sample]
-        if len(words) >= MIN_EXAMPLES:
-            a = Automaton(words)
-            scores = sorted(a.score(w) for w in words)
-            model[kind] = (a, scores[len(scores) // 100], min(map(len, words)))
+        a = Automaton(words)
+        scores = sorted(map(a.held_out, words))
+        model[kind] = (a, scores[len(scores) // 100], min(map(len, words)))
     return model
 
 

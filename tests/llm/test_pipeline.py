@@ -107,3 +107,11 @@ def test_odd_rows_pass_all_stages(spark):
             d = P.written(stage(spark, d, SF), "odd")
         ids = {r.doc_id for r in d.collect()}
         assert ids <= {1, None, 2, 3, 4} and (not start.isEmpty() or not ids)
+
+
+def test_few_planted_formats_are_masked(spark):
+    keys = ["mk-" + "".join("QXZ7890"[(k * k * 5 + j * (k + 3)) % 7] for j in range(20)) for k in range(16)]
+    rows = [(k, f"api_key={v} end" if k < 12 else f"see {v} end") for k, v in enumerate(keys)]
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    assert texts(P.mask_secrets(spark, docs, SF)) == {k: "[SECRET] end" if k < 12 else "see [SECRET] end" for k, _ in rows}

@@ -89,3 +89,29 @@ def test_query_counts(spark, sf):
     for r in out.collect():
         kinds = [k for _, k, _ in brute_base(docs[r.doc_id])]
         assert (r.n_assign, r.n_access, r.n_hex) == (kinds.count(0), kinds.count(1), kinds.count(2))
+
+
+WIDE = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+
+
+def added(spark, texts):
+    """Texts of the learned spans of each row."""
+    docs = frame(spark, texts)
+    rows = {r.id: r for r in S.find_secrets(docs, S.learn(docs)).collect()}
+    return [[texts[k][s.start:s.end] for s in rows[k].spans if s.kind == 3] for k in range(len(texts))]
+
+
+@pytest.mark.parametrize("n", [3, 11, 49])
+def test_few_labelled_examples_name_a_format(spark, n):
+    rng = random.Random(n)
+    values = ["sk_live_7" + "".join(rng.choices(WIDE, k=24)) for _ in range(n + 20)]
+    words = ["a sentence_with_long-words and page-2024-overview of mail7-example-com things", "thisonwhbleon_2024"]
+    got = added(spark, [f"token={v}" for v in values[:n]] + [f"see {v} there" for v in values[n:]] + words)
+    assert got[:n] == [[]] * n and got[-2:] == [[], []]
+    assert sum(g == [v] for g, v in zip(got[n:], values[n:])) >= 16
+
+
+def test_copies_of_one_leaked_key_are_found(spark):
+    key = "Zk83-hPq2_mmT0xYw91"
+    got = added(spark, [f"secret: {key}"] * 40 + [f"copied {key} here", "page-2024-overview12"])
+    assert got == [[]] * 40 + [[key], []]
