@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +44,25 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_CACHE: dict = {}
+
+
+def worker_cache(key: object, make: Callable[[], object]) -> object:
+    """The worker's one cached object: another key's is let go first."""
+    if key not in _CACHE:
+        release_worker_cache()
+        _CACHE[key] = make()
+    return _CACHE[key]
+
+
+def release_worker_cache() -> None:
+    """Frees what an earlier operator's tasks left in this Python worker."""
+    if _CACHE:
+        _CACHE.clear()
+        gc.collect()
+    pa.default_memory_pool().release_unused()
+
+
 def text_slices(column: pa.Array, limit: int = 8 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first, last, bytes, offsets) of runs of texts of about ``limit`` bytes.
 

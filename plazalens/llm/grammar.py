@@ -10,6 +10,8 @@ CLASSES = {**dict.fromkeys("0123456789", "0"), **dict.fromkeys("abcdef", "h"),
            **dict.fromkeys("ghijklmnopqrstuvwxyz", "a"),
            **dict.fromkeys("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "A")}
 _TABLE = str.maketrans(CLASSES)
+#: Characters of each class; any other symbol is one character.
+SIZE = {"0": 10, "h": 6, "a": 20, "A": 26}
 
 
 def shape(value: str) -> str:
@@ -23,9 +25,15 @@ class Automaton:
     position; states of different depths only where the test has enough counts
     to tell any frequencies apart. Few examples thus give a narrow format
     (the lengths seen, and at each position the classes seen), not a wide one.
+    States whose ranges of remaining lengths do not meet are not merged.
+
+    The symbols are the classes of ``shape``. Given the ``values`` behind the
+    words, each state also knows its characters: a class that was only ever
+    one character at a state is fixed to it, as far as the number of examples
+    speaks for that; in any other its characters are equally likely.
     """
 
-    def __init__(self, words: list[str], alpha: float = 0.05, smooth: float = 0.1):
+    def __init__(self, words: list[str], alpha: float = 0.05, smooth: float = 0.1, values: list[str] | None = None):
         self.next: list[dict[str, int]] = [{}]
         self.count: list[dict[str, int]] = [{}]
         self.end, self.seen = [0], [0]
@@ -46,11 +54,13 @@ class Automaton:
         self._bound = math.sqrt(0.5 * math.log(2 / alpha))
         self._into = list(range(len(self.next)))  # the state that a merged state went into
         self._merge_layers()
+        self._heights()
         self._merge_states()
         self._renumber()
         self._alphabet = {c for t in self.next for c in t}
         self._smooth = smooth
         self._smoothed()
+        self._characters(values or [])
 
     def _differ(self, f1: int, n1: int, f2: int, n2: int) -> bool:
         if not n1 or not n2:
@@ -117,26 +127,48 @@ class Automaton:
                 else:
                     layer.append(b)
 
+    def _heights(self) -> None:
+        """Least and most symbols that may follow each state; the merged layers hold no cycle."""
+        order = [0]
+        met = {0}
+        for q in order:
+            for t in map(self._state, self.next[q].values()):
+                if t not in met:
+                    met.add(t)
+                    order.append(t)
+        self._least, self._most = {}, {}
+        for q in reversed(order):
+            below = [self._state(t) for t in self.next[q].values()]
+            self._least[q] = 0 if self.end[q] else 1 + min(self._least[t] for t in below)
+            self._most[q] = 1 + max((self._most[t] for t in below), default=-1)
+
+    def _may_merge(self, a: int, b: int) -> bool:
+        return (self._tells(a, b) and self._least[a] <= self._most[b] and self._least[b] <= self._most[a]
+                and self._compatible(a, b))
+
     def _merge_states(self) -> None:
         """Red states are settled; each blue child of one is merged into a red state or becomes red."""
-        red = [0]
+        red, strong = {0}, [0]  # a state met once is never told apart, so it is compared with none
         blue = deque((0, c) for c in sorted(self.next[0]))
         while blue:
             parent, c = blue.popleft()
             b = self._state(self.next[self._state(parent)][c])
             if b in red:
                 continue
-            for r in red:
-                if self._tells(r, b) and self._compatible(r, b):
-                    self._merge(r, b)
-                    # merging may have joined red states and grown new children on any
-                    red = list(dict.fromkeys(map(self._state, red)))
-                    blue.extend((s, x) for s in red for x in sorted(self.next[s])
-                                if self._state(self.next[s][x]) not in red)
-                    break
-            else:
-                red.append(b)
+            r = next((r for r in strong if self._may_merge(r, b)), None) if self.seen[b] > 1 else None
+            if r is None:
+                red.add(b)
+                if self.seen[b] > 1:
+                    strong.append(b)
                 blue.extend((b, x) for x in sorted(self.next[b]))
+                continue
+            self._least[r], self._most[r] = min(self._least[r], self._least[b]), max(self._most[r], self._most[b])
+            self._merge(r, b)
+            # merging may have joined red states and grown new children on any
+            red = set(map(self._state, red))
+            strong = list(dict.fromkeys(map(self._state, strong)))
+            blue.extend((s, x) for s in strong for x in sorted(self.next[s])
+                        if self._state(self.next[s][x]) not in red)
 
     def _renumber(self) -> None:
         """Keeps the states that the root reaches."""
@@ -182,17 +214,39 @@ class Automaton:
                 return -math.inf
         return (total + self._ends[q]) / (len(word) + 1)
 
-    def held_out(self, word: str) -> float:
-        """Score of an example as if its own counts were not in the automaton."""
-        path, q = [], 0
-        for c in word:
-            path.append((q, c))
-            q = self.next[q][c]
-        path.append((q, None))
-        own, passed = Counter(path), Counter(q for q, _ in path)
-        total = 0.0
-        for q, c in path:
-            n = (self.end[q] if c is None else self.count[q][c]) - own[q, c]
-            total += math.log2((n + self._smooth) / (
-                self.seen[q] - passed[q] + self._smooth * (len(self._alphabet) + 1)))
-        return total / (len(word) + 1)
+    def _characters(self, values: list[str]) -> None:
+        """Log2 probability of a character given state and class, where it is not uniform in its class."""
+        met: dict[tuple[int, str], Counter] = {}
+        for value in values:
+            q = 0
+            for c, k in zip(value, shape(value)):
+                met.setdefault((q, k), Counter())[c] += 1
+                q = self.next[q][k]
+        self._fixed: dict[tuple[int, str], tuple[str, float, float]] = {}
+        for (q, k), counts in met.items():
+            size = SIZE.get(k, 1)
+            if size > 1 and len(counts) == 1:
+                (c, n), = counts.items()
+                w = 1 / (1 + size ** -float(min(n - 2, 100)))  # posterior of "always this character", from n equal draws
+                rest = (w * self._smooth / (n + self._smooth) + 1 - w) / size
+                self._fixed[q, k] = c, math.log2(w * n / (n + self._smooth) + rest), math.log2(rest)
+
+    def bits(self, value: str, least: float = -math.inf) -> float:
+        """Log2 probability of the characters of ``value`` and of its end; -inf as soon as it is below ``least``."""
+        q, total = 0, 0.0
+        for c, k in zip(value, shape(value)):
+            logs, after = self._steps[q]
+            known = k in logs
+            if not known and (k not in self._alphabet or after is None):
+                return -math.inf
+            total += logs[k if known else None]
+            fixed = self._fixed.get((q, k))
+            total += (fixed[1] if c == fixed[0] else fixed[2]) if fixed else _UNIFORM.get(k, 0.0)
+            if total < least:
+                return -math.inf
+            q = self.next[q][k] if known else after
+        total += self._ends[q]
+        return total if total >= least else -math.inf
+
+
+_UNIFORM = {k: -math.log2(n) for k, n in SIZE.items()}

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from plazalens.llm.common import text_slices
+from plazalens.llm.common import text_slices, worker_cache
 
 SLICE = 4 << 20  # bytes of text that are encoded at a time
 _WHITE = np.zeros(256, bool)
@@ -191,15 +191,9 @@ class Encoder:
         return ids, np.concatenate(([0], done[ends - 1]))
 
 
-_ENCODERS: dict[tuple, Encoder] = {}
-
-
 def encoder(tokenizer_json: str, mode: str, end_id: int) -> Encoder:
-    """The worker's encoder: its cache lasts as long as the Python worker."""
-    key = (hash(tokenizer_json), mode, end_id)
-    if key not in _ENCODERS:
-        _ENCODERS[key] = Encoder(tokenizer_json, mode, end_id)
-    return _ENCODERS[key]
+    """The worker's encoder: its cache lasts until another operator's task runs in the worker."""
+    return worker_cache(("encoder", hash(tokenizer_json), mode, end_id), lambda: Encoder(tokenizer_json, mode, end_id))
 
 
 def encode_documents(docs: DataFrame, tokenizer_path: str, mode: str, end_id: int,

@@ -1,3 +1,6 @@
+import collections
+import hashlib
+import math
 import random
 import re
 
@@ -115,3 +118,121 @@ def test_copies_of_one_leaked_key_are_found(spark):
     key = "Zk83-hPq2_mmT0xYw91"
     got = added(spark, [f"secret: {key}"] * 40 + [f"copied {key} here", "page-2024-overview12"])
     assert got == [[]] * 40 + [[key], []]
+
+
+def case(spark, values, others, n=100):
+    """Of ``values``, the first ``n`` labelled, the rest plain: how many of the rest are found whole; spans of ``others``."""
+    got = added(spark, [f"token={v}" for v in values[:n]] + [f"see {v} there" for v in values[n:]] + others)
+    assert got[:n] == [[]] * n
+    return sum(g == [v] for g, v in zip(got[n:], values[n:])), got[len(values):]
+
+
+PLAIN = ["a well-known-words phrase, page-2024-overview of things", "internationalization and counterintelligence.",
+         "https://www.example.com/some/path/index.html", "1234567890.1234567890"]
+
+
+def test_letters_only_and_long_formats(spark):
+    rng = random.Random(7)
+    low = "abcdefghijklmnopqrstuvwxyz"
+    values = ["-".join("".join(rng.choices(low, k=4)) for _ in range(4)) for _ in range(120)]
+    assert case(spark, values, PLAIN) == (20, [[]] * 4)
+    values = [".".join("".join(rng.choices(WIDE + "_-", k=k)) for k in (20, 60, 43)) for _ in range(120)]
+    assert case(spark, values, PLAIN) == (20, [[]] * 4)
+    values = ["".join(rng.choices(WIDE, k=300)) for _ in range(50)]
+    assert case(spark, values, PLAIN, 30) == (20, [[]] * 4)
+
+
+def test_a_candidate_that_holds_a_base_span_is_scored_whole(spark):
+    rng = random.Random(8)
+    values = ["key-" + "".join(rng.choices("0123456789abcdef", k=32)) + "".join(rng.choices(WIDE, k=4)) for _ in range(120)]
+    assert case(spark, values, PLAIN) == (20, [[]] * 4)
+
+
+def test_mixed_labelled_values_do_not_widen_the_format(spark):
+    values = ["Zk83-hPq2_mmT0xYw91", "hunter2hunter2", "correct-horse-battery", "Q9x.Lm2.7tRb8", "abc123def456ghi", "winter+2023/Pass=", "s3cr3t_value_no5"]
+    assert case(spark, values, PLAIN, 7) == (0, [[]] * 4)
+
+
+def brute_spans(texts, model):
+    """Spans of every text from plain loops: counts of three characters in a dictionary, one candidate at a time."""
+    rx = re.compile(r"[A-Za-z0-9+/_.=-]{12,}")
+    base = [brute_base(t) for t in texts]
+    runs = [[(m.start(), m.start() + len(m.group().rstrip("."))) for m in rx.finditer(t)] for t in texts]
+    runs = [[(a, b) for a, b in r if b - a >= 12 and not any(s <= a and b <= e for s, _, e in own)] for r, own in zip(runs, base)]
+    order = [collections.Counter() for _ in range(3)]
+    below = [collections.Counter() for _ in range(3)]
+    after = collections.defaultdict(set)
+
+    def steps(v):
+        v = "^^" + v + "$"
+        for k in range(2, len(v)):
+            for n in range(3):
+                yield n, v[k - n:k], v[k]
+
+    def prior(c):
+        return .05 if c == "$" else .15 / 26 if c.isupper() else .5 / 26 if c.islower() else .02 if c.isdigit() else .1 / 6
+
+    def plain(v):
+        return sum(math.log2(prior(c)) for c in v + "$")
+
+    def background(v):
+        total = 0.0
+        for n, ctx, c in steps(v):
+            p = prior(c) if n == 0 else p
+            w = 4 * max(1, len(after[n, ctx]))
+            p = (order[n][ctx, c] + w * p) / (below[n][ctx] + w)
+            total += math.log2(p) if n == 2 else 0
+        return max(total, plain(v))
+
+    def secret(v, against):
+        signs = "".join(c for c in v if not c.isalnum())
+        some = [a for known, rare in model["formats"].values() for a in (known.get(signs), rare) if a]
+        low = sum(map(against, re.findall("[^=/]+", v))) + len(re.findall("[=/]", v)) * math.log2(.1 / 6)
+        return any(a.bits(v) >= low + 16 for a in some)
+
+    for v in {t[a:b] for t, r in zip(texts, runs) for a, b in r}:
+        for p in [] if secret(v, plain) else re.findall("[^=/]+", v):
+            for n, ctx, c in [] if len(p) >= 12 and secret(p, plain) else steps(p):
+                order[n][ctx, c] += 1
+                below[n][ctx] += 1
+                after[n, ctx].add(c)
+
+    out = []
+    for t, own, r in zip(texts, base, runs):
+        got = list(own)
+        rx2 = re.compile(r"[^=/]+")
+        whole = [(m.start(), m.start() + len(m.group().rstrip("."))) for m in rx.finditer(t)]
+        for a, b in whole:
+            if b - a < 12:
+                continue
+            parts = [(a + m.start(), a + m.end()) for m in rx2.finditer(t[a:b])]
+            some = [(a, b)] if secret(t[a:b], background) else [(x, y) for x, y in parts if 12 <= y - x < b - a and secret(t[x:y], background)]
+            got += [(x, 3, y) for x, y in some if not any(s <= x and y <= e for s, _, e in own)]
+        out.append(sorted(got))
+    return out
+
+
+def test_spans_match_brute_force(spark):
+    rng = random.Random(9)
+    values = ["é" * (k % 3) + " sk_live_" + "".join(rng.choices(WIDE, k=24)) for k in range(30)]
+    texts = TEXTS + [f"token={v.strip('é ')}" for v in values[:15]] + [f"see x={v.strip('é ')}/more {v}." for v in values[15:]] + PLAIN
+    model = S.learn(frame(spark, texts))
+    rows = sorted(S.find_secrets(frame(spark, texts), model).collect(), key=lambda r: r.id)
+    got = [[(s.start, s.kind, s.end) for s in r.spans] for r in rows]
+    assert got == brute_spans(texts, model)
+    assert sum(k == 3 for spans in got for _, k, _ in spans) == 30
+
+
+def test_query_matches_brute_force(spark):
+    path = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    model = S.learn(docs)
+    want = dict(zip(texts, brute_spans(list(texts.values()), model))) if model else {k: brute_base(t) for k, t in texts.items()}
+
+    def line(spans):
+        return ",".join(f"{('assign', 'access', 'hex', 'format')[k]}:{s}:{e}" for s, k, e in spans)
+
+    for r in op10_secrets(spark, path).collect():
+        assert r.spans == line(want[r.doc_id])
+        assert r.base_sha256 == hashlib.sha256(line(brute_base(texts[r.doc_id])).encode()).hexdigest()
