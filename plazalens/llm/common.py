@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,33 @@ def ascii_lower(s: Column) -> Column:
         F.translate(s, ASCII_UPPER, ASCII_LOWER))
 
 
+def free_name(name: str, df: DataFrame) -> str:
+    """``name`` with as many underscores as no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+_SCRATCH: list[list[str]] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[list[str]]:
+    """The paths of the tables that ``written`` makes inside; those still listed at the end are deleted."""
+    _SCRATCH.append([])
+    try:
+        yield _SCRATCH[-1]
+    finally:
+        for path in _SCRATCH.pop():
+            remove_table(spark, path)
+
+
+def remove_table(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared scratch folder and read back.
 
@@ -34,6 +62,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if _SCRATCH:
+        _SCRATCH[-1].append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

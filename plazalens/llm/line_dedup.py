@@ -8,11 +8,13 @@ documents. Lines whose hash repeats lose their place everywhere else; the
 answer is one compressed bitmap per document that loses a line. Only
 DataFrame functions are used.
 
-Defined results: a null text is one empty line; a null id sorts below all
-ids; rows that share an id count as separate documents for the repeat count,
-and all rows with the largest id keep their lines; an empty table gives an
-empty result; only the id and text columns are read, so other columns and
-their names do not matter.
+Defined results: a null text is one empty line; rows that share an id are one
+document for the repeat count, and all rows with the largest id keep their
+lines; each row without an id is a document of its own, below all ids; a line that stands several times in
+a document stays or goes as a whole; a text of any length is split whole; an
+empty table gives an empty result; other columns are handed through whatever
+their names, and the counts are added as ``line_dedup``, or that with as many
+underscores as make it a new name.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plazalens.llm.common import ascii_lower
+from plazalens.llm.common import ascii_lower, free_name
 
 WHITE = " \t\n\x0b\x0c\r"
 
@@ -52,11 +54,14 @@ def repeated_keys(docs: DataFrame, id_col: str, text_col: str, min_chars: int, m
     """
     lines = F.filter(F.split("t", "\n", -1), lambda x: _eligible(x, min_chars))
     both = F.array_distinct(F.transform(lines, lambda x: F.concat_ws(":", *_hashes(_key(x)))))
-    once = _rows(docs, id_col, text_col).select("id", "th", F.explode(both).alias("k")).select(
+    once = _rows(docs, id_col, text_col).select("id", F.explode(both).alias("k")).select(
         F.substring_index("k", ":", 1).cast("long").alias("h1"),
         F.substring_index("k", ":", -1).cast("long").alias("h2"),
-        F.pmod(F.hash("id", "th"), F.lit(salts)).alias("salt"), "id")
-    summed = once.groupBy("h1", "h2", "salt").agg(F.count("*").alias("n"), F.max("id").alias("last"))
+        F.pmod(F.hash("id"), F.lit(salts)).alias("salt"), "id")
+    # the rows of one id have one salt; repeats of an id go before the counts are made
+    per_id = once.groupBy("h1", "h2", "salt", "id").agg(F.count("*").alias("n"))
+    summed = per_id.groupBy("h1", "h2", "salt").agg(
+        F.sum(F.when(F.col("id").isNull(), F.col("n")).otherwise(1)).alias("n"), F.max("id").alias("last"))
     ranged = summed.repartitionByRange("h1", "h2").sortWithinPartitions(
         "h1", "h2", F.col("last").desc_nulls_last())
     group = Window.partitionBy("h1", "h2")
@@ -92,7 +97,7 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id",
     """``docs`` with its text cut to the kept lines, plus n_lines and n_dropped.
 
     All columns of ``docs`` come back under their names (``n_lines`` and
-    ``n_dropped`` of the result are in the struct column ``line_dedup``).
+    ``n_dropped`` of the result are in a struct column after them).
     """
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     d = docs.select(row, F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
@@ -111,7 +116,7 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id",
         F.size("lines").cast("long").alias("n_lines"),
         F.coalesce("n_dropped", F.lit(0).cast("long")).alias("n_dropped")).alias("line_dedup")).select(
         *[F.col("kept").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns],
-        "line_dedup")
+        F.col("line_dedup").alias(free_name("line_dedup", docs)))
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

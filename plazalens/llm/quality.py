@@ -4,15 +4,16 @@ Method: a document is the mean of learned vectors of its features - hashed
 words, hashed 3- and 4-byte character n-grams of the running text, and a mark
 for a word that repeats the one before - followed by a softmax over the two
 labels. Vectors and output layer are trained by stochastic gradient descent
-in numpy on a bounded sample of labelled rows (``max_rows`` per label, those
-of smallest id hash). The output is linear in the mean, so scoring needs one
-number per bucket.
+in numpy on a bounded sample of labelled rows (``max_rows`` rows and
+``max_bytes`` bytes of text per label, those of smallest id hash, then text).
+The output is linear in the mean, so scoring needs one number per bucket.
 
 Labels are learned only from rows whose crc32(id as text) mod 5 is not 0;
 a label other than 0 or 1 is ignored. Defined results: a null or empty text
 (no feature) scores the softmax of a zero vector, 0.5; without labels of both
-kinds all rows score 0.5; repeated rows get equal scores; an empty table gives
-an empty result; no other column is an input of the score.
+kinds all rows score 0.5; repeated rows get equal scores; equal id hashes are
+ordered by id and text; texts of any length are scored whole, in slices; an
+empty table gives an empty result; no other column is an input of the score.
 """
 
 from __future__ import annotations
@@ -22,14 +23,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plazalens.llm.common import text_slices
+from plazalens.llm.common import release_worker_cache, text_slices
 
 BITS = 16
 GRAMS = (3, 4)
 MAX_ROWS = 1000  # training rows per label
+MAX_BYTES = 64 << 20  # of their texts per label
 FOLDS = 5
 SLICE = 1 << 20  # bytes of text whose features are made at a time: about 100 bytes of arrays for each
 
@@ -121,17 +123,27 @@ def in_fold(id_col: str) -> Column:
 
 
 def learn(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id",
-          text_col: str = "text", max_rows: int = MAX_ROWS, seed: int = 0) -> Model:
-    """Model from at most ``max_rows`` labelled rows of each label."""
+          text_col: str = "text", max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES, seed: int = 0) -> Model:
+    """Model from at most ``max_rows`` labelled rows of ``max_bytes`` of text of each label.
+
+    A row is a labelled id with a text: an id that repeats brings one for each of its different texts.
+    """
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).filter(
-        F.col("id").isNotNull() & F.col("y").isin(0, 1) & ~in_fold("id"))
+        F.col("id").isNotNull() & F.col("y").isin(0, 1) & ~in_fold("id")).distinct()
     order = [F.xxhash64("id"), F.col("id")]
-    chosen = None
-    for y in (0, 1):
-        some = known.filter(F.col("y") == y).orderBy(*order).limit(max_rows)
-        chosen = some if chosen is None else chosen.unionByName(some)
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).join(
-        F.broadcast(chosen.distinct()), "id").select("id", "y", "t")  # at most 2 * max_rows rows
+
+    def per_label(rows: DataFrame, order: list[Column]) -> DataFrame:
+        some = [rows.filter(F.col("y") == y).orderBy(*order).limit(max_rows) for y in (0, 1)]
+        return some[0].unionByName(some[1])
+
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
+    rows = texts.join(F.broadcast(per_label(known, order)), "id").select(  # at most 2 * max_rows ids
+        "id", "y", F.xxhash64("t").alias("h"), F.coalesce(F.octet_length("t"), F.lit(0)).alias("size"))
+    before = Window.partitionBy("y").orderBy(*order, "h").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    chosen = per_label(rows.distinct(), [*order, F.col("h")]).withColumn("all", F.sum("size").over(before)).filter(
+        F.col("all") <= max_bytes).select("id", "y", "h")
+    texts = texts.join(F.broadcast(chosen.select("id").distinct()), "id", "left_semi").withColumn("h", F.xxhash64("t"))
+    texts = texts.join(F.broadcast(chosen), ["id", "h"]).dropDuplicates(["id", "h", "y"]).select("id", "y", "t")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -157,6 +169,7 @@ def score_documents(docs: DataFrame, model: Model, text_col: str = "text", score
     schema = docs.select("*", F.lit(0.0).alias(score_col)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_worker_cache()
         for b in batches:
             scores = [model.scores(data, offsets) for _, _, data, offsets in text_slices(b.column(at), SLICE)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.concatenate(scores) if scores else [], pa.float64())],

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plazalens.llm.common import written
+from plazalens.llm.common import release_worker_cache, written
 from plazalens.llm.components import star_components
 
 SEED = 42
@@ -61,6 +61,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     id_type = docs.schema[id_col].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_worker_cache()
         for b in batches:
             texts = b.column(1).cast(pa.binary())
             fp = np.array([fingerprint(t.as_py() or b"", shingle) for t in texts], np.uint64)

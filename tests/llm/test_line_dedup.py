@@ -29,6 +29,20 @@ def test_repeated_lines_stay_in_the_largest_document(spark):
     assert out.columns == ["doc_id", "text", "id", "line_dedup"]
 
 
+def test_repeated_ids_are_one_document(spark):
+    out = line_dedup(frame(spark, [(5, f"{A}\nx"), (5, A), (7, A)]))
+    assert texts(out) == [(5, f"{A}\nx"), (5, A), (7, A)] or texts(out) == [(5, A), (5, f"{A}\nx"), (7, A)]
+    out = line_dedup(frame(spark, [(5, f"{A}\nx"), (5, A), (7, A), (6, A)]))
+    assert sorted(t for _, t in texts(out)) == ["", "", A, "x"]
+
+
+def test_clashing_columns_are_handed_through(spark):
+    out = line_dedup(frame(spark, [(1, A), (2, A), (3, A)]))
+    assert out.columns == ["doc_id", "text", "line_dedup", "id", "line_dedup_"]
+    assert sorted((r.text, r.line_dedup, r.id, r.line_dedup_.n_dropped) for r in out.collect()) == [
+        ("", "x", 7, 1), ("", "x", 7, 1), (A, "x", 7, 0)]
+
+
 def test_odd_rows(spark):
     long = "\n".join(f"{A} {k % 500}" for k in range(3000))
     rows = [(None, A), (None, A), (3, A), (4, None), (4, ""), (5, long), (6, long), (7, long), (3, A), (8, "é" * 19 + "\n" + "é" * 20)]

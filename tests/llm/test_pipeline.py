@@ -109,6 +109,40 @@ def test_odd_rows_pass_all_stages(spark):
         assert ids <= {1, None, 2, 3, 4} and (not start.isEmpty() or not ids)
 
 
+def test_repeated_and_missing_ids(spark):
+    rng = __import__("random").Random(3)
+    other = [" ".join(rng.choices([f"word{k}" for k in range(500)], k=40)) for _ in range(4)]
+    rows = [(1, other[0]), (1, other[1]), (None, other[2]), (None, other[2]), (None, other[0]), (2, other[1]), (None, None), (3, "")]
+    docs = spark.createDataFrame([(i, t, "a", 1, 2, "b") for i, t in rows],
+                                 "doc_id long, text string, key string, row int, id int, line_dedup string")
+    out = P.keep_one_of_each_group(spark, docs, SF)
+    assert out.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=str) == sorted(
+        [(1, other[0]), (1, other[1]), (None, other[2]), (3, "")], key=str)
+
+
+def test_clashing_columns_pass_all_stages(spark):
+    rows = [(k, f"a line of text that is number {k} here\nsecond", "a", 1, 2, "b", 0.5) for k in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, key string, row int, id int, line_dedup string, score double")
+    d = docs
+    for _, stage in P.STAGES[:-1]:
+        d = stage(spark, d, SF)
+        assert d.dtypes == docs.dtypes
+    assert P.STAGES[-1][1](spark, d, SF).select("doc_id").distinct().count() == d.count()
+
+
+def test_finished_stages_leave_no_tables(spark):
+    from pathlib import Path
+
+    from plazalens.session import scratch_root
+
+    root = Path(scratch_root(spark).replace("file:", ""))
+    before = set(root.iterdir())
+    P.run(spark, SF).count()
+    names = {p.name.rsplit("-", 1)[0] for p in root.iterdir() if p not in before and not p.name.count("-") == 4}
+    assert names == {"stage_3", "packing"}
+
+
 def test_few_planted_formats_are_masked(spark):
     keys = ["mk-" + "".join("QXZ7890"[(k * k * 5 + j * (k + 3)) % 7] for j in range(20)) for k in range(16)]
     rows = [(k, f"api_key={v} end" if k < 12 else f"see {v} end") for k, v in enumerate(keys)]
