@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plazalens.llm import quality, secrets
-from plazalens.llm.common import read_table, written
+from plazalens.llm.common import free_name, read_table, remove_table, scratch_scope, written
 from plazalens.llm.line_dedup import line_dedup
 from plazalens.llm.packing import pack
 from plazalens.llm.queries import KEEP_SCORE
@@ -31,8 +31,9 @@ def _recounted(docs: DataFrame, like: DataFrame) -> DataFrame:
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of score ``KEEP_SCORE`` or more under the quality classifier."""
     model = quality.learn(docs, read_table(spark, sf_dir, "labels"))
-    scored = quality.score_documents(docs, model, score_col="__quality")
-    return scored.filter(F.col("__quality") >= KEEP_SCORE).drop("__quality")
+    score = free_name("score", docs)
+    scored = quality.score_documents(docs, model, score_col=score)
+    return scored.filter(F.col(score) >= KEEP_SCORE).drop(score)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,11 +42,14 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The row of smallest id of each near-duplicate group; rows without an id cannot be named and stay."""
-    groups = near_dedup(docs, shingle=3, radius=2)
-    first = groups.filter(F.col("id") == F.col("component_id")).select(F.col("id").alias("doc_id"))
-    named = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])  # on the join's partitioning
-    return named.select(docs.columns).unionByName(docs.filter(F.col("doc_id").isNull()))
+    """One row of each near-duplicate group: that of smallest id, then smallest text hash; no id counts as the largest."""
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("doc_id"),
+                   F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), "text").alias("h2")).alias("key")
+    keyed = docs.select(key, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    groups = near_dedup(keyed.select("key", F.col("row.text").alias("text")), id_col="key", shingle=3, radius=2)
+    first = groups.filter(F.col("id") == F.col("component_id")).select(F.col("id").alias("key"))
+    # equal rows have one key; they go on the join's partitioning
+    return keyed.join(first, "key", "left_semi").dropDuplicates(["key"]).select("row.*")
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -69,10 +73,18 @@ ORACLE_SQL = None  # no stage after the trained classifier can be said in SQL
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written to the shared folder and read again for the next."""
-    docs = read_table(spark, sf_dir, "documents")
+    """All stages over ``documents``, each written to the shared folder and read again for the next.
+
+    What a stage wrote for itself goes when its result stands, and a result when the next one does.
+    """
+    docs, last = read_table(spark, sf_dir, "documents"), None
     for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k + 1 < len(STAGES):
-            docs = written(docs, f"stage_{k}")
+        if k + 1 == len(STAGES):
+            return stage(spark, docs, sf_dir)
+        with scratch_scope(spark) as made:
+            docs = written(stage(spark, docs, sf_dir), f"stage_{k}")
+            result = made.pop()
+        if last:
+            remove_table(spark, last)
+        last = result
     return docs
