@@ -26,6 +26,8 @@ DEFAULT_CONF = {
     # its shuffle through a runtime Bloom filter (selective places filter)
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # rows go to Python workers in batches of so many bytes, whatever their width
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
     "spark.sql.parquet.compression.codec": "snappy",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
