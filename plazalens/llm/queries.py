@@ -7,11 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plazalens.llm.ann import nearest
+from plazalens.llm.best_fit import best_fit_pack
 from plazalens.llm.common import read_table
 from plazalens.llm.huffman import encode_to_files, read_files, with_crc32
+from plazalens.llm.lexical import rank_documents
 from plazalens.llm.licenses import scan_licenses
 from plazalens.llm.line_dedup import line_dedup
 from plazalens.llm.packing import pack
+from plazalens.llm.prefix_trie import COLUMNS, prefix_trie, rebuilt, sequences
 from plazalens.llm.quality import in_fold, learn as learn_quality, score_documents
 from plazalens.llm.secrets import find_secrets, learn, span_text
 from plazalens.llm.simhash import near_dedup
@@ -120,7 +123,46 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                       span_text(F.col("spans")).alias("spans"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(rebuilt(sequences(read_table(spark, sf_dir, "conversations")))).select(*COLUMNS)
+
+
+def op12_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit_pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                         mode="spaces", end_id=2, window=1024)
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), k=10)
+
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+s AS (SELECT count(*) AS n_docs, sum(len(ts)) AS n_all FROM d WHERE len(ts) > 0),
+q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t
+  FROM (SELECT item_id, min(text) AS text FROM benchmark GROUP BY item_id)),
+o AS (
+  SELECT r, doc_id, n, t, count(*) AS tf FROM (SELECT r, doc_id, len(ts) AS n, unnest(ts) AS t FROM d)
+  WHERE t IN (SELECT t FROM q) GROUP BY ALL),
+w AS (SELECT t, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+      FROM o, s GROUP BY t, n_docs),
+p AS (
+  SELECT item_id, r, doc_id,
+         CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_all)))) AS BIGINT) AS score
+  FROM q JOIN o USING (t) JOIN w USING (t), s GROUP BY item_id, r, doc_id),
+k AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM p WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM k WHERE rank <= 10
+"""
+
+
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_quality, op3_licenses, op4_packing, op5_nearest, op6_simhash,
-    op7_sentencepiece, op8_token_files, op9_top_products, op10_secrets)}
-ORACLE = {"op1_line_dedup": OP1_SQL, "op9_top_products": OP9_SQL}
+    op7_sentencepiece, op8_token_files, op9_top_products, op10_secrets, op11_prefix_trie, op12_best_fit,
+    op13_ranked_search)}
+ORACLE = {"op1_line_dedup": OP1_SQL, "op9_top_products": OP9_SQL, "op13_ranked_search": OP13_SQL}

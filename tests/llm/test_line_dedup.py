@@ -74,7 +74,7 @@ def test_plan_is_native(spark):
 def test_query_matches_its_sql(spark, name):
     sf = "/root/testdata/sf0.01"
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
     df = E.queries()[name](spark, sf)
     res = con.execute(E.oracle_sql()[name])
