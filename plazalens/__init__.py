@@ -63,6 +63,7 @@ from plazalens.plans.medallion import (
     silver_yelp_business_keys,
     silver_yelp_reviews,
 )
+from plazalens.plans.versioned import VersionedRun, run_versioned, run_versioned_stage
 from plazalens.session import get_session, scratch_path, scratch_root
 from plazalens.sources.io import (
     layer_path,
@@ -77,7 +78,7 @@ from plazalens.sources.io import (
     write_parquet_counted,
 )
 from plazalens.sources.ledger import append_ledger, new_units, read_ledger
-from plazalens.sources.load import LoadError, load_table
+from plazalens.sources.load import LoadError, append_table, drop_unpublished, load_table, read_table
 from plazalens.streaming.ingest import ingest_available_now
 
 __all__ = [name for name in dir() if not name.startswith("_")]

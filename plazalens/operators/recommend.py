@@ -21,6 +21,7 @@ per request and all requests run as one job:
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.errors import IllegalArgumentException
@@ -78,13 +79,15 @@ def _select(places: DataFrame, requests: DataFrame, min_rating: float, state_col
     names = kept.select(F.col(state_col).alias("_state")).na.drop().distinct()
     wanted = patterns.select("_rs").distinct()
     if bounded:
-        wanted = F.broadcast(wanted)
+        parts = [F.broadcast(wanted)]
     elif is_small(names, STATES_MAX_ROWS):
         names = F.broadcast(names)
-    else:
-        raise ValueError(f"more than {REQUESTS_MAX_ROWS} requests over more than {STATES_MAX_ROWS} states: "
-                         "answer the requests in parts")
-    pairs = names.join(wanted, F.expr("_state RLIKE ('(?i)' || _rs)")).join(patterns, "_rs")
+        parts = [wanted]
+    else:  # the patterns in parts of a bounded size, each broadcast to the names
+        n = -(-wanted.count() // REQUESTS_MAX_ROWS)
+        parts = [F.broadcast(wanted.filter(F.pmod(F.xxhash64("_rs"), F.lit(n)) == i)) for i in range(n)]
+    met = [names.join(p, F.expr("_state RLIKE ('(?i)' || _rs)")) for p in parts]
+    pairs = functools.reduce(DataFrame.unionByName, met).join(patterns, "_rs")
     joined = kept.join(pairs, kept[state_col] == pairs["_state"])
     return joined.filter(F.expr(f"`{category_col}` RLIKE ('(?i)' || _rc)")).drop("_state")
 

@@ -64,7 +64,8 @@ from plazalens.plans.sql_text import (
 )
 from plazalens.plans.derived import TOKENS_SQL, YB_SQL, YR_SQL
 from plazalens.plans.incremental import run_incremental, run_stage
-from plazalens.sources.load import load_table
+from plazalens.plans.versioned import run_versioned, run_versioned_stage
+from plazalens.sources.load import LoadError, append_table, load_table
 from plazalens.schemas import (
     CONTRACTS,
     GOLD_TEXT_MAX,
@@ -78,6 +79,7 @@ from plazalens.sources.io import (
     list_units,
     read_json,
     read_layer,
+    remove_path,
     read_parquet,
     state_dimension,
     write_parquet,
@@ -810,6 +812,90 @@ def _google_gold(spark, sf):
     return lake
 
 
+def _versioned_lake(spark, sf, name):
+    base = scratch_path(spark, name)
+    raw_places, raw_reviews, lake = f"{base}/raw/places", f"{base}/raw/reviews", f"{base}/lake"
+
+    def reader(schema):
+        return lambda s, paths, root: read_json(s, paths, schema, with_source=True, unit_root=root, with_rejects=True)
+
+    def run():
+        """Places, reviews and gold as the raw folders are now."""
+        run_versioned(spark, "google_places", raw_places, lake, "google", "places", reader(GOOGLE_PLACES_RAW),
+                      lambda b: md.silver_google_places(b, terms=DEMO_TERMS))
+        run_versioned(spark, "google_reviews", raw_reviews, lake, "google", "reviews", reader(GOOGLE_REVIEWS_RAW),
+                      md.silver_google_reviews)
+        places = read_layer(spark, lake, "silver", "google", "places")
+        return run_versioned_stage(
+            spark, "google_reviews", "google_reviews:gold", lake, "google", ("silver", "reviews"), ("gold", "reviews"),
+            lambda r: md.gold_google_reviews(r, places), keys=places, on="gmap_id")
+
+    return raw_places, raw_reviews, lake, run
+
+
+@query("medallion_gold_late_places", ORACLE["gold_reviews"])
+def q_medallion_gold_late_places(spark, sf):
+    """All reviews first, then the places in two parts; a place's earlier reviews reach gold with it."""
+    raw_places, raw_reviews, lake, run = _versioned_lake(spark, sf, "late")
+    _write_units(_reviews_with_unit(spark, sf), raw_reviews)
+    places = _places_with_unit(spark, sf)
+    late = F.pmod(F.xxhash64("gmap_id"), F.lit(2)) == 0
+    for part in (~late, late):
+        places.filter(part).write.mode("append").partitionBy("unit").json(raw_places)
+        run()
+    return read_layer(spark, lake, "gold", "google", "reviews").drop("source_file")
+
+
+@query("medallion_changed_units", ORACLE["gold_reviews"])
+def q_medallion_changed_units(spark, sf):
+    """A unit that grows and one that is withdrawn; the layers are those of one run over the last state."""
+    raw_places, raw_reviews, lake, run = _versioned_lake(spark, sf, "changed")
+    _write_units(_places_with_unit(spark, sf), raw_places)
+    reviews = _reviews_with_unit(spark, sf)
+    first = F.pmod(F.xxhash64("time"), F.lit(3)) > 0
+    _write_units(reviews.filter(first).unionByName(reviews.withColumn("unit", F.lit("state_gone"))), raw_reviews)
+    run()
+    reviews.filter(~first).write.mode("append").partitionBy("unit").json(raw_reviews)
+    remove_path(spark, f"{raw_reviews}/unit=state_gone")
+    run()
+    return read_layer(spark, lake, "gold", "google", "reviews").drop("source_file")
+
+
+@query("silver_reviews_global_dedup", ORACLE["silver_google_reviews"])
+def q_silver_reviews_global_dedup(spark, sf):
+    """Copies of rows in units of different runs; each row stays once, by an index of row hashes."""
+    base = scratch_path(spark, "dedup")
+    raw, lake = f"{base}/raw", f"{base}/lake"
+    li = dv.reviews_raw(spark, sf)
+    units = li.withColumn("unit", F.concat(F.lit("part_"), F.pmod(F.xxhash64("user_id", "time"), F.lit(3))))
+
+    def reader(s, paths, root):
+        return read_json(s, paths, GOOGLE_REVIEWS_RAW, with_source=True, unit_root=root, with_rejects=True)
+
+    for rows in (units.filter("unit <> 'part_2'"), units.filter("unit = 'part_2'").unionByName(
+            units.filter("rating > 2").withColumn("unit", F.lit("part_copies")))):
+        rows.write.mode("append").partitionBy("unit").json(raw)
+        run_versioned(spark, "google_reviews", raw, lake, "google", "reviews", reader, md.silver_google_reviews,
+                      dedup_columns=GOOGLE_REVIEWS_RAW.fieldNames())
+    return read_layer(spark, lake, "silver", "google", "reviews").drop("source_file")
+
+
+@query("load_append", ORACLE["load_by_ordinal"])
+def q_load_append(spark, sf):
+    """Two loads into one table; a repeated one, and one that holds a loaded key, are refused."""
+    path, places = scratch_path(spark, "append"), gold_places(spark, sf)
+    half = F.pmod(F.xxhash64("gmap_id"), F.lit(2)) == 0
+    append_table(places.filter(half), "business_google", path)
+    for again in (places.filter(half), places):
+        try:
+            append_table(again, "business_google", path)
+        except LoadError:
+            continue
+        if not again.isEmpty():
+            raise AssertionError("a loaded key was loaded again")
+    return append_table(places.filter(~half), "business_google", path)
+
+
 @query("medallion_sentiment_reviews", None)
 def q_medallion_sentiment_reviews(spark, sf):
     """End to end: gold reviews -> sentiment stage by unit, written and read back."""

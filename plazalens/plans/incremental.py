@@ -20,7 +20,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from plazalens.sources.io import (
@@ -47,12 +47,12 @@ class IncrementalRun(NamedTuple):
     rejected_rows: int = 0
 
 
-def _of_units(df: DataFrame, units: DataFrame) -> DataFrame:
+def of_units(df: DataFrame, units: DataFrame) -> DataFrame:
     """Rows of the given units: a semi join on the partition column, so other units are not read."""
     return df.join(units.select(F.col("file_name").alias("source_file")), "source_file", "left_semi").select(df.columns)
 
 
-def _write_layer(df: DataFrame, lake_root: str, layer: str, platform: str, entity: str, rebalance: bool) -> int:
+def write_layer(df: DataFrame, lake_root: str, layer: str, platform: str, entity: str, rebalance: bool) -> int:
     """Writes the units in ``df``; returns the rows written.
 
     ``rebalance`` redistributes by unit before the write: after a dedup
@@ -61,10 +61,11 @@ def _write_layer(df: DataFrame, lake_root: str, layer: str, platform: str, entit
     and splits a hot unit over several tasks.
     """
     path = layer_path(lake_root, layer, platform, entity)
-    declare_layer(df.sparkSession, path, df.schema)
     out = df.hint("rebalance", "source_file") if rebalance else df
-    return write_parquet_counted(out, path, mode="overwrite", partition_by=["source_file"],
+    rows = write_parquet_counted(out, path, mode="overwrite", partition_by=["source_file"],
                                  name=f"{platform}-{entity}-{layer}")
+    declare_layer(df.sparkSession, path, df.schema)  # after the data: no reader meets a column that is not there
+    return rows
 
 
 def run_incremental(spark: SparkSession, dataset: str, raw_root: str, lake_root: str,
@@ -84,12 +85,19 @@ def run_incremental(spark: SparkSession, dataset: str, raw_root: str, lake_root:
     if not names:
         return IncrementalRun([])
     raw = reader(spark, [f"{raw_root.rstrip('/')}/{n}" for n in names], raw_root)
-    n_bronze = _write_layer(raw, lake_root, "bronze", platform, entity, rebalance=False)
+    corrupt, seen = CORRUPT in raw.columns, Observation()
+    if corrupt:
+        raw = raw.observe(seen, F.count_if(F.col(CORRUPT).isNotNull()).alias("bad"))
+    n_bronze = write_layer(raw, lake_root, "bronze", platform, entity, rebalance=False)
     units = spark.createDataFrame([(n,) for n in names], "file_name string")
-    bronze = _of_units(read_declared(spark, layer_path(lake_root, "bronze", platform, entity)), units)
+    bronze = of_units(read_declared(spark, layer_path(lake_root, "bronze", platform, entity)), units)
     good, bad = split_rejects(bronze)
-    n_bad = _write_layer(bad, lake_root, "rejects", platform, entity, rebalance) if CORRUPT in bronze.columns else 0
-    n_silver = _write_layer(transform(good), lake_root, "silver", platform, entity, rebalance)
+    n_bad = 0
+    if corrupt and seen.get["bad"]:
+        n_bad = write_layer(bad, lake_root, "rejects", platform, entity, rebalance)
+    elif corrupt:  # nothing to scan bronze for
+        declare_layer(spark, layer_path(lake_root, "rejects", platform, entity), bad.schema)
+    n_silver = write_layer(transform(good), lake_root, "silver", platform, entity, rebalance)
     append_ledger(spark, ledger_path, dataset, units)
     return IncrementalRun(names, n_bronze, n_silver, n_bad)
 
@@ -109,7 +117,7 @@ def run_stage(spark: SparkSession, source_dataset: str, dataset: str, lake_root:
     if not names:
         return IncrementalRun([])
     units = spark.createDataFrame([(n,) for n in names], "file_name string")
-    rows = _of_units(read_declared(spark, layer_path(lake_root, source[0], platform, source[1])), units)
-    n = _write_layer(transform(rows), lake_root, target[0], platform, target[1], rebalance)
+    rows = of_units(read_declared(spark, layer_path(lake_root, source[0], platform, source[1])), units)
+    n = write_layer(transform(rows), lake_root, target[0], platform, target[1], rebalance)
     append_ledger(spark, ledger_path, dataset, units)
     return IncrementalRun(names, silver_rows=n)

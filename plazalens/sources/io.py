@@ -11,14 +11,13 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from plazalens.schemas import CONTRACTS, LOAD_ORDINALS, STATE_DIM, US_STATES
 
-LAYERS = ("bronze", "silver", "gold", "rejects")
+LAYERS = ("bronze", "silver", "gold", "rejects", "row_index", "key_index")
 
 
 def layer_path(root: str, layer: str, platform: str, entity: str) -> str:
@@ -151,17 +150,63 @@ def materialize(df: DataFrame, path: str, partition_by: Sequence[str] | None = N
     return df.sparkSession.read.parquet(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def _declared(spark: SparkSession, path: str) -> tuple[int, StructType | None]:
+    """(number, schema) of the layer's last schema."""
+    if not path_exists(spark, f"{path}/_schema"):
+        return 0, None
+    rows = spark.read.option("recursiveFileLookup", "true").text(f"{path}/_schema").collect()  # one row a schema change
+    number, schema = max((json.loads(r.value) for r in rows), key=lambda x: x[0])
+    return number, StructType.fromJson(schema)
+
+
 def declare_layer(spark: SparkSession, path: str, schema: StructType) -> None:
-    """Stores a layer table's schema beside its data (in a folder that Parquet readers skip)."""
-    spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/_schema")
+    """Stores a layer table's schema beside its data (in a folder that Parquet readers skip).
+
+    A schema is never replaced: one with columns that the last one lacks is
+    added under the next number, with the columns of both, so units written
+    before and after read back whole (P5, P6). An unchanged schema is not
+    written. A column whose type changed is refused.
+    """
+    number, last = _declared(spark, path)
+    if last is not None:
+        types = {f.name: f.dataType for f in last.fields}
+        for f in schema.fields:
+            if types.get(f.name, f.dataType) != f.dataType:
+                raise ValueError(f"{path}: {f.name} is {types[f.name].simpleString()}, not {f.dataType.simpleString()}")
+        added = [f for f in schema.fields if f.name not in types]
+        if not added:
+            return
+        unit = [f for f in last.fields if f.name == "source_file"]
+        schema = StructType([f for f in last.fields if f.name != "source_file"] + added + unit)
+    spark.createDataFrame([(json.dumps([number + 1, json.loads(schema.json())]),)], "value string").coalesce(1).write.text(
+        f"{path}/_schema/{number + 1}")
 
 
 def read_declared(spark: SparkSession, path: str) -> DataFrame:
     """A layer table under its declared schema: unit names stay text, and a table without rows is empty."""
-    schema = StructType.fromJson(json.loads(spark.read.text(f"{path}/_schema").first()[0]))
+    _, schema = _declared(spark, path)
+    if schema is None:
+        raise ValueError(f"{path} is no layer")
     return spark.read.schema(schema).parquet(path)
 
 
+def remove_units(spark: SparkSession, path: str, units: Sequence[str]) -> None:
+    """Takes the units' partitions out of a layer; unknown ones are passed over."""
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    for unit in units:
+        remove_path(spark, f"{path}/source_file={escape(unit)}")
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def read_layer(spark: SparkSession, root: str, layer: str, platform: str, entity: str,
                unit: str | None = None) -> DataFrame:
     """Read a layer back, whole or one input unit."""
@@ -196,18 +241,15 @@ def state_dimension(spark: SparkSession) -> DataFrame:
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """Every non-empty file below ``root`` (path, size), content not read.
+    """Every non-empty file below ``root`` (path, size, modification time), content not read.
 
     A root that does not exist yet lists as empty (a first run before any
     input arrived).
     """
-    try:
-        return (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-                .load(root).select("path", "length"))
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        return spark.createDataFrame([], "path string, length long")
+    if not path_exists(spark, root):
+        return spark.createDataFrame([], "path string, length long, modificationTime timestamp")
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+            .load(root).select("path", "length", "modificationTime"))
 
 
 def list_units(spark: SparkSession, root: str) -> DataFrame:

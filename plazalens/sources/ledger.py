@@ -9,22 +9,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plazalens.operators.join import anti_keys
 from plazalens.schemas import LEDGER
+from plazalens.sources.io import path_exists
 
 
 def read_ledger(spark: SparkSession, path: str, dataset: str | None = None) -> DataFrame:
     """The ledger, or an empty typed table when it does not exist yet."""
-    try:
-        df = spark.read.schema(LEDGER).parquet(path)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e):  # only a ledger that does not exist yet is empty
-            raise
-        df = spark.createDataFrame([], LEDGER)
+    df = spark.read.schema(LEDGER).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], LEDGER)
     if dataset is not None:
         df = df.filter(F.col("dataset") == dataset)
     return df
