@@ -1,9 +1,9 @@
 """Exact top-k inner products by norm-bucketed retrieval.
 
 Method: vectors are ranged by falling length into buckets. All queries meet
-the first bucket; its k-th best score is a lower bound of each query's
-answer. A bucket whose longest vector times the query's length cannot reach
-that bound is never sent the query. Inside a bucket the local cosine threshold
+the first bucket; its k-th best score is a lower bound of each query's answer,
+and a task's own k-th best so far a better one. A bucket whose longest vector
+times the query's length cannot reach it is passed over. Inside a bucket the local cosine threshold
 (bound / (query length * longest vector)) picks the pruning: a high one uses
 coordinate pruning - a vector with such a cosine must lie in a narrow range of
 the query's strongest coordinates - a low one length pruning, the prefix of
@@ -21,11 +21,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plazalens.llm.common import written
-from plazalens.llm.vectors import by_block, matrix, query_rows, top_rows, valid_rows, widen
+from plazalens.llm.vectors import Best, matrix, meet, query_rows, top_rows, valid_rows
 
 SLACK = 1 - 1e-9  # room for rounding in every pruning bound
 COORDINATES = 4
@@ -61,56 +62,33 @@ def _products(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
     return np.array([max(-(1 << 63), min((1 << 63) - 1, x)) for x in exact], np.int64)
 
 
-def _prepare(block: pa.Table):
-    rows = matrix(block.column("v").combine_chunks())
-    norms = np.sqrt((rows * rows).sum(axis=1))
+def _start(asked: pa.Table):
+    v = [np.array(x.as_py(), np.float64) for x in asked.column("v").combine_chunks()]
+    return asked.column("id").to_numpy(), v, [float(np.sqrt(q @ q)) for q in v], asked.column("extra").to_numpy()
+
+
+def _search(block: pa.RecordBatch, queries, best: Best) -> None:
+    v = block.column(1)
+    sizes = pc.list_value_length(v).to_numpy()
+    flat = v.flatten().to_numpy()
+    norms = np.sqrt(np.bincount(np.repeat(np.arange(len(sizes)), sizes), weights=flat * flat, minlength=len(sizes)))
     order = np.argsort(-norms, kind="stable")
-    return rows[order], norms[order], block.column("id").to_numpy()[order]
-
-
-def _search(k: int):
-    def search(block, asked: pa.Table):
-        rows, norms, ids = block
-        queries = matrix(asked.column("v").combine_chunks(), rows.shape[1])
-        rows = widen(rows, queries.shape[1])
-        bounds = asked.column("extra").to_numpy()
-        for query_id, query, bound in zip(asked.column("id").to_pylist(), queries, bounds):
-            some = _pruned(rows, norms, query, float(np.sqrt(query @ query)), bound)
-            some = some[ids[some] != query_id]
-            if not len(some):
-                continue
-            scores = _products(rows[some], query)
-            if len(some) > k:
-                best = scores >= np.partition(scores, len(scores) - k)[len(scores) - k]
-                some, scores = some[best], scores[best]
-            best = np.lexsort((ids[some], ~scores))[:k]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(best), query_id)), pa.array(ids[some[best]]), pa.array(scores[best])],
-                ["query_id", "vec_id", "score"])
-
-    return search
-
-
-def _send(queries: DataFrame, tops: list[tuple[int, float]]) -> DataFrame:
-    """(block, id, v, extra): a row for each bucket whose longest vector can reach the query's bound."""
-    # one number per bucket; they fall, so a query sees a prefix of the buckets
-    table = queries.sparkSession.sparkContext.broadcast(
-        (np.array([b for b, _ in tops], np.int64), np.array([t for _, t in tops])))
-
-    def run(batches):
-        blocks, tops = table.value
-        for b in batches:
-            v, bound = matrix(b.column(1)), b.column(2).to_numpy()
-            length = np.sqrt((v * v).sum(axis=1))
-            open_end = ~np.isfinite(bound) | (bound <= 0) | ~np.isfinite(length) | (length == 0)
-            least = np.where(open_end, -1.0, bound * SLACK / np.where(open_end, 1.0, length))
-            seen = np.searchsorted(-tops, -least, side="right")
-            at = pa.array(np.repeat(np.arange(len(seen)), seen))
-            block = np.concatenate([blocks[:n] for n in seen]) if len(seen) else blocks[:0]
-            yield pa.RecordBatch.from_arrays([pa.array(block), *(c.take(at) for c in b.columns)],
-                                             ["block", "id", "v", "extra"])
-
-    return queries.select("id", "v", "extra").mapInArrow(run, "block long, id long, v array<double>, extra double")
+    norms, ids, rows = norms[order], block.column(0).to_numpy()[order], None
+    for i, (query_id, query, length, bound) in enumerate(zip(*queries)):
+        if (least := best.last(i)) is not None:
+            bound = max(bound, float(least))
+        if bound > 0 and 0 < length < np.inf and np.isfinite(bound) and length * norms[0] < bound * SLACK:
+            continue  # the longest vector cannot reach the bound
+        if rows is None:
+            rows = matrix(v)[order]
+        if len(query) > rows.shape[1]:
+            query = query[:rows.shape[1]]  # what the rows lack multiplies to nothing; the length stays
+        elif len(query) < rows.shape[1]:
+            query = np.pad(query, (0, rows.shape[1] - len(query)))
+        some = _pruned(rows, norms, query, length, bound)
+        some = some[ids[some] != query_id]
+        if len(some):
+            best.add(i, ids[some], _products(rows[some], query))
 
 
 def top_products(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = 1024, id_col: str = "vec_id",
@@ -128,20 +106,18 @@ def top_products(vectors: DataFrame, is_query: Column, k: int = 10, scale: int =
     # the id splits a run of equal lengths among buckets
     rows = written(rows.repartitionByRange(buckets, F.col("norm").desc(), "id").withColumn(
         "block", F.spark_partition_id().cast("long")), "by_length")
-    tops = [(r.block, r.top) for r in rows.groupBy("block").agg(F.max("norm").alias("top")).orderBy("block").collect()]
+    first_block = rows.agg(F.min("block")).first()[0]  # that of the longest vectors
     queries = query_rows(rows, is_query).withColumn("extra", F.lit(float("-inf")))
-    chunks = max(1, -(-queries.count() // chunk_queries))
-    schema = "query_id long, vec_id long, score long"
-    plain = rows.select("block", "id", "v", F.lit(None).cast("double").alias("extra"))
 
-    def meet(queries: DataFrame, tops: list[tuple[int, float]]) -> DataFrame:
-        return by_block(plain.filter(F.col("block").isin([b for b, _ in tops])) if len(tops) == 1 else plain,
-                        _send(queries, tops), chunks, _prepare, _search(k), schema)
+    def search(rows: DataFrame, queries: DataFrame) -> DataFrame:
+        return meet(rows.select("id", "v"), queries.select("id", "v", "extra"), _start, _search,
+                    lambda n: Best(n, k, True, np.int64), "long", chunk_queries, bucket_rows)
 
-    first = written(meet(queries, tops[:1]), "first_bucket")
-    bound = first.groupBy("query_id").agg(
+    first = written(search(rows.filter(F.col("block") == first_block), queries), "first_bucket")
+    best = top_rows(first, k, [F.col("score").desc(), F.col("vec_id")])
+    bound = best.groupBy("query_id").agg(
         F.when(F.count("*") >= k, F.min("score").cast("double")).otherwise(float("-inf")).alias("extra"))
     bounded = queries.drop("extra").join(bound, F.col("id") == F.col("query_id"), "left").select(
         "id", "v", F.coalesce("extra", F.lit(float("-inf"))).alias("extra"))
-    found = first.unionByName(meet(bounded, tops[1:])) if len(tops) > 1 else first
+    found = first.unionByName(search(rows.filter(F.col("block") != first_block), bounded))
     return top_rows(found, k, [F.col("score").desc(), F.col("vec_id")]).select("query_id", "rank", "vec_id", "score")

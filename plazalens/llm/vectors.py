@@ -1,9 +1,9 @@
-"""Vector rows for the search operators: validity, blocks, and the stream of a block's rows and queries.
+"""Vector rows for the search operators: validity, matrices, and the meeting of rows and queries.
 
-A stated query set meets all rows in blocks: rows carry a block number, each
-query is copied to the blocks that it must see, both are laid into the same
-sorted partition - the block's rows first - and one pass over the partition
-holds one block and one slice of its queries at a time.
+A stated query set meets all rows in blocks. The rows stay where they are
+written; the queries come in slices of a bounded number, each broadcast, and a
+task that reads rows holds one block of them, one slice and the best rows of
+each of its queries so far. Nothing but those best rows is shuffled.
 """
 
 from __future__ import annotations
@@ -16,8 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-QUERY_ROWS = 256
-ROW, QUERY = 0, 1
+from plazalens.llm.common import release_worker_cache
 
 
 def valid_rows(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
@@ -35,68 +34,76 @@ def query_rows(rows: DataFrame, wanted: Column) -> DataFrame:
 
 
 def matrix(column: pa.Array, width: int | None = None) -> np.ndarray:
-    """Rows of an array column as a matrix; missing trailing components are zero."""
+    """The first ``width`` components of each row (all without it); missing ones are zero."""
     sizes = np.asarray(pc.list_value_length(column))
+    width = int(sizes.max(initial=0)) if width is None else width
     flat = column.flatten().to_numpy()
-    width = max(width or 0, int(sizes.max(initial=0)))
     out = np.zeros((len(sizes), width))
+    if (sizes > width).any():
+        flat = flat[np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes) < width]
     out[np.arange(width) < sizes[:, None]] = flat
     return out
 
 
-def widen(m: np.ndarray, width: int) -> np.ndarray:
-    return m if m.shape[1] >= width else np.pad(m, ((0, 0), (0, width - m.shape[1])))
+def tails(column: pa.Array, width: int) -> np.ndarray:
+    """Length of what each row has beyond its first ``width`` components."""
+    sizes = np.asarray(pc.list_value_length(column))
+    flat = column.flatten().to_numpy()
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    beyond = np.arange(len(flat)) - (np.cumsum(sizes) - sizes)[row] >= width
+    return np.sqrt(np.bincount(row[beyond], weights=flat[beyond] ** 2, minlength=len(sizes)))
+
+
+class Best:
+    """The ``k`` best rows of each query so far; ties by id."""
+
+    def __init__(self, queries: int, k: int, largest: bool, kind: type):
+        self.k, self.sign = k, -1 if largest else 1
+        self.ids = [np.zeros(0, np.int64)] * queries
+        self.scores = [np.zeros(0, kind)] * queries
+
+    def add(self, i: int, ids: np.ndarray, scores: np.ndarray) -> None:
+        ids, scores = np.append(self.ids[i], ids), np.append(self.scores[i], scores)
+        first = np.lexsort((ids, scores if self.sign > 0 else ~scores))[:self.k]  # ~x falls as x rises, at both ends
+        self.ids[i], self.scores[i] = ids[first], scores[first]
+
+    def last(self, i: int) -> float | None:
+        """The score that a further row has to reach, once there are ``k``."""
+        return self.scores[i][-1] if len(self.ids[i]) == self.k else None
+
+    def batches(self, query_ids: list) -> Iterator[pa.RecordBatch]:
+        for q, ids, scores in zip(query_ids, self.ids, self.scores):
+            if len(ids):
+                yield pa.RecordBatch.from_arrays([pa.array([q] * len(ids), pa.int64()), pa.array(ids), pa.array(scores)],
+                                                 ["query_id", "vec_id", "score"])
 
 
-def by_block(rows: DataFrame, queries: DataFrame, chunks: int, prepare: Callable, search: Callable, schema: str,
-             query_rows_at_once: int = QUERY_ROWS) -> DataFrame:
-    """``search(prepare(rows of a block), slice of its queries)`` for all blocks and queries.
+def meet(rows: DataFrame, queries: DataFrame, start: Callable, search: Callable, best: Callable, score_type: str,
+         slice_queries: int, block_rows: int) -> DataFrame:
+    """(query_id, vec_id, score): the best rows that each task finds for every query.
 
-    Both frames have the columns (block, id, v, extra); ``queries`` has a row
-    for each block that a query must see. The queries of a block are dealt
-    into ``chunks`` units, each with its own copy of the block, so a unit
-    stays bounded however many queries there are. The callables get Arrow
-    tables, and ``search`` yields record batches of ``schema``.
+    ``search(block of rows, start(queries of a slice), best)`` is called for
+    the Arrow blocks of ``rows`` and adds to ``best(number of queries)``;
+    ``queries`` has an id and a vector first.
     """
-    every = F.sequence(F.lit(0), F.lit(chunks - 1))
-    rows = rows.withColumn("chunk", F.explode(every)).withColumn("kind", F.lit(ROW))
-    queries = queries.withColumn("chunk", F.pmod(F.xxhash64("id"), F.lit(chunks)).cast("int")).withColumn(
-        "kind", F.lit(QUERY))
-    both = rows.unionByName(queries).select(
-        (F.col("block").cast("long") * chunks + F.col("chunk")).alias("unit"), "kind", "id", "v", "extra")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, held, asked, n_asked, block = None, [], [], 0, None
-        for b in batches:
-            if not b.num_rows:
-                continue
-            keys = b.column(0).to_numpy() * 2 + b.column(1).to_numpy()
-            cuts = [0, *(np.flatnonzero(np.diff(keys)) + 1), b.num_rows]
-            for s, e in zip(cuts[:-1], cuts[1:]):
-                number, kind = divmod(int(keys[s]), 2)
-                if number != current:
-                    if asked:
-                        yield from search(block, pa.Table.from_batches(asked).combine_chunks())
-                    current, held, asked, n_asked, block = number, [], [], 0, None
-                if kind == ROW:
-                    held.append(b.slice(s, e - s))
-                    continue
-                if block is None:
-                    if not held:
-                        continue
-                    block = prepare(pa.Table.from_batches(held).combine_chunks())
-                    held = []
-                for k in range(s, e, query_rows_at_once):
-                    part = b.slice(k, min(query_rows_at_once, e - k))
-                    if asked and n_asked + part.num_rows > query_rows_at_once:
-                        yield from search(block, pa.Table.from_batches(asked).combine_chunks())
-                        asked, n_asked = [], 0
-                    asked.append(part)
-                    n_asked += part.num_rows
-        if asked:
-            yield from search(block, pa.Table.from_batches(asked).combine_chunks())
-
-    return both.repartition("unit").sortWithinPartitions("unit", "kind", "id").mapInArrow(run, schema)
+    slices = max(1, -(-queries.count() // slice_queries))
+    found = None
+    for k in range(slices):
+        shared = rows.sparkSession.sparkContext.broadcast(
+            queries.filter(F.pmod(F.xxhash64("id"), F.lit(slices)) == k).toArrow())
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            release_worker_cache()
+            asked = shared.value.combine_chunks()
+            state, held = start(asked), best(asked.num_rows)
+            for b in batches:
+                for lo in range(0, b.num_rows, block_rows):
+                    search(b.slice(lo, block_rows), state, held)
+            yield from held.batches(asked.column("id").to_pylist())
+
+        part = rows.mapInArrow(run, f"query_id long, vec_id long, score {score_type}")
+        found = part if found is None else found.unionByName(part)
+    return found
 
 
 def top_rows(scored: DataFrame, k: int, order: list[Column]) -> DataFrame:

@@ -128,3 +128,21 @@ def test_empty_table(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert nearest(df, F.col("id") == 0).collect() == []
     assert top_products(df, F.col("id") == 0).collect() == []
+
+
+def test_one_long_vector_widens_no_other(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.standard_normal(8).tolist()) for i in range(300)] + [(300, [0.1] * 50_000), (301, [0.1] * 8 + [9.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    wanted = (F.col("id") % 100 == 0) | (F.col("id") == 301)
+    got, want = answer(nearest(df, wanted)), brute_nearest(rows, lambda i: i % 100 == 0 or i == 301)
+    assert [g[:3] for g in got] == [w[:3] for w in want]
+    assert all(abs(g[3] - w[3]) < 1e-9 * max(1, w[3]) for g, w in zip(got, want))
+    assert answer(top_products(df, wanted)) == brute_products(rows, lambda i: i % 100 == 0 or i == 301)
+
+
+def test_rows_are_not_shuffled(spark):
+    df = spark.createDataFrame([(i, [float(i), 1.0], "x", 1) for i in range(200)], SCHEMA)
+    for out in (nearest(df, F.col("id") % 10 == 0, chunk_queries=4), top_products(df, F.col("id") % 10 == 0, chunk_queries=4)):
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan and "Generate" not in plan and "Repartition" not in plan
