@@ -2,7 +2,7 @@ import re
 
 import pytest
 
-from plazalens.llm.licenses import BASE, TEMPLATES, Index, scan_licenses, words_of
+from plazalens.llm.licenses import BASE, REST, TEMPLATES, Index, scan_licenses, words_of
 from plazalens.llm.queries import op3_licenses
 
 
@@ -58,3 +58,92 @@ def test_query_matches_brute_force(spark, sf):
     assert len(out) == len(docs)
     for r in out:
         assert key(r) == brute(docs[r.doc_id])
+
+
+def rare_altered(label):
+    """The passage without the six of its words that the alphabet puts first, but for those of the key phrases."""
+    passage, keys = TEMPLATES[label]
+    fixed = {w for k in keys for w in k.split()}
+    drop = [w for w in sorted(set(passage.split())) if w not in fixed][:6]
+    return " ".join(w if w not in drop else "altered" for w in passage.split())
+
+
+def prefixed(label):
+    words = TEMPLATES[label][0].split()
+    return " ".join(f"rem {w}" if k % 9 == 0 else w for k, w in enumerate(words))
+
+
+def lcs_share(index, tpl, words):
+    """Heaviest common subsequence of a template and some words, as a share of the template."""
+    row = [0.0] * (len(tpl.words) + 1)
+    for w in words:
+        new = row[:]
+        for p, x in enumerate(tpl.words):
+            new[p + 1] = max(new[p], row[p + 1], row[p] + (index.idf[x] if x == w else 0.0))
+        row = new
+    return row[-1] / sum(index.idf[w] for w in tpl.words)
+
+
+def brute_extra(index, words):
+    """Labels and best share from every window of the file."""
+    labels, best = set(), 0.0
+    for tpl in index.templates:
+        size = len(tpl.words)
+        for s in range(0, max(1, len(words) - size // 2)) if not tpl.base else ():
+            part = words[s:s + size + size // 3 + 6]
+            if all(key_stands(part, tpl.words[a:b]) for a, b in tpl.keys):
+                share = lcs_share(index, tpl, part)
+                if share >= 0.7:
+                    labels.add(tpl.label)
+                    best = max(best, share)
+    return labels, best
+
+
+def key_stands(words, phrase):
+    import itertools
+    n = len(phrase)
+    return any(all(words[i] == w for i, w in zip(at, phrase))
+               for s in range(len(words)) if words[s] == phrase[0]
+               for at in itertools.combinations(range(s, min(len(words), s + n + 2)), n) if at[0] == s)
+
+
+CASES = {label: [TEMPLATES[label][0], rare_altered(label), prefixed(label)] for label in TEMPLATES}
+
+
+@pytest.mark.parametrize("label", sorted(set(TEMPLATES) - {"gpl-notice", "cc-by"}))
+def test_altered_and_prefixed_passages_are_found(label):
+    index = Index({}, 100)
+    for text in CASES[label]:
+        base, extra, score = index.scan(words_of(f"some words before {text} and after".encode()))
+        want, best = brute_extra(index, words_of(f"some words before {text} and after".encode()))
+        assert label in extra and extra == want and abs(score - max(best, 1.0 if base else 0.0)) < 1e-9
+
+
+def test_labels_and_scores_match_brute_force(spark):
+    import random
+    rng = random.Random(4)
+    prose = "the of software a copy and license this is free to any person with public notice file source".split()
+    texts = []
+    for k in range(24):
+        label = rng.choice(sorted(TEMPLATES))
+        words = TEMPLATES[label][0].split()
+        words = [w for w in words if rng.random() > 0.05 * (k % 9)]
+        texts.append(" ".join(rng.choices(prose, k=rng.randrange(0, 25)) + words + rng.choices(prose, k=rng.randrange(0, 25))))
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    from plazalens.llm.licenses import word_frequencies
+    index = Index(*word_frequencies(docs))
+    for r in scan_licenses(docs).collect():
+        words = words_of(texts[r.id].encode())
+        want, best = brute_extra(index, words)
+        own = set(filter(None, r.base_labels.split(",")))
+        assert set(filter(None, r.labels.split(","))) == want | own
+        assert abs(r.score - (1.0 if own else best)) < 0.02
+
+
+@pytest.mark.parametrize("label", sorted(REST))
+def test_a_whole_text_with_a_changed_beginning_is_found(label):
+    passage, keys = TEMPLATES[label]
+    fixed = {w for k in keys for w in k.split()}
+    begin = " ".join("changed" if k % 2 and w not in fixed else w for k, w in enumerate(passage.split()))
+    words = words_of(f"see {begin} {REST[label]} end".encode())
+    assert label in Index({}, 100).scan(words)[1] and label in brute_extra(Index({}, 100), words)[0]
