@@ -84,7 +84,7 @@ def _select(places: DataFrame, requests: DataFrame, min_rating: float, state_col
         names = F.broadcast(names)
         parts = [wanted]
     else:  # the patterns in parts of a bounded size, each broadcast to the names
-        n = -(-wanted.count() // REQUESTS_MAX_ROWS)
+        n = max(1, -(-wanted.count() // max(1, REQUESTS_MAX_ROWS)))
         parts = [F.broadcast(wanted.filter(F.pmod(F.xxhash64("_rs"), F.lit(n)) == i)) for i in range(n)]
     met = [names.join(p, F.expr("_state RLIKE ('(?i)' || _rs)")) for p in parts]
     pairs = functools.reduce(DataFrame.unionByName, met).join(patterns, "_rs")

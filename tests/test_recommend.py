@@ -1,6 +1,5 @@
 """Recommendations: full-score ranks, null features, bad patterns, repeated place ids, plans."""
 
-import pytest
 from pyspark.sql import functions as F
 
 from plazalens.operators import recommend as R
@@ -59,9 +58,12 @@ def test_no_cartesian_product_beyond_the_request_bound(spark, monkeypatch):
         out = R.recommend_nearby(df, req)
         assert "CartesianProduct" not in out._jdf.queryExecution().executedPlan().toString()
         assert out.count() == 1
-        monkeypatch.setattr(R, "STATES_MAX_ROWS", 0)
-        with pytest.raises(ValueError, match="in parts"):
-            R.recommend_nearby(df, req)
+        monkeypatch.setattr(R, "STATES_MAX_ROWS", 0)  # many states too: the patterns are met in parts
+        monkeypatch.setattr(R, "REQUESTS_MAX_ROWS", 1)
+        req = R.requests_frame(spark, [(1, "TX", "bar"), (2, "t", "bar"), (3, "CA|x", "bar"), (4, "zz", "bar")])
+        out = R.recommend_nearby(df, req)
+        assert "CartesianProduct" not in out._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r.query_id for r in out.collect()) == [1, 2, 3]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
