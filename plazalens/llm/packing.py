@@ -6,7 +6,8 @@ place in one endless row of ids. Pass two cuts it into windows of ``window``
 ids: a document yields one boundary record for each window that it touches.
 Every sequence but the last is full, so there is next to no padding.
 
-Defined results: a null text is empty and holds the end id alone; repeated
+Defined results: a null text is empty and holds the end id alone; a text of any
+length is encoded whole; repeated
 rows are packed each; order is that of the input's splits; an empty table
 gives an empty result; other columns are not read.
 """

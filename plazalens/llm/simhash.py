@@ -14,7 +14,8 @@ them; components come from star contraction.
 
 Defined results: a null or empty text (no words) has fingerprint zero and
 links like any other; fewer words than the shingle length form one shingle;
-A-Z are lower-cased before; repeated rows get equal answers; a null id never
+A-Z are lower-cased before; a text of any length is hashed whole; repeated rows
+get equal answers, and of equal ids any names the component; a null id never
 names a component (null only if no linked row has an id); an empty table gives
 an empty result; other columns are not read.
 """
