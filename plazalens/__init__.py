@@ -27,6 +27,7 @@ from plazalens.operators.clean import (
 )
 from plazalens.operators.gold import gold_google_reviews, gold_places, gold_yelp_reviews, review_key
 from plazalens.operators.nested import attributes_list, expand_struct, true_flag_names, true_flags
+from plazalens.operators.neighbours import nearest_of_all
 from plazalens.operators.quality import (
     contract_violations,
     distinct_count,

@@ -34,6 +34,7 @@ from plazalens.operators.quality import (
     profile,
     stage_counts,
 )
+from plazalens.operators.neighbours import nearest_of_all
 from plazalens.plans import derived as dv
 from plazalens.plans import medallion as md
 from plazalens.plans.derived import EV_SQL, PL_SQL, RV_SQL, TX_SQL
@@ -633,6 +634,19 @@ def q_recommend_nearby_bulk(spark, sf):
     return recommend_nearby(rec_places(spark, sf), requests_frame(spark, BULK_REQUESTS))
 
 
+@query("nearest_places", f"""WITH {PL_SQL},
+d AS (SELECT a.place_id, b.place_id AS neighbour,
+             sqrt((a.latitude - b.latitude) * (a.latitude - b.latitude)
+                  + (a.longitude - b.longitude) * (a.longitude - b.longitude)) AS dist
+      FROM pl a JOIN pl b ON a.place_id <> b.place_id),
+rk AS (SELECT *, row_number() OVER (PARTITION BY place_id ORDER BY dist, neighbour) AS rank FROM d)
+SELECT place_id, CAST(rank AS INTEGER) AS rank, neighbour, round(dist, 6) + 0.0 AS distance FROM rk WHERE rank <= 5""")
+def q_nearest_places(spark, sf):
+    """The five nearest other places of every place, by the index of grid-ordered blocks."""
+    near = nearest_of_all(dv.places_raw(spark, sf), 5)
+    return near.withColumn("distance", F.round("distance", 6) + F.lit(0.0))
+
+
 @query("cosine_to_anchor", """WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
 a AS (SELECT label, v AS av FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS rn FROM e) WHERE rn = 1),
 m AS (SELECT e.vec_id, e.label,
