@@ -64,6 +64,7 @@ from plazalens.plans.medallion import (
     silver_yelp_business_keys,
     silver_yelp_reviews,
 )
+from plazalens.plans.profiles import layer_profile, merge_profiles, run_profile, unit_profiles
 from plazalens.plans.versioned import VersionedRun, run_versioned, run_versioned_stage
 from plazalens.session import get_session, scratch_path, scratch_root
 from plazalens.sources.io import (

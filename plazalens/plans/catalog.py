@@ -65,6 +65,7 @@ from plazalens.plans.sql_text import (
 )
 from plazalens.plans.derived import TOKENS_SQL, YB_SQL, YR_SQL
 from plazalens.plans.incremental import run_incremental, run_stage
+from plazalens.plans.profiles import DISTINCT_ERROR, layer_profile, run_profile
 from plazalens.plans.versioned import run_versioned, run_versioned_stage
 from plazalens.sources.load import LoadError, append_table, load_table
 from plazalens.schemas import (
@@ -875,6 +876,39 @@ def q_medallion_changed_units(spark, sf):
     return read_layer(spark, lake, "gold", "google", "reviews").drop("source_file")
 
 
+_PROFILE_COLUMNS = [("user_id", "string"), ("gmap_id", "string"), ("rating", "double"), ("text", "string"), ("time", "bigint")]
+
+
+@query("layer_profile", f"""WITH {RV_SQL}
+{" UNION ALL ".join(f"SELECT CAST({i} AS INTEGER) AS ordinal, '{c}' AS column_name, '{t}' AS data_type, count(*) AS rows, "
+                    f"count({c}) AS non_null, count(*) - count({c}) AS nulls, TRUE AS distinct_in_bounds FROM rv"
+                    for i, (c, t) in enumerate(_PROFILE_COLUMNS))}""")
+def q_layer_profile(spark, sf):
+    """Bronze reviews profiled unit by unit over two runs (a new, a grown and a withdrawn unit), then merged.
+
+    ``distinct_in_bounds``: the merged estimate lies between 1 and the non-null rows, five standard errors allowed.
+    """
+    _, raw_reviews, lake, _ = _versioned_lake(spark, sf, "profile")
+    reviews = _reviews_with_unit(spark, sf)
+    first = F.pmod(F.xxhash64("time"), F.lit(3)) > 0
+
+    def run():
+        run_versioned(spark, "google_reviews", raw_reviews, lake, "google", "reviews",
+                      lambda s, paths, root: read_json(s, paths, GOOGLE_REVIEWS_RAW, with_source=True, unit_root=root),
+                      md.silver_google_reviews)
+        run_profile(spark, "google_reviews", lake, "google", ("bronze", "reviews"))
+
+    _write_units(reviews.filter(first).unionByName(reviews.withColumn("unit", F.lit("state_gone"))), raw_reviews)
+    run()
+    reviews.filter(~first).write.mode("append").partitionBy("unit").json(raw_reviews)
+    remove_path(spark, f"{raw_reviews}/unit=state_gone")
+    run()
+    prof = layer_profile(spark, lake, "google", ("bronze", "reviews"))
+    bound = F.col("non_null") * (1 + 5 * DISTINCT_ERROR)
+    return prof.select("ordinal", "column_name", "data_type", "rows", "non_null", "nulls",
+                       F.col("distinct_values").between(F.lit(1), bound).alias("distinct_in_bounds"))
+
+
 @query("silver_reviews_global_dedup", ORACLE["silver_google_reviews"])
 def q_silver_reviews_global_dedup(spark, sf):
     """Copies of rows in units of different runs; each row stays once, by an index of row hashes."""

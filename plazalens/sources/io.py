@@ -17,7 +17,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from plazalens.schemas import CONTRACTS, LOAD_ORDINALS, STATE_DIM, US_STATES
 
-LAYERS = ("bronze", "silver", "gold", "rejects", "row_index", "key_index")
+LAYERS = ("bronze", "silver", "gold", "rejects", "row_index", "key_index", "profile")
 
 
 def layer_path(root: str, layer: str, platform: str, entity: str) -> str:
