@@ -25,6 +25,7 @@ from plazalens.operators.clean import (
     text_to_date,
     to_int_rating,
 )
+from plazalens.operators.dictionary import dictionary_hits, filter_dictionary
 from plazalens.operators.gold import gold_google_reviews, gold_places, gold_yelp_reviews, review_key
 from plazalens.operators.nested import attributes_list, expand_struct, true_flag_names, true_flags
 from plazalens.operators.neighbours import nearest_of_all

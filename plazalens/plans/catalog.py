@@ -24,6 +24,7 @@ from plazalens.operators.clean import (
     text_to_date,
     to_int_rating,
 )
+from plazalens.operators.dictionary import filter_dictionary
 from plazalens.operators.gold import review_key
 from plazalens.operators.nested import true_flag_names, true_flags
 from plazalens.operators.quality import (
@@ -879,6 +880,21 @@ def q_medallion_changed_units(spark, sf):
 _PROFILE_COLUMNS = [("user_id", "string"), ("gmap_id", "string"), ("rating", "double"), ("text", "string"), ("time", "bigint")]
 
 
+@query("dictionary_filter", f"""WITH {PL_SQL},
+t AS (SELECT DISTINCT lower(p_name) AS term FROM part WHERE p_size < 20
+      UNION SELECT DISTINCT lower(p_type) FROM part WHERE p_size < 3),
+x AS (SELECT DISTINCT lower(categories) AS text FROM pl),
+h AS (SELECT DISTINCT text FROM x JOIN t ON contains(text, term)
+      WHERE regexp_matches(text, '\\b' || regexp_escape(term) || '\\b'))
+SELECT place_id, categories FROM pl WHERE lower(categories) IN (SELECT text FROM h)""")
+def q_dictionary_filter(spark, sf):
+    """places whose categories hold an entry of a list as long as the data: names of small parts, types of the smallest."""
+    part = dv.table(spark, sf, "part")
+    terms = (part.filter("p_size < 20").select(F.col("p_name").alias("term"))
+             .unionByName(part.filter("p_size < 3").select(F.col("p_type").alias("term"))))
+    return filter_dictionary(dv.places_raw(spark, sf), "categories", terms).select("place_id", "categories")
+
+
 @query("layer_profile", f"""WITH {RV_SQL}
 {" UNION ALL ".join(f"SELECT CAST({i} AS INTEGER) AS ordinal, '{c}' AS column_name, '{t}' AS data_type, count(*) AS rows, "
                     f"count({c}) AS non_null, count(*) - count({c}) AS nulls, TRUE AS distinct_in_bounds FROM rv"
