@@ -83,5 +83,6 @@ from plazalens.sources.io import (
 from plazalens.sources.ledger import append_ledger, new_units, read_ledger
 from plazalens.sources.load import LoadError, append_table, drop_unpublished, load_table, read_table
 from plazalens.streaming.ingest import ingest_available_now
+from plazalens.streaming.layers import stream_layers
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -89,6 +89,7 @@ from plazalens.sources.io import (
 )
 from plazalens.sources.ledger import append_ledger, new_units, read_ledger
 from plazalens.streaming.ingest import ingest_available_now
+from plazalens.streaming.layers import stream_layers
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -880,18 +881,30 @@ def q_medallion_changed_units(spark, sf):
 _PROFILE_COLUMNS = [("user_id", "string"), ("gmap_id", "string"), ("rating", "double"), ("text", "string"), ("time", "bigint")]
 
 
+@query("stream_silver_reviews", ORACLE["silver_google_reviews"])
+def q_stream_silver_reviews(spark, sf):
+    """Streaming bronze and silver; a second run brings the rest and copies of rows that the state already knows."""
+    base = scratch_path(spark, "stream-layers")
+    raw, lake = f"{base}/raw", f"{base}/lake"
+    reviews = _reviews_with_unit(spark, sf)
+    first = F.pmod(F.xxhash64("user_id", "time"), F.lit(3)) > 0
+    for rows in (reviews.filter(first), reviews.filter(~first).unionByName(reviews.filter("rating > 2"))):
+        rows.write.mode("append").partitionBy("unit").json(raw)
+        stream_layers(spark, "google_reviews", raw, GOOGLE_REVIEWS_RAW, lake, "google", "reviews",
+                      f"{base}/_checkpoint", md.silver_google_reviews, dedup_columns=GOOGLE_REVIEWS_RAW.fieldNames())
+    return read_layer(spark, lake, "silver", "google", "reviews").drop("source_file")
+
+
 @query("dictionary_filter", f"""WITH {PL_SQL},
-t AS (SELECT DISTINCT lower(p_name) AS term FROM part WHERE p_size < 20
-      UNION SELECT DISTINCT lower(p_type) FROM part WHERE p_size < 3),
+t AS (SELECT DISTINCT lower(p_name || ', ' || p_type) AS term FROM part WHERE p_size < 4),
 x AS (SELECT DISTINCT lower(categories) AS text FROM pl),
 h AS (SELECT DISTINCT text FROM x JOIN t ON contains(text, term)
       WHERE regexp_matches(text, '\\b' || regexp_escape(term) || '\\b'))
 SELECT place_id, categories FROM pl WHERE lower(categories) IN (SELECT text FROM h)""")
 def q_dictionary_filter(spark, sf):
-    """places whose categories hold an entry of a list as long as the data: names of small parts, types of the smallest."""
-    part = dv.table(spark, sf, "part")
-    terms = (part.filter("p_size < 20").select(F.col("p_name").alias("term"))
-             .unionByName(part.filter("p_size < 3").select(F.col("p_type").alias("term"))))
+    """places whose categories hold an entry of a list that grows with the data: names and types of the smallest parts."""
+    part = dv.table(spark, sf, "part").filter("p_size < 4")
+    terms = part.select(F.concat("p_name", F.lit(", "), "p_type").alias("term"))
     return filter_dictionary(dv.places_raw(spark, sf), "categories", terms).select("place_id", "categories")
 
 

@@ -104,7 +104,7 @@ def _names(spark: SparkSession, names: Sequence[str]) -> DataFrame:
     return spark.createDataFrame([(n,) for n in names], "file_name string")
 
 
-def _row_hashes(df: DataFrame, columns: Sequence[str]) -> list[Column]:
+def row_hashes(df: DataFrame, columns: Sequence[str]) -> list[Column]:
     """128 bits of a row; a null differs from any value, and -0.0 from 0.0 does not."""
     cols = [F.col(f"`{c}`") + F.lit(0.0).cast(t) if t in ("double", "float") else F.col(f"`{c}`")
             for c, t in df.select(*[f"`{c}`" for c in columns]).dtypes]
@@ -167,7 +167,7 @@ def _keep_first_copies(spark: SparkSession, good: DataFrame, columns: Sequence[s
                        platform: str, entity: str) -> DataFrame:
     """Rows that no other unit keeps, each in the first of the units at hand; their hashes go to the index."""
     path = layer_path(lake, "row_index", platform, entity)
-    hashed = good.select("*", *_row_hashes(good, columns))
+    hashed = good.select("*", *row_hashes(good, columns))
     held = hashed.select("h1", "h2", "source_file").distinct()
     first = held.groupBy("h1", "h2").agg(F.min("source_file").alias("first"))
     index = _index(spark, path)
