@@ -881,6 +881,28 @@ def q_medallion_changed_units(spark, sf):
 _PROFILE_COLUMNS = [("user_id", "string"), ("gmap_id", "string"), ("rating", "double"), ("text", "string"), ("time", "bigint")]
 
 
+@query("layer_attribute_growth", f"""WITH {PL_SQL}
+SELECT gmap_id, CASE WHEN state IN ('WV', 'OR') THEN NULL ELSE wifi END AS wifi, hastv,
+       CASE WHEN state IN ('WV', 'OR') THEN dogsallowed END AS dogsallowed
+FROM pl""")
+def q_layer_attribute_growth(spark, sf):
+    """Units of a later run bring an attribute and lack another; the layer reads back with all of them."""
+    base = scratch_path(spark, "attributes")
+    raw, lake = f"{base}/raw", f"{base}/lake"
+    places = dv.places_raw(spark, sf).select("gmap_id", "state", "attributes")
+    later = F.col("state").isin("WV", "OR")
+    for rows, names in ((places.filter(~later), ["WiFi", "HasTV"]), (places.filter(later), ["HasTV", "DogsAllowed"])):
+        attributes = F.struct(*[F.col(f"attributes.{n}").alias(n) for n in names])
+        units = rows.select("gmap_id", attributes.alias("attributes"), F.col("state").alias("unit"))
+        units.write.mode("append").partitionBy("unit").json(raw)
+        schema = units.drop("unit").schema
+        run_versioned(spark, "places", raw, lake, "google", "places",
+                      lambda s, paths, root, schema=schema: read_json(s, paths, schema, with_source=True, unit_root=root),
+                      lambda b: b)
+    a = read_layer(spark, lake, "silver", "google", "places")
+    return a.select("gmap_id", *[F.col(f"attributes.{n}").alias(n.lower()) for n in ("WiFi", "HasTV", "DogsAllowed")])
+
+
 @query("stream_silver_reviews", ORACLE["silver_google_reviews"])
 def q_stream_silver_reviews(spark, sf):
     """Streaming bronze and silver; a second run brings the rest and copies of rows that the state already knows."""

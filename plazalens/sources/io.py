@@ -13,7 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructField, StructType
 
 from plazalens.schemas import CONTRACTS, LOAD_ORDINALS, STATE_DIM, US_STATES
 
@@ -164,25 +164,47 @@ def _declared(spark: SparkSession, path: str) -> tuple[int, StructType | None]:
     return number, StructType.fromJson(schema)
 
 
+def _grown(last: DataType, new: DataType, name: str) -> DataType:
+    """``last`` with the struct fields that only ``new`` has, at any depth; another type is refused."""
+    if isinstance(last, StructType) and isinstance(new, StructType):
+        old = set(last.fieldNames())
+        fields = [StructField(f.name, _grown(f.dataType, new[f.name].dataType, f"{name}.{f.name}") if f.name in new.fieldNames()
+                              else f.dataType) for f in last.fields]
+        return StructType(fields + [f for f in new.fields if f.name not in old])
+    if isinstance(last, ArrayType) and isinstance(new, ArrayType):
+        return ArrayType(_grown(last.elementType, new.elementType, f"{name}[]"))
+    if last != new:
+        raise ValueError(f"{name} is {last.simpleString()}, not {new.simpleString()}")
+    return last
+
+
+def _nullable(t: DataType) -> DataType:
+    if isinstance(t, StructType):
+        return StructType([StructField(f.name, _nullable(f.dataType)) for f in t.fields])
+    if isinstance(t, ArrayType):
+        return ArrayType(_nullable(t.elementType))
+    if isinstance(t, MapType):
+        return MapType(_nullable(t.keyType), _nullable(t.valueType))
+    return t
+
+
 def declare_layer(spark: SparkSession, path: str, schema: StructType) -> None:
     """Stores a layer table's schema beside its data (in a folder that Parquet readers skip).
 
-    A schema is never replaced: one with columns that the last one lacks is
-    added under the next number, with the columns of both, so units written
-    before and after read back whole (P5, P6). An unchanged schema is not
-    written. A column whose type changed is refused.
+    A schema is never replaced: one with columns, or fields of a struct at any
+    depth, that the last one lacks is added under the next number, with those
+    of both, so units written before and after read back whole (P5, P6). An
+    unchanged schema is not written. A type that changed otherwise is refused.
     """
     number, last = _declared(spark, path)
+    schema = _nullable(schema)
     if last is not None:
-        types = {f.name: f.dataType for f in last.fields}
-        for f in schema.fields:
-            if types.get(f.name, f.dataType) != f.dataType:
-                raise ValueError(f"{path}: {f.name} is {types[f.name].simpleString()}, not {f.dataType.simpleString()}")
-        added = [f for f in schema.fields if f.name not in types]
-        if not added:
+        last = _nullable(last)
+        grown = _grown(last, schema, path)
+        if grown == last:
             return
-        unit = [f for f in last.fields if f.name == "source_file"]
-        schema = StructType([f for f in last.fields if f.name != "source_file"] + added + unit)
+        unit = [f for f in grown.fields if f.name == "source_file"]
+        schema = StructType([f for f in grown.fields if f.name != "source_file"] + unit)
     spark.createDataFrame([(json.dumps([number + 1, json.loads(schema.json())]),)], "value string").coalesce(1).write.text(
         f"{path}/_schema/{number + 1}")
 
