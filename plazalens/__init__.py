@@ -37,6 +37,7 @@ from plazalens.operators.quality import (
     profile,
     stage_counts,
 )
+from plazalens.operators.phrases import merge_phrases
 from plazalens.operators.recommend import (
     candidates,
     cosine_to_anchor,

@@ -151,14 +151,21 @@ def map_state(col: str | Column, states: Iterable[tuple[str, str]] = US_STATES)
 WORD = r"\p{L}+(?:'\p{L}+)*"
 
 
-def tokens(col: str | Column, lower: bool = True) -> Column:
+#: a chunk of signs between white space: two or more characters without a letter, at least one of them
+#: neither digit nor letter (":)", "<3", "+1"), or eyes, at most one nose and a letter (":D", ":-p")
+SIGNS = r"(?<![^\t-\r ])(?:(?=\p{N}*[^\p{N}\t-\r ])[^\p{L}\p{Cc} ]{2,}|[:;=%|][-^'*]?\p{L})(?![^\t-\r ])"
+
+
+def tokens(col: str | Column, lower: bool = True, signs: bool = False) -> Column:
     """Words of a text (L1), lower-cased by default, the curly apostrophe read as the straight one.
 
-    A text without letters gives an empty array, a null text a null array.
+    ``signs`` adds chunks of signs, as emoticons are, in their places. A text
+    without a token gives an empty array, a null text a null array.
     """
     c = F.col(col) if isinstance(col, str) else col
     c = F.replace(c, F.lit("\u2019"), F.lit("'"))
-    return F.regexp_extract_all(F.lower(c) if lower else c, F.lit(WORD), F.lit(0))
+    pattern = f"{SIGNS}|{WORD}" if signs else WORD
+    return F.regexp_extract_all(F.lower(c) if lower else c, F.lit(pattern), F.lit(0))
 
 
 def tokenize(df: DataFrame, id_col: str, text_col: str = "text") -> DataFrame:

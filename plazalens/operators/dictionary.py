@@ -32,11 +32,16 @@ def _dictionary(terms: DataFrame, term_col: str) -> DataFrame:
     return t.select("term", F.array_join(_words(F.col("term")), " ").alias("key"), F.size(_words(F.col("term"))).alias("n"))
 
 
+def quote(term: Column) -> Column:
+    """A term as a pattern that matches it literally."""
+    return F.regexp_replace(term, F.lit(_SPECIAL), F.lit(r"\\$1"))
+
+
 def _at_boundaries(text: Column, term: Column) -> Column:
-    return F.rlike(text, F.concat(F.lit(r"\b"), F.regexp_replace(term, F.lit(_SPECIAL), F.lit(r"\\$1")), F.lit(r"\b")))
+    return F.rlike(text, F.concat(F.lit(r"\b"), quote(term), F.lit(r"\b")))
 
 
-def _grams(words: Column, n: int) -> Column:
+def word_grams(words: Column, n: int) -> Column:
     """The word n-grams of an array, as strings."""
     last = F.size(words) - n + 1
     starts = F.when(last > 0, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
@@ -58,7 +63,7 @@ def dictionary_hits(texts: DataFrame, text_col: str, terms: DataFrame, term_col:
     parts = [hashed.limit(0).select("h", F.lit("").alias("term"))]
     keyed = [n for n in lengths if n > 0]
     if keyed:
-        grams = F.array_distinct(F.concat(*[_grams(F.col("w"), n) for n in keyed]))
+        grams = F.array_distinct(F.concat(*[word_grams(F.col("w"), n) for n in keyed]))
         met = hashed.select("h", _words(F.col("text")).alias("w")).select("h", F.explode(grams).alias("key")).join(
             maybe_broadcast(words.filter("n > 0").select("key", "term"), DICTIONARY_MAX_ROWS), "key")
         parts.append(met.select("h", "term"))

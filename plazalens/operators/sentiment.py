@@ -8,13 +8,18 @@ booster and negation rules as column arithmetic, and summed per review. The
 sum runs as a partial aggregate before the only shuffle, so each partition
 sends one row per review. Texts never leave their partition.
 
+Entries of several words are merged into single tokens before that
+(``operators/phrases.py``).
+
 The score is the published compound normalisation ``s / sqrt(s*s + 15)``.
-Negators, boosters, capitals, the contrast word and '!'/'?' follow the published
-rules; idioms, emoticons and the "never so" and "least" cases are not built.
+Negators, boosters, capitals, the contrast word, '!'/'?', idioms, emoticons and
+the "never so" and "least" cases follow the published rules. An idiom counts
+wherever it stands, not only beside a word of the lexicon.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,16 +27,20 @@ from pyspark.sql import functions as F
 
 from plazalens.functions.text import escape_regex, tokens
 from plazalens.operators.join import maybe_broadcast
+from plazalens.operators.phrases import merge_phrases, phrase_key
 from plazalens.schemas import (
     BOOSTER_DAMPING,
     BOOSTER_INCREMENT,
     BOOSTERS_DOWN,
+    BOOSTERS_DOWN_PHRASES,
     BOOSTERS_UP,
     CAPITALS_INCREMENT,
     CONTRAST_AFTER,
     CONTRAST_BEFORE,
     EXCLAMATION_MAX,
     EXCLAMATION_STEP,
+    IDIOMS,
+    LEAST_EXCEPT_AFTER,
     LEXICON,
     QUESTION_CAP,
     QUESTION_MAX_COUNT,
@@ -39,6 +48,8 @@ from plazalens.schemas import (
     NEGATION_SCALAR,
     NEGATIVE_TO,
     NEGATORS,
+    NEVER_SO_FACTOR,
+    NEVER_SO_WORDS,
     POSITIVE_FROM,
     VADER_ALPHA,
 )
@@ -46,8 +57,8 @@ from plazalens.schemas import (
 #: the published rules, for ``sentiment_scores(..., **PUBLISHED_RULES)``
 PUBLISHED_RULES = dict(
     negators=NEGATORS,
-    boosters=[(w, BOOSTER_INCREMENT) for w in BOOSTERS_UP] + [(w, -BOOSTER_INCREMENT) for w in BOOSTERS_DOWN],
-    contrast="but", punctuation=True, capitals=True)
+    boosters=[(w, BOOSTER_INCREMENT) for w in BOOSTERS_UP] + [(w, -BOOSTER_INCREMENT) for w in BOOSTERS_DOWN + BOOSTERS_DOWN_PHRASES],
+    contrast="but", punctuation=True, capitals=True, idioms=IDIOMS, emoticons=True, special_cases=True)
 SUM_EPSILON = 1e-9  # far below any real valence sum, far above summation noise (~1e-15)
 LEXICON_MAX_ROWS = 1_000_000  # a (token, valence) hash table of tens of MB per executor
 
@@ -150,6 +161,9 @@ def sentiment_scores(
     contrast: str | None = None,
     punctuation: bool = False,
     capitals: bool = False,
+    idioms: Sequence[tuple[str, float]] | None = None,
+    emoticons: bool = False,
+    special_cases: bool = False,
     keep: Sequence[str] = (),
 ) -> DataFrame:
     """(id, ``keep`` columns, sentiment_score), one row for every review; null text -> null score.
@@ -161,17 +175,23 @@ def sentiment_scores(
     occurrence of that word and multiplies those after it by 1.5;
     ``punctuation`` adds the '!'/'?' emphasis to a non-zero sum; ``capitals``
     moves a word in capitals away from zero when the text is of mixed case.
+    ``idioms`` (also an empty list) are added to the lexicon, and all entries of
+    several words, of lexicon, boosters and negators alike, are met as one
+    token: leftmost first, then longest. ``emoticons`` makes chunks of signs
+    tokens, so that lexicon entries such as ``:)`` are met.
+    ``special_cases``: "never so" and "never this" strengthen a word instead of
+    negating it, and "least" negates the next word except after "at" and "very".
 
     Ids may repeat, as the gold review key does (D11): token sums are grouped
     by id and a 128-bit hash of the text; rows that share both have one score,
     which is given once for each of them. Of a token that the lexicon lists
     twice the valence of largest size counts.
     """
-    rules = bool(negators) or bool(boosters)
-    toks = tokens(text_col, lower=not capitals)
+    rules = bool(negators) or bool(boosters) or special_cases
+    toks = tokens(text_col, lower=not capitals, signs=emoticons)
     extra = []
-    if contrast:
-        extra.append(F.array_position(tokens(text_col), contrast.lower()).alias("_cpos"))
+    if contrast and idioms is None:
+        extra.append(F.array_position(tokens(text_col, signs=emoticons), contrast.lower()).alias("_cpos"))
     if capitals:
         loud = F.size(F.filter(toks, _in_capitals))
         extra.append(((loud > 0) & (loud < F.size(toks))).alias("_mixed"))
@@ -182,6 +202,18 @@ def sentiment_scores(
     base = reviews.select(F.col(id_col).alias("_id"), *[F.col(c).alias(k) for c, k in zip(keep, kept)],
                           text.isNull().alias("_null"), F.xxhash64(text).alias("_h1"),
                           F.xxhash64(F.lit(1), text).alias("_h2"), toks.alias("_t"), *extra)
+    if idioms is not None:
+        lexicon = lexicon.select("token", "valence").unionByName(lexicon_frame(lexicon.sparkSession, idioms))
+        other = [w for w, _ in boosters or []] + list(negators or [])
+        entries = lexicon.select("token").unionByName(lexicon_frame(lexicon.sparkSession, [(w, 0.0) for w in other])
+                                                      .select("token"))
+        base = merge_phrases(base, "_t", entries, ["_h1", "_h2"], signs=emoticons)
+        several = phrase_key("token", emoticons)
+        lexicon = lexicon.withColumn("token", F.when(F.contains(several, F.lit(" ")), several).otherwise(F.col("token")))
+        boosters = [(" ".join(w.split()), x) for w, x in boosters or []]
+        negators = [" ".join(w.split()) for w in negators or []]
+        if contrast:
+            base = base.withColumn("_cpos", F.array_position(F.transform("_t", F.lower), contrast.lower()))
     key = ["_id", *kept, "_null", "_h1", "_h2"]
     carry = [c for c in ("_cpos", "_amp", "_mixed") if c in base.columns]  # per-text values
     exploded = base.select(*key, "_t", *carry, F.posexplode_outer("_t").alias("_pos", "token"))
@@ -220,8 +252,19 @@ def sentiment_scores(
             if boosters:
                 b = F.col(f"_s{k}") * F.lit(BOOSTER_DAMPING[k])
                 v = v + F.coalesce(F.when(v < 0, -b).otherwise(b), F.lit(0.0))
+            change = F
+            if special_cases and k > 1:
+                between = [F.coalesce(F.col(f"p{j}"), F.lit("")).isin(NEVER_SO_WORDS) for j in range(1, k)]
+                change = change.when((prev == "never") & functools.reduce(Column.__or__, between),
+                                     v * F.lit(NEVER_SO_FACTOR[k]))
             if neg:
-                v = F.when(prev.isin(neg), v * F.lit(NEGATION_SCALAR)).otherwise(v)
+                change = change.when(prev.isin(neg), v * F.lit(NEGATION_SCALAR))
+            v = v if change is F else change.otherwise(v)
+        if special_cases:  # "least" as a word of the lexicon has its valence instead
+            least = _modifiers(lex, [("least", 0.0)]).select(F.col("token").alias("_least"))
+            scored = scored.join(least, F.col("p1") == F.col("_least"), "left")
+            v = F.when(F.col("_least").isNotNull() & ~F.coalesce(F.col("p2"), F.lit("")).isin(LEAST_EXCEPT_AFTER),
+                       v * F.lit(NEGATION_SCALAR)).otherwise(v)
     if contrast:
         # token index vs the (1-based) index of the first contrast word
         c0 = F.col("_cpos") - 1

@@ -424,8 +424,6 @@ def _values(rows, cols):
 
 
 _LEX_SQL = f"lex AS (SELECT * FROM {_values(DEMO_LEXICON, 'l(token, valence)')})"
-_NEG_SQL = f"neg AS (SELECT * FROM {_values([(w,) for w in DEMO_NEGATORS], 'n(token)')})"
-_BOOST_SQL = f"boost AS (SELECT * FROM {_values(DEMO_BOOSTERS, 'b(token, scalar)')})"
 
 _SCORE_SIMPLE_SQL = f"""{TX_SQL},
 {_LEX_SQL},
@@ -435,10 +433,16 @@ score AS (SELECT tx.review_id, CASE WHEN tx.text IS NULL THEN NULL
               ELSE round(coalesce(sums.s, 0) / sqrt(coalesce(sums.s, 0) * coalesce(sums.s, 0) + 15), 6) + 0.0 END AS sentiment_score
           FROM tx LEFT JOIN sums ON tx.review_id = sums.review_id)"""
 
-def _score_rules_sql(contrast: str | None = None, punctuation: bool = False) -> str:
+def _score_rules_sql(contrast: str | None = None, punctuation: bool = False, tokens_sql: str = TOKENS_SQL,
+                     lexicon=DEMO_LEXICON, negators=DEMO_NEGATORS, boosters=DEMO_BOOSTERS,
+                     special_cases: bool = False) -> str:
     """Oracle CTEs ending in ``score``: tokens with positions, ``lag`` for the
     three preceding tokens, booster/negation steps, optional contrast-word
-    factor and '!'/'?' emphasis."""
+    factor, '!'/'?' emphasis and the "never so" and "least" cases."""
+    never2 = "WHEN p2 = 'never' AND p1 IN ('so', 'this') THEN v * 1.5" if special_cases else ""
+    never3 = "WHEN p3 = 'never' AND (p1 IN ('so', 'this') OR p2 IN ('so', 'this')) THEN v * 1.25" if special_cases else ""
+    least = ("""CASE WHEN p1 = 'least' AND coalesce(p2, '') NOT IN ('at', 'very')
+                      AND 'least' NOT IN (SELECT token FROM lex) THEN v * -0.74 ELSE v END""" if special_cases else "v")
     cpos = (f"coalesce(list_position(l, {sql_str(contrast)}), 0)" if contrast else "0")
     factor = ("CASE WHEN cpos > 0 AND pos < cpos THEN 0.5 WHEN cpos > 0 AND pos > cpos THEN 1.5 ELSE 1.0 END"
               if contrast else "1.0")
@@ -446,9 +450,11 @@ def _score_rules_sql(contrast: str | None = None, punctuation: bool = False) ->
                + CASE WHEN qm <= 1 THEN 0.0::DOUBLE WHEN qm <= 3 THEN qm * 0.18::DOUBLE ELSE 0.96::DOUBLE END"""
            if punctuation else "0.0::DOUBLE")
     return f"""{TX_SQL},
-{_LEX_SQL}, {_NEG_SQL}, {_BOOST_SQL},
+lex AS (SELECT * FROM {_values(lexicon, 'l(token, valence)')}),
+neg AS (SELECT * FROM {_values([(w,) for w in negators], 'n(token)')}),
+boost AS (SELECT * FROM {_values(boosters, 'b(token, scalar)')}),
 arr AS (SELECT review_id, l, {cpos} AS cpos
-        FROM (SELECT review_id, {TOKENS_SQL} AS l FROM tx)),
+        FROM (SELECT review_id, {tokens_sql} AS l FROM tx)),
 toks AS (SELECT review_id, cpos, unnest(l) AS token, generate_subscripts(l, 1) AS pos FROM arr),
 w AS (SELECT review_id, pos, cpos, token,
              lag(token, 1) OVER win AS p1, lag(token, 2) OVER win AS p2, lag(token, 3) OVER win AS p3
@@ -461,13 +467,14 @@ v0 AS (SELECT w.*, CASE WHEN w.token IN (SELECT token FROM boost) THEN NULL ELSE
               LEFT JOIN modb b3 ON w.p3 = b3.token),
 v1 AS (SELECT review_id, pos, cpos, p1, p2, p3, b2, b3,
               v + coalesce(CASE WHEN v < 0 THEN -(b1 * 1.0) ELSE b1 * 1.0 END, 0) AS v FROM v0),
-v1n AS (SELECT review_id, pos, cpos, p2, p3, b2, b3,
+v1n AS (SELECT review_id, pos, cpos, p1, p2, p3, b2, b3,
                CASE WHEN p1 IN (SELECT token FROM neg) THEN v * -0.74 ELSE v END AS v FROM v1),
-v2 AS (SELECT review_id, pos, cpos, p2, p3, b3, v + coalesce(CASE WHEN v < 0 THEN -b2 ELSE b2 END, 0) AS v FROM v1n),
-v2n AS (SELECT review_id, pos, cpos, p3, b3, CASE WHEN p2 IN (SELECT token FROM neg) THEN v * -0.74 ELSE v END AS v FROM v2),
-v3 AS (SELECT review_id, pos, cpos, p3, v + coalesce(CASE WHEN v < 0 THEN -b3 ELSE b3 END, 0) AS v FROM v2n),
-v3n AS (SELECT review_id, pos, cpos, CASE WHEN p3 IN (SELECT token FROM neg) THEN v * -0.74 ELSE v END AS v FROM v3),
-vc AS (SELECT review_id, v * {factor} AS v FROM v3n),
+v2 AS (SELECT review_id, pos, cpos, p1, p2, p3, b3, v + coalesce(CASE WHEN v < 0 THEN -b2 ELSE b2 END, 0) AS v FROM v1n),
+v2n AS (SELECT review_id, pos, cpos, p1, p2, p3, b3, CASE {never2} WHEN p2 IN (SELECT token FROM neg) THEN v * -0.74 ELSE v END AS v FROM v2),
+v3 AS (SELECT review_id, pos, cpos, p1, p2, p3, v + coalesce(CASE WHEN v < 0 THEN -b3 ELSE b3 END, 0) AS v FROM v2n),
+v3n AS (SELECT review_id, pos, cpos, p1, p2, CASE {never3} WHEN p3 IN (SELECT token FROM neg) THEN v * -0.74 ELSE v END AS v FROM v3),
+v4 AS (SELECT review_id, pos, cpos, {least} AS v FROM v3n),
+vc AS (SELECT review_id, v * {factor} AS v FROM v4),
 sums AS (SELECT review_id, sum(coalesce(v, 0)) AS s FROM vc GROUP BY review_id),
 amp AS (SELECT review_id, {amp} AS amp
         FROM (SELECT review_id, text, length(text) - length(replace(text, '?', '')) AS qm FROM tx)),
@@ -1190,3 +1197,40 @@ def q_sentiment_score_compound(spark, sf):
     lex = lexicon_frame(spark, DEMO_LEXICON)
     return sentiment_scores(dv.texts(spark, sf), lex, round_to=6, negators=DEMO_NEGATORS,
                             boosters=DEMO_BOOSTERS, contrast=DEMO_CONTRAST, punctuation=True)
+
+
+# Phrases, a booster and a negator of several words, and chunks of signs that
+# occur in the documents; some overlap, so that the longest must win.
+DEMO_IDIOMS = [("the and", 1.7), ("and the", -0.6), ("and the of", 2.2), ("of the", 0.8), ("for the the", -1.9)]
+DEMO_SIGNS = [("+1", 1.3), ("2.0.", -0.7)]
+DEMO_PHRASE_BOOSTERS = DEMO_BOOSTERS + [("to a", -0.293)]
+DEMO_PHRASE_NEGATORS = DEMO_NEGATORS + ["on the"]
+
+# Oracle: chunks of signs by white space, then one alternation of all phrases, the longest first.
+_SIGN_SQL = (r"((regexp_full_match(c, '[^\pL\p{Cc}\x20]{2,}') AND regexp_matches(c, '[^\pL\pN]'))"
+             r" OR regexp_full_match(c, '[:;=%|][-^''*]?\pL'))")
+_CHUNK_TOKENS_SQL = (r"flatten([CASE WHEN " + _SIGN_SQL + r" THEN [c] ELSE regexp_extract_all(c, '\pL+(?:''\pL+)*') END"
+                     r" FOR c IN regexp_split_to_array(lower(replace(text, chr(8217), '''')), '[\x09-\x0D\x20]+')])")
+
+
+def _phrase_tokens_sql() -> str:
+    several = sorted({w for w, _ in DEMO_IDIOMS + DEMO_PHRASE_BOOSTERS} | set(DEMO_PHRASE_NEGATORS),
+                     key=lambda w: (-len(w.split()), w))
+    either = "|".join(" " + w.replace(" ", "  ") + " " for w in several if " " in w)
+    marked = (f"regexp_replace(' ' || array_to_string({_CHUNK_TOKENS_SQL}, '  ') || ' ', '({either})', "
+              r"chr(1) || '\1' || chr(2), 'g')")
+    parts = f"regexp_extract_all({marked}, " + r"'\x01[^\x02]*\x02| [^ \x01\x02]+ ')"
+    return f"[replace(trim(p, chr(1) || chr(2) || ' '), '  ', ' ') FOR p IN {parts}]"
+
+
+@query("sentiment_score_phrases", "WITH " + _score_rules_sql(
+    contrast=DEMO_CONTRAST, punctuation=True, tokens_sql=_phrase_tokens_sql(),
+    lexicon=DEMO_LEXICON + DEMO_SIGNS + DEMO_IDIOMS, negators=DEMO_PHRASE_NEGATORS, boosters=DEMO_PHRASE_BOOSTERS,
+    special_cases=True) + " SELECT * FROM score")
+def q_sentiment_score_phrases(spark, sf):
+    """R2/L4 with entries of several words as single tokens, chunks of signs
+    as emoticons, and the "never so" and "least" cases."""
+    lex = lexicon_frame(spark, DEMO_LEXICON + DEMO_SIGNS)
+    return sentiment_scores(dv.texts(spark, sf), lex, round_to=6, negators=DEMO_PHRASE_NEGATORS,
+                            boosters=DEMO_PHRASE_BOOSTERS, contrast=DEMO_CONTRAST, punctuation=True,
+                            idioms=DEMO_IDIOMS, emoticons=True, special_cases=True)

@@ -189,6 +189,17 @@ BOOSTERS_DOWN = [
     "almost", "barely", "hardly", "kinda", "kindof", "less", "little", "marginal", "marginally", "occasional",
     "occasionally", "partly", "scarce", "scarcely", "slight", "slightly", "somewhat", "sorta", "sortof",
 ]
+# Boosters of two words, and phrases with a valence of their own, of the published scorer.
+BOOSTERS_DOWN_PHRASES = ["just enough", "kind of", "sort of"]
+IDIOMS = [
+    ("the shit", 3.0), ("the bomb", 3.0), ("bad ass", 1.5), ("yeah right", -2.0), ("cut the mustard", 2.0),
+    ("kiss of death", -1.5), ("hand to mouth", -2.0),
+]
+# "never so" and "never this" strengthen, by the distance of "never"; "least"
+# negates the next word, unless it follows one of two words.
+NEVER_SO_WORDS = ["so", "this"]
+NEVER_SO_FACTOR = {2: 1.5, 3: 1.25}
+LEAST_EXCEPT_AFTER = ["at", "very"]
 # Contrast rule: valences before the first contrast word are halved, those
 # after it are multiplied by 1.5.
 CONTRAST_BEFORE = 0.5
