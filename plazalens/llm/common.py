@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -91,6 +92,9 @@ def release_worker_cache() -> None:
         _CACHE.clear()
         gc.collect()
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:  # glibc keeps what numpy freed, until it is asked
+        trim(0)
 
 
 def text_slices(column: pa.Array, limit: int = 8 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plazalens.llm.common import written
+from plazalens.llm.common import release_worker_cache, written
 from plazalens.llm.tokens import encode_documents, id_dtype_of, part_bases
 
 
@@ -34,6 +34,7 @@ def cut_windows(tokens: DataFrame, dtype: np.dtype, window: int = 1024) -> DataF
         "id", (F.col("base") + F.col("local")).alias("at"), "ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_worker_cache()  # the first pass is over, its encoder is not asked again
         for b in batches:
             rows, cols = [], [[] for _ in range(6)]
             for k, (at, ids) in enumerate(zip(b.column(1).to_pylist(), b.column(2))):

@@ -78,9 +78,15 @@ def id_dtype_of(tokenizer_path: str) -> np.dtype:
     return id_dtype(Tokenizer.from_file(tokenizer_path).get_vocab_size())
 
 
+CACHED_CHARS = 64  # longer pieces and words are encoded each time they are met
+
+
 class Encoder:
     """Whole-text encoder over one tokenizer.
 
+    Its caches hold ``max_pieces`` pieces and ``max_tokens`` words, each of at
+    most ``CACHED_CHARS`` characters, so their bytes are bounded too.
+
     ``mode`` says how the tokenizer sees white space: ``"spaces"`` keeps it
     (a space belongs to the next word, a line break stands alone),
     ``"words"`` drops it, ``"whole"`` makes no assumption.
@@ -121,13 +127,13 @@ class Encoder:
         ids = self.tokens.get(word)
         if ids is None:
             ids = np.array([t.id for t in self.tok.model.tokenize(word)], self.dtype).tobytes()
-            if len(self.tokens) < self.max_tokens:
+            if len(self.tokens) < self.max_tokens and len(word) <= CACHED_CHARS:
                 self.tokens[word] = ids
         if tail:
             end = self.tokens.get(tail)
             if end is None:
                 end = self._library(tail)
-                if len(self.tokens) < self.max_tokens:
+                if len(self.tokens) < self.max_tokens and len(tail) <= CACHED_CHARS:
                     self.tokens[tail] = end
             ids += end
         return self.line_break + ids if head == "\n" else ids
@@ -138,7 +144,7 @@ class Encoder:
             got = self.pieces.get(p)
             if got is None:
                 got = self._piece(p)
-                if len(self.pieces) < self.max_pieces:
+                if len(self.pieces) < self.max_pieces and len(p) <= CACHED_CHARS:
                     self.pieces[p] = got
             out.append(got)
         return out
