@@ -17,7 +17,7 @@ Records that do not fit the raw schema stay in bronze with their text in
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -47,9 +47,13 @@ class IncrementalRun(NamedTuple):
     rejected_rows: int = 0
 
 
-def of_units(df: DataFrame, units: DataFrame) -> DataFrame:
-    """Rows of the given units: a semi join on the partition column, so other units are not read."""
-    return df.join(units.select(F.col("file_name").alias("source_file")), "source_file", "left_semi").select(df.columns)
+def of_units(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Rows of the named units: a filter on the partition column, so other units are not read.
+
+    No join: one by unit would leave each unit's rows in one task, and the
+    steps after it (dedup, profile) would take that partitioning over.
+    """
+    return df.filter(F.col("source_file").isin(list(names)))
 
 
 def write_layer(df: DataFrame, lake_root: str, layer: str, platform: str, entity: str, rebalance: bool) -> int:
@@ -90,7 +94,7 @@ def run_incremental(spark: SparkSession, dataset: str, raw_root: str, lake_root:
         raw = raw.observe(seen, F.count_if(F.col(CORRUPT).isNotNull()).alias("bad"))
     n_bronze = write_layer(raw, lake_root, "bronze", platform, entity, rebalance=False)
     units = spark.createDataFrame([(n,) for n in names], "file_name string")
-    bronze = of_units(read_declared(spark, layer_path(lake_root, "bronze", platform, entity)), units)
+    bronze = of_units(read_declared(spark, layer_path(lake_root, "bronze", platform, entity)), names)
     good, bad = split_rejects(bronze)
     n_bad = 0
     if corrupt and seen.get["bad"]:
@@ -117,7 +121,7 @@ def run_stage(spark: SparkSession, source_dataset: str, dataset: str, lake_root:
     if not names:
         return IncrementalRun([])
     units = spark.createDataFrame([(n,) for n in names], "file_name string")
-    rows = of_units(read_declared(spark, layer_path(lake_root, source[0], platform, source[1])), units)
+    rows = of_units(read_declared(spark, layer_path(lake_root, source[0], platform, source[1])), names)
     n = write_layer(transform(rows), lake_root, target[0], platform, target[1], rebalance)
     append_ledger(spark, ledger_path, dataset, units)
     return IncrementalRun(names, silver_rows=n)

@@ -100,10 +100,6 @@ def _changes(now: DataFrame, before: DataFrame) -> tuple[list[str], list[str], s
             {r.file_name for r in both if r.known})
 
 
-def _names(spark: SparkSession, names: Sequence[str]) -> DataFrame:
-    return spark.createDataFrame([(n,) for n in names], "file_name string")
-
-
 def row_hashes(df: DataFrame, columns: Sequence[str]) -> list[Column]:
     """128 bits of a row; a null differs from any value, and -0.0 from 0.0 does not."""
     cols = [F.col(f"`{c}`") + F.lit(0.0).cast(t) if t in ("double", "float") else F.col(f"`{c}`")
@@ -153,8 +149,7 @@ def run_versioned(spark: SparkSession, dataset: str, raw_root: str, lake: str, p
         raw = reader(spark, [f"{raw_root.rstrip('/')}/{n}" for n in made], raw_root)
         write_layer(raw, lake, "bronze", platform, entity, rebalance=False)
     if todo:
-        units = _names(spark, todo)
-        good, bad = split_rejects(of_units(read_declared(spark, path["bronze"]), units))
+        good, bad = split_rejects(of_units(read_declared(spark, path["bronze"]), todo))
         bad_rows = write_layer(bad, lake, "rejects", platform, entity, rebalance)
         if dedup_columns:
             good = _keep_first_copies(spark, good, dedup_columns, todo, lake, platform, entity)
@@ -177,7 +172,7 @@ def _keep_first_copies(spark: SparkSession, good: DataFrame, columns: Sequence[s
     marked = held.join(first, ["h1", "h2"], "left").select(
         "h1", "h2", F.coalesce(F.col("first") == F.col("source_file"), F.lit(False)).alias("kept"), "source_file")
     write_layer(marked, lake, "row_index", platform, entity, True)
-    kept = of_units(read_declared(spark, path), _names(spark, todo)).filter("kept").select("h1", "h2", "source_file")
+    kept = of_units(read_declared(spark, path), todo).filter("kept").select("h1", "h2", "source_file")
     return hashed.join(kept, ["h1", "h2", "source_file"], "left_semi").select(good.columns)
 
 
@@ -213,7 +208,7 @@ def run_versioned_stage(spark: SparkSession, source_dataset: str, dataset: str,
         remove_units(spark, layer_path(lake, target[0], platform, target[1]), old_units)
         remove_units(spark, links, sorted(known))
     if todo:
-        at_hand = of_units(read_declared(spark, layer_path(lake, source[0], platform, source[1])), _names(spark, todo))
+        at_hand = of_units(read_declared(spark, layer_path(lake, source[0], platform, source[1])), todo)
         rows = write_layer(transform(at_hand), lake, target[0], platform, target[1], rebalance)
         if keys is not None:
             write_layer(at_hand.select(on, "source_file").distinct(), lake, "key_index", platform, target[1], rebalance)

@@ -79,7 +79,7 @@ def stream_layers(spark: SparkSession, dataset: str, source_dir: str, schema: St
         if not path_exists(session, f"{path['bronze']}/source_file={unit}"):  # a batch without rows
             return
         units = session.createDataFrame([(unit,)], "file_name string")
-        good, bad = split_rejects(of_units(read_declared(session, path["bronze"]), units))
+        good, bad = split_rejects(of_units(read_declared(session, path["bronze"]), [unit]))
         _put(bad, path["rejects"])
         _put(transform(good), path["silver"])
         fresh = new_units(units, read_ledger(session, ledger_path, dataset))

@@ -87,3 +87,21 @@ def test_plain_read_fails_on_a_bad_record(spark):
     write_unit(spark, base, "u", [review("a"), review("b", rating='"five"')])
     with pytest.raises(Exception, match="(?i)malformed|failfast"):
         read_json(spark, f"{base}/u", GOOGLE_REVIEWS_RAW).collect()
+
+
+def test_a_units_rows_are_spread_over_tasks(spark):
+    from plazalens.plans.incremental import of_units
+    from plazalens.sources.io import layer_path, read_declared
+    base = scratch_path(spark, "t-spread")
+    raw, lake = f"{base}/raw", f"{base}/lake"
+    for unit in ("01", "1"):
+        write_unit(spark, raw, unit, [review(f"u{unit}-{i}") for i in range(400)])
+    ingest(spark, raw, lake)
+    bronze = of_units(read_declared(spark, layer_path(lake, "bronze", "google", "reviews")), ["01"])
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = md.silver_google_reviews(bronze.drop("_corrupt_record")).select("user_id", F.spark_partition_id().alias("p")).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sorted(r.user_id for r in rows) == sorted(f"u01-{i}" for i in range(400))
+    assert len({r.p for r in rows}) > 1  # a join by unit left them all in one task
