@@ -5,6 +5,7 @@ the lengths that occur in the table, meet it by equality, so the time does not
 grow with the number of phrases; only a text's own few phrases come back to it,
 and there the leftmost and, of those, the longest match wins. A matched phrase
 is one token from then on: rules that look at neighbouring tokens see it whole.
+A list of few phrases is looked for inside each row instead, which moves no text.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from plazalens.functions.text import tokens
 from plazalens.operators.dictionary import DICTIONARY_MAX_ROWS, quote, word_grams
 from plazalens.operators.join import maybe_broadcast
 
+IN_PLACE_PHRASES = 32  # so few are looked for in each text; more meet its n-grams
 _OPEN, _CLOSE = "\u0001", "\u0002"  # control characters are in no token
 
 
@@ -44,6 +46,16 @@ def _merged(toks: Column, pattern: Column) -> Column:
         F.trim(F.translate(p, _OPEN + _CLOSE, "")), F.lit("  "), F.lit(" ")))
 
 
+def _merged_in_place(texts: DataFrame, tokens_col: str, keys: Sequence[str]) -> DataFrame:
+    """``merge_phrases`` for a few phrases (longest first): a text's own ones by plain search in its lower-cased line."""
+    line = F.concat(F.lit(" "), F.replace(F.lower(F.array_join(tokens_col, " ")), F.lit(" "), F.lit("  ")), F.lit(" "))
+    spaced = [f" {k.replace(' ', '  ')} " for k in keys]
+    found = F.concat_ws("|", *[F.when(F.contains(F.col("_line"), F.lit(p)), quote(F.lit(p))) for p in spaced])
+    marked = texts.withColumn("_line", line).withColumn("_pattern", F.nullif(found, F.lit(""))).drop("_line")
+    merged = F.when(F.col("_pattern").isNotNull(), _merged(F.col(tokens_col), F.col("_pattern"))).otherwise(F.col(tokens_col))
+    return marked.withColumn(tokens_col, merged).drop("_pattern")
+
+
 def merge_phrases(texts: DataFrame, tokens_col: str, entries: DataFrame, key: Sequence[str],
                   entry_col: str = "token", signs: bool = False) -> DataFrame:
     """``texts`` with ``tokens_col`` (an array) holding each phrase of ``entries`` as one token.
@@ -52,14 +64,19 @@ def merge_phrases(texts: DataFrame, tokens_col: str, entries: DataFrame, key: Se
     for instance: equal keys have equal tokens. Rows, their number and the other columns are
     kept; null and empty arrays, and texts without a phrase, stay as they are.
     Case does not matter and is kept. A text is met whole, whatever its length.
-    Runs a job for the phrase lengths (a few numbers) and one for a size check.
-    N-grams are made and met in place; past that only texts with a phrase
-    bring their phrases, which AQE broadcasts when they are few.
+    Up to ``IN_PLACE_PHRASES`` phrases are found in each row, without a shuffle
+    (one job brings them). More run a job for the phrase lengths (a few
+    numbers) and one for a size check: n-grams are made and met in place; past
+    that only texts with a phrase bring their phrases, which AQE broadcasts
+    when they are few.
     """
     index = phrase_index(entries, entry_col, signs)
-    lengths = sorted(r.n for r in index.select("n").distinct().collect())
-    if not lengths:
+    few = index.limit(IN_PLACE_PHRASES + 1).collect()
+    if not few:
         return texts
+    if len(few) <= IN_PLACE_PHRASES:
+        return _merged_in_place(texts, tokens_col, [r.key for r in sorted(few, key=lambda r: (-r.n, r.key))])
+    lengths = sorted(r.n for r in index.select("n").distinct().collect())
     words = F.split(F.lower(F.array_join(tokens_col, " ")), " ")
     grams = texts.select(*key, words.alias("_w")).select(
         *key, F.explode(F.array_distinct(F.concat(*[word_grams(F.col("_w"), n) for n in lengths]))).alias("key"))

@@ -99,3 +99,19 @@ def test_plan_keeps_texts_in_place_until_phrases_are_known(spark):
     entries = spark.createDataFrame([("kiss of death",)], "token string")
     plan = merge_phrases(df, "t", entries, ["id"])._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_few_phrases_are_found_in_place(spark, monkeypatch):
+    from plazalens.operators import phrases as P
+    phrases = ["kiss of death", "of death", "the kiss", "a.b c", "+1 :)", "ſo good"]
+    texts = ["The KISS of Death, of death", "kiss  of", "", None, "of of death of death of", "+1 :) the the kiss of death",
+             "so good ſo good SO good", "xkiss of deathx of death"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string").select(
+        "id", F.xxhash64("text").alias("h"), tokens("text", lower=False, signs=True).alias("t"))
+    entries = lexicon_frame(spark, [(p, 1.0) for p in phrases]).select("token")
+    short = merge_phrases(df, "t", entries, ["h"], signs=True)
+    assert "Join" not in short._jdf.queryExecution().optimizedPlan().toString()
+    got = {r.id: r.t for r in short.collect()}
+    monkeypatch.setattr(P, "IN_PLACE_PHRASES", 0)
+    assert got == {r.id: r.t for r in merge_phrases(df, "t", entries, ["h"], signs=True).collect()}
+    assert got[4] == ["of", "of death", "of death", "of"] and got[3] is None
