@@ -918,7 +918,8 @@ def q_stream_silver_reviews(spark, sf):
     reviews = _reviews_with_unit(spark, sf)
     first = F.pmod(F.xxhash64("user_id", "time"), F.lit(3)) > 0
     for rows in (reviews.filter(first), reviews.filter(~first).unionByName(reviews.filter("rating > 2"))):
-        rows.write.mode("append").partitionBy("unit").json(raw)
+        # compressed files are read whole: bounded in rows, so that no task and no batch gets much more than another
+        rows.write.mode("append").option("maxRecordsPerFile", 500_000).partitionBy("unit").json(raw, compression="gzip")
         stream_layers(spark, "google_reviews", raw, GOOGLE_REVIEWS_RAW, lake, "google", "reviews",
                       f"{base}/_checkpoint", md.silver_google_reviews, dedup_columns=GOOGLE_REVIEWS_RAW.fieldNames())
     return read_layer(spark, lake, "silver", "google", "reviews").drop("source_file")

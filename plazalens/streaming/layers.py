@@ -11,12 +11,19 @@ Copies of rows in other batches are dropped by streaming state: a 128-bit hash
 per row, kept for ``dedup_window`` after the row came. The clock is that of
 arrival (the batch's own time, which a repeated batch keeps), so no row is
 dropped for being late.
+
+What a run holds on disk beside the layers and the state is bounded by a batch,
+not by the input: batches with state have a size, a batch's shuffle files go as soon as
+bronze (or silver) is written, and the state keeps two versions. The state lies
+in RocksDB, so its memory is bounded too; a checkpoint begun with another store
+keeps that one.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +42,49 @@ from plazalens.sources.io import (
 )
 from plazalens.sources.ledger import append_ledger, new_units, read_ledger
 
+#: bytes of input files in a batch with state, where the caller says nothing
+BATCH_BYTES = 1 << 30
+
+#: settings of the stream's own session, where the caller's has none
+STREAM_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",  # a count that costs a look-up a row
+    # versions of the state that are kept: a batch run again needs the last one
+    "spark.sql.streaming.minBatchesToRetain": "2",
+    # shuffle files of a written layer go with its job
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+}
+
+
+@contextmanager
+def _stream_conf(spark: SparkSession) -> Iterator[None]:
+    """:data:`STREAM_CONF` while a stream starts: it takes a copy of the session's settings, the session gets its own back."""
+    unset = [k for k in STREAM_CONF if spark.conf.get(k, None) is None]
+    for k in unset:
+        spark.conf.set(k, STREAM_CONF[k])
+    try:
+        yield
+    finally:
+        for k in unset:
+            spark.conf.unset(k)
+
+
+def _drop_shuffles(batch: DataFrame) -> None:
+    """Removes the shuffle files of a batch that is written: Spark keeps a stream's until the driver collects its garbage."""
+    cleaner = batch.sparkSession.sparkContext._jsc.sc().cleaner()
+    rdds, seen = [batch._jdf.queryExecution().toRdd()], set()
+    while rdds:
+        rdd = rdds.pop()
+        if rdd.id() in seen:
+            continue
+        seen.add(rdd.id())
+        deps = rdd.dependencies()
+        for d in (deps.apply(i) for i in range(deps.size())):
+            if d.getClass().getSimpleName() == "ShuffleDependency" and cleaner.isDefined():
+                cleaner.get().doCleanupShuffle(d.shuffleId(), True)
+            rdds.append(d.rdd())
+
 
 def _put(df: DataFrame, path: str) -> None:
     write_parquet(df, path, mode="overwrite", partition_by=["source_file"])
@@ -49,7 +99,8 @@ def _stream_name(spark: SparkSession, checkpoint: str) -> str:
 def stream_layers(spark: SparkSession, dataset: str, source_dir: str, schema: StructType, lake: str, platform: str,
                   entity: str, checkpoint: str, transform: Callable[[DataFrame], DataFrame],
                   dedup_columns: Sequence[str] | None = None, dedup_window: str = "7 days",
-                  max_files_per_trigger: int | None = None, ledger_path: str | None = None) -> None:
+                  max_files_per_trigger: int | None = None, ledger_path: str | None = None,
+                  max_bytes_per_trigger: int | None = None) -> None:
     """Takes every JSON file below ``source_dir`` not seen yet into bronze and silver, in batches, and stops.
 
     ``transform`` maps a batch of bronze to silver and keeps ``source_file``.
@@ -58,6 +109,11 @@ def stream_layers(spark: SparkSession, dataset: str, source_dir: str, schema: St
     ``schema`` pass the state by (which reads the batch's files once more), so
     none is dropped as a copy; they stay in bronze with their text and go to
     the layer ``rejects``. A source without files writes nothing.
+
+    A batch takes so many files, or files of so many bytes in all as they lie
+    there (compressed or not), one at least. Where neither is given, a run with
+    ``dedup_columns`` takes ``BATCH_BYTES``, as the state knows the copies in
+    other batches, and a run without them is one batch.
     """
     ledger_path = ledger_path or f"{lake.rstrip('/')}/_ledger"
     path = {x: layer_path(lake, x, platform, entity) for x in ("bronze", "silver", "rejects")}
@@ -65,6 +121,8 @@ def stream_layers(spark: SparkSession, dataset: str, source_dir: str, schema: St
         "columnNameOfCorruptRecord", CORRUPT).option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    elif max_bytes_per_trigger or dedup_columns:
+        reader = reader.option("maxBytesPerTrigger", str(max_bytes_per_trigger or BATCH_BYTES))
     stream = reader.json(source_dir)
     if dedup_columns:
         good, bad = stream.filter(F.col(CORRUPT).isNull()), stream.filter(F.col(CORRUPT).isNotNull())
@@ -76,6 +134,7 @@ def stream_layers(spark: SparkSession, dataset: str, source_dir: str, schema: St
         session = batch.sparkSession
         unit = f"{_stream_name(session, checkpoint)}-{number:012d}"
         _put(batch.withColumn("source_file", F.lit(unit)), path["bronze"])
+        _drop_shuffles(batch)
         if not path_exists(session, f"{path['bronze']}/source_file={unit}"):  # a batch without rows
             return
         units = session.createDataFrame([(unit,)], "file_name string")
@@ -86,6 +145,7 @@ def stream_layers(spark: SparkSession, dataset: str, source_dir: str, schema: St
         if not fresh.isEmpty():
             append_ledger(session, ledger_path, dataset, fresh)
 
-    query = (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-             .trigger(availableNow=True).start())
+    with _stream_conf(spark):
+        query = (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+                 .trigger(availableNow=True).start())
     query.awaitTermination()

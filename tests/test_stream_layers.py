@@ -1,9 +1,13 @@
-"""Streaming layers: a batch that died and ran again, copies over batches, rejects, later stages by the ledger."""
+"""Streaming layers: a batch that died and ran again, copies over batches, rejects, later stages by the ledger, disk."""
+
+from datetime import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from plazalens.plans import catalog
 from plazalens.plans import medallion as md
 from plazalens.plans.incremental import run_stage
 from plazalens.schemas import GOOGLE_REVIEWS_RAW
@@ -27,9 +31,9 @@ class Stream:
     def put(self, name, lines):
         self.spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(f"{self.raw}/{name}")
 
-    def run(self, **kw):
+    def run(self, transform=md.silver_google_reviews, **kw):
         L.stream_layers(self.spark, "r", self.raw, GOOGLE_REVIEWS_RAW, self.lake, "google", "reviews", self.ckpt,
-                        md.silver_google_reviews, dedup_columns=COLUMNS, **kw)
+                        transform, **{"dedup_columns": COLUMNS, **kw})
 
     def users(self, layer="silver"):
         return sorted(r.user_id for r in read_layer(self.spark, self.lake, layer, "google", "reviews").collect())
@@ -107,3 +111,78 @@ def test_no_files_and_another_checkpoint(spark):
     s.run()
     assert s.users() == ["u1", "u1", "u2"]
     assert read_layer(spark, s.lake, "silver", "google", "reviews").select(F.count_distinct("source_file")).first()[0] == 2
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {n for n in (files.apply(i).getName() for i in range(files.size())) if n.startswith("shuffle_")}
+
+
+@pytest.mark.parametrize("hash_prefilter", [False, True])
+def test_a_run_leaves_no_shuffle_files(spark, hash_prefilter):
+    s = Stream(spark)
+    s.put("a", [line(f"u{i % 300}") for i in range(400)])
+    s.put("b", [line(f"u{i}") for i in range(200, 500)])
+    before = shuffle_files(spark)
+    s.run(lambda b: md.silver_google_reviews(b, hash_prefilter=hash_prefilter), max_files_per_trigger=1)
+    assert not shuffle_files(spark) - before
+    assert s.users() == s.users("bronze") == sorted(f"u{i}" for i in range(500))
+
+
+def test_batches_by_bytes(spark, monkeypatch):
+    s = Stream(spark)
+    for name, users in (("a", ("u1", "u2")), ("b", ("u2", "u3")), ("c", ("u3", "u1", "u4"))):
+        s.put(name, [line(u) for u in users])
+    monkeypatch.setattr(L, "BATCH_BYTES", 1)
+    s.run()
+    assert read_ledger(spark, f"{s.lake}/_ledger", "r").count() == 3  # a file at least
+    assert s.users() == s.users("bronze") == ["u1", "u2", "u3", "u4"]
+    s.put("d", [line("u4"), line("u5")])
+    s.put("e", [line("u5"), line("u6")])
+    s.run(max_bytes_per_trigger=1 << 20)
+    assert read_ledger(spark, f"{s.lake}/_ledger", "r").count() == 4
+    assert s.users() == ["u1", "u2", "u3", "u4", "u5", "u6"]
+
+
+def test_without_state_a_run_is_one_batch(spark, monkeypatch):
+    monkeypatch.setattr(L, "BATCH_BYTES", 1)
+    s = Stream(spark)
+    s.put("a", [line("u1"), line("u2")])
+    s.put("b", [line("u2"), line("u3")])
+    s.run(dedup_columns=None)
+    assert read_ledger(spark, f"{s.lake}/_ledger", "r").count() == 1 and s.users() == ["u1", "u2", "u3"]
+
+
+def test_state_store_on_disk_and_an_older_checkpoint(spark):
+    key, old = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    was = {k: spark.conf.get(k, None) for k in L.STREAM_CONF}
+    for first in (None, old):
+        s = Stream(spark)
+        s.put("a", [line("u1"), line("u2")])
+        if first:
+            spark.conf.set(key, first)
+        try:
+            s.run()
+        finally:
+            if first:
+                spark.conf.unset(key)
+        s.put("b", [line("u2"), line("u3")])
+        s.run()
+        assert s.users() == ["u1", "u2", "u3"]
+        kinds = {p.suffix for p in Path(f"{s.ckpt}/state").rglob("*.*") if not p.name.startswith(".")}
+        assert (".delta" in kinds) == bool(first) and (".zip" in kinds) != bool(first)
+    assert {k: spark.conf.get(k, None) for k in L.STREAM_CONF} == was
+
+
+def test_query_keeps_its_raw_files_compressed(spark, monkeypatch):
+    base = scratch_path(spark, "t-layers-query")
+    rows = [(i, i % 7 + 1, i % 7 + 1, float(i % 50 + 1), "NRA"[i % 3], "OF"[i % 2], datetime(1995, 1 + i % 12, 3)) for i in range(200)]
+    names = ["l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate"]
+    rows = spark.createDataFrame(rows + rows[:40], names)
+    rows.withColumn("l_linenumber", F.col("l_linenumber").cast("int")).write.parquet(f"{base}/in/lineitem.parquet")
+    monkeypatch.setattr(catalog, "scratch_path", lambda spark, name: f"{base}/{name}")
+    got = catalog.QUERIES["stream_silver_reviews"](spark, f"{base}/in")
+    want = catalog.QUERIES["silver_google_reviews"](spark, f"{base}/in")
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.select(got.columns).collect()))
+    raw = [p.name for p in Path(f"{base}/stream-layers/raw").rglob("part-*")]
+    assert raw and all(x.endswith(".json.gz") for x in raw)
